@@ -8,7 +8,7 @@ Session time zone is irrelevant: test timestamps are TIMESTAMP_NTZ.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Fixed reference instants for "now" (FIXTURES.md §2).
@@ -109,7 +109,9 @@ def holders_fx(spark, sf_dir) -> DataFrame:
         "9 AS decimals",
         "TIMESTAMP_NTZ '2001-11-30 00:00:00' AS fetched_at",
         "cust % 4 = 0 AS silver_processed",
-    ).withColumn("amount", F.col("amount_raw").cast("string")).drop("amount_raw")
+    ).withColumn("amount", F.col("amount_raw").cast("string")).drop("amount_raw").withColumn(
+        "rank", F.row_number().over(Window.partitionBy("token_address")
+                                    .orderBy(F.col("ui_amount").desc(), F.col("wallet_address"))))
 
 
 HOLDERS_FX_SQL = """holders_fx AS (
@@ -120,7 +122,9 @@ HOLDERS_FX_SQL = """holders_fx AS (
          CAST(q AS DOUBLE) AS ui_amount, 9 AS decimals,
          TIMESTAMP '2001-11-30 00:00:00' AS fetched_at,
          cust % 4 = 0 AS silver_processed,
-         CAST(CAST(q * 1000000000 AS DECIMAL(38,0)) AS VARCHAR) AS amount
+         CAST(CAST(q * 1000000000 AS DECIMAL(38,0)) AS VARCHAR) AS amount,
+         CAST(ROW_NUMBER() OVER (PARTITION BY tok ORDER BY q DESC, 'C' || lpad(CAST(cust AS VARCHAR), 6, '0'))
+              AS INTEGER) AS rank
   FROM (SELECT l_partkey % 200 AS tok, o_custkey AS cust, SUM(CAST(l_quantity AS DECIMAL(18,2))) AS q
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey
         GROUP BY 1, 2) g)"""
@@ -141,7 +145,7 @@ def tokens_fx(spark, sf_dir) -> DataFrame:
         "p_name AS name", "p_brand AS symbol",
         "cast(liq as double) AS liquidity",
         "cast(vol as double) AS volume_24h_usd",
-        "cast(vol / 24 as double) AS volume_1h_usd",
+        "cast(vol as double) / 24 AS volume_1h_usd",
         "cast(p_size - 20 as double) AS price_change_24h_percent",
         "cast(p_size - 25 as double) AS price_change_2h_percent",
         "p_retailprice AS price",
@@ -159,7 +163,7 @@ TOKENS_FX_SQL = """tokens_fx AS (
   SELECT 'P' || lpad(CAST(p_partkey AS VARCHAR), 6, '0') AS token_address,
          p_name AS name, p_brand AS symbol,
          CAST(liq AS DOUBLE) AS liquidity, CAST(vol AS DOUBLE) AS volume_24h_usd,
-         CAST(vol / 24 AS DOUBLE) AS volume_1h_usd,
+         CAST(vol AS DOUBLE) / 24 AS volume_1h_usd,
          CAST(p_size - 20 AS DOUBLE) AS price_change_24h_percent,
          CAST(p_size - 25 AS DOUBLE) AS price_change_2h_percent,
          p_retailprice AS price, CAST(liq * 3 AS DOUBLE) AS market_cap,

@@ -106,3 +106,14 @@ def q_score_percentiles(spark, sf_dir):
     e = eligible_wallets(q_wallet_pnl(spark, sf_dir))
     return percentiles(e, {"score": "smart_trader_score", "pnl": "total_realized_pnl_usd"},
                        (0.95, 0.80, 0.60))
+
+
+def _load_all() -> None:
+    """Import the modules that register the remaining query families."""
+    import importlib
+    for m in ("q_clean", "q_reports", "q_store", "q_sources", "q_stream"):
+        try:
+            importlib.import_module(f"cairn.plans.{m}")
+        except ModuleNotFoundError as e:
+            if e.name != f"cairn.plans.{m}":
+                raise

@@ -92,7 +92,8 @@ def compare(spark, sf_dir: str, name: str, fn, sql: str, con=None, tol: float =
 
 def main():
     from cairn.session import build_session
-    from cairn.plans.registry import ORACLE, QUERIES
+    from cairn.plans.registry import ORACLE, QUERIES, _load_all
+    _load_all()
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or sorted(QUERIES)
     spark = build_session(shuffle_partitions=8)
