@@ -100,7 +100,7 @@ def holders_fx(spark, sf_dir) -> DataFrame:
          .groupBy((F.col("l_partkey") % 200).alias("tok"), F.col("o_custkey").alias("cust"))
          .agg(F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("q")))
     return g.selectExpr(
-        "concat('P', lpad(cast(tok as string), 3, '0')) AS token_address",
+        "concat('P', lpad(cast(tok as string), 6, '0')) AS token_address",
         "concat('C', lpad(cast(cust as string), 6, '0')) AS wallet_address",
         "concat('S', cast(tok as string)) AS token_symbol",
         "concat('Part ', cast(tok as string)) AS token_name",
@@ -115,7 +115,7 @@ def holders_fx(spark, sf_dir) -> DataFrame:
 
 
 HOLDERS_FX_SQL = """holders_fx AS (
-  SELECT 'P' || lpad(CAST(tok AS VARCHAR), 3, '0') AS token_address,
+  SELECT 'P' || lpad(CAST(tok AS VARCHAR), 6, '0') AS token_address,
          'C' || lpad(CAST(cust AS VARCHAR), 6, '0') AS wallet_address,
          'S' || CAST(tok AS VARCHAR) AS token_symbol,
          'Part ' || CAST(tok AS VARCHAR) AS token_name,
