@@ -111,7 +111,7 @@ def q_score_percentiles(spark, sf_dir):
 def _load_all() -> None:
     """Import the modules that register the remaining query families."""
     import importlib
-    for m in ("q_clean", "q_reports", "q_store", "q_sources", "q_stream"):
+    for m in ("q_clean", "q_reports", "q_store", "q_sources", "q_stream", "q_options"):
         try:
             importlib.import_module(f"cairn.plans.{m}")
         except ModuleNotFoundError as e:

@@ -37,7 +37,8 @@ def _holds(c) -> str:
             f" AND {FREQ} >= {_lit(c.freq_min)} AND {FREQ} <= {_lit(c.freq_max)} AND {DD} <= {_lit(c.drawdown)}")
 
 
-TIER_CASE = "CASE " + " ".join(f"WHEN {_holds(c)} THEN '{c.name}'" for c in TIERS) + " ELSE 'UNQUALIFIED' END"
+def tier_case(tiers=TIERS) -> str:
+    return "CASE " + " ".join(f"WHEN {_holds(c)} THEN '{c.name}'" for c in tiers) + " ELSE 'UNQUALIFIED' END"
 
 
 def _weighted(w) -> str:
@@ -56,8 +57,8 @@ SCORE_CASE = ("CASE " + " ".join(f"WHEN performance_tier = '{n}' THEN {_weighted
 PENALTY = f"(CASE WHEN {FREQ} > 10 THEN 0.9::DOUBLE WHEN {FREQ} < 0.2 THEN 0.95::DOUBLE ELSE 1.0::DOUBLE END)"
 
 
-def _th(field: str, default) -> str:
-    return ("CASE " + " ".join(f"WHEN performance_tier = '{c.name}' THEN {_lit(getattr(c, field))}" for c in TIERS)
+def _th(field: str, default, tiers=TIERS) -> str:
+    return ("CASE " + " ".join(f"WHEN performance_tier = '{c.name}' THEN {_lit(getattr(c, field))}" for c in tiers)
             + f" ELSE {_lit(default)} END")
 
 
@@ -68,7 +69,7 @@ METRICS = ["coverage_ratio_percent", "total_roi_percent", "avg_roi_percent", "me
 COUNTS = ["meaningful_trades", "matched_trades", "total_trades", "trading_days", "tokens_traded_count"]
 
 
-def gold_sql(pnl_sql: str = WALLET_PNL_SQL, now: str = NOW_EVENTS) -> str:
+def gold_sql(pnl_sql: str = WALLET_PNL_SQL, now: str = NOW_EVENTS, tiers=TIERS) -> str:
     """CTE text ending in `gold` (no final SELECT)."""
     return f"""WITH pnl AS ({pnl_sql}),
 e AS (
@@ -76,7 +77,7 @@ e AS (
                                         total_realized_pnl_usd DESC NULLS FIRST, wallet_address) AS overall_rank
   FROM pnl WHERE smart_trader_eligible),
 g1 AS (
-  SELECT *, {TIER_CASE} AS performance_tier,
+  SELECT *, {tier_case(tiers)} AS performance_tier,
          CASE WHEN {COV} >= 85 THEN 'High' WHEN {COV} >= 80 THEN 'Good'
               WHEN {COV} >= 70 THEN 'Acceptable' ELSE 'Low' END AS coverage_confidence,
          CASE WHEN first_trade_at IS NOT NULL
@@ -89,15 +90,15 @@ g2 AS (
            AND days_since_first_trade >= 30 AS auto_follow_eligible,
          days_since_first_trade >= 30 AND {_raw('meaningful_trades')} >= 20
            AND {_raw('coverage_ratio_percent')} >= 75.0 AS verified_performance,
-         {_raw('coverage_ratio_percent')} >= {_th('coverage', 0)} AS met_coverage_ratio,
-         {_raw('total_roi_percent')} >= {_th('roi', 0)} AS met_roi,
-         {_raw('win_rate_percent')} >= {_th('win_rate', 0)} AS met_win_rate,
-         {_raw('sharpe_ratio')} >= {_th('sharpe', 0)} AS met_sharpe,
-         {_raw('total_realized_pnl_usd')} >= {_th('pnl', 0)} AS met_pnl,
-         {_raw('meaningful_trades')} >= {_th('trades', 0)} AS met_trades,
-         {_raw('trade_frequency_per_day')} >= {_th('freq_min', 0)}
-           AND {_raw('trade_frequency_per_day')} <= {_th('freq_max', 999)} AS met_frequency,
-         {_raw('max_drawdown_percent', 100)} <= {_th('drawdown', 100)} AS met_drawdown,
+         {_raw('coverage_ratio_percent')} >= {_th('coverage', 0, tiers)} AS met_coverage_ratio,
+         {_raw('total_roi_percent')} >= {_th('roi', 0, tiers)} AS met_roi,
+         {_raw('win_rate_percent')} >= {_th('win_rate', 0, tiers)} AS met_win_rate,
+         {_raw('sharpe_ratio')} >= {_th('sharpe', 0, tiers)} AS met_sharpe,
+         {_raw('total_realized_pnl_usd')} >= {_th('pnl', 0, tiers)} AS met_pnl,
+         {_raw('meaningful_trades')} >= {_th('trades', 0, tiers)} AS met_trades,
+         {_raw('trade_frequency_per_day')} >= {_th('freq_min', 0, tiers)}
+           AND {_raw('trade_frequency_per_day')} <= {_th('freq_max', 999, tiers)} AS met_frequency,
+         {_raw('max_drawdown_percent', 100)} <= {_th('drawdown', 100, tiers)} AS met_drawdown,
          {_raw('coverage_ratio_percent')} / 100 AS coverage_score,
          {_clip(_raw('total_roi_percent') + ' / 200')} AS roi_score,
          {_clip(_raw('sharpe_ratio') + ' / 3')} AS sharpe_score,
