@@ -17,10 +17,11 @@ fixed-point decimals so the prefix-sum differences are exact.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cairn.functions.expr import MONEY, PRICE, QTY
+from cairn.functions.scan import Run, cut, ranged_scan, window_scan
 
 KEY = ["wallet_address", "token_address"]
 EVENT_ORDER = ["timestamp", "transaction_hash", "leg"]
@@ -63,7 +64,8 @@ def trade_legs(transactions: DataFrame) -> DataFrame:
     )
 
 
-def fifo_match(legs: DataFrame, partitioned: bool = False) -> DataFrame:
+def fifo_match(legs: DataFrame, partitioned: bool = False, ranged: bool = False,
+               slices: int | None = None) -> DataFrame:
     """P2 (+P3, P4): annotate every buy/sell leg with its FIFO outcome.
 
     Input: legs with KEY, EVENT_ORDER, side ('to' buy, 'from' sell, other
@@ -71,75 +73,65 @@ def fifo_match(legs: DataFrame, partitioned: bool = False) -> DataFrame:
     purchase_value (buys), matched_quantity, unmatched_quantity, cost_basis,
     matched_proceeds, unmatched_proceeds, pnl, trade_roi, is_win, is_loss.
 
-    The input is hash-partitioned by wallet once; every later window and
-    aggregation keyed by wallet or (wallet, token) reuses that partitioning,
-    so the whole PnL job has a single shuffle.
+    Default form: the input is hash-partitioned by wallet once; every later
+    window and aggregation keyed by wallet or (wallet, token) reuses that
+    partitioning, so the whole PnL job has a single shuffle. ``ranged=True``
+    runs the same scans range-partitioned (for hot wallets, see
+    ``cairn.functions.scan``); both forms give identical rows.
     """
+    scan = (lambda d, k, o, r: ranged_scan(cut(d), k, o, r, slices)) if ranged else window_scan
     df = legs.where(F.col("side").isin(BUY, SELL)).select(
         *KEY, "token_symbol", *EVENT_ORDER, "side",
         F.col("quantity").cast(QTY).alias("quantity"),
         F.col("price").cast(PRICE).alias("price"),
     )
-    if not partitioned:
+    if not partitioned and not ranged:
         df = df.repartition("wallet_address")
 
     is_buy = F.col("side") == BUY
     zero_q = F.lit(0).cast(QTY)
-    w_run = (Window.partitionBy(*KEY).orderBy(*EVENT_ORDER)
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    w_prev = (Window.partitionBy(*KEY).orderBy(*EVENT_ORDER)
-              .rowsBetween(Window.unboundedPreceding, -1))
+    order = [(F.col(c), True) for c in EVENT_ORDER]
 
     buy_q = F.when(is_buy, F.col("quantity")).otherwise(zero_q)
     sell_q = F.when(~is_buy, F.col("quantity")).otherwise(zero_q)
     buy_cost = F.when(is_buy, (F.col("quantity") * F.col("price")).cast(MONEY))
+    df = scan(df, KEY, order, {"B": Run("sum", buy_q), "S": Run("sum", sell_q), "CB": Run("sum", buy_cost)})
+    df = df.withColumns({"B": F.col("B").cast(QTY), "S": F.col("S").cast(QTY), "CB": F.col("CB").cast(MONEY)})
 
-    df = df.select(
-        "*",
-        F.sum(buy_q).over(w_run).cast(QTY).alias("B"),
-        F.sum(sell_q).over(w_run).cast(QTY).alias("S"),
-        F.sum(buy_cost).over(w_run).cast(MONEY).alias("CB"),
-    )
     d = (F.col("B") - F.col("S"))
-    df = df.select(
-        "*",
-        F.min(d).over(w_run).alias("_min_d"),
-        F.min(d).over(w_prev).alias("_min_d_prev"),
-    )
+    df = scan(df, KEY, order, {"_min_d": Run("min", d), "_min_d_prev": Run("min", d, inclusive=False)})
     u = F.greatest(F.lit(0).cast(QTY), -F.col("_min_d"))
     u_prev = F.greatest(F.lit(0).cast(QTY), -F.coalesce(F.col("_min_d_prev"), F.lit(0).cast(QTY)))
-    df = df.select(
-        *[c for c in df.columns if not c.startswith("_")],
-        (F.col("S") - u).cast(QTY).alias("M"),
-        (F.col("S") - F.when(is_buy, zero_q).otherwise(F.col("quantity")) - u_prev)
-        .cast(QTY).alias("M_prev"),
-    )
+    df = df.withColumns({
+        "M": (F.col("S") - u).cast(QTY),
+        "M_prev": (F.col("S") - F.when(is_buy, zero_q).otherwise(F.col("quantity")) - u_prev).cast(QTY),
+    }).drop("_min_d", "_min_d_prev")
 
     # F(x) lookup: buys carry x = B (their lot end), sells x = M.  Ordered by x
     # descending with buys first on ties, the last buy seen is the first lot
     # whose end reaches x.
-    w_x = (Window.partitionBy(*KEY)
-           .orderBy(F.col("_x").desc(), F.col("_kind"), *EVENT_ORDER)
-           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     df = df.withColumns({
         "_x": F.when(is_buy, F.col("B")).otherwise(F.col("M")),
         "_kind": F.when(is_buy, 0).otherwise(1),
     })
-    lot_end = F.last(F.when(is_buy, F.col("B")), ignorenulls=True).over(w_x)
-    lot_cb = F.last(F.when(is_buy, F.col("CB")), ignorenulls=True).over(w_x)
-    lot_px = F.last(F.when(is_buy, F.col("price")), ignorenulls=True).over(w_x)
+    x_order = [(F.col("_x"), False), (F.col("_kind"), True)] + order
+    df = scan(df, KEY, x_order, {
+        "_lot_end": Run("last", F.when(is_buy, F.col("B"))),
+        "_lot_cb": Run("last", F.when(is_buy, F.col("CB"))),
+        "_lot_px": Run("last", F.when(is_buy, F.col("price"))),
+    })
     f_at_m = F.coalesce(
-        (lot_cb - ((lot_end - F.col("M")).cast(QTY) * lot_px).cast(MONEY)).cast(MONEY),
-        F.lit(0).cast(MONEY))
+        (F.col("_lot_cb") - ((F.col("_lot_end") - F.col("M")).cast(QTY) * F.col("_lot_px")).cast(MONEY))
+        .cast(MONEY), F.lit(0).cast(MONEY))
     df = df.withColumn("_F", f_at_m)
 
     # cumulative matched cost is F(M); cost of this sell = F(M) - F(M_prev),
     # and F(M_prev) is F(M) of the previous sell in event order.
-    w_ord = Window.partitionBy(*KEY).orderBy(*EVENT_ORDER)
-    sell_f = F.when(~is_buy, F.col("_F"))
-    prev_f = F.coalesce(
-        F.last(sell_f, ignorenulls=True).over(w_ord.rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0).cast(MONEY))
+    df = scan(df, KEY, order, {
+        "_prev_f": Run("last", F.when(~is_buy, F.col("_F")), inclusive=False),
+        "_pos": Run("sum", F.lit(1)),
+    })
+    prev_f = F.coalesce(F.col("_prev_f"), F.lit(0).cast(MONEY))
 
     matched = F.when(is_buy, zero_q).otherwise((F.col("M") - F.col("M_prev")).cast(QTY))
     out = df.select(
@@ -153,7 +145,7 @@ def fifo_match(legs: DataFrame, partitioned: bool = False) -> DataFrame:
         .alias("unmatched_quantity"),
         F.when(is_buy, F.lit(0).cast(MONEY)).otherwise((F.col("_F") - prev_f).cast(MONEY))
         .alias("cost_basis"),
-        (F.row_number().over(w_ord) == 1).alias("first_in_position"),
+        (F.col("_pos") == 1).alias("first_in_position"),
     )
     out = out.withColumns({
         "matched_proceeds": (F.col("matched_quantity") * F.col("price")).cast(MONEY),
@@ -180,15 +172,12 @@ def sells(fifo: DataFrame) -> DataFrame:
 def open_lots(fifo: DataFrame) -> DataFrame:
     """What is left of each buy lot after all sells of its (wallet, token):
     remaining = the part of the lot range (B - q, B] beyond the final M."""
-    w_all = Window.partitionBy(*KEY)
-    w_run = (Window.partitionBy(*KEY).orderBy(*EVENT_ORDER)
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    df = fifo.select(
-        "*",
-        F.sum(F.when(F.col("side") == BUY, F.col("quantity")).otherwise(F.lit(0).cast(QTY)))
-        .over(w_run).cast(QTY).alias("lot_end"),
-        F.sum("matched_quantity").over(w_all).cast(QTY).alias("final_m"),
-    ).where(F.col("side") == BUY)
+    order = [(F.col(c), True) for c in EVENT_ORDER]
+    buy_q = F.when(F.col("side") == BUY, F.col("quantity")).otherwise(F.lit(0).cast(QTY))
+    df = window_scan(fifo, KEY, order, {"lot_end": Run("sum", buy_q)}).withColumn(
+        "lot_end", F.col("lot_end").cast(QTY))
+    final = fifo.groupBy(*KEY).agg(F.sum("matched_quantity").cast(QTY).alias("final_m"))
+    df = df.where(F.col("side") == BUY).join(final, KEY)
     lot_start = (F.col("lot_end") - F.col("quantity")).cast(QTY)
     remaining = F.least(F.col("quantity"),
                         F.greatest(F.lit(0).cast(QTY), (F.col("lot_end") - F.col("final_m")).cast(QTY)))

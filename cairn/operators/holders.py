@@ -3,25 +3,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cairn.config import HolderBand
+from cairn.functions.scan import Run, cut, ranged_scan, split_hot, window_scan
 
 
-def holder_band(holders: DataFrame, tokens: DataFrame, band: HolderBand | None = None) -> DataFrame:
+def holder_band(holders: DataFrame, tokens: DataFrame, band: HolderBand | None = None,
+                hot_threshold: int | None = None) -> DataFrame:
     """Per token, rank holders by amount desc (address breaks ties),
     skip the top pct (int(holders x pct / 100)) and take the next K, where K
     shrinks to max(1, holders - skip) at the tail; a token without a holder
     count takes its first ``top_holders_limit``.
 
-    ``tokens``: token_address, holder_count. Ranking is a window per token:
-    a token's holders stream through one sorted partition (spills), and the
-    band filter only keeps ranks inside the band."""
+    ``tokens``: token_address, holder_count. Ranking is a running count per
+    token; tokens with more holders than one task should sort take the
+    range-partitioned form (``cairn.functions.scan``)."""
     b = band or HolderBand()
-    w = Window.partitionBy("token_address").orderBy(F.col("ui_amount").desc_nulls_last(),
-                                                    F.col("wallet_address"))
-    ranked = holders.withColumn("holder_rank", F.row_number().over(w))
+    order = [(F.col("ui_amount"), False), (F.col("wallet_address"), True)]
+    runs = {"holder_rank": Run("sum", F.lit(1))}
+    cold, hot = split_hot(holders, ["token_address"], hot_threshold)
+    ranked = window_scan(cold, ["token_address"], order, runs)
+    if hot is not None:   # tokens with very many holders: range-partitioned ranking
+        ranked = ranked.unionByName(ranged_scan(cut(hot), ["token_address"], order, runs))
+    ranked = ranked.withColumn("holder_rank", F.col("holder_rank").cast("int"))
     t = tokens.select("token_address", F.col("holder_count").cast("long").alias("holder_count"))
     j = ranked.join(t, "token_address", "left")
     hc = F.col("holder_count")

@@ -5,13 +5,14 @@ rounded half-up with plain IEEE steps (see ``round_half_up``)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from cairn.config import PnlConfig
 from cairn.functions.expr import MONEY, clip, money_out, round_half_up, safe_div, whole_days
-from cairn.operators.fifo import EVENT_ORDER, KEY, SELL
+from cairn.functions.scan import Run, cut, ranged_scan, window_scan
+from cairn.operators.fifo import EVENT_ORDER, KEY
 
 PNL4 = DecimalType(20, 4)
 SQ8 = DecimalType(38, 6)
@@ -52,39 +53,35 @@ def position_summary(fifo: DataFrame) -> DataFrame:
     )
 
 
-def wallet_metrics(fifo: DataFrame, tx_span: DataFrame, cfg: PnlConfig | None = None) -> DataFrame:
-    """One silver_wallet_pnl record per wallet of ``tx_span``.
-
-    ``fifo`` is the output of ``fifo_match`` (hash-partitioned by wallet);
-    ``tx_span``: wallet_address, first_trade_at, last_trade_at over *all*
-    transactions of the wallet (also ones without a valid leg).
+def wallet_trade_stats(fifo: DataFrame, ranged: bool = False, slices: int | None = None) -> DataFrame:
+    """Per-wallet aggregates of the FIFO output (P7-P16 inputs).
 
     Trade-level statistics that need an order (drawdown: event order; median
-    ROI: value order) are window columns over the same wallet partitioning,
-    so the whole record is one aggregation without another shuffle, and no
-    group is ever held in memory (sorts and windows spill)."""
-    cfg = cfg or PnlConfig()
+    ROI: value order) are scans over the same wallet partitioning, so in the
+    default form the whole record is one aggregation without another shuffle
+    and no group is ever held in memory (sorts and windows spill).
+    ``ranged=True`` computes the same scans range-partitioned for hot wallets."""
+    scan = (lambda d, k, o, r: ranged_scan(cut(d), k, o, r, slices)) if ranged else window_scan
     dec = DecimalType(38, 10)
+    wkey = ["wallet_address"]
+    order = [(F.col(c), True) for c in EVENT_ORDER]
     matched_pnl = F.when(F.col("is_matched"), F.col("pnl")).otherwise(F.lit(0).cast(MONEY))
-    w_time = (Window.partitionBy("wallet_address").orderBy(*EVENT_ORDER)
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    t = fifo.withColumn("_cum", F.sum(matched_pnl).over(w_time).cast(dec))
-    t = t.withColumn("_peak", F.greatest(F.lit(0).cast(dec), F.max("_cum").over(w_time)))
+    t = scan(fifo, wkey, order, {"_cum": Run("sum", matched_pnl)}).withColumn("_cum", F.col("_cum").cast(dec))
+    t = scan(t, wkey, order, {"_runmax": Run("max", F.col("_cum"))})
+    t = t.withColumn("_peak", F.greatest(F.lit(0).cast(dec), F.col("_runmax")))
     # Drawdown at each matched sell once a positive peak exists
     t = t.withColumn("_dd", F.when(
         F.col("is_matched") & (F.col("_peak") > 0),
         (F.col("_peak") - F.col("_cum")).cast("double") / F.col("_peak").cast("double")))
     # P13 exact median of trade ROI: the middle one or two values in ROI order
-    w_roi = Window.partitionBy("wallet_address").orderBy(F.col("trade_roi").asc_nulls_last(),
-                                                         *EVENT_ORDER)
-    t = t.withColumn("_rn", F.row_number().over(w_roi))
-    t = t.withColumn("_n", F.count("trade_roi").over(Window.partitionBy("wallet_address")))
+    roi_order = [(F.col("trade_roi"), True)] + order
+    t = scan(t, wkey, roi_order, {"_rn": Run("sum", F.lit(1)), "_n": Run("total", F.col("trade_roi"))})
     mid = (F.col("trade_roi").isNotNull()
            & ((F.col("_rn") == F.floor((F.col("_n") + 1) / 2))
               | (F.col("_rn") == F.ceil((F.col("_n") + 1) / 2))))
 
     pnl4 = F.col("pnl").cast(PNL4)
-    agg = t.groupBy("wallet_address").agg(
+    return t.groupBy("wallet_address").agg(
         _msum("pnl").alias("pnl"),
         F.count_if("is_matched").alias("matched_trades"),
         F.count_if("is_unmatched").alias("unmatched_trades"),
@@ -104,6 +101,18 @@ def wallet_metrics(fifo: DataFrame, tx_span: DataFrame, cfg: PnlConfig | None =
         F.sum(F.when(F.col("is_matched"), (pnl4 * pnl4).cast(SQ8))).cast(SQ8).alias("s2"),
         F.count_if("first_in_position").alias("tokens_traded_count"),
     )
+
+
+def wallet_metrics(fifo: DataFrame, tx_span: DataFrame, cfg: PnlConfig | None = None,
+                   stats: DataFrame | None = None) -> DataFrame:
+    """One silver_wallet_pnl record per wallet of ``tx_span``.
+
+    ``fifo`` is the output of ``fifo_match``; ``tx_span``: wallet_address,
+    first_trade_at, last_trade_at over *all* transactions of the wallet (also
+    ones without a valid leg). ``stats`` may pass precomputed
+    ``wallet_trade_stats`` (e.g. the union of the normal and hot-wallet forms)."""
+    cfg = cfg or PnlConfig()
+    agg = stats if stats is not None else wallet_trade_stats(fifo)
     w = tx_span.join(agg, "wallet_address", "left")
 
     z = lambda c: F.coalesce(F.col(c), F.lit(0))

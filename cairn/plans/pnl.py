@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from cairn.config import FIFO_METHODS, PnlConfig
 from cairn.operators.fifo import fifo_match, trade_legs
-from cairn.operators.metrics import transaction_span, wallet_metrics
+from cairn.functions.scan import split_hot
+from cairn.operators.metrics import transaction_span, wallet_metrics, wallet_trade_stats
 
 
 def check_method(cfg: PnlConfig) -> None:
@@ -28,21 +29,28 @@ def min_history(transactions: DataFrame, min_transactions: int) -> tuple[DataFra
 
 
 def wallet_pnl_from_legs(legs: DataFrame, transactions: DataFrame,
-                         cfg: PnlConfig | None = None) -> DataFrame:
+                         cfg: PnlConfig | None = None, hot_threshold: int | None = None) -> DataFrame:
     """P2-P19 over already-extracted legs; ``transactions`` supplies the
     wallet set and the first/last trade times (wallet_address, timestamp)."""
     cfg = cfg or PnlConfig()
     check_method(cfg)
     ready, _ = min_history(transactions, cfg.min_transactions)
-    fifo = fifo_match(legs.join(ready.select("wallet_address"), "wallet_address", "left_semi"))
-    return wallet_metrics(fifo, ready.drop("transaction_count"), cfg)
+    legs = legs.join(ready.select("wallet_address"), "wallet_address", "left_semi")
+    # hot wallets (more legs than one task should scan) take the range-
+    # partitioned form of the same scans; everything else keeps the single
+    # hash shuffle by wallet
+    cold, hot = split_hot(legs, ["wallet_address"], hot_threshold)
+    stats = wallet_trade_stats(fifo_match(cold))
+    if hot is not None:
+        stats = stats.unionByName(wallet_trade_stats(fifo_match(hot, ranged=True), ranged=True))
+    return wallet_metrics(None, ready.drop("transaction_count"), cfg, stats=stats)
 
 
 def wallet_pnl(transactions: DataFrame, ready_wallets: DataFrame | None = None,
-               cfg: PnlConfig | None = None) -> DataFrame:
+               cfg: PnlConfig | None = None, hot_threshold: int | None = None) -> DataFrame:
     """The full silver job on bronze transactions (J7: one semi join instead
     of a lookup per wallet)."""
     if ready_wallets is not None:
         transactions = transactions.join(ready_wallets.select("wallet_address"),
                                          "wallet_address", "left_semi")
-    return wallet_pnl_from_legs(trade_legs(transactions), transactions, cfg)
+    return wallet_pnl_from_legs(trade_legs(transactions), transactions, cfg, hot_threshold)

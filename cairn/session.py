@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app: str = "cairn", driver_memory: str | None = None) -> SparkSession:
+                  app: str = "cairn", driver_memory: str | None = "8g") -> SparkSession:
     """Local/test session. On a cluster, use the session the platform gives you:
     the library never depends on anything set here except UTC as session zone."""
     cpus = int(os.environ.get("BENCH_CPUS", "8"))

@@ -51,3 +51,13 @@ def test_versioned_store(spark):
     partitioned_write(df.withColumn("processing_date", F.lit("2024-01-01")), f"{root}/p")
     assert spark.read.parquet(f"{root}/p").count() == 2
     assert [r.column_name for r in table_schema(df).collect()] == ["k", "v"]
+
+
+def test_holder_band_hot_tokens_same(spark):
+    rows = [(f"t{i % 3}", f"w{i:04d}", float(i % 50)) for i in range(600)]
+    h = spark.createDataFrame(rows, "token_address string, wallet_address string, ui_amount double")
+    toks = spark.createDataFrame([("t0", 200), ("t1", None), ("t2", 150)], "token_address string, holder_count long")
+    b = HolderBand(10.0, 50, 30)
+    a = sorted(map(tuple, holder_band(h, toks, b, hot_threshold=10 ** 9).collect()))
+    c = sorted(map(tuple, holder_band(h, toks, b, hot_threshold=10).collect()))
+    assert a == c and len(a) > 0
