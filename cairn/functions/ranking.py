@@ -19,12 +19,21 @@ def _col(c) -> Column:
 
 
 def row_numbers(df: DataFrame, order: list, outputs: dict[str, list[str]],
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, known_rows: int | None = None,
+                single_task_rows: int = 1_000_000) -> DataFrame:
     """Add one column per ``outputs`` item: name -> grouping columns ([] =
     global). All share ``order``, which must be total (end it with a key);
     rows of a group are numbered 1..n in that order. One range shuffle serves
-    every output. Groupings must have few distinct values (tiers, flags)."""
+    every output. Groupings must have few distinct values (tiers, flags).
+
+    When the caller has counted the input (``known_rows``) and it is at most
+    ``single_task_rows``, plain windows are used: the size check bounds what
+    one task sorts, and the range sampling jobs are skipped."""
     order_cols = [_col(c) for c in order]
+    if known_rows is not None and known_rows <= single_task_rows:
+        return df.withColumns({
+            name: F.row_number().over(Window.partitionBy(*part).orderBy(*order_cols)).cast("long")
+            for name, part in outputs.items()})
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *order_cols).withColumn("_slice", F.spark_partition_id())
     out = ranged
@@ -45,7 +54,7 @@ def row_numbers(df: DataFrame, order: list, outputs: dict[str, list[str]],
 
 def row_number_ordered(df: DataFrame, order: list, name: str = "row_number",
                        partition_by: list[str] | None = None, few_groups: bool = True,
-                       num_partitions: int | None = None) -> DataFrame:
+                       num_partitions: int | None = None, known_rows: int | None = None) -> DataFrame:
     """Single-output form of :func:`row_numbers`. With many groups
     (``few_groups=False``) a plain partitioned window is already spread over
     tasks and is used instead."""
@@ -53,4 +62,4 @@ def row_number_ordered(df: DataFrame, order: list, name: str = "row_number",
     if part and not few_groups:
         return df.withColumn(name, F.row_number().over(
             Window.partitionBy(*part).orderBy(*[_col(c) for c in order])))
-    return row_numbers(df, order, {name: part}, num_partitions)
+    return row_numbers(df, order, {name: part}, num_partitions, known_rows)

@@ -143,6 +143,7 @@ def rank_traders(pnl: DataFrame, now: Column, cfg: RankConfig | None = None,
     # it first); keep it so the upstream PnL job runs once. Lost blocks are
     # recomputed from lineage, so this survives executor loss.
     src = src.persist(StorageLevel.MEMORY_AND_DISK)
+    n = src.count()   # size check: small eligible sets rank in one task each
     tier = performance_tier(cfg)
     days_first = F.when(F.col("first_trade_at").isNotNull(),
                         whole_days(F.col("first_trade_at"), now)).otherwise(F.lit(0))
@@ -165,9 +166,9 @@ def rank_traders(pnl: DataFrame, now: Column, cfg: RankConfig | None = None,
         *criteria_met(t, cfg), *score_breakdown(),
     )
     # G6 + G7 (as coded: overall order inside the tier) share one range shuffle
-    df = row_numbers(df, g1_order(), {"overall_rank": [], "tier_rank": ["performance_tier"]})
+    df = row_numbers(df, g1_order(), {"overall_rank": [], "tier_rank": ["performance_tier"]}, known_rows=n)
     df = row_number_ordered(df, [F.col("tier_score").desc(), F.col("overall_rank")],
-                            "tier_rank_by_score", partition_by=["performance_tier"])
+                            "tier_rank_by_score", partition_by=["performance_tier"], known_rows=n)
     # Record with null -> 0 metrics and a notes line
     metrics = ["coverage_ratio_percent", "total_roi_percent", "avg_roi_percent", "median_roi_percent",
                "total_realized_pnl_usd", "win_rate_percent", "sharpe_ratio", "max_drawdown_percent",
