@@ -42,30 +42,32 @@ def holder_band(holders: DataFrame, tokens: DataFrame, band: HolderBand | None =
 
 
 def holder_rollup(holders: DataFrame) -> DataFrame:
-    """A1: unprocessed holder rows per wallet: count, token and symbol lists
-    (sorted), total ui amount. A wallet has at most one row per token, so the
-    lists are bounded by the number of tokens."""
+    """A1: unprocessed holder rows per wallet: token count and total ui
+    amount (partial aggregates). The token and symbol lists of the reference
+    are the rows of :func:`holder_rollup_tokens`; :func:`nest` builds the
+    array form when a consumer needs it."""
     u = holders.where(F.col("silver_processed") == F.lit(False))
     return u.groupBy("wallet_address").agg(
         F.count("token_address").alias("tokens_held_count"),
-        F.sort_array(F.collect_list("token_address")).alias("token_addresses"),
-        F.sort_array(F.collect_list("token_symbol")).alias("token_symbols"),
         F.sum("ui_amount").alias("total_tokens_held"),
     )
 
 
+def holder_rollup_tokens(holders: DataFrame) -> DataFrame:
+    """A1 lists as rows: (wallet, token, symbol) of the unprocessed rows."""
+    return holders.where(F.col("silver_processed") == F.lit(False)).select(
+        "wallet_address", "token_address", "token_symbol")
+
+
 def holder_record(holders: DataFrame, now=None) -> DataFrame:
-    """A2 (+J8): silver_whales rows for the wallets of A1. Totals and the
-    source-token list cover *all* rows of the wallet while the count comes
-    from A1 (unprocessed rows only), as in the reference."""
+    """A2 (+J8): silver_whales rows for the wallets of A1. Totals cover *all*
+    rows of the wallet while the count comes from A1 (unprocessed rows only),
+    as in the reference. The source-token list is :func:`holder_source_tokens`."""
     roll = holder_rollup(holders).select("wallet_address", "tokens_held_count")
     all_rows = holders.join(roll.select("wallet_address"), "wallet_address", "left_semi")
-    item = F.struct(F.col("token_address"), F.col("token_symbol"),
-                    F.coalesce("ui_amount", F.lit(0.0)).alias("ui_amount"),
-                    F.coalesce(F.col("rank").cast("long"), F.lit(0)).alias("rank"))
     detail = all_rows.groupBy("wallet_address").agg(
         F.sum(F.coalesce("ui_amount", F.lit(0.0))).alias("total_value_held"),
-        F.sort_array(F.collect_list(item)).alias("source_tokens"))
+        F.count(F.lit(1)).alias("source_token_count"))
     out = roll.join(detail, "wallet_address")
     extra = {"transactions_processed": F.lit(False), "pnl_processed": F.lit(False)}
     if now is not None:
@@ -73,6 +75,24 @@ def holder_record(holders: DataFrame, now=None) -> DataFrame:
     return out.withColumns(extra)
 
 
+def holder_source_tokens(holders: DataFrame) -> DataFrame:
+    """A2 source-token entries as rows: {token, symbol, ui_amount, rank} of
+    every row of the A1 wallets (null amount -> 0, null rank -> 0)."""
+    roll = holder_rollup(holders).select("wallet_address")
+    return holders.join(roll, "wallet_address", "left_semi").select(
+        "wallet_address", "token_address", "token_symbol",
+        F.coalesce("ui_amount", F.lit(0.0)).alias("ui_amount"),
+        F.coalesce(F.col("rank").cast("long"), F.lit(0)).alias("rank"))
+
+
+def nest(rows: DataFrame, key: str, item_cols: list[str], name: str) -> DataFrame:
+    """Array-of-struct form of child rows, sorted, one row per key (the
+    reference's JSON list columns). The list of one key holds one entry per
+    child row, so only use it where the children per key are few (e.g.
+    tokens of an ordinary wallet); the row form is the scalable one."""
+    return rows.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(*item_cols))).alias(name))
+
+
 def holder_filters(whales: DataFrame, min_tokens_held: int = 1, min_total_value: float = 0.0,
                    excluded: tuple = (), max_whales: int | None = None) -> DataFrame:
     """D2 (declared, never applied by the reference): minimum tokens and

@@ -221,13 +221,12 @@ def transaction_span(transactions: DataFrame) -> DataFrame:
 
 
 def tokens_analyzed(positions: DataFrame) -> DataFrame:
-    """Nested per-wallet token list of the PnL record (P19), sorted by address."""
-    listed = positions.where("is_listed")
-    item = F.struct(
-        F.col("token_address").alias("address"), F.col("token_symbol").alias("symbol"),
-        "realized_pnl", "matched_trades", "unmatched_trades", "purchase_volume",
-        "matched_sale_volume", "unmatched_sale_volume", "matched_cost_basis",
-        "roi_percent", "avg_trade_roi")
-    return listed.groupBy("wallet_address").agg(
-        F.count(F.lit(1)).alias("count"),
-        F.sort_array(F.collect_list(item)).alias("tokens"))
+    """Nested per-wallet token list of the PnL record (P19), sorted by
+    address. One entry per traded token of the wallet; the scalable form is
+    ``position_summary`` itself (one row per position)."""
+    from cairn.operators.holders import nest
+    listed = positions.where("is_listed").withColumnsRenamed({"token_address": "address", "token_symbol": "symbol"})
+    return nest(listed, "wallet_address",
+                ["address", "symbol", "realized_pnl", "matched_trades", "unmatched_trades", "purchase_volume",
+                 "matched_sale_volume", "unmatched_sale_volume", "matched_cost_basis", "roi_percent",
+                 "avg_trade_roi"], "tokens")

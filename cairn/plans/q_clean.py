@@ -212,14 +212,16 @@ def q_holder_band(spark, sf_dir):
 
 @register("holder_rollup", W(fx.HOLDERS_FX_SQL) + """
 SELECT wallet_address, CAST(COUNT(token_address) AS BIGINT) AS tokens_held_count,
-       array_to_string(list_sort(list(token_address)), ',') AS token_addresses,
-       array_to_string(list_sort(list(token_symbol)), ',') AS token_symbols,
        SUM(ui_amount) AS total_tokens_held
 FROM holders_fx WHERE silver_processed = false GROUP BY wallet_address""")
 def q_holder_rollup(spark, sf_dir):
-    r = holders.holder_rollup(fx.holders_fx(spark, sf_dir))
-    return r.withColumns({"token_addresses": F.concat_ws(",", "token_addresses"),
-                          "token_symbols": F.concat_ws(",", "token_symbols")})
+    return holders.holder_rollup(fx.holders_fx(spark, sf_dir))
+
+
+@register("holder_rollup_tokens", W(fx.HOLDERS_FX_SQL) + """
+SELECT wallet_address, token_address, token_symbol FROM holders_fx WHERE silver_processed = false""")
+def q_holder_rollup_tokens(spark, sf_dir):
+    return holders.holder_rollup_tokens(fx.holders_fx(spark, sf_dir))
 
 
 @register("holder_record", W(fx.HOLDERS_FX_SQL) + """,
@@ -228,15 +230,19 @@ roll AS (SELECT wallet_address, COUNT(token_address) AS tokens_held_count FROM h
 SELECT r.wallet_address, CAST(r.tokens_held_count AS BIGINT) AS tokens_held_count,
        SUM(COALESCE(h.ui_amount, 0.0)) AS total_value_held,
        CAST(COUNT(*) AS BIGINT) AS source_token_count,
-       array_to_string(list_sort(list(h.token_address)), ',') AS source_token_addresses
+       false AS transactions_processed, false AS pnl_processed
 FROM roll r JOIN holders_fx h USING (wallet_address)
 GROUP BY r.wallet_address, r.tokens_held_count""")
 def q_holder_record(spark, sf_dir):
-    r = holders.holder_record(fx.holders_fx(spark, sf_dir))
-    return r.select("wallet_address", "tokens_held_count", "total_value_held",
-                    F.size("source_tokens").cast("long").alias("source_token_count"),
-                    F.concat_ws(",", F.transform("source_tokens", lambda x: x["token_address"]))
-                    .alias("source_token_addresses"))
+    return holders.holder_record(fx.holders_fx(spark, sf_dir))
+
+
+@register("holder_source_tokens", W(fx.HOLDERS_FX_SQL) + """
+SELECT wallet_address, token_address, token_symbol, COALESCE(ui_amount, 0.0) AS ui_amount,
+       CAST(COALESCE(rank, 0) AS BIGINT) AS rank
+FROM holders_fx WHERE wallet_address IN (SELECT wallet_address FROM holders_fx WHERE silver_processed = false)""")
+def q_holder_source_tokens(spark, sf_dir):
+    return holders.holder_source_tokens(fx.holders_fx(spark, sf_dir))
 
 
 @register("holder_filters", W(fx.HOLDERS_FX_SQL) + """,

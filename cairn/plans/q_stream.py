@@ -44,18 +44,19 @@ def q_activity_windows(spark, sf_dir):
 def q_ingest_stream(spark, sf_dir):
     """T1/T2/T7 end to end: payload lines of every pushed event (duplicates
     included) land as files under the session's checkpoint folder, a file
-    stream merges them micro-batch by micro-batch, and the merged table is
-    returned: one row per distinct payload."""
+    stream writes them micro-batch by micro-batch, the epochs are compacted
+    into a table and returned: one row per distinct payload."""
     from cairn.plans.q_sources import event_payloads
     from cairn.session import ensure_checkpoint_dir
     from cairn.sources.store import TableStore
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cairn-stream-{uuid.uuid4().hex}"
     lines = event_payloads(spark, sf_dir).select(F.col("raw_payload").alias("value"))
     lines.repartition(16).write.text(f"{base}/landing")
-    store = TableStore(spark, f"{base}/tables")
-    q = ingest.start_ingest(spark, f"{base}/landing", store, f"{base}/checkpoint",
+    q = ingest.start_ingest(spark, f"{base}/landing", f"{base}/events", f"{base}/checkpoint",
                             trigger={"availableNow": True}, max_files=4)
     q.awaitTermination()
+    store = TableStore(spark, f"{base}/tables")
+    ingest.compact(spark, f"{base}/events", store)
     return store.read(ingest.EVENT_TABLE).select(
         "webhook_id", "transaction_signature", "webhook_type", "account_address", "token_address",
         "raw_payload", "processing_status")

@@ -1,11 +1,14 @@
 """Structured Streaming ingest of pushed events.
 
 Pushed payloads land as JSON-lines files; a file stream (at most 500 files
-per micro-batch) extracts the event fields (S5), keys each event by a hash of
-its payload, and merges every micro-batch into a versioned table with the
-keyed upsert (S7). ``foreachBatch`` is at-least-once; with content-derived
-keys the upsert is idempotent, so a replayed batch leaves the same table.
-The checkpointed source keeps a backlog instead of expiring files (T3)."""
+per micro-batch) extracts the event fields (S5) and keys each event by a hash
+of its payload. Each micro-batch is written to its own directory named by the
+epoch id, so the cost per batch is the batch, never the table, and a replayed
+epoch (``foreachBatch`` is at-least-once) overwrites exactly what it wrote.
+Readers see the merged table: last ingest wins per id (T2), a partial
+aggregation; ``compact`` folds the epochs into a versioned table (S7) as
+periodic maintenance. The checkpointed source keeps a backlog instead of
+expiring files (T3)."""
 
 from __future__ import annotations
 
@@ -45,24 +48,35 @@ def read_landing(spark: SparkSession, landing_dir: str, max_files: int = 500,
     return r.load(landing_dir)
 
 
-def upsert_batch(store: TableStore, table: str = EVENT_TABLE):
-    """foreachBatch sink: last-wins merge on webhook_id (T2: a repeated id
-    replaces payload and ingest time)."""
+def write_epoch(events_root: str):
+    """foreachBatch sink: idempotent per epoch (the directory name is the
+    epoch id; a replay overwrites it)."""
     def run(batch: DataFrame, epoch_id: int) -> None:
-        if store.exists(table):
-            store.upsert(table, batch, ["webhook_id"])
-        else:
-            from cairn.operators.incremental import dedupe_source
-            store.write(table, dedupe_source(batch, ["webhook_id"], ["ingested_at"]))
+        batch.withColumn("epoch", F.lit(epoch_id).cast("long")).write.mode("overwrite") \
+            .parquet(f"{events_root.rstrip('/')}/epoch={epoch_id}")
     return run
 
 
-def start_ingest(spark: SparkSession, landing_dir: str, store: TableStore, checkpoint: str,
+def read_events(spark: SparkSession, events_root: str) -> DataFrame:
+    """The merged event table: one row per webhook_id, the last ingest wins
+    (ties: the later epoch). ``max_by`` pre-aggregates per task, so a
+    repeated id never becomes a large group."""
+    from cairn.operators.incremental import dedupe_source
+    raw = spark.read.parquet(events_root)
+    return dedupe_source(raw, ["webhook_id"], ["ingested_at", "epoch"]).drop("epoch")
+
+
+def compact(spark: SparkSession, events_root: str, store: TableStore, table: str = EVENT_TABLE) -> int:
+    """Fold all epochs into the next version of a store table."""
+    return store.write(table, read_events(spark, events_root))
+
+
+def start_ingest(spark: SparkSession, landing_dir: str, events_root: str, checkpoint: str,
                  trigger: dict | None = None, max_files: int = 500):
-    """Landing files -> parsed events -> upsert per micro-batch.
+    """Landing files -> parsed events -> one directory per micro-batch.
     ``trigger`` defaults to every 10 seconds; tests use availableNow."""
     events = parse_events(read_landing(spark, landing_dir, max_files))
-    w = events.writeStream.foreachBatch(upsert_batch(store)).option("checkpointLocation", checkpoint)
+    w = events.writeStream.foreachBatch(write_epoch(events_root)).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"processingTime": "10 seconds"})).start()
 
 
