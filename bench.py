@@ -28,7 +28,8 @@ def main() -> None:
     from cairn.plans.registry import QUERIES, _load_all
     from cairn.session import build_session
     _load_all()
-    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=cpus, driver_memory="16g")
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(cpus)))
+    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=parts, driver_memory="16g")
     times = {}
     for name in names:
         fn = QUERIES[name]
@@ -44,7 +45,8 @@ def main() -> None:
     print(json.dumps({
         "metric": "sum_of_median_query_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
         "queries": times, "sf": sf, "cpus": cpus, "runs": runs,
-        "settings": {"spark.sql.shuffle.partitions": cpus, "spark.sql.adaptive.enabled": True},
+        "settings": {"spark.sql.shuffle.partitions": parts, "spark.sql.adaptive.enabled": True,
+                     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k"},
     }))
 
 

@@ -35,6 +35,7 @@ class Run:
     fn: str
     expr: Column
     inclusive: bool = True
+    cast: object = None          # optional result type
 
 
 Order = list[tuple[Column, bool]]  # (expression, ascending); nulls sort last
@@ -64,9 +65,10 @@ def window_scan(df: DataFrame, key: list[str], order: Order, runs: dict[str, Run
     cols = {}
     for name, run in runs.items():
         if run.fn == "total":
-            cols[name] = F.count(run.expr).over(whole)
+            c = F.count(run.expr).over(whole)
         else:
-            cols[name] = _window_fn(run).over(inc if run.inclusive else exc)
+            c = _window_fn(run).over(inc if run.inclusive else exc)
+        cols[name] = c.cast(run.cast) if run.cast is not None else c
     return df.withColumns(cols)
 
 
@@ -76,7 +78,8 @@ def ranged_scan(df: DataFrame, key: list[str], order: Order, runs: dict[str, Run
     r = (df.repartitionByRange(n, *[F.col(k) for k in key], *_sort(order))
          .withColumn("_slice", F.spark_partition_id()))
     lkey = ["_slice", *key]
-    local = window_scan(r, lkey, order, {f"_loc_{k}": v for k, v in runs.items() if v.fn != "total"})
+    local = window_scan(r, lkey, order, {f"_loc_{k}": Run(v.fn, v.expr, v.inclusive)
+                                         for k, v in runs.items() if v.fn != "total"})
     # ascending struct that sorts like ``order`` (desc only on numeric columns)
     okey = F.struct(*[(c if asc else -c) for c, asc in order])
     aggs = []
@@ -118,6 +121,8 @@ def ranged_scan(df: DataFrame, key: list[str], order: Order, runs: dict[str, Run
             out[name] = F.coalesce(loc, car)
         else:
             out[name] = car
+        if run.cast is not None:
+            out[name] = out[name].cast(run.cast)
     drop = [c for c in j.columns if c.startswith(("_loc_", "_car_"))] + ["_slice"]
     return j.withColumns(out).drop(*drop)
 

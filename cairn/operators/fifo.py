@@ -95,23 +95,21 @@ def fifo_match(legs: DataFrame, partitioned: bool = False, ranged: bool = False,
     buy_q = F.when(is_buy, F.col("quantity")).otherwise(zero_q)
     sell_q = F.when(~is_buy, F.col("quantity")).otherwise(zero_q)
     buy_cost = F.when(is_buy, (F.col("quantity") * F.col("price")).cast(MONEY))
-    df = scan(df, KEY, order, {"B": Run("sum", buy_q), "S": Run("sum", sell_q), "CB": Run("sum", buy_cost)})
-    df = df.withColumns({"B": F.col("B").cast(QTY), "S": F.col("S").cast(QTY), "CB": F.col("CB").cast(MONEY)})
+    df = scan(df, KEY, order, {"B": Run("sum", buy_q, cast=QTY), "S": Run("sum", sell_q, cast=QTY),
+                               "CB": Run("sum", buy_cost, cast=MONEY)})
 
     d = (F.col("B") - F.col("S"))
     df = scan(df, KEY, order, {"_min_d": Run("min", d), "_min_d_prev": Run("min", d, inclusive=False)})
     u = F.greatest(F.lit(0).cast(QTY), -F.col("_min_d"))
     u_prev = F.greatest(F.lit(0).cast(QTY), -F.coalesce(F.col("_min_d_prev"), F.lit(0).cast(QTY)))
-    df = df.withColumns({
-        "M": (F.col("S") - u).cast(QTY),
-        "M_prev": (F.col("S") - F.when(is_buy, zero_q).otherwise(F.col("quantity")) - u_prev).cast(QTY),
-    }).drop("_min_d", "_min_d_prev")
-
+    m = (F.col("S") - u).cast(QTY)
     # F(x) lookup: buys carry x = B (their lot end), sells x = M.  Ordered by x
     # descending with buys first on ties, the last buy seen is the first lot
     # whose end reaches x.
     df = df.withColumns({
-        "_x": F.when(is_buy, F.col("B")).otherwise(F.col("M")),
+        "M": m,
+        "M_prev": (F.col("S") - F.when(is_buy, zero_q).otherwise(F.col("quantity")) - u_prev).cast(QTY),
+        "_x": F.when(is_buy, F.col("B")).otherwise(m),
         "_kind": F.when(is_buy, 0).otherwise(1),
     })
     x_order = [(F.col("_x"), False), (F.col("_kind"), True)] + order
@@ -123,46 +121,41 @@ def fifo_match(legs: DataFrame, partitioned: bool = False, ranged: bool = False,
     f_at_m = F.coalesce(
         (F.col("_lot_cb") - ((F.col("_lot_end") - F.col("M")).cast(QTY) * F.col("_lot_px")).cast(MONEY))
         .cast(MONEY), F.lit(0).cast(MONEY))
-    df = df.withColumn("_F", f_at_m)
 
     # cumulative matched cost is F(M); cost of this sell = F(M) - F(M_prev),
     # and F(M_prev) is F(M) of the previous sell in event order.
     df = scan(df, KEY, order, {
-        "_prev_f": Run("last", F.when(~is_buy, F.col("_F")), inclusive=False),
+        "_prev_f": Run("last", F.when(~is_buy, f_at_m), inclusive=False),
         "_pos": Run("sum", F.lit(1)),
     })
     prev_f = F.coalesce(F.col("_prev_f"), F.lit(0).cast(MONEY))
-
     matched = F.when(is_buy, zero_q).otherwise((F.col("M") - F.col("M_prev")).cast(QTY))
-    out = df.select(
+    unmatched = F.when(is_buy, zero_q).otherwise((F.col("quantity") - matched).cast(QTY))
+    cost = F.when(is_buy, F.lit(0).cast(MONEY)).otherwise((f_at_m - prev_f).cast(MONEY))
+    proceeds = (matched * F.col("price")).cast(MONEY)
+    pnl = (proceeds - cost).cast(MONEY)
+    is_matched = matched > 0
+    return df.select(
         *KEY, "token_symbol", *EVENT_ORDER, "side", "quantity", "price",
         F.when(is_buy, (F.col("quantity") * F.col("price")).cast(MONEY))
         .otherwise(F.lit(0).cast(MONEY)).alias("purchase_value"),
         F.when(is_buy, F.lit(0).cast(MONEY))
         .otherwise((F.col("quantity") * F.col("price")).cast(MONEY)).alias("sale_value"),
         matched.alias("matched_quantity"),
-        F.when(is_buy, zero_q).otherwise((F.col("quantity") - matched).cast(QTY))
-        .alias("unmatched_quantity"),
-        F.when(is_buy, F.lit(0).cast(MONEY)).otherwise((F.col("_F") - prev_f).cast(MONEY))
-        .alias("cost_basis"),
+        unmatched.alias("unmatched_quantity"),
+        cost.alias("cost_basis"),
         (F.col("_pos") == 1).alias("first_in_position"),
-    )
-    out = out.withColumns({
-        "matched_proceeds": (F.col("matched_quantity") * F.col("price")).cast(MONEY),
-        "unmatched_proceeds": (F.col("unmatched_quantity") * F.col("price")).cast(MONEY),
-    })
-    out = out.withColumn("pnl", (F.col("matched_proceeds") - F.col("cost_basis")).cast(MONEY))
-    is_matched = F.col("matched_quantity") > 0
-    return out.withColumns({
-        "is_matched": is_matched,
-        "is_unmatched": F.col("unmatched_quantity") > 0,
+        proceeds.alias("matched_proceeds"),
+        (unmatched * F.col("price")).cast(MONEY).alias("unmatched_proceeds"),
+        pnl.alias("pnl"),
+        is_matched.alias("is_matched"),
+        (unmatched > 0).alias("is_unmatched"),
         # Per-trade ROI when the matched cost is positive
-        "trade_roi": F.when(is_matched & (F.col("cost_basis") > 0),
-                            F.col("pnl").cast("double") / F.col("cost_basis").cast("double") * 100),
+        F.when(is_matched & (cost > 0), pnl.cast("double") / cost.cast("double") * 100).alias("trade_roi"),
         # >= 50 profit is a win, <= -50 a loss, anything between is neutral
-        "is_win": is_matched & (F.col("pnl") >= 50),
-        "is_loss": is_matched & (F.col("pnl") <= -50),
-    })
+        (is_matched & (pnl >= 50)).alias("is_win"),
+        (is_matched & (pnl <= -50)).alias("is_loss"),
+    )
 
 
 def sells(fifo: DataFrame) -> DataFrame:

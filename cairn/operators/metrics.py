@@ -66,13 +66,12 @@ def wallet_trade_stats(fifo: DataFrame, ranged: bool = False, slices: int | None
     wkey = ["wallet_address"]
     order = [(F.col(c), True) for c in EVENT_ORDER]
     matched_pnl = F.when(F.col("is_matched"), F.col("pnl")).otherwise(F.lit(0).cast(MONEY))
-    t = scan(fifo, wkey, order, {"_cum": Run("sum", matched_pnl)}).withColumn("_cum", F.col("_cum").cast(dec))
+    t = scan(fifo, wkey, order, {"_cum": Run("sum", matched_pnl, cast=dec)})
     t = scan(t, wkey, order, {"_runmax": Run("max", F.col("_cum"))})
-    t = t.withColumn("_peak", F.greatest(F.lit(0).cast(dec), F.col("_runmax")))
+    peak = F.greatest(F.lit(0).cast(dec), F.col("_runmax"))
     # Drawdown at each matched sell once a positive peak exists
-    t = t.withColumn("_dd", F.when(
-        F.col("is_matched") & (F.col("_peak") > 0),
-        (F.col("_peak") - F.col("_cum")).cast("double") / F.col("_peak").cast("double")))
+    dd = F.when(F.col("is_matched") & (peak > 0),
+                (peak - F.col("_cum")).cast("double") / peak.cast("double"))
     # P13 exact median of trade ROI: the middle one or two values in ROI order
     roi_order = [(F.col("trade_roi"), True)] + order
     t = scan(t, wkey, roi_order, {"_rn": Run("sum", F.lit(1)), "_n": Run("total", F.col("trade_roi"))})
@@ -96,7 +95,7 @@ def wallet_trade_stats(fifo: DataFrame, ranged: bool = False, slices: int | None
         _msum("cost_basis").alias("cost_basis"),
         F.avg("trade_roi").alias("avg_roi"),
         F.avg(F.when(mid, F.col("trade_roi"))).alias("median_roi"),
-        F.max("_dd").alias("max_dd"),
+        F.max(dd).alias("max_dd"),
         F.sum(F.when(F.col("is_matched"), pnl4)).cast(DecimalType(38, 4)).alias("s1"),
         F.sum(F.when(F.col("is_matched"), (pnl4 * pnl4).cast(SQ8))).cast(SQ8).alias("s2"),
         F.count_if("first_in_position").alias("tokens_traded_count"),
