@@ -125,11 +125,18 @@ def performance_history(snapshots: DataFrame, retention_days: int | None = 90,
     return out
 
 
-def top_tokens(positions: DataFrame, n: int = 5) -> DataFrame:
-    """A trader's best ``n`` tokens by realized pnl (n = 5: ours). The
-    window is per wallet, whose group is bounded by the tokens it traded."""
-    w = Window.partitionBy("wallet_address").orderBy(F.col("realized_pnl").desc(), F.col("token_address"))
-    return positions.withColumn("token_rank", F.row_number().over(w)).where(F.col("token_rank") <= n)
+def top_tokens(positions: DataFrame, n: int = 5, hot_threshold: int | None = None) -> DataFrame:
+    """A trader's best ``n`` tokens by realized pnl (n = 5: ours): a
+    running count per wallet in pnl order; wallets with very many positions
+    take the range-partitioned form."""
+    from cairn.functions.scan import Run, cut, ranged_scan, split_hot, window_scan
+    order = [(F.col("realized_pnl"), False), (F.col("token_address"), True)]
+    runs = {"token_rank": Run("sum", F.lit(1), cast="int")}
+    cold, hot = split_hot(positions, ["wallet_address"], hot_threshold)
+    ranked = window_scan(cold, ["wallet_address"], order, runs)
+    if hot is not None:
+        ranked = ranked.unionByName(ranged_scan(cut(hot), ["wallet_address"], order, runs))
+    return ranked.where(F.col("token_rank") <= n)
 
 
 def volatility_score(fifo: DataFrame, digits: int = 4) -> DataFrame:

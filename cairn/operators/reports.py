@@ -10,16 +10,35 @@ from cairn.functions.expr import round_half_up
 
 
 def percentiles(df: DataFrame, columns: dict[str, str], qs=(0.95, 0.80, 0.60), digits: int = 4) -> DataFrame:
-    """Exact linear-interpolated quantiles (``percentile``), one row.
-    Output columns <label>_p<q*100>."""
-    aggs = []
+    """Exact linear-interpolated quantiles, one row with columns
+    <label>_p<q*100>. Distributed: the values are ranked with a range
+    partitioning (no single task holds them all, unlike ``percentile``),
+    n is a scalar subquery, and only the ranks floor/ceil((n-1)q)+1 are read."""
+    from pyspark import StorageLevel
+
+    from cairn.functions.ranking import row_numbers
+    # several jobs read the input (counts, range sampling, ranks): keep it
+    # once; lost blocks are recomputed from lineage
+    df = df.select(*columns.values()).persist(StorageLevel.MEMORY_AND_DISK)
+    parts = []
     for label, c in columns.items():
-        p = F.percentile(F.col(c).cast("double"), F.array(*[F.lit(q) for q in qs]))
-        aggs.append(p.alias(f"_{label}"))
-    out = df.agg(*aggs)
-    return out.select(*[
-        round_half_up(F.col(f"_{label}")[i], digits).alias(f"{label}_p{int(round(q * 100))}")
-        for label in columns for i, q in enumerate(qs)])
+        v = df.select(F.col(c).cast("double").alias("v")).where(F.col("v").isNotNull())
+        n = v.select(F.count(F.lit(1))).scalar()
+        ranked = row_numbers(v, [F.col("v")], {"_r": []})
+        aggs = []
+        for q in qs:
+            h = (n - 1) * F.lit(q)
+            lo, hi = F.floor(h) + 1, F.ceil(h) + 1
+            vlo = F.max(F.when(F.col("_r") == lo, F.col("v")))
+            vhi = F.max(F.when(F.col("_r") == hi, F.col("v")))
+            aggs.append(round_half_up(vlo + (vhi - vlo) * (h - F.floor(h)), digits)
+                        .alias(f"{label}_p{int(round(q * 100))}"))
+        parts.append(ranked.agg(*aggs))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    # one row per column label -> one row (max ignores the nulls of the others)
+    return out.agg(*[F.max(c).alias(c) for c in out.columns])
 
 
 def status_counts(df: DataFrame, key: list[str] | str, flags: list[str] = (),
