@@ -72,12 +72,15 @@ class TableStore:
         return v
 
     def append(self, name: str, df: DataFrame) -> int:
-        """All-or-nothing append: the new version is old rows + new rows
-        (the Spark job commit makes it visible at once)."""
-        if not self.exists(name):
+        """All-or-nothing append of new files into the current version
+        (the job commit publishes them together); the cost is the batch, not
+        the table. Columns follow the table's schema."""
+        v = self.current_version(name)
+        if v is None:
             return self.write(name, df)
-        old = self.read(name)
-        return self.write(name, old.unionByName(df, allowMissingColumns=True))
+        cols = self.read(name).columns
+        df.select(*cols).write.mode("append").parquet(self.path(name, v))
+        return v
 
     def upsert(self, name: str, source: DataFrame, keys: list[str], update_cols: list[str] | None = None,
                defaults: dict | None = None) -> int:
