@@ -11,8 +11,10 @@ from pyspark.sql.types import DecimalType
 # that differences of prefix sums are exact (no false unmatched residue).
 # Scales are chosen so that Spark never has to drop scale in + and -:
 # (28,9) - (28,9) -> (29,9); products are cast back to MONEY right away.
+# Prices keep 16 decimals (sub-cent tokens trade far below 1e-9 USD);
+# quantity x price comes out at scale 10, the money scale.
 QTY = DecimalType(28, 9)
-PRICE = DecimalType(20, 12)
+PRICE = DecimalType(24, 16)
 MONEY = DecimalType(30, 10)
 
 

@@ -161,3 +161,18 @@ def test_ranged_form_equals_window_form(spark):
     normal = sorted(map(tuple, wallet_pnl_from_legs(t, span, hot_threshold=10 ** 12).collect()))
     forced = sorted(map(tuple, wallet_pnl_from_legs(t, span, hot_threshold=0).collect()))
     assert normal == forced
+
+
+def test_decimal_scales_and_tiny_prices(spark):
+    """Types stay exact: quantities (28,9), money (30,10); a sub-1e-12 price
+    times a huge quantity still prices correctly."""
+    D = Decimal
+    schema = SCHEMA.replace("decimal(18,4)", "decimal(30,16)")
+    rows = [("w", "t", "S", T0 + timedelta(minutes=i), f"h{i}", 0, side, q, p) for i, (side, q, p) in enumerate([
+        ("to", D("1000000000000"), D("0.00000000000001")),      # 1e12 units at 1e-14 -> cost 0.01
+        ("from", D("1000000000000"), D("0.00000000000003"))])]   # proceeds 0.03 -> pnl 0.02
+    f = fifo_match(spark.createDataFrame(rows, schema))
+    types = dict(f.dtypes)
+    assert types["matched_quantity"] == "decimal(28,9)" and types["cost_basis"] == "decimal(30,10)"
+    sell = f.where("side = 'from'").first()
+    assert sell.cost_basis == D("0.0100000000") and sell.pnl == D("0.0200000000")
