@@ -163,7 +163,7 @@ def q_trade_legs(spark, sf_dir):
                              "price": F.col("price").cast("double")})
 
 
-@register("wallet_pnl_from_swaps", None)
+@register("wallet_pnl_from_swaps", __import__("cairn.plans.sql_pnl", fromlist=["x"]).WALLET_PNL_SWAPS_SQL)
 def q_wallet_pnl_from_swaps(spark, sf_dir):
     """P1 -> P19 on the bronze swap shape (base + CASH quote legs)."""
     from cairn.plans.pnl import wallet_pnl

@@ -7,7 +7,7 @@ against the lot ranges (B - q, B], not the F(x) window lookup."""
 from __future__ import annotations
 
 from cairn.functions.expr import sql_round as R
-from cairn.plans.fixtures import TRADES_FX_SQL
+from cairn.plans.fixtures import SWAPS_FX_SQL, TRADES_FX_SQL
 
 ORDER = '"timestamp", transaction_hash, leg'
 
@@ -193,3 +193,30 @@ SELECT wallet_address, token_address,
        {R('COALESCE(AVG(roi), 0.0)', 2)} AS avg_trade_roi,
        (COUNT_IF(is_matched) > 0 OR COUNT_IF(is_unmatched) > 0 OR ABS(SUM(pnl)) > 1) AS is_listed
 FROM tr GROUP BY wallet_address, token_address""")
+
+
+# Oracle-side decimal scales only need to be exact for the fixture values
+# (at most 2 decimals); DuckDB refuses products beyond scale 38.
+SWAP_LEGS_SQL = """legs_raw AS (
+  SELECT wallet_address, transaction_hash, "timestamp", 0 AS leg, base_address AS token_address,
+         CASE WHEN base_symbol IS NULL OR base_symbol = '' THEN substr(base_address, 1, 8) ELSE base_symbol END
+           AS token_symbol, base_type_swap AS side, base_ui_change_amount AS amount, base_nearest_price AS px
+  FROM swaps_fx
+  UNION ALL
+  SELECT wallet_address, transaction_hash, "timestamp", 1, quote_address,
+         CASE WHEN quote_symbol IS NULL OR quote_symbol = '' THEN substr(quote_address, 1, 8) ELSE quote_symbol END,
+         quote_type_swap, quote_ui_change_amount, quote_nearest_price
+  FROM swaps_fx),
+legs_in AS (
+  SELECT wallet_address, token_address, token_symbol, "timestamp", transaction_hash, leg, side,
+         CAST(abs(amount) AS DECIMAL(28,4)) AS quantity, CAST(px AS DECIMAL(24,4)) AS price
+  FROM legs_raw
+  WHERE token_address IS NOT NULL AND token_address <> '' AND amount IS NOT NULL AND amount <> 0
+    AND NOT isnan(amount) AND px IS NOT NULL AND NOT isnan(px) AND px > 0)"""
+
+SWAPS_SPAN = """span AS (
+  SELECT wallet_address, MIN("timestamp") AS first_trade_at, MAX("timestamp") AS last_trade_at
+  FROM swaps_fx GROUP BY wallet_address HAVING COUNT(*) >= 2)"""
+
+WALLET_PNL_SWAPS_SQL = ("WITH " + SWAPS_FX_SQL + ",\n" + SWAP_LEGS_SQL + "," + FIFO_CTES
+                        + wallet_metrics_sql(SWAPS_SPAN))
