@@ -48,20 +48,23 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str],
     the source values. ``update_cols=None`` means every non-key column of the
     *target*, so columns the source lacks fall back to their defaults (M3:
     flags reset); an empty list means do nothing on conflict. NaN becomes
-    null first (F7); the source is deduplicated by key."""
-    src = dedupe_source(nan_to_null(source), keys, source_order)
-    src = conform(src, target.schema, defaults)
+    null first (F7). Several source rows for one key: the last in
+    ``source_order`` wins (default: a deterministic choice).
+
+    One aggregation over target + source rows does it all: per column,
+    ``max_by`` over (side, source order) picks the source value for update
+    columns and the target value for the others."""
+    src = conform(nan_to_null(source), target.schema, defaults)
     non_key = [c for c in target.columns if c not in keys]
     upd = set(non_key if update_cols is None else update_cols)
+    order = [F.col(c) for c in (source_order or non_key)]
     both = (target.withColumn("_src", F.lit(0))
             .unionByName(src.withColumn("_src", F.lit(1))))
-    aggs = []
-    for c in non_key:
-        # update columns: the source row wins when present; others: the target row
-        tag = F.col("_src") if c in upd else -F.col("_src")
-        aggs.append(F.max_by(F.col(c), tag).alias(c))
-    out = both.groupBy(*keys).agg(*aggs)
-    return out.select(*target.columns)
+    both = both.withColumns({"_up": F.struct(F.col("_src"), *order),
+                             "_keep": F.struct(-F.col("_src"), *order)})
+    aggs = [F.max_by(F.col(c), F.col("_up" if c in upd else "_keep")).alias(c) for c in non_key]
+    # keys present only in the target or only in the source pass through
+    return both.groupBy(*keys).agg(*aggs).select(*target.columns)
 
 
 def split_new_existing(batch: DataFrame, existing: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:

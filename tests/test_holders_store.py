@@ -61,3 +61,11 @@ def test_holder_band_hot_tokens_same(spark):
     a = sorted(map(tuple, holder_band(h, toks, b, hot_threshold=10 ** 9).collect()))
     c = sorted(map(tuple, holder_band(h, toks, b, hot_threshold=10).collect()))
     assert a == c and len(a) > 0
+
+
+def test_upsert_duplicate_source_keys_last_wins(spark):
+    tgt = spark.createDataFrame([("a", 1, 0, True)], "k string, v int, at int, flag boolean")
+    src = spark.createDataFrame([("a", 5, 2), ("a", 7, 9), ("b", 3, 1), ("b", 4, 0)], "k string, v int, at int")
+    out = {r.k: r for r in upsert(tgt, src, ["k"], ["v", "at"], {"flag": False}, source_order=["at"]).collect()}
+    assert (out["a"].v, out["a"].at, out["a"].flag) == (7, 9, True)
+    assert (out["b"].v, out["b"].flag) == (3, False)
