@@ -7,8 +7,8 @@ quantity and D = B - S:
 * matched so far    M = S - U
 * a sell consumes exactly the bought range (M_prev, M] of the FIFO lot
   sequence, so its cost is F(M) - F(M_prev) where F(x) is the cost of the
-  first x units bought.  With k the first lot whose cumulative end B_k >= x,
-  F(x) = CB_k - (B_k - x) * price_k.
+  first x units bought.  With k the lot whose range (L_k, B_k] holds x,
+  F(x) = CB_(k-1) + (x - L_k) * price_k.
 
 Everything is window functions over one hash partitioning by wallet: no
 join, no Python worker, no per-row state. Quantities and money are
@@ -94,40 +94,37 @@ def fifo_match(legs: DataFrame, partitioned: bool = False, ranged: bool = False,
 
     buy_q = F.when(is_buy, F.col("quantity")).otherwise(zero_q)
     sell_q = F.when(~is_buy, F.col("quantity")).otherwise(zero_q)
-    buy_cost = F.when(is_buy, (F.col("quantity") * F.col("price")).cast(MONEY))
+    lot_cost = (F.col("quantity") * F.col("price")).cast(MONEY)
+    buy_cost = F.when(is_buy, lot_cost)
     df = scan(df, KEY, order, {"B": Run("sum", buy_q, cast=QTY), "S": Run("sum", sell_q, cast=QTY),
-                               "CB": Run("sum", buy_cost, cast=MONEY)})
+                               "CB": Run("sum", buy_cost, cast=MONEY), "_pos": Run("sum", F.lit(1))})
 
     d = (F.col("B") - F.col("S"))
     df = scan(df, KEY, order, {"_min_d": Run("min", d), "_min_d_prev": Run("min", d, inclusive=False)})
     u = F.greatest(F.lit(0).cast(QTY), -F.col("_min_d"))
     u_prev = F.greatest(F.lit(0).cast(QTY), -F.coalesce(F.col("_min_d_prev"), F.lit(0).cast(QTY)))
     m = (F.col("S") - u).cast(QTY)
-    # F(x) lookup: buys carry x = B (their lot end), sells x = M.  Ordered by x
-    # descending with buys first on ties, the last buy seen is the first lot
-    # whose end reaches x.
+    # F(x) lookup in one more sort: buys carry x = L (their lot start, B - q),
+    # sells x = M; ordered by x ascending with sells first on ties, the last
+    # buy seen is the lot with L < x <= B, so F(x) = CB_before + (x - L) * p.
+    # In that order the sells also appear in event order (M never decreases),
+    # so F(M_prev) is the previous sell's F in the same sorted pass.
     df = df.withColumns({
         "M": m,
         "M_prev": (F.col("S") - F.when(is_buy, zero_q).otherwise(F.col("quantity")) - u_prev).cast(QTY),
-        "_x": F.when(is_buy, F.col("B")).otherwise(m),
-        "_kind": F.when(is_buy, 0).otherwise(1),
+        "_x": F.when(is_buy, (F.col("B") - F.col("quantity")).cast(QTY)).otherwise(m),
+        "_kind": F.when(is_buy, 1).otherwise(0),
     })
-    x_order = [(F.col("_x"), False), (F.col("_kind"), True)] + order
+    x_order = [(F.col("_x"), True), (F.col("_kind"), True)] + order
     df = scan(df, KEY, x_order, {
-        "_lot_end": Run("last", F.when(is_buy, F.col("B"))),
-        "_lot_cb": Run("last", F.when(is_buy, F.col("CB"))),
+        "_lot_start": Run("last", F.when(is_buy, F.col("_x"))),
+        "_lot_cb": Run("last", F.when(is_buy, (F.col("CB") - lot_cost).cast(MONEY))),
         "_lot_px": Run("last", F.when(is_buy, F.col("price"))),
     })
     f_at_m = F.coalesce(
-        (F.col("_lot_cb") - ((F.col("_lot_end") - F.col("M")).cast(QTY) * F.col("_lot_px")).cast(MONEY))
+        (F.col("_lot_cb") + ((F.col("M") - F.col("_lot_start")).cast(QTY) * F.col("_lot_px")).cast(MONEY))
         .cast(MONEY), F.lit(0).cast(MONEY))
-
-    # cumulative matched cost is F(M); cost of this sell = F(M) - F(M_prev),
-    # and F(M_prev) is F(M) of the previous sell in event order.
-    df = scan(df, KEY, order, {
-        "_prev_f": Run("last", F.when(~is_buy, f_at_m), inclusive=False),
-        "_pos": Run("sum", F.lit(1)),
-    })
+    df = scan(df, KEY, x_order, {"_prev_f": Run("last", F.when(~is_buy, f_at_m), inclusive=False)})
     prev_f = F.coalesce(F.col("_prev_f"), F.lit(0).cast(MONEY))
     matched = F.when(is_buy, zero_q).otherwise((F.col("M") - F.col("M_prev")).cast(QTY))
     unmatched = F.when(is_buy, zero_q).otherwise((F.col("quantity") - matched).cast(QTY))
