@@ -155,9 +155,20 @@ def event_id(payload: Column) -> Column:
     return F.sha2(payload, 256)
 
 
-def read_json_drop(spark, path: str, max_files: int | None = None) -> DataFrame:
-    """S10 (batch form): read landed JSON files as text; unreadable or
-    invalid documents are kept with a null parse and can be routed to a
-    rejects table by the caller."""
-    reader = spark.read.option("wholetext", "true")
-    return reader.text(path)
+def read_json_drop(spark, path: str, max_files: int = 500) -> tuple[DataFrame, DataFrame]:
+    """S10 (batch form): the oldest ``max_files`` pending JSON files of a
+    folder, one document per file -> (valid documents, rejects with the file
+    name). A file that does not parse is set aside, not fatal. The listing is
+    bounded by ``max_files``; the stream form is ``streaming.ingest``."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = [st for st in fs.listStatus(root) if st.isFile() and st.getPath().getName().endswith(".json")]
+    files = sorted(files, key=lambda st: (st.getModificationTime(), st.getPath().getName()))[:max_files]
+    if not files:
+        empty = spark.createDataFrame([], "value string, file string")
+        return empty, empty
+    docs = (spark.read.option("wholetext", "true").text([f.getPath().toString() for f in files])
+            .withColumn("file", F.input_file_name()))
+    ok = F.try_parse_json("value").isNotNull()
+    return docs.where(ok), docs.where(~ok)

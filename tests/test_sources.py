@@ -52,3 +52,14 @@ def test_event_payload_edge_cases(spark):
         assert got[d] == (None, "UNKNOWN", None, None)
     assert got[docs[4]] == ("s", "SWAP", "a", "m")
     assert got[docs[5]] == ("s2", "UNKNOWN", None, None)
+
+
+def test_read_json_drop_sets_bad_files_aside(spark):
+    import os
+    import tempfile
+    d = tempfile.mkdtemp(prefix="cairn-drop-")
+    for i, body in enumerate(['[{"signature": "a"}]', "{broken", '{"x": 1}', "not json"]):
+        with open(os.path.join(d, f"e{i}.json"), "w") as f:
+            f.write(body)
+    ok, bad = jp.read_json_drop(spark, d, max_files=3)
+    assert ok.count() == 2 and bad.count() == 1
