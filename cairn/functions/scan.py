@@ -155,6 +155,25 @@ def split_hot(df: DataFrame, key: list[str], threshold: int | None = None,
     return df.join(hot, key, "left_anti"), df.join(hot, key, "left_semi")
 
 
+def split_hot_by_counts(df: DataFrame, counts: DataFrame, key: list[str], count_col: str,
+                        threshold: int | None = None, rows_per_count: int = 1,
+                        max_keys: int = 100_000) -> tuple[DataFrame, DataFrame | None]:
+    """Like :func:`split_hot`, but with per-key counts the job computes anyway
+    (e.g. transactions per wallet): no extra pass over ``df``. A key is hot
+    when ``count_col * rows_per_count`` exceeds the threshold (an upper bound
+    on its rows in ``df``)."""
+    t = hot_key_rows(df.sparkSession) if threshold is None else threshold
+    keys = counts.where(F.col(count_col) * rows_per_count > t).select(*key)
+    rows = keys.limit(max_keys + 1).collect()
+    if not rows:
+        return df, None
+    if len(rows) > max_keys:
+        hot = keys
+    else:
+        hot = F.broadcast(df.sparkSession.createDataFrame(rows, df.select(*key).schema))
+    return df.join(hot, key, "left_anti"), df.join(hot, key, "left_semi")
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Materialise and cut lineage with a reliable checkpoint (into the
     shared ``spark.checkpoint.dir``), so the next range partitioning samples

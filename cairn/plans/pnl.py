@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cairn.config import FIFO_METHODS, PnlConfig
 from cairn.operators.fifo import fifo_match, trade_legs
-from cairn.functions.scan import split_hot
+from cairn.functions.scan import split_hot_by_counts
 from cairn.operators.metrics import transaction_span, wallet_metrics, wallet_trade_stats
 
 
@@ -38,8 +38,10 @@ def wallet_pnl_from_legs(legs: DataFrame, transactions: DataFrame,
     legs = legs.join(ready.select("wallet_address"), "wallet_address", "left_semi")
     # hot wallets (more legs than one task should scan) take the range-
     # partitioned form of the same scans; everything else keeps the single
-    # hash shuffle by wallet
-    cold, hot = split_hot(legs, ["wallet_address"], hot_threshold)
+    # hash shuffle by wallet. The check reads the per-wallet transaction
+    # counts the job needs anyway (a transaction has at most two legs).
+    cold, hot = split_hot_by_counts(legs, ready, ["wallet_address"], "transaction_count",
+                                    hot_threshold, rows_per_count=2)
     stats = wallet_trade_stats(fifo_match(cold))
     if hot is not None:
         stats = stats.unionByName(wallet_trade_stats(fifo_match(hot, ranged=True), ranged=True))
