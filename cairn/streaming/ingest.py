@@ -90,13 +90,21 @@ def activity_windows(events: DataFrame, size: str = "1 hour", watermark: str | N
     """Tumbling-window activity (the streaming form of A11/W5): events,
     accounts and tokens per window; late rows beyond the watermark are
     dropped. Streaming aggregation needs an approximate distinct count."""
-    src = events.withWatermark("webhook_timestamp", watermark) if watermark else events
+    # event time as an instant (watermarks need TIMESTAMP): naive UTC wall
+    # time -> epoch micros -> instant, and back for the window bounds, so the
+    # session time zone plays no part
+    epoch = F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
+    src = events.withColumn("_et", F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch,
+                                                                       F.col("webhook_timestamp"))))
+    src = src.withWatermark("_et", watermark) if watermark else src
     distinct = F.count_distinct if exact_distinct else F.approx_count_distinct
-    return src.groupBy(F.window("webhook_timestamp", size).alias("w")).agg(
+    back = lambda c: epoch + F.make_dt_interval(
+        F.lit(0), F.lit(0), F.lit(0), (F.unix_micros(c) / 1_000_000).cast("decimal(18,6)"))
+    return src.groupBy(F.window("_et", size).alias("w")).agg(
         F.count(F.lit(1)).alias("webhook_count"),
         distinct("account_address").alias("unique_accounts"),
         distinct("token_address").alias("unique_tokens"),
-    ).select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+    ).select(back(F.col("w.start")).alias("window_start"), back(F.col("w.end")).alias("window_end"),
              "webhook_count", "unique_accounts", "unique_tokens")
 
 
