@@ -80,9 +80,17 @@ def start_ingest(spark: SparkSession, landing_dir: str, events_root: str, checkp
     return w.trigger(**(trigger or {"processingTime": "10 seconds"})).start()
 
 
+def _instant(c: Column) -> Column:
+    """Naive UTC time -> TIMESTAMP instant without the session zone."""
+    epoch = F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, c))
+
+
 def first_wins(events: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """T2 option: keep the first event per id within the watermark delay."""
-    return events.withWatermark("ingested_at", delay).dropDuplicatesWithinWatermark(["webhook_id"])
+    """T2 option: keep the first event per id within the watermark delay
+    (streaming state is kept only for the delay)."""
+    return (events.withColumn("_ing", _instant(F.col("ingested_at"))).withWatermark("_ing", delay)
+            .dropDuplicatesWithinWatermark(["webhook_id"]).drop("_ing"))
 
 
 def activity_windows(events: DataFrame, size: str = "1 hour", watermark: str | None = "10 minutes",
@@ -94,8 +102,7 @@ def activity_windows(events: DataFrame, size: str = "1 hour", watermark: str | N
     # time -> epoch micros -> instant, and back for the window bounds, so the
     # session time zone plays no part
     epoch = F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
-    src = events.withColumn("_et", F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch,
-                                                                       F.col("webhook_timestamp"))))
+    src = events.withColumn("_et", _instant(F.col("webhook_timestamp")))
     src = src.withWatermark("_et", watermark) if watermark else src
     distinct = F.count_distinct if exact_distinct else F.approx_count_distinct
     back = lambda c: epoch + F.make_dt_interval(

@@ -62,3 +62,14 @@ def test_windowed_activity_stream_matches_batch(spark):
     s = spark.table("status_out").first()
     b = ingest.status_counts(ev).first()
     assert (s.total, s.pending, s.processed, s.failed) == (b.total, b.pending, b.processed, b.failed)
+
+
+def test_first_wins_on_stream(spark):
+    base = tempfile.mkdtemp(prefix="cairn-fw-")
+    docs = ['[{"signature": "s%d"}]' % (i % 7) for i in range(30)]
+    spark.createDataFrame([(d,) for d in docs], "value string").coalesce(1).write.text(f"{base}/in")
+    stream = ingest.parse_events(spark.readStream.format("text").load(f"{base}/in"))
+    q = (ingest.first_wins(stream).writeStream.format("memory").queryName("fw_out")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert spark.table("fw_out").count() == 7
