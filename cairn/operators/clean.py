@@ -82,7 +82,7 @@ STR_COLS = ("source", "base_symbol", "base_address", "base_type_swap",
 
 
 def transaction_record(tx: DataFrame, fetched_at: Column, batch_id: str,
-                       data_source: str = "birdeye_v3") -> DataFrame:
+                       data_source: str = "market_api") -> DataFrame:
     """bronze_transactions row: whale_id = 'whale_' || wallet, missing
     strings as '', fetch metadata."""
     return tx.select(

@@ -82,7 +82,7 @@ SELECT COALESCE(transaction_hash, '') AS transaction_hash, 'whale_' || wallet_ad
        COALESCE(base_type_swap, '') AS base_type_swap, base_ui_change_amount, base_nearest_price,
        COALESCE(quote_symbol, '') AS quote_symbol, COALESCE(quote_address, '') AS quote_address,
        COALESCE(quote_type_swap, '') AS quote_type_swap, quote_ui_change_amount, quote_nearest_price,
-       TIMESTAMP '{fx.NOW_EVENTS}' AS fetched_at, 'run-1' AS batch_id, 'birdeye_v3' AS data_source
+       TIMESTAMP '{fx.NOW_EVENTS}' AS fetched_at, 'run-1' AS batch_id, 'market_api' AS data_source
 FROM swaps_fx""")
 def q_transaction_record(spark, sf_dir):
     return clean.transaction_record(fx.swaps_fx(spark, sf_dir), ts_ntz(fx.NOW_EVENTS), "run-1")
