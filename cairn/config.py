@@ -5,6 +5,30 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 
+# A matched sell with pnl >= +50 USD is a win, <= -50 USD a loss.
+MEANINGFUL_PNL_USD = 50.0
+
+# Trader score (P18) as (weight, value giving the full score):
+# pnl 0.25 at 5000 USD, roi 0.25 at 200 %, win rate 0.20 at 100 %,
+# volume 0.15 at 50000 USD, frequency 0.10 at 10 trades/day, sharpe 0.05 at 3.
+SCORE_PNL = (0.25, 5000)
+SCORE_ROI = (0.25, 200)
+SCORE_WIN_RATE = (0.20, 100)
+SCORE_VOLUME = (0.15, 50000)
+SCORE_FREQUENCY = (0.10, 10)
+SCORE_SHARPE = (0.05, 3)
+
+# Coverage confidence: >= 85 High, >= 80 Good, >= 70 Acceptable, else Low.
+COVERAGE_BANDS = ((85, "High"), (80, "Good"), (70, "Acceptable"))
+COVERAGE_OTHER = "Low"
+
+# Tier-score normalisers (roi 200 %, sharpe 3, pnl 20000 USD as "volume")
+# and activity penalty (above 10 trades/day x 0.9, below 0.2 x 0.95).
+TIER_ROI_FULL, TIER_SHARPE_FULL, TIER_PNL_FULL = 200, 3, 20000
+PENALTY_HIGH_FREQ, PENALTY_HIGH = 10, 0.9
+PENALTY_LOW_FREQ, PENALTY_LOW = 0.2, 0.95
+
+
 @dataclass(frozen=True)
 class PnlConfig:
     """Eligibility thresholds of a wallet PnL record (P17), applied to unrounded values."""

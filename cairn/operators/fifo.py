@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cairn.config import MEANINGFUL_PNL_USD
 from cairn.functions.expr import MONEY, PRICE, QTY
 from cairn.functions.scan import Run, cut, ranged_scan, window_scan
 
@@ -149,9 +150,9 @@ def fifo_match(legs: DataFrame, partitioned: bool = False, ranged: bool = False,
         (unmatched > 0).alias("is_unmatched"),
         # Per-trade ROI when the matched cost is positive
         F.when(is_matched & (cost > 0), pnl.cast("double") / cost.cast("double") * 100).alias("trade_roi"),
-        # >= 50 profit is a win, <= -50 a loss, anything between is neutral
-        (is_matched & (pnl >= 50)).alias("is_win"),
-        (is_matched & (pnl <= -50)).alias("is_loss"),
+        # A win or a loss from MEANINGFUL_PNL_USD on; anything between is neutral
+        (is_matched & (pnl >= MEANINGFUL_PNL_USD)).alias("is_win"),
+        (is_matched & (pnl <= -MEANINGFUL_PNL_USD)).alias("is_loss"),
     )
 
 

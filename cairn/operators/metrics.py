@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from cairn.config import PnlConfig
+from cairn.config import (SCORE_FREQUENCY, SCORE_PNL, SCORE_ROI, SCORE_SHARPE, SCORE_VOLUME, SCORE_WIN_RATE,
+                          PnlConfig)
 from cairn.functions.expr import MONEY, clip, money_out, round_half_up, safe_div, whole_days
 from cairn.functions.scan import Run, cut, ranged_scan, window_scan
 from cairn.operators.fifo import EVENT_ORDER, KEY
@@ -167,12 +168,12 @@ def wallet_metrics(fifo: DataFrame, tx_span: DataFrame, cfg: PnlConfig | None =
     )
     pnl_d = F.col("_pnl").cast("double")
     score = (
-        clip(pnl_d / 5000) * 0.25
-        + clip(F.col("_roi") / 200) * 0.25
-        + F.least(F.col("_win_rate") / 100, F.lit(1.0)) * 0.20
-        + F.least(F.col("_volume").cast("double") / 50000, F.lit(1.0)) * 0.15
-        + F.least(F.col("_freq") / 10, F.lit(1.0)) * 0.10
-        + clip(F.col("_sharpe") / 3) * 0.05
+        clip(pnl_d / SCORE_PNL[1]) * SCORE_PNL[0]
+        + clip(F.col("_roi") / SCORE_ROI[1]) * SCORE_ROI[0]
+        + F.least(F.col("_win_rate") / SCORE_WIN_RATE[1], F.lit(1.0)) * SCORE_WIN_RATE[0]
+        + F.least(F.col("_volume").cast("double") / SCORE_VOLUME[1], F.lit(1.0)) * SCORE_VOLUME[0]
+        + F.least(F.col("_freq") / SCORE_FREQUENCY[1], F.lit(1.0)) * SCORE_FREQUENCY[0]
+        + clip(F.col("_sharpe") / SCORE_SHARPE[1]) * SCORE_SHARPE[0]
     )
     score = F.when(eligible & (F.col("_volume") > 0), score).otherwise(0.0)
     return w.select(

@@ -10,7 +10,9 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cairn.config import DEFAULT_WEIGHTS, TIER_PRIORITY, TIER_WEIGHTS, RankConfig
+from cairn.config import (COVERAGE_BANDS, COVERAGE_OTHER, DEFAULT_WEIGHTS, PENALTY_HIGH, PENALTY_HIGH_FREQ,
+                          PENALTY_LOW, PENALTY_LOW_FREQ, TIER_PNL_FULL, TIER_PRIORITY, TIER_ROI_FULL,
+                          TIER_SHARPE_FULL, TIER_WEIGHTS, RankConfig)
 from cairn.functions.expr import clip, round_half_up, whole_days
 from cairn.functions.ranking import row_number_ordered, row_numbers
 
@@ -48,8 +50,10 @@ def g1_order() -> list[Column]:
 
 def coverage_confidence(cov: Column) -> Column:
     """G2."""
-    return (F.when(cov >= 85, "High").when(cov >= 80, "Good")
-            .when(cov >= 70, "Acceptable").otherwise("Low"))
+    e = None
+    for bound, label in COVERAGE_BANDS:
+        e = F.when(cov >= bound, label) if e is None else e.when(cov >= bound, label)
+    return e.otherwise(COVERAGE_OTHER)
 
 
 def performance_tier(cfg: RankConfig | None = None) -> Column:
@@ -76,12 +80,13 @@ def performance_tier(cfg: RankConfig | None = None) -> Column:
 def tier_score(tier: Column) -> Column:
     """Weighted component scores x activity penalty x 100, rounded to 2."""
     cov = _or("coverage_ratio_percent", 0) / 100
-    roi_s = clip(_or("total_roi_percent", 0) / 200)
-    sharpe_s = clip(_or("sharpe_ratio", 0) / 3)
+    roi_s = clip(_or("total_roi_percent", 0) / TIER_ROI_FULL)
+    sharpe_s = clip(_or("sharpe_ratio", 0) / TIER_SHARPE_FULL)
     win_s = _or("win_rate_percent", 0) / 100
-    vol_s = clip(_or("total_realized_pnl_usd", 0) / 20000)
+    vol_s = clip(_or("total_realized_pnl_usd", 0) / TIER_PNL_FULL)
     freq = _or("trade_frequency_per_day", 0)
-    penalty = F.when(freq > 10, 0.9).when(freq < 0.2, 0.95).otherwise(1.0)
+    penalty = (F.when(freq > PENALTY_HIGH_FREQ, PENALTY_HIGH).when(freq < PENALTY_LOW_FREQ, PENALTY_LOW)
+               .otherwise(1.0))
 
     def weighted(w):
         return cov * w[0] + roi_s * w[1] + sharpe_s * w[2] + win_s * w[3] + vol_s * w[4]
@@ -122,10 +127,10 @@ def score_breakdown() -> list[Column]:
     cov, win = _raw("coverage_ratio_percent"), _raw("win_rate_percent")
     return [
         (cov / 100).alias("coverage_score"),
-        clip(_raw("total_roi_percent") / 200).alias("roi_score"),
-        clip(_raw("sharpe_ratio") / 3).alias("sharpe_score"),
+        clip(_raw("total_roi_percent") / TIER_ROI_FULL).alias("roi_score"),
+        clip(_raw("sharpe_ratio") / TIER_SHARPE_FULL).alias("sharpe_score"),
         (win / 100).alias("win_rate_score"),
-        clip(_raw("total_realized_pnl_usd") / 20000).alias("volume_score"),
+        clip(_raw("total_realized_pnl_usd") / TIER_PNL_FULL).alias("volume_score"),
         (cov / 100 * win / 100).alias("consistency_score"),
     ]
 
