@@ -7,15 +7,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-# Exact types for the FIFO engine. Quantities and prices are fixed-point so
-# that differences of prefix sums are exact (no false unmatched residue).
-# Scales are chosen so that Spark never has to drop scale in + and -:
-# (28,9) - (28,9) -> (29,9); products are cast back to MONEY right away.
-# Prices keep 16 decimals (sub-cent tokens trade far below 1e-9 USD);
-# quantity x price comes out at scale 10, the money scale.
-QTY = DecimalType(28, 9)
+# Exact types for the FIFO engine. Quantities are fixed-point so that
+# differences of prefix sums are exact (no false unmatched residue): running
+# sums up to 1e23 units and (32,9) - (32,9) -> (33,9) keep every digit.
+# Prices keep 16 decimals (sub-cent tokens trade far below 1e-9 USD). Money
+# is (38,10) so sums cannot overflow on real data (ANSI mode would fail the
+# job); quantity x price is exact to 1e-6 USD.
+QTY = DecimalType(32, 9)
 PRICE = DecimalType(24, 16)
-MONEY = DecimalType(30, 10)
+MONEY = DecimalType(38, 10)
 
 
 def col(c) -> Column:

@@ -25,6 +25,9 @@ from cairn.functions.expr import MONEY, PRICE, QTY
 from cairn.functions.scan import Run, cut, ranged_scan, window_scan
 
 KEY = ["wallet_address", "token_address"]
+# a leg worth more than this is treated as corrupt input; it also keeps every
+# money sum of a key far inside DECIMAL(38,10)
+MAX_NOTIONAL_USD = 1e20
 EVENT_ORDER = ["timestamp", "transaction_hash", "leg"]
 BUY, SELL = "to", "from"
 
@@ -56,13 +59,18 @@ def trade_legs(transactions: DataFrame) -> DataFrame:
         F.col("token_address").isNotNull() & (F.col("token_address") != "")
         & F.col("amount").isNotNull() & ~F.isnan("amount") & (F.col("amount") != 0)
         & F.col("px").isNotNull() & ~F.isnan("px") & (F.col("px") > 0)
+        & (F.abs("amount") * F.col("px") < MAX_NOTIONAL_USD)
     )
-    return legs.where(valid).select(
+    # amounts, prices or notionals beyond the fixed-point range make the leg
+    # invalid (try_cast gives null) instead of failing the job under ANSI mode
+    out = legs.where(valid).select(
         "wallet_address", "token_address", "token_symbol", "timestamp", "transaction_hash",
         "leg", "side",
-        F.abs("amount").cast(QTY).alias("quantity"),
-        F.col("px").cast(PRICE).alias("price"),
+        F.abs("amount").try_cast(QTY).alias("quantity"),
+        F.col("px").try_cast(PRICE).alias("price"),
     )
+    return out.where(F.col("quantity").isNotNull() & (F.col("quantity") > 0)
+                     & F.col("price").isNotNull() & (F.col("price") > 0))
 
 
 def fifo_match(legs: DataFrame, partitioned: bool = False, ranged: bool = False,

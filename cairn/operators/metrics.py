@@ -15,7 +15,7 @@ from cairn.functions.expr import MONEY, clip, money_out, round_half_up, safe_div
 from cairn.functions.scan import Run, cut, ranged_scan, window_scan
 from cairn.operators.fifo import EVENT_ORDER, KEY
 
-PNL4 = DecimalType(20, 4)
+PNL4 = DecimalType(28, 4)
 SQ8 = DecimalType(38, 6)
 METHOD_LABEL = "fifo_cost_basis_matched_min50"
 
@@ -97,8 +97,10 @@ def wallet_trade_stats(fifo: DataFrame, ranged: bool = False, slices: int | None
         F.avg("trade_roi").alias("avg_roi"),
         F.avg(F.when(mid, F.col("trade_roi"))).alias("median_roi"),
         F.max(dd).alias("max_dd"),
-        F.sum(F.when(F.col("is_matched"), pnl4)).cast(DecimalType(38, 4)).alias("s1"),
-        F.sum(F.when(F.col("is_matched"), (pnl4 * pnl4).cast(SQ8))).cast(SQ8).alias("s2"),
+        F.try_sum(F.when(F.col("is_matched"), pnl4)).cast(DecimalType(38, 4)).alias("s1"),
+        F.try_sum(F.when(F.col("is_matched"), F.try_multiply(pnl4, pnl4).cast(SQ8))).cast(SQ8).alias("s2"),
+        F.sum(F.when(F.col("is_matched"), F.col("pnl").cast("double"))).alias("s1d"),
+        F.sum(F.when(F.col("is_matched"), F.col("pnl").cast("double") ** 2)).alias("s2d"),
         F.count_if("first_in_position").alias("tokens_traded_count"),
     )
 
@@ -133,10 +135,12 @@ def wallet_metrics(fifo: DataFrame, tx_span: DataFrame, cfg: PnlConfig | None =
     total_volume = (purchases + F.coalesce(F.col("sale_volume"), zero_m))
     cost = F.coalesce(F.col("cost_basis"), zero_m)
     roi = F.when(cost > 0, pnl.cast("double") / cost.cast("double") * 100).otherwise(0.0)
-    var_num = (F.col("matched_trades").cast(DecimalType(20, 0)) * F.col("s2")
-               - F.col("s1") * F.col("s1")).cast("double")
+    # exact decimal moments; the double form only if the decimals overflow
+    var_exact = F.try_subtract(F.try_multiply(F.col("matched_trades").cast(DecimalType(20, 0)), F.col("s2")),
+                               F.try_multiply(F.col("s1"), F.col("s1"))).cast("double")
+    var_num = F.coalesce(var_exact, F.col("matched_trades") * F.col("s2d") - F.col("s1d") * F.col("s1d"))
     sharpe = F.when((matched > 1) & (var_num > 0),
-                    F.col("s1").cast("double") / F.sqrt(var_num)).otherwise(0.0)
+                    F.coalesce(F.col("s1").cast("double"), F.col("s1d")) / F.sqrt(var_num)).otherwise(0.0)
     avg_win = safe_div(F.coalesce("win_pnl", zero_m), win)
     avg_loss = safe_div(F.abs(F.coalesce("loss_pnl", zero_m)), loss)
     avg_size = safe_div(purchases + msale, matched * 2)

@@ -164,7 +164,7 @@ def test_ranged_form_equals_window_form(spark):
 
 
 def test_decimal_scales_and_tiny_prices(spark):
-    """Types stay exact: quantities (28,9), money (30,10); a sub-1e-12 price
+    """Types stay exact: quantities (32,9), money (38,10); a sub-1e-12 price
     times a huge quantity still prices correctly."""
     D = Decimal
     schema = SCHEMA.replace("decimal(18,4)", "decimal(30,16)")
@@ -173,6 +173,6 @@ def test_decimal_scales_and_tiny_prices(spark):
         ("from", D("1000000000000"), D("0.00000000000003"))])]   # proceeds 0.03 -> pnl 0.02
     f = fifo_match(spark.createDataFrame(rows, schema))
     types = dict(f.dtypes)
-    assert types["matched_quantity"] == "decimal(28,9)" and types["cost_basis"] == "decimal(30,10)"
+    assert types["matched_quantity"] == "decimal(32,9)" and types["cost_basis"] == "decimal(38,10)"
     sell = f.where("side = 'from'").first()
     assert sell.cost_basis == D("0.0100000000") and sell.pnl == D("0.0200000000")
