@@ -253,3 +253,10 @@ SELECT task_name, COUNT(*) AS runs,
 FROM r GROUP BY task_name""")
 def q_alert_thresholds(spark, sf_dir):
     return st.alert_thresholds(st.fold_run_log(run_events_fx(spark, sf_dir)))
+
+
+@register("state_by_task", W(fx.STATE_EVENTS_FX_SQL, FOLD_SQL) + """
+SELECT task_name, state, COUNT(*) AS entity_count FROM folded GROUP BY task_name, state""")
+def q_state_by_task(spark, sf_dir):
+    """A13 (notebook form): entities per (task, state)."""
+    return _folded(spark, sf_dir).groupBy("task_name", "state").agg(F.count(F.lit(1)).alias("entity_count"))
