@@ -84,7 +84,7 @@ def q_frequency_cap(spark, sf_dir):
 
 SNAP_SQL = f""",
 d AS (SELECT wallet_address, CAST("timestamp" AS DATE) AS performance_date, SUM(pnl) AS pnl, SUM(cost) AS cost,
-             COUNT_IF(is_win) AS wins, COUNT_IF(is_loss) AS losses FROM tr GROUP BY 1, 2),
+             COUNT(*) FILTER (WHERE is_win) AS wins, COUNT(*) FILTER (WHERE is_loss) AS losses FROM tr GROUP BY 1, 2),
 c AS (SELECT wallet_address, performance_date,
              SUM(pnl) OVER w AS cum_pnl, SUM(cost) OVER w AS cum_cost,
              SUM(wins) OVER w AS cum_wins, SUM(losses) OVER w AS cum_losses
@@ -132,8 +132,8 @@ def q_volatility(spark, sf_dir):
 SELECT wallet_address,
        {R('CASE WHEN SUM(cost) > 0 THEN CAST(SUM(pnl) AS DOUBLE) / CAST(SUM(cost) AS DOUBLE) * 100 ELSE 0.0 END', 2)}
          AS last_30d_roi_percent,
-       CAST(COUNT_IF(is_matched) AS BIGINT) AS last_30d_trades,
-       {R('CASE WHEN COUNT_IF(is_win) + COUNT_IF(is_loss) > 0 THEN CAST(COUNT_IF(is_win) AS DOUBLE) / (COUNT_IF(is_win) + COUNT_IF(is_loss)) * 100 ELSE 0.0 END', 2)}
+       CAST(COUNT(*) FILTER (WHERE is_matched) AS BIGINT) AS last_30d_trades,
+       {R('CASE WHEN COUNT(*) FILTER (WHERE is_win) + COUNT(*) FILTER (WHERE is_loss) > 0 THEN CAST(COUNT(*) FILTER (WHERE is_win) AS DOUBLE) / (COUNT(*) FILTER (WHERE is_win) + COUNT(*) FILTER (WHERE is_loss)) * 100 ELSE 0.0 END', 2)}
          AS last_30d_win_rate,
        CAST(ROUND(SUM(pnl), 2) AS DOUBLE) AS last_30d_pnl_usd
 FROM tr WHERE "timestamp" >= TIMESTAMP '{fx.NOW_EVENTS}' - INTERVAL 30 DAY GROUP BY wallet_address""")

@@ -22,8 +22,8 @@ def _pct(n: str, total: str) -> str:
 # --------------------------------------------------------------- A3 status
 @register("status_tokens", W(fx.TOKENS_FX_SQL) + """
 SELECT COUNT(token_address) AS total, COUNT(DISTINCT token_address) AS distinct_keys,
-       COUNT_IF(silver_processed = true) AS silver_processed_true,
-       COUNT_IF(silver_processed = false) AS silver_processed_false,
+       COUNT(*) FILTER (WHERE silver_processed = true) AS silver_processed_true,
+       COUNT(*) FILTER (WHERE silver_processed = false) AS silver_processed_false,
        MIN(silver_processed_at) AS min_silver_processed_at, MAX(silver_processed_at) AS max_silver_processed_at
 FROM tokens_fx""")
 def q_status_tokens(spark, sf_dir):
@@ -33,8 +33,8 @@ def q_status_tokens(spark, sf_dir):
 
 @register("status_holders", W(fx.HOLDERS_FX_SQL) + """
 SELECT COUNT(token_address) AS total, COUNT(DISTINCT token_address || ':' || wallet_address) AS distinct_keys,
-       COUNT_IF(silver_processed = true) AS silver_processed_true,
-       COUNT_IF(silver_processed = false) AS silver_processed_false,
+       COUNT(*) FILTER (WHERE silver_processed = true) AS silver_processed_true,
+       COUNT(*) FILTER (WHERE silver_processed = false) AS silver_processed_false,
        MIN(fetched_at) AS min_fetched_at, MAX(fetched_at) AS max_fetched_at
 FROM holders_fx""")
 def q_status_holders(spark, sf_dir):
@@ -44,10 +44,10 @@ def q_status_holders(spark, sf_dir):
 
 @register("status_wallets", W(fx.WALLETS_FX_SQL) + """
 SELECT COUNT(wallet_address) AS total, COUNT(DISTINCT wallet_address) AS distinct_keys,
-       COUNT_IF(transactions_processed = true) AS transactions_processed_true,
-       COUNT_IF(transactions_processed = false) AS transactions_processed_false,
-       COUNT_IF(pnl_processed = true) AS pnl_processed_true,
-       COUNT_IF(pnl_processed = false) AS pnl_processed_false,
+       COUNT(*) FILTER (WHERE transactions_processed = true) AS transactions_processed_true,
+       COUNT(*) FILTER (WHERE transactions_processed = false) AS transactions_processed_false,
+       COUNT(*) FILTER (WHERE pnl_processed = true) AS pnl_processed_true,
+       COUNT(*) FILTER (WHERE pnl_processed = false) AS pnl_processed_false,
        MIN(transactions_processed_at) AS min_transactions_processed_at,
        MAX(transactions_processed_at) AS max_transactions_processed_at
 FROM wallets_fx""")
@@ -65,19 +65,19 @@ def q_status_transactions(spark, sf_dir):
 
 
 @register("wallet_status", W(fx.WALLETS_FX_SQL) + """
-SELECT COUNT(*) AS total_whales, COUNT_IF(transactions_processed = true) AS transactions_done,
-       COUNT_IF(pnl_processed = true) AS pnl_done,
-       COUNT_IF(transactions_processed = true AND pnl_processed = false) AS ready_for_pnl,
-       COUNT_IF(pnl_processed = false) AS pnl_pending
+SELECT COUNT(*) AS total_whales, COUNT(*) FILTER (WHERE transactions_processed = true) AS transactions_done,
+       COUNT(*) FILTER (WHERE pnl_processed = true) AS pnl_done,
+       COUNT(*) FILTER (WHERE transactions_processed = true AND pnl_processed = false) AS ready_for_pnl,
+       COUNT(*) FILTER (WHERE pnl_processed = false) AS pnl_pending
 FROM wallets_fx""")
 def q_wallet_status(spark, sf_dir):
     return rp.wallet_status(fx.wallets_fx(spark, sf_dir))
 
 
 @register("pnl_summary", f"""WITH pnl AS ({WALLET_PNL_SQL})
-SELECT COUNT(*) AS total_records, COUNT_IF(smart_trader_eligible = true) AS smart_traders,
+SELECT COUNT(*) AS total_records, COUNT(*) FILTER (WHERE smart_trader_eligible = true) AS smart_traders,
        {R('AVG(coverage_ratio_percent)', 2)} AS avg_coverage_ratio,
-       COUNT_IF(calculation_method LIKE '%cost_basis%') AS new_method_records
+       COUNT(*) FILTER (WHERE calculation_method LIKE '%cost_basis%') AS new_method_records
 FROM pnl""")
 def q_pnl_summary(spark, sf_dir):
     return rp.pnl_summary(QUERIES["wallet_pnl"](spark, sf_dir))
@@ -171,9 +171,9 @@ def _pct_text(n: str) -> str:
 
 
 @register("quality_report", W(fx.WEBHOOKS_FX_SQL) + f""",
-a AS (SELECT COUNT(*) AS total, COUNT_IF(transaction_signature IS NULL) AS no_sig,
-             COUNT_IF(account_address IS NULL) AS no_account, COUNT_IF(token_address IS NULL) AS no_token,
-             COUNT_IF(raw_payload IS NULL OR raw_payload = '{{}}') AS no_payload FROM webhooks_fx)
+a AS (SELECT COUNT(*) AS total, COUNT(*) FILTER (WHERE transaction_signature IS NULL) AS no_sig,
+             COUNT(*) FILTER (WHERE account_address IS NULL) AS no_account, COUNT(*) FILTER (WHERE token_address IS NULL) AS no_token,
+             COUNT(*) FILTER (WHERE raw_payload IS NULL OR raw_payload = '{{}}') AS no_payload FROM webhooks_fx)
 SELECT 'Total Records' AS metric, total AS count, 'N/A' AS percentage FROM a
 UNION ALL SELECT 'Missing Transaction Signature', no_sig, {_pct_text('no_sig')} FROM a
 UNION ALL SELECT 'Missing Account Address', no_account, {_pct_text('no_account')} FROM a
@@ -185,10 +185,10 @@ def q_quality_report(spark, sf_dir):
 
 @register("health_report", W(fx.WEBHOOKS_FX_SQL) + f""",
 a AS (SELECT
-  CAST(COUNT_IF(ingested_at >= TIMESTAMP '{NOW_HEALTH}' - INTERVAL 1 HOUR) AS DOUBLE) AS h1,
-  CAST(COUNT_IF(ingested_at >= TIMESTAMP '{NOW_HEALTH}' - INTERVAL 1 DAY) AS DOUBLE) AS d1,
-  CAST(COUNT_IF(processing_status = 'failed') AS DOUBLE) AS failed,
-  CAST(COUNT_IF(processing_status = 'pending') AS DOUBLE) AS pending,
+  CAST(COUNT(*) FILTER (WHERE ingested_at >= TIMESTAMP '{NOW_HEALTH}' - INTERVAL 1 HOUR) AS DOUBLE) AS h1,
+  CAST(COUNT(*) FILTER (WHERE ingested_at >= TIMESTAMP '{NOW_HEALTH}' - INTERVAL 1 DAY) AS DOUBLE) AS d1,
+  CAST(COUNT(*) FILTER (WHERE processing_status = 'failed') AS DOUBLE) AS failed,
+  CAST(COUNT(*) FILTER (WHERE processing_status = 'pending') AS DOUBLE) AS pending,
   {R(f"AVG(CASE WHEN webhook_timestamp IS NOT NULL AND ingested_at >= TIMESTAMP '{NOW_HEALTH}' - INTERVAL 1 DAY THEN date_diff('microsecond', webhook_timestamp, ingested_at) / 1e6 END)", 2)} AS delay
   FROM webhooks_fx)
 SELECT 'Webhooks in last hour' AS metric, h1 AS value FROM a
@@ -204,7 +204,7 @@ _NULL_COLS = ["transaction_signature", "account_address", "webhook_type"]
 
 
 @register("null_percentage_check", W(fx.WEBHOOKS_FX_SQL) + ",\na AS (SELECT COUNT(*) AS n, "
-          + ", ".join(f"COUNT_IF({c} IS NULL) AS null_{c}" for c in _NULL_COLS) + " FROM webhooks_fx)\n"
+          + ", ".join(f"COUNT(*) FILTER (WHERE {c} IS NULL) AS null_{c}" for c in _NULL_COLS) + " FROM webhooks_fx)\n"
           + "\nUNION ALL\n".join(
               f"SELECT 'webhooks' AS table_name, 'null_percentage' AS check_type, '{c}' AS column_name, "
               f"(CASE WHEN n > 0 THEN CAST(null_{c} AS DOUBLE) * 100.0 / n ELSE 0.0 END) <= 10.0 AS passed, "

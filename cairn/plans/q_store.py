@@ -78,7 +78,7 @@ def q_split_new_existing(spark, sf_dir):
 
 
 @register("new_vs_updated", W(fx.TOKENS_FX_SQL, BATCH_SQL) + """
-SELECT COUNT_IF(t.token_address IS NULL) AS new_records, COUNT_IF(t.token_address IS NOT NULL) AS updated_records
+SELECT COUNT(*) FILTER (WHERE t.token_address IS NULL) AS new_records, COUNT(*) FILTER (WHERE t.token_address IS NOT NULL) AS updated_records
 FROM (SELECT DISTINCT token_address FROM src) s
 LEFT JOIN (SELECT DISTINCT token_address FROM tgt) t ON s.token_address = t.token_address""")
 def q_new_vs_updated(spark, sf_dir):
@@ -116,7 +116,7 @@ def q_reset_summary(spark, sf_dir):
 FOLD_SQL = """folded AS (
   SELECT task_name, entity_type, entity_id,
          arg_max(state, (event_at, seq)) AS state,
-         COUNT_IF(state = 'processing') AS attempt_count,
+         COUNT(*) FILTER (WHERE state = 'processing') AS attempt_count,
          MIN(event_at) AS created_at, MAX(event_at) AS updated_at,
          MAX(CASE WHEN state = 'processing' THEN event_at END) AS last_attempt_at,
          MAX(CASE WHEN state = 'completed' THEN event_at END) AS completed_at,
@@ -147,7 +147,7 @@ ev AS (SELECT task_name, entity_type, entity_id, state, event_at, seq, error_mes
        UNION ALL
        SELECT 'pnl', 'wallet', wallet_address, 'completed', TIMESTAMP '{fx.NOW_ORDERS}', 1, NULL FROM pnl_present_fx)
 SELECT task_name, entity_type, entity_id, arg_max(state, (event_at, seq)) AS state,
-       COUNT_IF(state = 'processing') AS attempt_count, MAX(CASE WHEN state = 'completed' THEN event_at END) AS completed_at
+       COUNT(*) FILTER (WHERE state = 'processing') AS attempt_count, MAX(CASE WHEN state = 'completed' THEN event_at END) AS completed_at
 FROM ev WHERE task_name = 'pnl' GROUP BY 1, 2, 3""")
 def q_bulk_mark(spark, sf_dir):
     """M6: mark a set of wallets processing then completed; fold."""
@@ -196,8 +196,8 @@ def q_retry_due(spark, sf_dir):
 # ----------------------------------------------------------------- run log
 RUN_EVENTS_SQL = """runs AS (
   SELECT o_orderpriority AS task_name, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS run_id,
-         MIN(o_orderdate) AS day, COUNT(*) AS n, COUNT_IF(o_orderstatus = 'F') AS n_f,
-         COUNT_IF(o_orderstatus = 'P') AS n_p
+         MIN(o_orderdate) AS day, COUNT(*) AS n, COUNT(*) FILTER (WHERE o_orderstatus = 'F') AS n_f,
+         COUNT(*) FILTER (WHERE o_orderstatus = 'P') AS n_p
   FROM orders GROUP BY 1, 2),
 run_events AS (
   SELECT task_name, run_id, day AS event_at, 'running' AS status, NULL::BIGINT AS entities_processed,
@@ -246,9 +246,9 @@ def q_task_run_log(spark, sf_dir):
 @register("alert_thresholds", W(RUN_EVENTS_SQL, RUN_FOLD_SQL) + """,
 r AS (SELECT *, date_diff('microsecond', started_at, completed_at) / 1e6 AS duration_seconds FROM folded_runs)
 SELECT task_name, COUNT(*) AS runs,
-       CAST(COUNT_IF(status IN ('success', 'completed')) AS DOUBLE) * 100.0 / COUNT(*) AS success_rate,
+       CAST(COUNT(*) FILTER (WHERE status IN ('success', 'completed')) AS DOUBLE) * 100.0 / COUNT(*) AS success_rate,
        MAX(duration_seconds) AS max_duration_seconds,
-       CAST(COUNT_IF(status IN ('success', 'completed')) AS DOUBLE) * 100.0 / COUNT(*) < 90.0 AS low_success_rate,
+       CAST(COUNT(*) FILTER (WHERE status IN ('success', 'completed')) AS DOUBLE) * 100.0 / COUNT(*) < 90.0 AS low_success_rate,
        MAX(duration_seconds) > 7200.0 AS too_slow
 FROM r GROUP BY task_name""")
 def q_alert_thresholds(spark, sf_dir):

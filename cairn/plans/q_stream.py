@@ -16,15 +16,15 @@ W = fx.with_ctes
 
 
 @register("event_status_counts", W(fx.WEBHOOKS_FX_SQL) + """
-SELECT COUNT(*) AS total, COUNT_IF(processing_status = 'pending') AS pending,
-       COUNT_IF(processing_status = 'processed') AS processed, COUNT_IF(processing_status = 'failed') AS failed
+SELECT COUNT(*) AS total, COUNT(*) FILTER (WHERE processing_status = 'pending') AS pending,
+       COUNT(*) FILTER (WHERE processing_status = 'processed') AS processed, COUNT(*) FILTER (WHERE processing_status = 'failed') AS failed
 FROM webhooks_fx""")
 def q_event_status_counts(spark, sf_dir):
     return ingest.status_counts(fx.webhooks_fx(spark, sf_dir))
 
 
 @register("expired_events", W(fx.WEBHOOKS_FX_SQL) + f"""
-SELECT COUNT_IF(ingested_at < TIMESTAMP '{fx.NOW_EVENTS}' - INTERVAL 7 DAY) AS expired_count FROM webhooks_fx""")
+SELECT COUNT(*) FILTER (WHERE ingested_at < TIMESTAMP '{fx.NOW_EVENTS}' - INTERVAL 7 DAY) AS expired_count FROM webhooks_fx""")
 def q_expired_events(spark, sf_dir):
     return ingest.expired_events(fx.webhooks_fx(spark, sf_dir), ts_ntz(fx.NOW_EVENTS), 7)
 

@@ -145,12 +145,12 @@ PUSH_LIST_CAPPED_SQL = gold_sql() + f"""SELECT DISTINCT ON (wallet_address) * FR
 TIER_DISTRIBUTION_SQL = gold_sql() + """SELECT performance_tier, COUNT(*) AS trader_count FROM gold GROUP BY 1"""
 
 GOLD_SUMMARY_SQL = gold_sql() + """SELECT
-  CAST(COUNT_IF(auto_follow_eligible) AS BIGINT) AS auto_follow_count,
-  CAST(COUNT_IF(verified_performance) AS BIGINT) AS verified_count,
-  CAST(COUNT_IF(coverage_confidence = 'High') AS BIGINT) AS high_confidence,
-  CAST(COUNT_IF(coverage_confidence = 'Good') AS BIGINT) AS good_confidence,
-  CAST(COUNT_IF(coverage_confidence = 'Acceptable') AS BIGINT) AS acceptable_confidence,
-  CAST(COUNT_IF(coverage_confidence = 'Low') AS BIGINT) AS low_confidence
+  CAST(COUNT(*) FILTER (WHERE auto_follow_eligible) AS BIGINT) AS auto_follow_count,
+  CAST(COUNT(*) FILTER (WHERE verified_performance) AS BIGINT) AS verified_count,
+  CAST(COUNT(*) FILTER (WHERE coverage_confidence = 'High') AS BIGINT) AS high_confidence,
+  CAST(COUNT(*) FILTER (WHERE coverage_confidence = 'Good') AS BIGINT) AS good_confidence,
+  CAST(COUNT(*) FILTER (WHERE coverage_confidence = 'Acceptable') AS BIGINT) AS acceptable_confidence,
+  CAST(COUNT(*) FILTER (WHERE coverage_confidence = 'Low') AS BIGINT) AS low_confidence
 FROM gold"""
 
 PERCENTILES_SQL = f"""WITH pnl AS ({WALLET_PNL_SQL}), e AS (SELECT * FROM pnl WHERE smart_trader_eligible)

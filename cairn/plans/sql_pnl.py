@@ -87,8 +87,8 @@ med AS (
   GROUP BY wallet_address),
 agg AS (
   SELECT wallet_address,
-         SUM(pnl) AS pnl, COUNT_IF(is_matched) AS matched, COUNT_IF(is_unmatched) AS unmatched,
-         COUNT_IF(is_win) AS win, COUNT_IF(is_loss) AS loss,
+         SUM(pnl) AS pnl, COUNT(*) FILTER (WHERE is_matched) AS matched, COUNT(*) FILTER (WHERE is_unmatched) AS unmatched,
+         COUNT(*) FILTER (WHERE is_win) AS win, COUNT(*) FILTER (WHERE is_loss) AS loss,
          SUM(CASE WHEN is_win THEN pnl END) AS win_pnl, SUM(CASE WHEN is_loss THEN pnl END) AS loss_pnl,
          SUM(pv) AS pv, SUM(mp) AS mp, SUM(up) AS up, SUM(sv) AS sv, SUM(cost) AS cost,
          AVG(roi) AS avg_roi,
@@ -183,15 +183,15 @@ POSITIONS_SQL = ("WITH " + TRADES_FX_SQL + ",\nlegs_in AS (SELECT * FROM trades_
 SELECT wallet_address, token_address,
        arg_min(token_symbol, ("timestamp", transaction_hash, leg)) AS token_symbol,
        CAST(ROUND(SUM(pnl), 2) AS DOUBLE) AS realized_pnl,
-       CAST(COUNT_IF(is_matched) AS BIGINT) AS matched_trades,
-       CAST(COUNT_IF(is_unmatched) AS BIGINT) AS unmatched_trades,
+       CAST(COUNT(*) FILTER (WHERE is_matched) AS BIGINT) AS matched_trades,
+       CAST(COUNT(*) FILTER (WHERE is_unmatched) AS BIGINT) AS unmatched_trades,
        CAST(ROUND(SUM(pv), 2) AS DOUBLE) AS purchase_volume,
        CAST(ROUND(SUM(mp), 2) AS DOUBLE) AS matched_sale_volume,
        CAST(ROUND(SUM(up), 2) AS DOUBLE) AS unmatched_sale_volume,
        CAST(ROUND(SUM(cost), 2) AS DOUBLE) AS matched_cost_basis,
        {R(_div('SUM(pnl)', 'SUM(cost)') + ' * 100', 2)} AS roi_percent,
        {R('COALESCE(AVG(roi), 0.0)', 2)} AS avg_trade_roi,
-       (COUNT_IF(is_matched) > 0 OR COUNT_IF(is_unmatched) > 0 OR ABS(SUM(pnl)) > 1) AS is_listed
+       (COUNT(*) FILTER (WHERE is_matched) > 0 OR COUNT(*) FILTER (WHERE is_unmatched) > 0 OR ABS(SUM(pnl)) > 1) AS is_listed
 FROM tr GROUP BY wallet_address, token_address""")
 
 

@@ -48,6 +48,21 @@ def _norm(v):
     return v
 
 
+_SPARK_T = {"int": "int32", "bigint": "int64", "double": "float64", "string": "string", "boolean": "bool",
+            "timestamp_ntz": "timestamp", "timestamp": "timestamp", "date": "date", "float": "float32",
+            "smallint": "int16", "tinyint": "int8"}
+_DUCK_T = {"INTEGER": "int32", "BIGINT": "int64", "DOUBLE": "float64", "VARCHAR": "string", "BOOLEAN": "bool",
+           "TIMESTAMP": "timestamp", "DATE": "date", "FLOAT": "float32", "HUGEINT": "int128",
+           "SMALLINT": "int16", "TINYINT": "int8"}
+
+
+def type_diff(sdf, rel) -> dict:
+    """Columns whose Spark and DuckDB types differ (canonical names)."""
+    st = {f.name: _SPARK_T.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in sdf.schema.fields}
+    dt = {c: _DUCK_T.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
+    return {c: (st[c], dt.get(c)) for c in st if st[c] != dt.get(c)}
+
+
 def _key(row):
     return tuple((x is None, str(type(x).__name__), str(x)) for x in row)
 
@@ -65,6 +80,10 @@ def compare(spark, sf_dir: str, name: str, fn, sql: str, con=None, tol: float =
     t2 = time.time()
     out = {"query": name, "spark_rows": len(srows), "oracle_rows": len(drows),
            "spark_s": round(t1 - t0, 2), "duck_s": round(t2 - t1, 2)}
+    td = type_diff(sdf, con.sql(sql))
+    if td:
+        out["error"] = f"types differ: {td}"
+        return out
     if sorted(scols) != sorted(dcols):
         out["error"] = f"columns differ: spark-only {sorted(set(scols) - set(dcols))} " \
                        f"oracle-only {sorted(set(dcols) - set(scols))}"
