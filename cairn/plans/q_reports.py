@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from cairn.functions.expr import sql_round as R
 from cairn.functions.expr import ts_ntz

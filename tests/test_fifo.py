@@ -5,7 +5,6 @@ import random
 from datetime import datetime, timedelta
 from decimal import Decimal
 
-import pytest
 from pyspark.sql import functions as F
 
 from cairn.operators.fifo import fifo_match
