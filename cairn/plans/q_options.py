@@ -162,3 +162,19 @@ def q_unrealized_pnl(spark, sf_dir):
     u = unrealized_pnl(open_lots(fifo_match(t)), prices)
     return u.select("wallet_address", "token_address", F.col("open_quantity").cast("double").alias("open_quantity"),
                     *[F.round(c, 2).cast("double").alias(c) for c in ("open_cost", "current_value", "unrealized_pnl")])
+
+
+@register("open_lots", FIFO_SQL + f""",
+fm AS (SELECT wallet_address, token_address, SUM(mq) AS final_m FROM tr GROUP BY 1, 2),
+lots2 AS (SELECT t.wallet_address, t.token_address, t.transaction_hash, t.leg, t.price,
+                 LEAST(t.quantity, GREATEST(0, t.b - f.final_m)) AS remaining
+          FROM tr t JOIN fm f USING (wallet_address, token_address) WHERE t.side = 'to')
+SELECT wallet_address, token_address, transaction_hash, leg, CAST(remaining AS DOUBLE) AS remaining_quantity,
+       CAST(ROUND(remaining * price, 2) AS DOUBLE) AS remaining_cost
+FROM lots2 WHERE remaining > 0""")
+def q_open_lots(spark, sf_dir):
+    """What is left of every buy lot after all sells (remaining units and cost)."""
+    lots = open_lots(fifo_match(fx.trades_fx(spark, sf_dir)))
+    return lots.select("wallet_address", "token_address", "transaction_hash", "leg",
+                       F.col("remaining_quantity").cast("double").alias("remaining_quantity"),
+                       F.round("remaining_cost", 2).cast("double").alias("remaining_cost"))
