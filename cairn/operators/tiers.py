@@ -6,7 +6,6 @@ literally: 0 counts as missing as well as null."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +14,7 @@ from cairn.config import (COVERAGE_BANDS, COVERAGE_OTHER, DEFAULT_WEIGHTS, PENAL
                           TIER_SHARPE_FULL, TIER_WEIGHTS, RankConfig)
 from cairn.functions.expr import clip, round_half_up, whole_days
 from cairn.functions.ranking import row_number_ordered, row_numbers
+from cairn.functions.scan import cut
 
 TIER_COLS = {  # criteria field -> record column
     "coverage": "coverage_ratio_percent", "roi": "total_roi_percent",
@@ -144,11 +144,11 @@ def rank_traders(pnl: DataFrame, now: Column, cfg: RankConfig | None = None,
     tier_rank_by_score is the intended variant (tier_score desc)."""
     cfg = cfg or RankConfig()
     src = eligible_wallets(pnl) if only_eligible else pnl
-    # the ranks below range-partition this input three times (each samples
-    # it first); keep it so the upstream PnL job runs once. Lost blocks are
-    # recomputed from lineage, so this survives executor loss.
-    src = src.persist(StorageLevel.MEMORY_AND_DISK)
-    n = src.count()   # size check: small eligible sets rank in one task each
+    # materialise the (small) eligible set once with a reliable checkpoint in
+    # the shared checkpoint folder: the ranks read it several times, and the
+    # gold expressions are then analysed against a shallow plan
+    src = cut(src)
+    n = src.count()   # size check (reads the checkpoint): small sets rank in one task
     tier = performance_tier(cfg)
     days_first = F.when(F.col("first_trade_at").isNotNull(),
                         whole_days(F.col("first_trade_at"), now)).otherwise(F.lit(0))
