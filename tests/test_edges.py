@@ -72,3 +72,21 @@ def test_win_loss_neutral_sum_to_matched(spark):
     bad = p.where(F.col("winning_trades") + F.col("losing_trades") + F.col("neutral_trades")
                   != F.col("matched_trades")).count()
     assert bad == 0 and p.count() > 0
+
+
+def test_performance_history_exact_day_match(spark):
+    from datetime import date
+
+    from cairn.functions.expr import ts_ntz
+    from cairn.operators.options import performance_history
+    rows = [("w", date(2024, 1, 1), 100.0, 10.0, 50.0, 2, "QUALIFIED"),
+            ("w", date(2024, 1, 8), 1500.0, 20.0, 60.0, 5, "PROMISING"),
+            ("w", date(2024, 1, 10), 1600.0, 21.0, 60.0, 5, "PROMISING"),
+            ("w", date(2024, 1, 15), 1700.0, 22.0, 65.0, 6, "PROMISING")]
+    snaps = spark.createDataFrame(rows, "wallet_address string, performance_date date, total_realized_pnl_usd double, "
+                                        "total_roi_percent double, win_rate_percent double, meaningful_trades long, "
+                                        "performance_tier string")
+    h = {r.performance_date: r for r in performance_history(snaps, 90, ts_ntz("2024-02-01 00:00:00")).collect()}
+    assert h[date(2024, 1, 8)].pnl_change_7d == 1400.0 and h[date(2024, 1, 8)].tier_change == "QUALIFIED -> PROMISING"
+    assert h[date(2024, 1, 15)].roi_change_7d == 2.0 and h[date(2024, 1, 15)].tier_change == "unchanged"
+    assert h[date(2024, 1, 10)].pnl_change_7d is None and h[date(2024, 1, 10)].tier_change is None

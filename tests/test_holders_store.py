@@ -69,3 +69,16 @@ def test_upsert_duplicate_source_keys_last_wins(spark):
     out = {r.k: r for r in upsert(tgt, src, ["k"], ["v", "at"], {"flag": False}, source_order=["at"]).collect()}
     assert (out["a"].v, out["a"].at, out["a"].flag) == (7, 9, True)
     assert (out["b"].v, out["b"].flag) == (3, False)
+
+
+def test_uncommitted_version_is_ignored(spark):
+    """A write that died before its commit leaves no _SUCCESS: readers keep
+    the previous version, and the next write replaces the broken directory."""
+    import os
+    root = tempfile.mkdtemp(prefix="cairn-store-")
+    st = TableStore(spark, root)
+    st.write("t", spark.createDataFrame([("a", 1)], "k string, v int"))
+    os.makedirs(f"{root}/t/v=2")                      # half-written version, no _SUCCESS
+    assert st.current_version("t") == 1 and st.read("t").count() == 1
+    assert st.write("t", spark.createDataFrame([("b", 2), ("c", 3)], "k string, v int")) == 2
+    assert st.read("t").count() == 2
