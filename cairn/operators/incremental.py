@@ -26,9 +26,10 @@ def dedupe_source(source: DataFrame, keys: list[str], order: list[str] | None =
     return agg.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
 
 
-def conform(source: DataFrame, target_schema, defaults: dict | None = None) -> DataFrame:
+def conform(source: DataFrame, target_schema, defaults: dict | None = None,
+            keep: list[str] = ()) -> DataFrame:
     """Shape source rows like the target: missing columns take their default
-    (or null), extra columns are dropped, types are cast."""
+    (or null), extra columns are dropped (except ``keep``), types are cast."""
     defaults = defaults or {}
     cols = []
     for f in target_schema.fields:
@@ -38,7 +39,7 @@ def conform(source: DataFrame, target_schema, defaults: dict | None = None) -> D
             d = defaults.get(f.name)
             d = d if isinstance(d, Column) else F.lit(d)
             cols.append(d.cast(f.dataType).alias(f.name))
-    return source.select(*cols)
+    return source.select(*cols, *keep)
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str],
@@ -54,14 +55,22 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str],
     One aggregation over target + source rows does it all: per column,
     ``max_by`` over (side, source order) picks the source value for update
     columns and the target value for the others."""
-    src = conform(nan_to_null(source), target.schema, defaults)
     non_key = [c for c in target.columns if c not in keys]
     upd = set(non_key if update_cols is None else update_cols)
-    order = [F.col(c) for c in (source_order or non_key)]
-    both = (target.withColumn("_src", F.lit(0))
+    src = nan_to_null(source)
+    if source_order:
+        # the order columns need not exist in the target: they only rank source rows
+        src = conform(src.withColumn("_ord", F.struct(*[F.col(c) for c in source_order])),
+                      target.schema, defaults, keep=["_ord"])
+        tgt = target.withColumn("_ord", F.lit(None).cast(src.schema["_ord"].dataType))
+    else:
+        src = conform(src, target.schema, defaults)
+        src = src.withColumn("_ord", F.struct(*[F.col(c) for c in non_key]))
+        tgt = target.withColumn("_ord", F.struct(*[F.col(c) for c in non_key]))
+    both = (tgt.withColumn("_src", F.lit(0))
             .unionByName(src.withColumn("_src", F.lit(1))))
-    both = both.withColumns({"_up": F.struct(F.col("_src"), *order),
-                             "_keep": F.struct(-F.col("_src"), *order)})
+    both = both.withColumns({"_up": F.struct(F.col("_src"), F.col("_ord")),
+                             "_keep": F.struct(-F.col("_src"), F.col("_ord"))})
     aggs = [F.max_by(F.col(c), F.col("_up" if c in upd else "_keep")).alias(c) for c in non_key]
     # keys present only in the target or only in the source pass through
     return both.groupBy(*keys).agg(*aggs).select(*target.columns)
