@@ -26,3 +26,22 @@ def test_ranged_scan_equals_window_scan(spark, data):
     a = sorted(map(tuple, window_scan(df, ["k"], order, runs).select(cols).collect()))
     b = sorted(map(tuple, ranged_scan(df, ["k"], order, runs, slices=7).select(cols).collect()))
     assert a == b
+
+
+ranked = st.lists(st.tuples(st.integers(0, 1000), st.sampled_from(["x", "y"])), min_size=1, max_size=150,
+                  unique_by=lambda r: r[0])
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(ranked)
+def test_range_row_numbers_equal_windows(spark, data):
+    from pyspark.sql import Window
+
+    from cairn.functions.ranking import row_numbers
+    df = spark.createDataFrame(data, "v int, g string")
+    order = [F.col("v").desc()]
+    got = row_numbers(df, order, {"r": [], "rg": ["g"]}, num_partitions=5)
+    want = df.withColumns({"r": F.row_number().over(Window.orderBy(*order)),
+                           "rg": F.row_number().over(Window.partitionBy("g").orderBy(*order))})
+    cols = ["v", "g", "r", "rg"]
+    assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, want.select(cols).collect()))
