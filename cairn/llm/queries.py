@@ -74,3 +74,61 @@ def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10, k=5)
     return r.select(F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                     F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+OP4_SQL = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (
+  SELECT *, regexp_replace(text, '([<\[])(~*)(\||/?s>|/?unk>|</?SYS>>|/?INST\])', '\1\2~\3', 'g') AS body,
+         regexp_replace(replace(replace(role, '%', '%25'), chr(10), '%0A'), '([<\[])(~*)(\||/?s>|/?unk>|</?SYS>>|/?INST\])', '\1\2~\3', 'g') AS head
+  FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(12 + length(head) + 1 + length(body) + 11) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+
+@register("op4_reply_trees", OP4_SQL)
+def op4_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cairn.llm.common import cut
+    from cairn.llm.reply_trees import branches, chains, format_branches, read_back
+    said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = "</s>[INST] ok [/INST]"
+    extra = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(probe).alias("text"))
+    nodes = cut(chains(said.unionByName(extra)))
+    back = read_back(format_branches(branches(nodes.select("node", "parent", "score"), top=1), nodes.select("node", "role", "text")))
+    roots = nodes.filter("parent IS NULL").select(F.col("node").alias("root"), "conv_id")
+    loss = F.array_join("loss_texts", "")
+    return back.join(roots, "root").select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""), 256).alias("turns_sha256"),
+        F.char_length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"))
+
+
+OP2_SQL = r"""
+WITH v AS (
+  SELECT DISTINCT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+s AS (
+  SELECT q.vec_id AS query_id, d.vec_id, list_inner_product(q.e, d.e) AS score
+  FROM v q JOIN v d ON q.vec_id % 20 = 0 AND d.vec_id <> q.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
+@register("op2_lsh_forest", OP2_SQL)
+def op2_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cairn.llm.lsh_forest import nearest
+    r = nearest(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0", k=20)
+    return r.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
