@@ -132,3 +132,9 @@ def op2_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cairn.llm.lsh_forest import nearest
     r = nearest(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0", k=20)
     return r.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+@register("op1_mincut_html")
+def op1_mincut_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cairn.llm.html_mincut import extract_main_text
+    return extract_main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", "url", "text", "n_chars")
