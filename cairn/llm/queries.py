@@ -138,3 +138,24 @@ def op2_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_mincut_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cairn.llm.html_mincut import extract_main_text
     return extract_main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", "url", "text", "n_chars")
+
+
+@register("op7_bigru_langid")
+def op7_bigru_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cairn.llm.bigru_langid import fit, identify
+    docs = table(spark, sf_dir, "documents")
+    fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4))
+    net = fit(docs.filter(fold != 2))
+    return (identify(docs.select("doc_id", "text"), net)
+            .select("doc_id", F.coalesce(fold == 2, F.lit(False)).alias("held_out"), "lang_pred", "score"))
+
+
+@register("op3_fm_quality")
+def op3_fm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cairn.llm.fm_quality import fit, quality_scores
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5))
+    model = fit(docs.select("doc_id", "text", "n_chars"), labels.filter(fold != 0))
+    return (quality_scores(docs.select("doc_id", "text", "n_chars"), model)
+            .select("doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "score",
+                    F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted")))
