@@ -20,11 +20,9 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared checkpoint folder, so that neither later steps nor a lost
-    executor run its lineage again. The folder is the session's ``spark.checkpoint.dir``; only a
-    local session without one (tests) gets a scratch folder, a cluster session must name it."""
-    spark = df.sparkSession
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The session's shared checkpoint folder, ``spark.checkpoint.dir``. Only a local session without
+    one (tests) gets a scratch folder; a cluster session must name it."""
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
         path = spark.conf.get("spark.checkpoint.dir", None)
@@ -33,6 +31,13 @@ def cut(df: DataFrame) -> DataFrame:
                 raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
             path = tempfile.mkdtemp(prefix="cairn-llm-")
         sc.setCheckpointDir(path)
+    return sc.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared checkpoint folder, so that neither later steps nor a lost
+    executor run its lineage again."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint()
 
 

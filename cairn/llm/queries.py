@@ -159,3 +159,22 @@ def op3_fm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (quality_scores(docs.select("doc_id", "text", "n_chars"), model)
             .select("doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "score",
                     F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted")))
+
+
+@register("op6_fuzzy_lines")
+def op6_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cairn.llm.fuzzy_lines import dedup_lines
+    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "text", "n_lines", "n_dropped")
+
+
+@register("op10_ipf_mixing")
+def op10_ipf_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cairn.llm.ipf_mixing import calibrated_sample
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return calibrated_sample(docs).select("doc_id", "source", "lang", "p_keep")
+
+
+@register("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
