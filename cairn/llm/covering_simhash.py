@@ -83,13 +83,13 @@ def linked(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     pool = np.sort(fps)
     left, right = [], []
     while len(pool) > 1:
-        queue, pool = [pool[0]], pool[1:]
+        queue, pool = [int(pool[0])], pool[1:]
         while queue and len(pool):
             x = queue.pop()
-            near = np.bitwise_count(pool ^ x) <= radius
+            near = np.bitwise_count(pool ^ np.uint64(x)) <= radius
             if near.any():
                 hit = pool[near]
-                left.append(np.full(len(hit), x))
+                left.append(np.full(len(hit), x, np.uint64))
                 right.append(hit)
                 queue.extend(hit.tolist())
                 pool = pool[~near]

@@ -23,8 +23,9 @@ _LONG = 7  # letters from which a word says what a text is about
 
 def topic_and_tokens(raw: bytes, topics: int = TOPICS) -> tuple[str, int]:
     """(topic, tokens) of a whole text: tokens are its white-space words; the topic is the hashed
-    vocabulary group with the most of its long words (ties: the smallest), ``none`` without any."""
-    tokens, tally, at = 0, np.zeros(topics, np.int64), 0
+    vocabulary group with the most of its long words, or of all words if none is long (ties and texts
+    without words: the smallest)."""
+    tokens, tally, at = 0, np.zeros((2, topics), np.int64), 0
     while at < len(raw):
         end = min(len(raw), at + (1 << 21))
         while end < len(raw) and raw[end] not in b" \t\n\r\x0b\x0c":
@@ -32,10 +33,11 @@ def topic_and_tokens(raw: bytes, topics: int = TOPICS) -> tuple[str, int]:
         words = raw[at:end].lower().split()
         at = end
         tokens += len(words)
-        groups = [crc32(w) for w in words if len(w) >= _LONG]
-        if groups:
-            tally += np.bincount(np.array(groups, np.int64) % topics, minlength=topics)
-    return (f"t{int(tally.argmax())}" if tally.any() else "none"), tokens
+        groups = np.fromiter(map(crc32, words), np.int64, len(words)) % topics
+        long = np.fromiter(map(len, words), np.int64, len(words)) >= _LONG
+        tally[0] += np.bincount(groups[long], minlength=topics)
+        tally[1] += np.bincount(groups, minlength=topics)
+    return f"t{int(tally[0 if tally[0].any() else 1].argmax())}", tokens
 
 
 def _topics(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -90,7 +92,7 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], keep_share: float, swe
     return now
 
 
-def calibrated_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", power: float = 0.7, keep_share: float = 0.8,
+def calibrated_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", power: float = 0.9, keep_share: float = 0.8,
                       topic_col: str | None = None, targets: dict[str, DataFrame] | None = None, seed: int = 17,
                       probability: str = "p_keep") -> DataFrame:
     """The sampled rows of ``docs`` with their probability ``p_keep``.
