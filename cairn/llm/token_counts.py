@@ -55,7 +55,7 @@ def piece_counter(tokenizer_path: str):
                 batch, size = [], 0
 
     def split(word: bytes) -> list[bytes]:
-        return pattern.findall(word) if word.isascii() and b"<|" not in word else [word]
+        return pattern.findall(word.lower()) if word.isascii() and b"<|" not in word else [word]
 
     def learn(new: list[bytes]) -> None:
         """Counts of new words, from the counts of their pieces."""
