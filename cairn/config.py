@@ -42,7 +42,8 @@ class PnlConfig:
     method: str = "fifo"
 
 
-FIFO_METHODS = ("fifo", "fifo_cost_basis", "fifo_cost_basis_matched", "fifo_cost_basis_matched_min50")
+# Accepted calculation-method labels.
+FIFO_METHODS = ("fifo", "fifo_enhanced", "fifo_cost_basis_matched", "fifo_cost_basis_matched_min50")
 
 
 @dataclass(frozen=True)

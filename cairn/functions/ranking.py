@@ -4,9 +4,9 @@ through one task.
 ``Window.orderBy`` without ``partitionBy`` moves every row into a single
 partition. Instead: range-partition on the order so each task holds one
 contiguous slice, number rows inside each slice, and add the count of rows
-in earlier slices (of the same group). The offset table has one row per
-(slice, group) pair, so it is bounded by slices + groups; it is broadcast
-only when the groups are declared few."""
+in earlier slices (of the same group). The sliced rows are stored once
+(``scan.range_slices``) before rows and totals are read from them; the offset
+table, one row per (slice, group) pair, is broadcast only after a count."""
 
 from __future__ import annotations
 
@@ -34,9 +34,8 @@ def row_numbers(df: DataFrame, order: list, outputs: dict[str, list[str]],
         return df.withColumns({
             name: F.row_number().over(Window.partitionBy(*part).orderBy(*order_cols)).cast("long")
             for name, part in outputs.items()})
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order_cols).withColumn("_slice", F.spark_partition_id())
-    out = ranged
+    from cairn.functions.scan import broadcast_if_small, range_slices
+    out = ranged = range_slices(df, order_cols, num_partitions)
     for name, part in outputs.items():
         out = out.withColumn(
             f"_rn_{name}", F.row_number().over(Window.partitionBy("_slice", *part).orderBy(*order_cols)))
@@ -45,8 +44,11 @@ def row_numbers(df: DataFrame, order: list, outputs: dict[str, list[str]],
         w = Window.partitionBy(*part).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
         offsets = counts.select("_slice", *part,
                                 F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias(f"_off_{name}"))
-        # at most slices + groups rows: a fixed bound, safe to broadcast
-        out = out.join(F.broadcast(offsets), ["_slice", *part])
+        on = out["_slice"] == offsets["_slice"]
+        for c in part:  # a null group is a group like any other
+            on = on & out[c].eqNullSafe(offsets[c])
+        offsets = broadcast_if_small(offsets)
+        out = out.join(offsets, on).drop(*[offsets[c] for c in ("_slice", *part)])
         out = out.withColumn(name, (F.col(f"_rn_{name}") + F.col(f"_off_{name}")).cast("long")) \
                  .drop(f"_rn_{name}", f"_off_{name}")
     return out.drop("_slice")
@@ -54,7 +56,8 @@ def row_numbers(df: DataFrame, order: list, outputs: dict[str, list[str]],
 
 def row_number_ordered(df: DataFrame, order: list, name: str = "row_number",
                        partition_by: list[str] | None = None, few_groups: bool = True,
-                       num_partitions: int | None = None, known_rows: int | None = None) -> DataFrame:
+                       num_partitions: int | None = None, known_rows: int | None = None,
+                       single_task_rows: int = 1_000_000) -> DataFrame:
     """Single-output form of :func:`row_numbers`. With many groups
     (``few_groups=False``) a plain partitioned window is already spread over
     tasks and is used instead."""
@@ -62,4 +65,4 @@ def row_number_ordered(df: DataFrame, order: list, name: str = "row_number",
     if part and not few_groups:
         return df.withColumn(name, F.row_number().over(
             Window.partitionBy(*part).orderBy(*[_col(c) for c in order])))
-    return row_numbers(df, order, {name: part}, num_partitions, known_rows)
+    return row_numbers(df, order, {name: part}, num_partitions, known_rows, single_task_rows)

@@ -8,12 +8,11 @@ forms with identical results:
   spread over many tasks; scan each slice locally; summarise every
   (slice, key) pair (sum / min / max / last / count); carry the summaries of
   earlier slices forward with a window over the slices of a key; combine.
-  Only hot keys take this path, so the summary table has at most
-  slices + hot keys rows and is broadcast with a fixed bound.
+  The slices are stored before rows and summaries are read from them, so both
+  see the same cuts; the summary table is broadcast only after a count.
 
 ``hot_keys`` finds the keys above a row threshold with one partial
-aggregation; at most total_rows / threshold keys qualify, which bounds the
-broadcast used to route rows.
+aggregation; at most total_rows / threshold keys qualify.
 """
 
 from __future__ import annotations
@@ -72,11 +71,25 @@ def window_scan(df: DataFrame, key: list[str], order: Order, runs: dict[str, Run
     return df.withColumns(cols)
 
 
+def range_slices(df: DataFrame, order: list[Column], slices: int | None = None) -> DataFrame:
+    """``df`` cut into contiguous slices of ``order``, numbered by ``_slice``,
+    and *stored* (reliable checkpoint; this runs the input once, while the
+    plan is built). Range bounds are sampled per execution: two branches that
+    each ran the exchange would number rows and totals by different slices.
+    From the stored rows on, a lost executor or a retried stage re-reads the
+    same slices. Rows in = rows out."""
+    n = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cut(df.repartitionByRange(n, *order).withColumn("_slice", F.spark_partition_id()))
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
+    """Broadcast hint only after a count: beyond ``max_rows`` the join shuffles."""
+    return F.broadcast(df) if df.count() <= max_rows else df
+
+
 def ranged_scan(df: DataFrame, key: list[str], order: Order, runs: dict[str, Run],
                 slices: int | None = None) -> DataFrame:
-    n = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    r = (df.repartitionByRange(n, *[F.col(k) for k in key], *_sort(order))
-         .withColumn("_slice", F.spark_partition_id()))
+    r = range_slices(df, [*[F.col(k) for k in key], *_sort(order)], slices)
     lkey = ["_slice", *key]
     local = window_scan(r, lkey, order, {f"_loc_{k}": Run(v.fn, v.expr, v.inclusive)
                                          for k, v in runs.items() if v.fn != "total"})
@@ -105,8 +118,11 @@ def ranged_scan(df: DataFrame, key: list[str], order: Order, runs: dict[str, Run
             c = _window_fn(Run(run.fn, t)).over(before)
         carry_cols.append(c.alias(f"_car_{name}"))
     carry = summary.select(*lkey, *carry_cols)
-    # bounded: one row per (slice, hot key) pair
-    j = local.join(F.broadcast(carry), lkey)
+    on = local["_slice"] == carry["_slice"]
+    for k in key:
+        on = on & local[k].eqNullSafe(carry[k])
+    carry = broadcast_if_small(carry)
+    j = local.join(carry, on).drop(*[carry[k] for k in lkey])
     out = {}
     for name, run in runs.items():
         car, loc = F.col(f"_car_{name}"), F.col(f"_loc_{name}")
@@ -136,48 +152,41 @@ def hot_keys(df: DataFrame, key: list[str], threshold: int) -> DataFrame:
     return df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > threshold).select(*key)
 
 
-def split_hot(df: DataFrame, key: list[str], threshold: int | None = None,
-              max_keys: int = 100_000) -> tuple[DataFrame, DataFrame | None]:
+def split_hot(df: DataFrame, key: list[str], threshold: int | None = None) -> tuple[DataFrame, DataFrame | None]:
     """(cold rows, hot rows or None). Finding the hot keys is one small
     action: a partial aggregation whose result has at most rows/threshold
-    keys, and at most ``max_keys`` of them are brought to the driver and
-    broadcast back (beyond that the routing uses a shuffle join). Without hot
-    keys the plan keeps only the ordinary form."""
+    keys. Without hot keys the plan keeps only the ordinary form."""
     t = hot_key_rows(df.sparkSession) if threshold is None else threshold
-    keys = hot_keys(df, key, t)
-    rows = keys.limit(max_keys + 1).collect()
-    if not rows:
-        return df, None
-    if len(rows) > max_keys:   # too many to broadcast: route with a shuffle join instead
-        hot = keys
-    else:
-        hot = F.broadcast(df.sparkSession.createDataFrame(rows, df.select(*key).schema))
-    return df.join(hot, key, "left_anti"), df.join(hot, key, "left_semi")
+    return _route(df, hot_keys(df, key, t), key)
 
 
 def split_hot_by_counts(df: DataFrame, counts: DataFrame, key: list[str], count_col: str,
-                        threshold: int | None = None, rows_per_count: int = 1,
-                        max_keys: int = 100_000) -> tuple[DataFrame, DataFrame | None]:
+                        threshold: int | None = None, rows_per_count: int = 1) -> tuple[DataFrame, DataFrame | None]:
     """Like :func:`split_hot`, but with per-key counts the job computes anyway
     (e.g. transactions per wallet): no extra pass over ``df``. A key is hot
     when ``count_col * rows_per_count`` exceeds the threshold (an upper bound
     on its rows in ``df``)."""
     t = hot_key_rows(df.sparkSession) if threshold is None else threshold
-    keys = counts.where(F.col(count_col) * rows_per_count > t).select(*key)
-    rows = keys.limit(max_keys + 1).collect()
-    if not rows:
+    return _route(df, counts.where(F.col(count_col) * rows_per_count > t).select(*key), key)
+
+
+def _route(df: DataFrame, keys: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of the other keys and rows of the hot ones; the key list is stored
+    and joined back null-safely, broadcast only after a count."""
+    keys = cut(keys)
+    if keys.isEmpty():
         return df, None
-    if len(rows) > max_keys:
-        hot = keys
-    else:
-        hot = F.broadcast(df.sparkSession.createDataFrame(rows, df.select(*key).schema))
-    return df.join(hot, key, "left_anti"), df.join(hot, key, "left_semi")
+    hot = broadcast_if_small(keys.select(*[F.col(k).alias(f"_hot_{k}") for k in key]))
+    on = None
+    for k in key:
+        same = F.col(k).eqNullSafe(F.col(f"_hot_{k}"))
+        on = same if on is None else on & same
+    return df.join(hot, on, "left_anti"), df.join(hot, on, "left_semi")
 
 
 def cut(df: DataFrame) -> DataFrame:
     """Materialise and cut lineage with a reliable checkpoint (into the
-    shared ``spark.checkpoint.dir``), so the next range partitioning samples
-    stored rows instead of re-running every earlier stage."""
+    shared ``spark.checkpoint.dir``)."""
     from cairn.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)

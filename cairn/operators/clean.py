@@ -135,10 +135,8 @@ def silver_token_record(bronze_tokens: DataFrame, now: Column) -> DataFrame:
 
 
 def ready_wallets(whales: DataFrame) -> DataFrame:
-    """not yet PnL-processed and transactions fetched, by address."""
-    return (whales.where((F.col("pnl_processed") == F.lit(False))
-                         & (F.col("transactions_processed") == F.lit(True)))
-            .orderBy("wallet_address"))
+    """not yet PnL-processed and transactions fetched."""
+    return whales.where((F.col("pnl_processed") == F.lit(False)) & (F.col("transactions_processed") == F.lit(True)))
 
 
 def push_eligible(df: DataFrame) -> DataFrame:

@@ -22,22 +22,19 @@ from pyspark.sql import functions as F
 
 from cairn.config import MEANINGFUL_PNL_USD
 from cairn.functions.expr import MONEY, PRICE, QTY
-from cairn.functions.scan import Run, cut, ranged_scan, window_scan
+from cairn.functions.scan import Run, ranged_scan, split_hot, window_scan
 
 KEY = ["wallet_address", "token_address"]
-# a leg worth more than this is treated as corrupt input; it also keeps every
-# money sum of a key far inside DECIMAL(38,10)
+# largest leg in USD whose sums stay inside DECIMAL(38,10); what lies beyond is
+# returned by trade_leg_rejects, never dropped silently
 MAX_NOTIONAL_USD = 1e20
 EVENT_ORDER = ["timestamp", "transaction_hash", "leg"]
 BUY, SELL = "to", "from"
 
 
-def trade_legs(transactions: DataFrame) -> DataFrame:
-    """P1 + F12: bronze transactions -> valid trade legs (base leg 0, quote leg 1).
-
-    A leg counts only if its address is non-empty, the amount is non-null and
-    non-zero and the price is non-null and > 0; quantity = |amount|.
-    The symbol falls back to the first 8 characters of the address."""
+def _valid_legs(transactions: DataFrame) -> DataFrame:
+    """Both legs of every transaction that pass F12, with the fixed-point forms
+    and, where those cannot hold the leg, the reason."""
     def side(prefix: str, idx: int):
         addr = F.col(f"{prefix}_address")
         sym = F.col(f"{prefix}_symbol")
@@ -59,18 +56,31 @@ def trade_legs(transactions: DataFrame) -> DataFrame:
         F.col("token_address").isNotNull() & (F.col("token_address") != "")
         & F.col("amount").isNotNull() & ~F.isnan("amount") & (F.col("amount") != 0)
         & F.col("px").isNotNull() & ~F.isnan("px") & (F.col("px") > 0)
-        & (F.abs("amount") * F.col("px") < MAX_NOTIONAL_USD)
     )
-    # amounts, prices or notionals beyond the fixed-point range make the leg
-    # invalid (try_cast gives null) instead of failing the job under ANSI mode
-    out = legs.where(valid).select(
+    q, p = F.abs("amount").try_cast(QTY), F.col("px").try_cast(PRICE)
+    reason = (F.when(q.isNull(), "quantity too large").when(q == 0, "quantity too small")
+              .when(p.isNull(), "price too large").when(p == 0, "price too small")
+              .when(F.abs("amount") * F.col("px") >= MAX_NOTIONAL_USD, "value too large"))
+    return legs.where(valid).select(
         "wallet_address", "token_address", "token_symbol", "timestamp", "transaction_hash",
-        "leg", "side",
-        F.abs("amount").try_cast(QTY).alias("quantity"),
-        F.col("px").try_cast(PRICE).alias("price"),
-    )
-    return out.where(F.col("quantity").isNotNull() & (F.col("quantity") > 0)
-                     & F.col("price").isNotNull() & (F.col("price") > 0))
+        "leg", "side", "amount", "px", q.alias("quantity"), p.alias("price"), reason.alias("reason"))
+
+
+def trade_legs(transactions: DataFrame) -> DataFrame:
+    """P1 + F12: bronze transactions -> valid trade legs (base leg 0, quote leg 1).
+
+    A leg counts only if its address is non-empty, the amount is non-null and
+    non-zero and the price is non-null and > 0; quantity = |amount|.
+    The symbol falls back to the first 8 characters of the address. The few
+    legs that pass but do not fit the fixed-point types are the rows of
+    :func:`trade_leg_rejects`."""
+    return _valid_legs(transactions).where(F.col("reason").isNull()).drop("amount", "px", "reason")
+
+
+def trade_leg_rejects(transactions: DataFrame) -> DataFrame:
+    """Valid legs whose amount, price or value the fixed-point types cannot
+    hold, with the raw numbers and the reason: what trade_legs leaves out."""
+    return _valid_legs(transactions).where(F.col("reason").isNotNull()).drop("quantity", "price")
 
 
 def fifo_match(legs: DataFrame, partitioned: bool = False, ranged: bool = False,
@@ -88,7 +98,7 @@ def fifo_match(legs: DataFrame, partitioned: bool = False, ranged: bool = False,
     runs the same scans range-partitioned (for hot wallets, see
     ``cairn.functions.scan``); both forms give identical rows.
     """
-    scan = (lambda d, k, o, r: ranged_scan(cut(d), k, o, r, slices)) if ranged else window_scan
+    scan = (lambda d, k, o, r: ranged_scan(d, k, o, r, slices)) if ranged else window_scan
     df = legs.where(F.col("side").isin(BUY, SELL)).select(
         *KEY, "token_symbol", *EVENT_ORDER, "side",
         F.col("quantity").cast(QTY).alias("quantity"),
@@ -150,6 +160,7 @@ def fifo_match(legs: DataFrame, partitioned: bool = False, ranged: bool = False,
         matched.alias("matched_quantity"),
         unmatched.alias("unmatched_quantity"),
         cost.alias("cost_basis"),
+        F.when(is_buy, F.col("B")).cast(QTY).alias("lot_end"),
         (F.col("_pos") == 1).alias("first_in_position"),
         proceeds.alias("matched_proceeds"),
         (unmatched * F.col("price")).cast(MONEY).alias("unmatched_proceeds"),
@@ -164,6 +175,15 @@ def fifo_match(legs: DataFrame, partitioned: bool = False, ranged: bool = False,
     )
 
 
+def fifo_split(legs: DataFrame, hot_threshold: int | None = None) -> DataFrame:
+    """``fifo_match`` with the wallets of more legs than the threshold
+    (``cairn.skew.hotKeyRows``) in the range-sliced form. Finding them is one
+    partial aggregation of the legs, run while the plan is built."""
+    cold, hot = split_hot(legs, ["wallet_address"], hot_threshold)
+    out = fifo_match(cold)
+    return out if hot is None else out.unionByName(fifo_match(hot, ranged=True))
+
+
 def sells(fifo: DataFrame) -> DataFrame:
     return fifo.where(F.col("side") == SELL)
 
@@ -171,12 +191,8 @@ def sells(fifo: DataFrame) -> DataFrame:
 def open_lots(fifo: DataFrame) -> DataFrame:
     """What is left of each buy lot after all sells of its (wallet, token):
     remaining = the part of the lot range (B - q, B] beyond the final M."""
-    order = [(F.col(c), True) for c in EVENT_ORDER]
-    buy_q = F.when(F.col("side") == BUY, F.col("quantity")).otherwise(F.lit(0).cast(QTY))
-    df = window_scan(fifo, KEY, order, {"lot_end": Run("sum", buy_q)}).withColumn(
-        "lot_end", F.col("lot_end").cast(QTY))
     final = fifo.groupBy(*KEY).agg(F.sum("matched_quantity").cast(QTY).alias("final_m"))
-    df = df.where(F.col("side") == BUY).join(final, KEY)
+    df = fifo.where(F.col("side") == BUY).join(final, KEY)
     lot_start = (F.col("lot_end") - F.col("quantity")).cast(QTY)
     remaining = F.least(F.col("quantity"),
                         F.greatest(F.lit(0).cast(QTY), (F.col("lot_end") - F.col("final_m")).cast(QTY)))

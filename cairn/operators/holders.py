@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cairn.config import HolderBand
-from cairn.functions.scan import Run, cut, ranged_scan, split_hot, window_scan
+from cairn.functions.scan import Run, ranged_scan, split_hot, window_scan
 
 
 def holder_band(holders: DataFrame, tokens: DataFrame, band: HolderBand | None = None,
@@ -26,7 +26,7 @@ def holder_band(holders: DataFrame, tokens: DataFrame, band: HolderBand | None =
     cold, hot = split_hot(holders, ["token_address"], hot_threshold)
     ranked = window_scan(cold, ["token_address"], order, runs)
     if hot is not None:   # tokens with very many holders: range-partitioned ranking
-        ranked = ranked.unionByName(ranged_scan(cut(hot), ["token_address"], order, runs))
+        ranked = ranked.unionByName(ranged_scan(hot, ["token_address"], order, runs))
     ranked = ranked.withColumn("holder_rank", F.col("holder_rank").cast("int"))
     t = tokens.select("token_address", F.col("holder_count").cast("long").alias("holder_count"))
     j = ranked.join(t, "token_address", "left")
@@ -43,9 +43,8 @@ def holder_band(holders: DataFrame, tokens: DataFrame, band: HolderBand | None =
 
 def holder_rollup(holders: DataFrame) -> DataFrame:
     """A1: unprocessed holder rows per wallet: token count and total ui
-    amount (partial aggregates). The token and symbol lists of the reference
-    are the rows of :func:`holder_rollup_tokens`; :func:`nest` builds the
-    array form when a consumer needs it."""
+    amount (partial aggregates). The token and symbol lists of a wallet
+    are the rows of :func:`holder_rollup_tokens`."""
     u = holders.where(F.col("silver_processed") == F.lit(False))
     return u.groupBy("wallet_address").agg(
         F.count("token_address").alias("tokens_held_count"),
@@ -85,14 +84,6 @@ def holder_source_tokens(holders: DataFrame) -> DataFrame:
         F.coalesce(F.col("rank").cast("long"), F.lit(0)).alias("rank"))
 
 
-def nest(rows: DataFrame, key: str, item_cols: list[str], name: str) -> DataFrame:
-    """Array-of-struct form of child rows, sorted, one row per key (the
-    reference's JSON list columns). The list of one key holds one entry per
-    child row, so only use it where the children per key are few (e.g.
-    tokens of an ordinary wallet); the row form is the scalable one."""
-    return rows.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(*item_cols))).alias(name))
-
-
 def holder_filters(whales: DataFrame, min_tokens_held: int = 1, min_total_value: float = 0.0,
                    excluded: tuple = (), max_whales: int | None = None) -> DataFrame:
     """D2 (declared, never applied by the reference): minimum tokens and

@@ -2,9 +2,9 @@
 M10, J4).
 
 Upsert without a table format: union target and source rows, then one
-aggregation per key picks, column by column, the source value (update
-columns) or the target value (everything else). ``max_by`` aggregates
-partially, so a hot key never becomes one giant group, and the whole merge is
+aggregation per key keeps the winning source row and the target row; columns
+are picked from the two afterwards. Both aggregates combine before the
+shuffle, so a hot key never becomes one giant group, and the whole merge is
 one shuffle by key."""
 
 from __future__ import annotations
@@ -52,9 +52,9 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str],
     null first (F7). Several source rows for one key: the last in
     ``source_order`` wins (default: a deterministic choice).
 
-    One aggregation over target + source rows does it all: per column,
-    ``max_by`` over (side, source order) picks the source value for update
-    columns and the target value for the others."""
+    One aggregation over target + source rows keeps, per key, the winning
+    source row and the target row as two structs, whatever the width; columns
+    are picked from them after the shuffle."""
     non_key = [c for c in target.columns if c not in keys]
     upd = set(non_key if update_cols is None else update_cols)
     src = nan_to_null(source)
@@ -62,18 +62,17 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str],
         # the order columns need not exist in the target: they only rank source rows
         src = conform(src.withColumn("_ord", F.struct(*[F.col(c) for c in source_order])),
                       target.schema, defaults, keep=["_ord"])
-        tgt = target.withColumn("_ord", F.lit(None).cast(src.schema["_ord"].dataType))
     else:
         src = conform(src, target.schema, defaults)
-        src = src.withColumn("_ord", F.struct(*[F.col(c) for c in non_key]))
-        tgt = target.withColumn("_ord", F.struct(*[F.col(c) for c in non_key]))
-    both = (tgt.withColumn("_src", F.lit(0))
-            .unionByName(src.withColumn("_src", F.lit(1))))
-    both = both.withColumns({"_up": F.struct(F.col("_src"), F.col("_ord")),
-                             "_keep": F.struct(-F.col("_src"), F.col("_ord"))})
-    aggs = [F.max_by(F.col(c), F.col("_up" if c in upd else "_keep")).alias(c) for c in non_key]
-    # keys present only in the target or only in the source pass through
-    return both.groupBy(*keys).agg(*aggs).select(*target.columns)
+        src = src.withColumn("_ord", F.struct(*[F.col(c) for c in non_key] or [F.lit(0)]))
+    tgt = target.withColumn("_ord", F.lit(None).cast(src.schema["_ord"].dataType))
+    both = tgt.withColumn("_src", F.lit(False)).unionByName(src.withColumn("_src", F.lit(True)))
+    row = F.struct(*[F.col(c) for c in non_key] or [F.lit(0).alias("_none")])
+    merged = both.groupBy(*keys).agg(F.max_by(row, F.when(F.col("_src"), F.col("_ord"))).alias("_new"),
+                                     F.max(F.when(~F.col("_src"), row)).alias("_old"))
+    pick = lambda c: (F.when(F.col("_new").isNotNull(), F.col("_new")[c]).otherwise(F.col("_old")[c]) if c in upd
+                      else F.when(F.col("_old").isNotNull(), F.col("_old")[c]).otherwise(F.col("_new")[c]))
+    return merged.select(*[F.col(c) if c in keys else pick(c).alias(c) for c in target.columns])
 
 
 def split_new_existing(batch: DataFrame, existing: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:

@@ -12,11 +12,9 @@ from pyspark.sql.types import DecimalType
 from cairn.config import (SCORE_FREQUENCY, SCORE_PNL, SCORE_ROI, SCORE_SHARPE, SCORE_VOLUME, SCORE_WIN_RATE,
                           PnlConfig)
 from cairn.functions.expr import MONEY, clip, money_out, round_half_up, safe_div, whole_days
-from cairn.functions.scan import Run, cut, ranged_scan, window_scan
+from cairn.functions.scan import Run, ranged_scan, window_scan
 from cairn.operators.fifo import EVENT_ORDER, KEY
 
-PNL4 = DecimalType(28, 4)
-SQ8 = DecimalType(38, 6)
 METHOD_LABEL = "fifo_cost_basis_matched_min50"
 
 
@@ -62,7 +60,7 @@ def wallet_trade_stats(fifo: DataFrame, ranged: bool = False, slices: int | None
     default form the whole record is one aggregation without another shuffle
     and no group is ever held in memory (sorts and windows spill).
     ``ranged=True`` computes the same scans range-partitioned for hot wallets."""
-    scan = (lambda d, k, o, r: ranged_scan(cut(d), k, o, r, slices)) if ranged else window_scan
+    scan = (lambda d, k, o, r: ranged_scan(d, k, o, r, slices)) if ranged else window_scan
     dec = DecimalType(38, 10)
     wkey = ["wallet_address"]
     order = [(F.col(c), True) for c in EVENT_ORDER]
@@ -80,7 +78,6 @@ def wallet_trade_stats(fifo: DataFrame, ranged: bool = False, slices: int | None
            & ((F.col("_rn") == F.floor((F.col("_n") + 1) / 2))
               | (F.col("_rn") == F.ceil((F.col("_n") + 1) / 2))))
 
-    pnl4 = F.col("pnl").cast(PNL4)
     return t.groupBy("wallet_address").agg(
         _msum("pnl").alias("pnl"),
         F.count_if("is_matched").alias("matched_trades"),
@@ -97,10 +94,8 @@ def wallet_trade_stats(fifo: DataFrame, ranged: bool = False, slices: int | None
         F.avg("trade_roi").alias("avg_roi"),
         F.avg(F.when(mid, F.col("trade_roi"))).alias("median_roi"),
         F.max(dd).alias("max_dd"),
-        F.try_sum(F.when(F.col("is_matched"), pnl4)).cast(DecimalType(38, 4)).alias("s1"),
-        F.try_sum(F.when(F.col("is_matched"), F.try_multiply(pnl4, pnl4).cast(SQ8))).cast(SQ8).alias("s2"),
-        F.sum(F.when(F.col("is_matched"), F.col("pnl").cast("double"))).alias("s1d"),
-        F.sum(F.when(F.col("is_matched"), F.col("pnl").cast("double") ** 2)).alias("s2d"),
+        F.avg(F.when(F.col("is_matched"), F.col("pnl").cast("double"))).alias("mean_pnl"),
+        F.stddev_pop(F.when(F.col("is_matched"), F.col("pnl").cast("double"))).alias("sd_pnl"),
         F.count_if("first_in_position").alias("tokens_traded_count"),
     )
 
@@ -135,12 +130,8 @@ def wallet_metrics(fifo: DataFrame, tx_span: DataFrame, cfg: PnlConfig | None =
     total_volume = (purchases + F.coalesce(F.col("sale_volume"), zero_m))
     cost = F.coalesce(F.col("cost_basis"), zero_m)
     roi = F.when(cost > 0, pnl.cast("double") / cost.cast("double") * 100).otherwise(0.0)
-    # exact decimal moments; the double form only if the decimals overflow
-    var_exact = F.try_subtract(F.try_multiply(F.col("matched_trades").cast(DecimalType(20, 0)), F.col("s2")),
-                               F.try_multiply(F.col("s1"), F.col("s1"))).cast("double")
-    var_num = F.coalesce(var_exact, F.col("matched_trades") * F.col("s2d") - F.col("s1d") * F.col("s1d"))
-    sharpe = F.when((matched > 1) & (var_num > 0),
-                    F.coalesce(F.col("s1").cast("double"), F.col("s1d")) / F.sqrt(var_num)).otherwise(0.0)
+    # mean over population deviation of the matched trades' pnl, from central moments
+    sharpe = F.when((matched > 1) & (F.col("sd_pnl") > 0), F.col("mean_pnl") / F.col("sd_pnl")).otherwise(0.0)
     avg_win = safe_div(F.coalesce("win_pnl", zero_m), win)
     avg_loss = safe_div(F.abs(F.coalesce("loss_pnl", zero_m)), loss)
     avg_size = safe_div(purchases + msale, matched * 2)
@@ -222,15 +213,3 @@ def transaction_span(transactions: DataFrame) -> DataFrame:
         F.max("timestamp").alias("last_trade_at"),
         F.count(F.lit(1)).alias("transaction_count"),
     )
-
-
-def tokens_analyzed(positions: DataFrame) -> DataFrame:
-    """Nested per-wallet token list of the PnL record (P19), sorted by
-    address. One entry per traded token of the wallet; the scalable form is
-    ``position_summary`` itself (one row per position)."""
-    from cairn.operators.holders import nest
-    listed = positions.where("is_listed").withColumnsRenamed({"token_address": "address", "token_symbol": "symbol"})
-    return nest(listed, "wallet_address",
-                ["address", "symbol", "realized_pnl", "matched_trades", "unmatched_trades", "purchase_volume",
-                 "matched_sale_volume", "unmatched_sale_volume", "matched_cost_basis", "roi_percent",
-                 "avg_trade_roi"], "tokens")

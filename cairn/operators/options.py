@@ -32,11 +32,11 @@ SELECTION_WEIGHTS = {"liquidity": 0.3, "volume_24h_usd": 0.25, "price_change_24h
 
 
 def token_selection_score(tokens: DataFrame, min_holders: int = 100, min_volume_24h: float = 50_000,
-                          selection_ratio: float = 1.0, max_selected: int = 999_999,
+                          selection_ratio: float = 1.0, max_selected: int | None = None,
                           weights: dict[str, float] | None = None) -> DataFrame:
     """Filter by holders and 24h volume, score = weighted min-max
     normalised inputs (normalisation within the batch and null -> 0: ours),
-    keep the best ceil(n x ratio) up to ``max_selected``. Batch min/max and
+    keep the best ceil(n x ratio), at most ``max_selected`` if given. Batch min/max and
     n are scalar subqueries."""
     w = weights or SELECTION_WEIGHTS
     c = tokens.where((F.col("holder") >= min_holders) & (F.col("volume_24h_usd") >= min_volume_24h))
@@ -49,7 +49,9 @@ def token_selection_score(tokens: DataFrame, min_holders: int = 100, min_volume_
         term = norm * wt
         score = term if score is None else score + term
     n = c.select(F.count(F.lit(1))).scalar()
-    keep = F.least(F.ceil(n * F.lit(selection_ratio)), F.lit(max_selected))
+    keep = F.ceil(n * F.lit(selection_ratio))
+    if max_selected is not None:
+        keep = F.least(keep, F.lit(max_selected))
     scored = c.withColumn("selection_score", score)
     ranked = row_number_ordered(scored, [F.col("selection_score").desc(), F.col("token_address")],
                                 "selection_rank")
@@ -129,13 +131,13 @@ def top_tokens(positions: DataFrame, n: int = 5, hot_threshold: int | None = Non
     """A trader's best ``n`` tokens by realized pnl (n = 5: ours): a
     running count per wallet in pnl order; wallets with very many positions
     take the range-partitioned form."""
-    from cairn.functions.scan import Run, cut, ranged_scan, split_hot, window_scan
+    from cairn.functions.scan import Run, ranged_scan, split_hot, window_scan
     order = [(F.col("realized_pnl"), False), (F.col("token_address"), True)]
     runs = {"token_rank": Run("sum", F.lit(1), cast="int")}
     cold, hot = split_hot(positions, ["wallet_address"], hot_threshold)
     ranked = window_scan(cold, ["wallet_address"], order, runs)
     if hot is not None:
-        ranked = ranked.unionByName(ranged_scan(cut(hot), ["wallet_address"], order, runs))
+        ranked = ranked.unionByName(ranged_scan(hot, ["wallet_address"], order, runs))
     return ranked.where(F.col("token_rank") <= n)
 
 

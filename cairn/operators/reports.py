@@ -14,12 +14,10 @@ def percentiles(df: DataFrame, columns: dict[str, str], qs=(0.95, 0.80, 0.60), d
     <label>_p<q*100>. Distributed: the values are ranked with a range
     partitioning (no single task holds them all, unlike ``percentile``),
     n is a scalar subquery, and only the ranks floor/ceil((n-1)q)+1 are read."""
-    from pyspark import StorageLevel
-
     from cairn.functions.ranking import row_numbers
-    # several jobs read the input (counts, range sampling, ranks): keep it
-    # once; lost blocks are recomputed from lineage
-    df = df.select(*columns.values()).persist(StorageLevel.MEMORY_AND_DISK)
+    from cairn.functions.scan import cut
+    # several jobs read the input (counts, range sampling, ranks)
+    df = cut(df.select(*columns.values()))
     parts = []
     for label, c in columns.items():
         v = df.select(F.col(c).cast("double").alias("v")).where(F.col("v").isNotNull())
@@ -42,9 +40,11 @@ def percentiles(df: DataFrame, columns: dict[str, str], qs=(0.95, 0.80, 0.60), d
 
 
 def status_counts(df: DataFrame, key: list[str] | str, flags: list[str] = (),
-                  times: list[str] = (), names: dict[str, str] | None = None) -> DataFrame:
+                  times: list[str] = (), names: dict[str, str] | None = None, distinct: list[str] = ()) -> DataFrame:
     """A3: total, distinct key (composite keys joined with ':'), per flag the
-    rows true and false, min and max of each time column. One aggregation."""
+    rows true and false, min and max of each time column, further distinct
+    counts as scalar subqueries (several in one aggregation would copy every
+    row per column)."""
     names = names or {}
     keys = [key] if isinstance(key, str) else list(key)
     kcol = F.col(keys[0]) if len(keys) == 1 else F.concat_ws(":", *keys)
@@ -55,6 +55,8 @@ def status_counts(df: DataFrame, key: list[str] | str, flags: list[str] = (),
                  F.count_if(F.col(f) == F.lit(False)).alias(f"{f}_false")]
     for t in times:
         aggs += [F.min(t).alias(f"min_{t}"), F.max(t).alias(f"max_{t}")]
+    for c in distinct:
+        aggs.append(df.select(F.count_distinct(c)).scalar().alias(f"distinct_{c}"))
     return df.agg(*aggs)
 
 
@@ -95,13 +97,15 @@ def share_of_total(df: DataFrame, by: str, drop_null: bool = False, times: str |
 
 def event_overview(ev: DataFrame) -> DataFrame:
     """Count, five distinct counts, first/last event and ingest times."""
+    # one single-column aggregation each: several in one would copy every row per column
+    distinct = lambda c: ev.select(F.count_distinct(c)).scalar()
     return ev.agg(
         F.count(F.lit(1)).alias("total_webhooks"),
-        F.count_distinct("webhook_id").alias("unique_webhooks"),
-        F.count_distinct("transaction_signature").alias("unique_transactions"),
-        F.count_distinct("account_address").alias("unique_accounts"),
-        F.count_distinct("token_address").alias("unique_tokens"),
-        F.count_distinct("webhook_type").alias("unique_webhook_types"),
+        distinct("webhook_id").alias("unique_webhooks"),
+        distinct("transaction_signature").alias("unique_transactions"),
+        distinct("account_address").alias("unique_accounts"),
+        distinct("token_address").alias("unique_tokens"),
+        distinct("webhook_type").alias("unique_webhook_types"),
         F.min("webhook_timestamp").alias("first_webhook"), F.max("webhook_timestamp").alias("last_webhook"),
         F.min("ingested_at").alias("first_ingested"), F.max("ingested_at").alias("last_ingested"),
     )
@@ -269,16 +273,20 @@ def duplicate_percentage_check(df: DataFrame, table: str, key: list[str], max_pc
 # ------------------------------------------------------- tracking integrity
 def tracking_overview(whales: DataFrame, pnl: DataFrame) -> DataFrame:
     """Whales left-joined with PnL records, distinct counts both ways."""
-    p = pnl.select(F.col("wallet_address").alias("pnl_wallet")).distinct()
-    j = whales.join(p, whales.wallet_address == p.pnl_wallet, "left")
-    pp, w, pw = F.col("pnl_processed"), F.col("wallet_address"), F.col("pnl_wallet")
+    # one row per wallet first (partial aggregation), then plain counts
+    one = (whales.where(F.col("wallet_address").isNotNull()).groupBy("wallet_address")
+           .agg(F.max(F.coalesce("pnl_processed", F.lit(False))).alias("yes"),
+                F.max(F.coalesce(~F.col("pnl_processed"), F.lit(False))).alias("no")))
+    p = pnl.select("wallet_address").distinct().withColumn("has", F.lit(True))
+    j = one.join(p, "wallet_address", "left")
+    has = F.col("has").isNotNull()
     return j.agg(
-        F.count_distinct(w).alias("total_whales"),
-        F.count_distinct(F.when(pp == F.lit(True), w)).alias("marked_processed"),
-        F.count_distinct(F.when(pp == F.lit(False), w)).alias("marked_unprocessed"),
-        F.count_distinct(pw).alias("actual_pnl_records"),
-        F.count_distinct(F.when((pp == F.lit(True)) & pw.isNull(), w)).alias("marked_but_no_pnl"),
-        F.count_distinct(F.when((pp == F.lit(False)) & pw.isNotNull(), w)).alias("unmarked_but_has_pnl"),
+        F.count(F.lit(1)).alias("total_whales"),
+        F.count_if("yes").alias("marked_processed"),
+        F.count_if("no").alias("marked_unprocessed"),
+        F.count_if(has).alias("actual_pnl_records"),
+        F.count_if(F.col("yes") & ~has).alias("marked_but_no_pnl"),
+        F.count_if(F.col("no") & has).alias("unmarked_but_has_pnl"),
     )
 
 
@@ -321,9 +329,8 @@ def mismatch_tx_buckets(whales: DataFrame, pnl: DataFrame, transactions: DataFra
 
 
 def token_holder_counts(tokens: DataFrame, holders: DataFrame) -> DataFrame:
-    """Every token with its holder-row count (0 when none), by market cap."""
+    """Every token with its holder-row count (0 when none)."""
     h = holders.groupBy("token_address").agg(F.count("wallet_address").alias("whale_count"))
     j = tokens.select("token_address", "symbol", "market_cap", "price_change_24h_percent") \
         .join(h, "token_address", "left")
-    return j.withColumn("whale_count", F.coalesce("whale_count", F.lit(0))) \
-        .orderBy(F.col("market_cap").desc_nulls_first(), "token_address")
+    return j.withColumn("whale_count", F.coalesce("whale_count", F.lit(0)))

@@ -136,7 +136,7 @@ def score_breakdown() -> list[Column]:
 
 
 def rank_traders(pnl: DataFrame, now: Column, cfg: RankConfig | None = None,
-                 only_eligible: bool = True) -> DataFrame:
+                 only_eligible: bool = True, single_task_rows: int = 1_000_000) -> DataFrame:
     """smart_traders records from wallet PnL records.
 
     overall_rank is the position in G1 order; tier_rank follows the
@@ -171,9 +171,11 @@ def rank_traders(pnl: DataFrame, now: Column, cfg: RankConfig | None = None,
         *criteria_met(t, cfg), *score_breakdown(),
     )
     # G6 + G7 (as coded: overall order inside the tier) share one range shuffle
-    df = row_numbers(df, g1_order(), {"overall_rank": [], "tier_rank": ["performance_tier"]}, known_rows=n)
+    df = row_numbers(df, g1_order(), {"overall_rank": [], "tier_rank": ["performance_tier"]}, known_rows=n,
+                     single_task_rows=single_task_rows)
     df = row_number_ordered(df, [F.col("tier_score").desc(), F.col("overall_rank")],
-                            "tier_rank_by_score", partition_by=["performance_tier"], known_rows=n)
+                            "tier_rank_by_score", partition_by=["performance_tier"], known_rows=n,
+                            single_task_rows=single_task_rows)
     # Record with null -> 0 metrics and a notes line
     metrics = ["coverage_ratio_percent", "total_roi_percent", "avg_roi_percent", "median_roi_percent",
                "total_realized_pnl_usd", "win_rate_percent", "sharpe_ratio", "max_drawdown_percent",

@@ -170,6 +170,70 @@ def q_wallet_pnl_from_swaps(spark, sf_dir):
     return wallet_pnl(fx.swaps_fx(spark, sf_dir))
 
 
+@register("wallet_pnl_ready_wallets", "WITH ready AS (SELECT DISTINCT 'W' || lpad(CAST(user_id // 3 AS VARCHAR), 5, '0') AS wallet_address "
+          "FROM events WHERE (user_id // 3) % 2 = 0),\npnl AS ("
+          + __import__("cairn.plans.sql_pnl", fromlist=["x"]).WALLET_PNL_SWAPS_SQL + ")\n"
+          "SELECT pnl.* FROM pnl WHERE EXISTS (SELECT 1 FROM ready r WHERE r.wallet_address = pnl.wallet_address)")
+def q_wallet_pnl_ready(spark, sf_dir):
+    """Only the transactions of ready wallets (semi join) reach the PnL job."""
+    from cairn.plans.pnl import wallet_pnl
+    ready = fx.table(spark, sf_dir, "events").where("(user_id div 3) % 2 = 0").selectExpr(
+        "concat('W', lpad(cast(user_id div 3 as string), 5, '0')) AS wallet_address").distinct()
+    return wallet_pnl(fx.swaps_fx(spark, sf_dir), ready)
+
+
+ODD_LEGS_SQL = """odd AS (
+  SELECT 'W' || CAST(l_orderkey AS VARCHAR) AS wallet_address, l_linenumber AS leg,
+         CASE l_partkey % 8 WHEN 0 THEN 4e-10 WHEN 1 THEN 3e23 WHEN 2 THEN 1e19 WHEN 3 THEN 0.0 WHEN 4 THEN NULL
+              ELSE CAST(l_quantity AS DOUBLE) END AS amount,
+         CASE l_partkey % 8 WHEN 2 THEN 100.0 WHEN 5 THEN 4e-17 WHEN 6 THEN 0.0 ELSE 1.0 END AS px,
+         CASE WHEN l_partkey % 11 = 0 THEN '' ELSE 'P' || CAST(l_partkey AS VARCHAR) END AS token_address
+  FROM lineitem)"""
+
+
+def odd_swaps(spark, sf_dir):
+    """Base legs with tiny, huge, null and zero amounts and prices and empty
+    addresses; no quote leg."""
+    k, n = F.col("l_partkey") % 8, F.lit(None).cast("string")
+    li = fx.table(spark, sf_dir, "lineitem")
+    amount = (F.when(k == 0, 4e-10).when(k == 1, 3e23).when(k == 2, 1e19).when(k == 3, 0.0)
+              .when(k == 4, F.lit(None).cast("double")).otherwise(F.col("l_quantity").cast("double")))
+    px = F.when(k == 2, 100.0).when(k == 5, 4e-17).when(k == 6, 0.0).otherwise(1.0)
+    token = F.when(F.col("l_partkey") % 11 == 0, "").otherwise(F.concat(F.lit("P"), F.col("l_partkey").cast("string")))
+    return li.select(
+        F.concat(F.lit("W"), F.col("l_orderkey").cast("string")).alias("wallet_address"),
+        F.col("l_linenumber").cast("string").alias("transaction_hash"), F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00'").alias("timestamp"),
+        n.alias("base_symbol"), token.alias("base_address"), F.lit("to").alias("base_type_swap"),
+        amount.alias("base_ui_change_amount"), px.alias("base_nearest_price"),
+        n.alias("quote_symbol"), n.alias("quote_address"), n.alias("quote_type_swap"),
+        F.lit(None).cast("double").alias("quote_ui_change_amount"), F.lit(None).cast("double").alias("quote_nearest_price"))
+
+
+@register("trade_leg_rejects", W(ODD_LEGS_SQL) + """
+SELECT CASE WHEN amount < 5e-10 THEN 'quantity too small' WHEN amount > 1e23 THEN 'quantity too large'
+            WHEN px < 5e-17 THEN 'price too small' ELSE 'value too large' END AS reason,
+       COUNT(*) AS legs
+FROM odd WHERE token_address <> '' AND amount <> 0 AND px > 0
+  AND (amount < 5e-10 OR amount > 1e23 OR px < 5e-17 OR amount * px >= 1e20)
+GROUP BY 1""")
+def q_trade_leg_rejects(spark, sf_dir):
+    """Valid legs outside the fixed-point range, counted by reason."""
+    from cairn.operators.fifo import trade_leg_rejects
+    return trade_leg_rejects(odd_swaps(spark, sf_dir)).groupBy("reason").agg(F.count(F.lit(1)).alias("legs"))
+
+
+@register("trade_legs_odd", W(ODD_LEGS_SQL) + """
+SELECT wallet_address, CAST(leg AS VARCHAR) AS transaction_hash, token_address, amount AS quantity, px AS price
+FROM odd WHERE token_address <> '' AND amount <> 0 AND px > 0
+  AND NOT (amount < 5e-10 OR amount > 1e23 OR px < 5e-17 OR amount * px >= 1e20)""")
+def q_trade_legs_odd(spark, sf_dir):
+    """F12 on the same input: what the FIFO receives."""
+    from cairn.operators.fifo import trade_legs
+    return trade_legs(odd_swaps(spark, sf_dir)).select(
+        "wallet_address", "transaction_hash", "token_address", F.col("quantity").cast("double").alias("quantity"),
+        F.col("price").cast("double").alias("price"))
+
+
 @register("first_trade_per_position", W(fx.TRADES_FX_SQL) + """
 SELECT wallet_address, token_address, arg_min(transaction_hash, ("timestamp", transaction_hash, leg)) AS transaction_hash,
        MIN("timestamp") AS first_at
@@ -240,7 +304,8 @@ def q_holder_record(spark, sf_dir):
 @register("holder_source_tokens", W(fx.HOLDERS_FX_SQL) + """
 SELECT wallet_address, token_address, token_symbol, COALESCE(ui_amount, 0.0) AS ui_amount,
        CAST(COALESCE(rank, 0) AS BIGINT) AS rank
-FROM holders_fx WHERE wallet_address IN (SELECT wallet_address FROM holders_fx WHERE silver_processed = false)""")
+FROM (SELECT *, BOOL_OR(silver_processed = false) OVER (PARTITION BY wallet_address) AS listed FROM holders_fx) h
+WHERE listed""")
 def q_holder_source_tokens(spark, sf_dir):
     return holders.holder_source_tokens(fx.holders_fx(spark, sf_dir))
 

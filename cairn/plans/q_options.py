@@ -9,7 +9,7 @@ from cairn.config import RankConfig
 from cairn.functions.expr import sql_round as R
 from cairn.functions.expr import ts_ntz
 from cairn.operators import options as op
-from cairn.operators.fifo import fifo_match, open_lots, unrealized_pnl
+from cairn.operators.fifo import fifo_split, open_lots, unrealized_pnl
 from cairn.plans import fixtures as fx
 from cairn.plans import sql_gold
 from cairn.plans.registry import QUERIES, register
@@ -20,7 +20,7 @@ FIFO_SQL = "WITH " + fx.TRADES_FX_SQL + ",\nlegs_in AS (SELECT * FROM trades_fx)
 
 
 def _fifo(spark, sf_dir):
-    return fifo_match(fx.trades_fx(spark, sf_dir))
+    return fifo_split(fx.trades_fx(spark, sf_dir))
 
 
 _SEL = dict(min_holders=10, min_volume_24h=500.0, selection_ratio=0.5, max_selected=200)
@@ -73,6 +73,25 @@ def q_leaderboard(spark, sf_dir):
         "performance_tier", "wallet_address", "total_realized_pnl_usd", "win_rate_percent", "total_trades")
 
 
+@register("rank_traders_strict_drawdown", sql_gold.gold_sql().replace(
+    sql_gold.DD, "COALESCE(max_drawdown_percent, 100)") + """
+SELECT wallet_address, performance_tier, CAST(overall_rank AS BIGINT) AS overall_rank, tier_score FROM gold""")
+def q_rank_strict(spark, sf_dir):
+    """G4 with compat=False: a drawdown of 0 counts as 0, not as missing."""
+    from cairn.operators.tiers import rank_traders
+    return rank_traders(QUERIES["wallet_pnl"](spark, sf_dir), ts_ntz(fx.NOW_EVENTS), RankConfig(compat=False)).select(
+        "wallet_address", "performance_tier", "overall_rank", "tier_score")
+
+
+@register("leaderboard_by_rank", sql_gold.gold_sql() + """
+SELECT CAST(overall_rank AS BIGINT) AS overall_rank, wallet_address, performance_tier, tier_score FROM gold""")
+def q_leaderboard_rank(spark, sf_dir):
+    """G16 by overall rank."""
+    from cairn.operators.tiers import leaderboard
+    return leaderboard(QUERIES["rank_traders"](spark, sf_dir)).select(
+        "overall_rank", "wallet_address", "performance_tier", "tier_score")
+
+
 @register("frequency_cap", sql_gold.gold_sql() + """
 SELECT wallet_address, trade_frequency_per_day FROM gold
 WHERE trade_frequency_per_day IS NULL OR trade_frequency_per_day <= 2""")
@@ -159,7 +178,7 @@ def q_unrealized_pnl(spark, sf_dir):
     t = fx.trades_fx(spark, sf_dir)
     prices = t.groupBy("token_address").agg(
         F.max_by("price", F.struct("timestamp", "transaction_hash")).alias("current_price"))
-    u = unrealized_pnl(open_lots(fifo_match(t)), prices)
+    u = unrealized_pnl(open_lots(fifo_split(t)), prices)
     return u.select("wallet_address", "token_address", F.col("open_quantity").cast("double").alias("open_quantity"),
                     *[F.round(c, 2).cast("double").alias(c) for c in ("open_cost", "current_value", "unrealized_pnl")])
 
@@ -174,7 +193,7 @@ SELECT wallet_address, token_address, transaction_hash, leg, CAST(remaining AS D
 FROM lots2 WHERE remaining > 0""")
 def q_open_lots(spark, sf_dir):
     """What is left of every buy lot after all sells (remaining units and cost)."""
-    lots = open_lots(fifo_match(fx.trades_fx(spark, sf_dir)))
+    lots = open_lots(fifo_split(fx.trades_fx(spark, sf_dir)))
     return lots.select("wallet_address", "token_address", "transaction_hash", "leg",
                        F.col("remaining_quantity").cast("double").alias("remaining_quantity"),
                        F.round("remaining_cost", 2).cast("double").alias("remaining_cost"))

@@ -63,6 +63,26 @@ def q_status_transactions(spark, sf_dir):
     return rp.status_counts(fx.swaps_fx(spark, sf_dir), "transaction_hash", [], ["timestamp"])
 
 
+@register("status_silver_tokens", W(fx.TOKENS_FX_SQL) + """
+SELECT COUNT(token_address) AS total, COUNT(DISTINCT token_address) AS distinct_keys, COUNT(DISTINCT symbol) AS distinct_symbol,
+       COUNT(DISTINCT name) AS distinct_name,
+       CAST(0 AS BIGINT) AS whales_processed_true, COUNT(*) AS whales_processed_false
+FROM tokens_fx WHERE silver_processed = false""")
+def q_status_silver_tokens(spark, sf_dir):
+    from cairn.operators import clean
+    rec = clean.silver_token_record(fx.tokens_fx(spark, sf_dir), ts_ntz(fx.NOW_ORDERS))
+    return rp.status_counts(rec, "token_address", ["whales_processed"], distinct=["symbol", "name"])
+
+
+@register("status_wallet_pnl", W(fx.PNL_PRESENT_FX_SQL) + """
+SELECT COUNT(wallet_address) AS total, COUNT(DISTINCT wallet_address) AS distinct_keys,
+       COUNT(*) FILTER (WHERE gold_processed = true) AS gold_processed_true,
+       COUNT(*) FILTER (WHERE gold_processed = false) AS gold_processed_false
+FROM pnl_present_fx""")
+def q_status_wallet_pnl(spark, sf_dir):
+    return rp.status_counts(fx.pnl_present_fx(spark, sf_dir), "wallet_address", ["gold_processed"])
+
+
 @register("wallet_status", W(fx.WALLETS_FX_SQL) + """
 SELECT COUNT(*) AS total_whales, COUNT(*) FILTER (WHERE transactions_processed = true) AS transactions_done,
        COUNT(*) FILTER (WHERE pnl_processed = true) AS pnl_done,
@@ -281,57 +301,47 @@ def _orders_tx(spark, sf_dir):
         "cast(o_orderkey as string) AS transaction_hash")
 
 
-@register("tracking_overview", TRACK + """
-SELECT COUNT(DISTINCT sw.wallet_address) AS total_whales,
-       COUNT(DISTINCT CASE WHEN sw.pnl_processed = true THEN sw.wallet_address END) AS marked_processed,
-       COUNT(DISTINCT CASE WHEN sw.pnl_processed = false THEN sw.wallet_address END) AS marked_unprocessed,
-       COUNT(DISTINCT p.wallet_address) AS actual_pnl_records,
-       COUNT(DISTINCT CASE WHEN sw.pnl_processed = true AND p.wallet_address IS NULL THEN sw.wallet_address END)
-         AS marked_but_no_pnl,
-       COUNT(DISTINCT CASE WHEN sw.pnl_processed = false AND p.wallet_address IS NOT NULL THEN sw.wallet_address END)
-         AS unmarked_but_has_pnl
-FROM wallets_fx sw LEFT JOIN pnl_present_fx p ON sw.wallet_address = p.wallet_address""")
+@register("tracking_overview", TRACK + """,
+flags AS (SELECT wallet_address, BOOL_OR(pnl_processed) AS yes, BOOL_OR(NOT pnl_processed) AS no,
+                 wallet_address IN (SELECT wallet_address FROM pnl_present_fx) AS has FROM wallets_fx GROUP BY wallet_address)
+SELECT COUNT(*) AS total_whales, COUNT(*) FILTER (WHERE yes) AS marked_processed, COUNT(*) FILTER (WHERE no) AS marked_unprocessed,
+       COUNT(*) FILTER (WHERE has) AS actual_pnl_records, COUNT(*) FILTER (WHERE yes AND NOT has) AS marked_but_no_pnl,
+       COUNT(*) FILTER (WHERE no AND has) AS unmarked_but_has_pnl
+FROM flags""")
 def q_tracking_overview(spark, sf_dir):
     return rp.tracking_overview(fx.wallets_fx(spark, sf_dir), fx.pnl_present_fx(spark, sf_dir))
 
 
 @register("processed_without_record", TRACK + """
-SELECT sw.* FROM wallets_fx sw LEFT JOIN pnl_present_fx p ON sw.wallet_address = p.wallet_address
-WHERE sw.pnl_processed = true AND p.wallet_address IS NULL""")
+SELECT * FROM wallets_fx WHERE pnl_processed AND wallet_address NOT IN (SELECT wallet_address FROM pnl_present_fx)""")
 def q_processed_without_record(spark, sf_dir):
     return rp.processed_without_record(fx.wallets_fx(spark, sf_dir), fx.pnl_present_fx(spark, sf_dir))
 
 
 @register("tracking_mismatches", TRACK + """
-SELECT sw.wallet_address, sw.pnl_processed, sw.transactions_processed,
-       CASE WHEN p.wallet_address IS NOT NULL THEN 'YES' ELSE 'NO' END AS has_pnl_record
-FROM wallets_fx sw LEFT JOIN pnl_present_fx p ON sw.wallet_address = p.wallet_address
-WHERE (sw.pnl_processed = true AND p.wallet_address IS NULL)
-   OR (sw.pnl_processed = false AND p.wallet_address IS NOT NULL)""")
+SELECT wallet_address, pnl_processed, transactions_processed, CASE WHEN has THEN 'YES' ELSE 'NO' END AS has_pnl_record
+FROM (SELECT *, wallet_address IN (SELECT wallet_address FROM pnl_present_fx) AS has FROM wallets_fx) w
+WHERE pnl_processed <> has""")
 def q_tracking_mismatches(spark, sf_dir):
     return rp.tracking_mismatches(fx.wallets_fx(spark, sf_dir), fx.pnl_present_fx(spark, sf_dir))
 
 
 @register("flags_breakdown", TRACK + """
-SELECT sw.pnl_processed, sw.transactions_processed, COUNT(DISTINCT sw.wallet_address) AS whale_count,
-       COUNT(DISTINCT p.wallet_address) AS pnl_record_count
-FROM wallets_fx sw LEFT JOIN pnl_present_fx p ON sw.wallet_address = p.wallet_address
-GROUP BY sw.pnl_processed, sw.transactions_processed""")
+SELECT pnl_processed, transactions_processed, COUNT(*) AS whale_count, COUNT(*) FILTER (WHERE has) AS pnl_record_count
+FROM (SELECT DISTINCT wallet_address, pnl_processed, transactions_processed,
+             wallet_address IN (SELECT wallet_address FROM pnl_present_fx) AS has FROM wallets_fx) w
+GROUP BY ALL""")
 def q_flags_breakdown(spark, sf_dir):
     return rp.flags_breakdown(fx.wallets_fx(spark, sf_dir), fx.pnl_present_fx(spark, sf_dir))
 
 
 @register("mismatch_tx_buckets", W(fx.WALLETS_FX_SQL, fx.PNL_PRESENT_FX_SQL, ORDERS_TX) + """,
-processed_no_pnl AS (
-  SELECT sw.wallet_address FROM wallets_fx sw LEFT JOIN pnl_present_fx p ON sw.wallet_address = p.wallet_address
-  WHERE sw.pnl_processed = true AND p.wallet_address IS NULL),
-tc AS (SELECT n.wallet_address, COUNT(t.transaction_hash) AS tx_count
-       FROM processed_no_pnl n LEFT JOIN orders_tx t ON n.wallet_address = t.wallet_address
-       GROUP BY n.wallet_address)
-SELECT CASE WHEN tx_count = 0 THEN '0 transactions' WHEN tx_count BETWEEN 1 AND 4 THEN '1-4 transactions'
-            WHEN tx_count >= 5 THEN '5+ transactions' END AS transaction_range,
+per_wallet AS (
+  SELECT (SELECT COUNT(t.transaction_hash) FROM orders_tx t WHERE t.wallet_address = w.wallet_address) AS n
+  FROM wallets_fx w WHERE pnl_processed AND wallet_address NOT IN (SELECT wallet_address FROM pnl_present_fx))
+SELECT CASE WHEN n >= 5 THEN '5+ transactions' WHEN n >= 1 THEN '1-4 transactions' ELSE '0 transactions' END AS transaction_range,
        COUNT(*) AS whale_count
-FROM tc GROUP BY 1""")
+FROM per_wallet GROUP BY 1""")
 def q_mismatch_tx_buckets(spark, sf_dir):
     return rp.mismatch_tx_buckets(fx.wallets_fx(spark, sf_dir), fx.pnl_present_fx(spark, sf_dir),
                                   _orders_tx(spark, sf_dir))

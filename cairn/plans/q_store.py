@@ -13,16 +13,16 @@ from cairn.plans.registry import register
 W = fx.with_ctes
 BATCH_SQL = """tgt AS (SELECT token_address, price, liquidity, silver_processed, silver_processed_at
                 FROM tokens_fx WHERE p_partkey % 2 = 0),
-src AS (SELECT token_address, price + 1 AS price, liquidity FROM tokens_fx WHERE p_partkey % 3 = 0)"""
+src AS (SELECT token_address, price + 1 AS price, liquidity FROM tokens_fx WHERE p_partkey % 2 = 1 OR p_partkey % 3 = 0)"""
 
 
 def batch_fx(spark, sf_dir):
-    """existing tokens (even keys, with flags) and an incoming batch (keys
-    divisible by 3, new prices, no flags)."""
+    """existing tokens (even keys, with flags) and an incoming batch (odd keys
+    and keys divisible by 3, new prices, no flags): every row is in one or both."""
     t = fx.tokens_fx(spark, sf_dir)
     tgt = t.where("p_partkey % 2 = 0").select("token_address", "price", "liquidity",
                                               "silver_processed", "silver_processed_at")
-    src = t.where("p_partkey % 3 = 0").select("token_address", (F.col("price") + 1).alias("price"),
+    src = t.where("p_partkey % 2 = 1 OR p_partkey % 3 = 0").select("token_address", (F.col("price") + 1).alias("price"),
                                               "liquidity")
     return tgt, src
 
@@ -260,3 +260,86 @@ SELECT task_name, state, COUNT(*) AS entity_count FROM folded GROUP BY task_name
 def q_state_by_task(spark, sf_dir):
     """A13 (notebook form): entities per (task, state)."""
     return _folded(spark, sf_dir).groupBy("task_name", "state").agg(F.count(F.lit(1)).alias("entity_count"))
+
+
+# ------------------------------------------------------------- table store
+def _store(spark):
+    """A store under the session's checkpoint folder (these entries write)."""
+    import uuid
+
+    from cairn.session import ensure_checkpoint_dir
+    from cairn.sources.store import TableStore
+    return TableStore(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/cairn-store-{uuid.uuid4().hex}")
+
+
+@register("store_scan", W(fx.TOKENS_FX_SQL) + """
+SELECT token_address, price, liquidity FROM tokens_fx""")
+def q_store_scan(spark, sf_dir):
+    """A written table read back with three of its columns."""
+    s = _store(spark)
+    s.write("tokens", fx.tokens_fx(spark, sf_dir))
+    return s.read("tokens", ["token_address", "price", "liquidity"])
+
+
+@register("store_append", W(fx.TOKENS_FX_SQL) + """
+SELECT token_address, price, silver_processed FROM tokens_fx""")
+def q_store_append(spark, sf_dir):
+    """A table and two appended batches read as one."""
+    s = _store(spark)
+    t = fx.tokens_fx(spark, sf_dir)
+    for r in range(3):
+        s.append("tokens", t.where(F.col("p_partkey") % 3 == r).select("token_address", "price", "silver_processed"))
+    return s.read("tokens")
+
+
+@register("store_first_upsert", W(fx.TOKENS_FX_SQL, BATCH_SQL) + """
+SELECT token_address, price, liquidity, false AS silver_processed FROM src""")
+def q_store_first_upsert(spark, sf_dir):
+    """S7 into a table that does not exist: repeated keys merged, defaults set."""
+    s = _store(spark)
+    _, src = batch_fx(spark, sf_dir)
+    s.upsert("tokens", src.unionByName(src), ["token_address"], ["price", "liquidity"], DEFAULTS)
+    return s.read("tokens")
+
+
+@register("store_partitioned_write", W(fx.WEBHOOKS_FX_SQL) + """
+SELECT webhook_id, CAST(CAST(webhook_timestamp AS DATE) AS VARCHAR) AS processing_date FROM webhooks_fx""")
+def q_store_partitioned_write(spark, sf_dir):
+    """Partitions by date, one half rewritten: nothing lost, nothing doubled."""
+    from cairn.sources.store import partitioned_write
+    e = fx.webhooks_fx(spark, sf_dir).select("webhook_id", F.to_date("webhook_timestamp").alias("processing_date"))
+    path = _store(spark).path("events")
+    partitioned_write(e, path)
+    partitioned_write(e.where(F.dayofmonth("processing_date") <= 15), path)
+    return spark.read.parquet(path).select("webhook_id", F.col("processing_date").cast("string").alias("processing_date"))
+
+
+@register("table_schema", W(fx.TOKENS_FX_SQL) + """
+SELECT column_name, data_type, column_default FROM (VALUES ('token_address', 'string', NULL), ('price', 'double', NULL),
+  ('silver_processed', 'boolean', 'false')) AS c(column_name, data_type, column_default)
+WHERE EXISTS (SELECT 1 FROM tokens_fx)""")
+def q_table_schema(spark, sf_dir):
+    """Columns, types and defaults."""
+    from cairn.sources.store import table_schema
+    t = fx.tokens_fx(spark, sf_dir).select("token_address", F.col("price").cast("double").alias("price"), "silver_processed")
+    return table_schema(t, DEFAULTS).drop("is_nullable")
+
+
+@register("read_json_drop", W(fx.WEBHOOKS_FX_SQL) + """
+SELECT DISTINCT 'doc' || CAST(webhook_id % 40 AS VARCHAR) AS doc, CASE WHEN webhook_id % 40 < 20 THEN 1 ELSE 2 END AS call
+FROM webhooks_fx""")
+def q_read_json_drop(spark, sf_dir):
+    """Files dropped before and between two calls; the second call sees
+    only what the first did not."""
+    from cairn.functions.scan import cut
+    from cairn.sources.json_pages import read_json_drop
+    path = _store(spark).path("drop")
+    docs = fx.webhooks_fx(spark, sf_dir).select((F.col("webhook_id") % 40).alias("i")).distinct()
+    land = lambda d: (d.select(F.concat(F.lit("doc"), F.col("i").cast("string")).alias("id"))
+                      .write.mode("append").option("maxRecordsPerFile", 1).json(path))
+    doc = F.get_json_object("value", "$.id").alias("doc")
+    land(docs.where("i < 20"))
+    first = cut(read_json_drop(spark, path)[0])
+    land(docs.where("i >= 20"))
+    second = read_json_drop(spark, path, first.select("file"))[0]
+    return first.select(doc, F.lit(1).alias("call")).unionByName(second.select(doc, F.lit(2).alias("call")))

@@ -40,12 +40,18 @@ def q_activity_windows(spark, sf_dir):
                                    exact_distinct=True)
 
 
-@register("ingest_stream")
+@register("ingest_stream", W(fx.WEBHOOKS_FX_SQL) + """
+SELECT CASE WHEN odd THEN NULL ELSE transaction_signature END AS transaction_signature,
+       CASE WHEN odd THEN 'UNKNOWN' ELSE COALESCE(webhook_type, 'UNKNOWN') END AS webhook_type,
+       CASE WHEN odd THEN NULL ELSE account_address END AS account_address,
+       CASE WHEN odd THEN NULL ELSE token_address END AS token_address, 'pending' AS processing_status
+FROM (SELECT *, webhook_id % 13 = 0 OR webhook_id % 17 = 0 OR webhook_id % 19 = 0 OR webhook_id % 23 = 0 AS odd
+      FROM webhooks_fx) x""")
 def q_ingest_stream(spark, sf_dir):
-    """T1/T2/T7 end to end: payload lines of every pushed event (duplicates
-    included) land as files under the session's checkpoint folder, a file
-    stream writes them micro-batch by micro-batch, the epochs are compacted
-    into a table and returned: one row per distinct payload."""
+    """T1/T2/T7 end to end (runs a stream): payload lines of every pushed
+    event land as files under the session's checkpoint folder, a file stream
+    writes them micro-batch by micro-batch, the epochs are compacted into a
+    table and returned: one row per push, equal payloads included."""
     from cairn.plans.q_sources import event_payloads
     from cairn.session import ensure_checkpoint_dir
     from cairn.sources.store import TableStore
@@ -58,5 +64,4 @@ def q_ingest_stream(spark, sf_dir):
     store = TableStore(spark, f"{base}/tables")
     ingest.compact(spark, f"{base}/events", store)
     return store.read(ingest.EVENT_TABLE).select(
-        "webhook_id", "transaction_signature", "webhook_type", "account_address", "token_address",
-        "raw_payload", "processing_status")
+        "transaction_signature", "webhook_type", "account_address", "token_address", "processing_status")

@@ -1,7 +1,9 @@
 """Registered queries: id -> (spark builder, DuckDB oracle SQL or None).
 
 Every builder takes (spark, sf_dir), reads whole driver tables through the
-fixture projections and returns a DataFrame without running an action."""
+fixture projections and returns a DataFrame. Most run nothing before the
+result is read; range-sliced ranks, hot-key checks, stores and streams need
+jobs of their own and say so."""
 
 from __future__ import annotations
 
@@ -37,8 +39,8 @@ def q_wallet_pnl(spark, sf_dir):
 
 @register("fifo_match", sql_pnl.FIFO_MATCH_SQL)
 def q_fifo_match(spark, sf_dir):
-    from cairn.operators.fifo import fifo_match, sells
-    s = sells(fifo_match(fx.trades_fx(spark, sf_dir)))
+    from cairn.operators.fifo import fifo_split, sells
+    s = sells(fifo_split(fx.trades_fx(spark, sf_dir)))
     return s.select(
         "wallet_address", "token_address", "transaction_hash", "leg", "timestamp",
         F.col("quantity").cast("double").alias("quantity"),
@@ -53,9 +55,9 @@ def q_fifo_match(spark, sf_dir):
 
 @register("position_summary", sql_pnl.POSITIONS_SQL)
 def q_position_summary(spark, sf_dir):
-    from cairn.operators.fifo import fifo_match
+    from cairn.operators.fifo import fifo_split
     from cairn.operators.metrics import position_summary
-    return position_summary(fifo_match(fx.trades_fx(spark, sf_dir)))
+    return position_summary(fifo_split(fx.trades_fx(spark, sf_dir)))
 
 
 # ----------------------------------------------------------------------- gold
@@ -110,10 +112,4 @@ def q_score_percentiles(spark, sf_dir):
 
 def _load_all() -> None:
     """Import the modules that register the remaining query families."""
-    import importlib
-    for m in ("q_clean", "q_reports", "q_store", "q_sources", "q_stream", "q_options"):
-        try:
-            importlib.import_module(f"cairn.plans.{m}")
-        except ModuleNotFoundError as e:
-            if e.name != f"cairn.plans.{m}":
-                raise
+    from cairn.plans import q_clean, q_hot, q_options, q_reports, q_sources, q_store, q_stream  # noqa: F401

@@ -92,8 +92,8 @@ agg AS (
          SUM(CASE WHEN is_win THEN pnl END) AS win_pnl, SUM(CASE WHEN is_loss THEN pnl END) AS loss_pnl,
          SUM(pv) AS pv, SUM(mp) AS mp, SUM(up) AS up, SUM(sv) AS sv, SUM(cost) AS cost,
          AVG(roi) AS avg_roi,
-         SUM(CASE WHEN is_matched THEN pnl END) AS s1,
-         SUM(CASE WHEN is_matched THEN pnl * pnl END) AS s2,
+         AVG(CASE WHEN is_matched THEN CAST(pnl AS DOUBLE) END) AS mean_pnl,
+         STDDEV_POP(CASE WHEN is_matched THEN CAST(pnl AS DOUBLE) END) AS sd_pnl,
          COUNT(DISTINCT token_address) AS ntok
   FROM tr GROUP BY wallet_address),
 {span_cte},
@@ -105,7 +105,7 @@ w0 AS (
          COALESCE(pv, 0) AS pv, COALESCE(mp, 0) AS mp, COALESCE(up, 0) AS up, COALESCE(sv, 0) AS sv,
          COALESCE(cost, 0) AS cost, COALESCE(avg_roi, 0.0) AS avg_roi,
          COALESCE(median_roi, 0.0) AS median_roi, COALESCE(max_dd, 0.0) AS max_dd,
-         s1, s2, COALESCE(ntok, 0) AS ntok,
+         mean_pnl, sd_pnl, COALESCE(ntok, 0) AS ntok,
          CASE WHEN span.first_trade_at IS NOT NULL AND span.last_trade_at IS NOT NULL
               THEN date_diff('microsecond', span.first_trade_at, span.last_trade_at) // 86400000000 + 1
               ELSE 0 END AS days
@@ -116,11 +116,10 @@ w1 AS (
          {_div('matched', 'matched + unmatched')} * 100 AS coverage,
          {_div('matched', 'days')} AS freq,
          CASE WHEN cost > 0 THEN CAST(pnl AS DOUBLE) / CAST(cost AS DOUBLE) * 100 ELSE 0.0 END AS roi,
-         CAST(matched * s2 - s1 * s1 AS DOUBLE) AS var_num,
          pv + sv AS volume
   FROM w0),
 w2 AS (
-  SELECT *, CASE WHEN matched > 1 AND var_num > 0 THEN CAST(s1 AS DOUBLE) / SQRT(var_num) ELSE 0.0 END AS sharpe,
+  SELECT *, CASE WHEN matched > 1 AND sd_pnl > 0 THEN mean_pnl / sd_pnl ELSE 0.0 END AS sharpe,
          (win + loss) >= 5 AND coverage >= 70 AND win_rate >= 60 AND pnl > 500 AND roi >= 20 AND days >= 2
            AS eligible
   FROM w1)

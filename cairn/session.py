@@ -25,6 +25,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if driver_memory:
         builder = builder.config("spark.driver.memory", driver_memory)
@@ -36,10 +37,13 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in
-    ``spark.checkpoint.dir``; only when it is unset (tests) create a scratch one."""
+    ``spark.checkpoint.dir``. A cluster session without it is an error; only a
+    local session (one JVM, tests) gets a scratch folder."""
     sc = spark.sparkContext
     path = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="cairn-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)

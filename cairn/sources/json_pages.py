@@ -90,6 +90,11 @@ def normalize_holders(pages: DataFrame) -> DataFrame:
     return out.where(F.col("wallet_address").isNotNull() & (F.col("wallet_address") != ""))
 
 
+def successful_pages(pages: DataFrame) -> DataFrame:
+    """The landed pages (column ``value``, others kept) that count as fetched."""
+    return pages.where(_ok(F.from_json("value", TX_PAGE_RAW)))
+
+
 def _tx_cols(prefix: str = "x") -> list[Column]:
     cols = [F.col(f"{prefix}.tx_hash").alias("transaction_hash"),
             F.col(f"{prefix}.block_unix_time").try_cast("long").alias("block_unix_time"),
@@ -150,25 +155,24 @@ def extract_event(payload: Column) -> list[Column]:
     ]
 
 
-def event_id(payload: Column) -> Column:
-    """Content-derived id (sha2 of the payload) so replays are idempotent."""
-    return F.sha2(payload, 256)
-
-
-def read_json_drop(spark, path: str, max_files: int = 500) -> tuple[DataFrame, DataFrame]:
-    """S10 (batch form): the oldest ``max_files`` pending JSON files of a
-    folder, one document per file -> (valid documents, rejects with the file
-    name). A file that does not parse is set aside, not fatal. The listing is
-    bounded by ``max_files``; the stream form is ``streaming.ingest``."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    files = [st for st in fs.listStatus(root) if st.isFile() and st.getPath().getName().endswith(".json")]
-    files = sorted(files, key=lambda st: (st.getModificationTime(), st.getPath().getName()))[:max_files]
-    if not files:
-        empty = spark.createDataFrame([], "value string, file string")
-        return empty, empty
-    docs = (spark.read.option("wholetext", "true").text([f.getPath().toString() for f in files])
+def event_id(payload: Column, delivery: Column | None = None) -> Column:
+    """Id of one delivered push: hash of the payload and, if given, of where it
+    was delivered (file and occurrence, or broker partition and offset), so
+    that a replay gives the same id and equal payloads pushed twice two ids."""
+    return F.sha2(payload if delivery is None else F.concat_ws("\n", payload, delivery), 256)
+
+
+def read_json_drop(spark, path: str, done: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """S10 (batch form): the pending JSON files of a folder, one document per
+    file -> (valid documents, rejects with the file name). ``done`` (column
+    ``file``) holds the files of earlier calls, which are left out before
+    their text is read into any result; append the returned ``file`` columns
+    to it. A file that does not parse is set aside, not fatal. Spark lists and
+    reads the folder; the micro-batch form (at most so many files at a time)
+    is ``streaming.ingest``."""
+    docs = (spark.read.option("wholetext", "true").option("pathGlobFilter", "*.json").text(path)
             .withColumn("file", F.input_file_name()))
+    if done is not None:
+        docs = docs.join(done.select("file").distinct(), "file", "left_anti").select("value", "file")
     ok = F.try_parse_json("value").isNotNull()
     return docs.where(ok), docs.where(~ok)

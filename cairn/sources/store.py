@@ -1,16 +1,20 @@
 """Versioned Parquet tables on a shared filesystem.
 
-A table is a directory of immutable versions ``<root>/<name>/v=<n>``; each
-version is written by one Spark job and counts once its ``_SUCCESS`` marker
-exists. Readers take the highest committed version, so a rewrite (upsert,
-mark-processed, reset) never overwrites the files it reads, a failed job
-leaves the previous version current, and a retried job simply writes the next
-version. The Hadoop FileSystem API is used for listing, so the root may be
+A table is a directory of versions ``<root>/<name>/v=<n>``, a version a
+directory of batches; each batch is written by one Spark job and counts once
+its ``_SUCCESS`` marker exists, a version once its first batch (``b=0``) does.
+Readers take the committed batches of the highest committed version, so a
+rewrite (upsert, mark-processed, reset) never overwrites the files it reads, a
+part-written append is not seen, a failed job leaves the previous state
+current. A version number is claimed by creating a file exclusively: of two
+writers of the same version one fails. The Hadoop FileSystem API is used for listing, so the root may be
 any shared store Spark can write (HDFS, object store, local in tests)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -28,11 +32,17 @@ def _versions(spark: SparkSession, table_dir: str) -> list[int]:
     out = []
     for st in fs.listStatus(p):
         name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(st.getPath().suffix("/_SUCCESS")):
+        if name.startswith("v=") and fs.exists(st.getPath().suffix("/b=0/_SUCCESS")):
             out.append(int(name[2:]))
     return sorted(out)
 
 
+def _batches(spark: SparkSession, version_dir: str) -> list[str]:
+    fs, p = _fs(spark, version_dir)
+    return sorted(st.getPath().toString() for st in fs.listStatus(p)
+                  if st.getPath().getName().startswith("b=") and fs.exists(st.getPath().suffix("/_SUCCESS")))
+
+
 class TableStore:
     """Named tables under one root directory."""
 
@@ -59,36 +69,57 @@ class TableStore:
                 raise FileNotFoundError(f"table {name} has no committed version under {self.root}")
             df = self.spark.createDataFrame([], schema)
         else:
-            df = self.spark.read.parquet(self.path(name, v))
+            df = self.spark.read.parquet(*_batches(self.spark, self.path(name, v)))
         return df.select(*columns) if columns else df
 
     def write(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> int:
-        """Write ``df`` as the next version and return its number."""
+        """Write ``df`` as the next version and return its number. Raises if
+        another writer has claimed that version within this attempt's base: the
+        caller then reads the new state and tries again. A claim whose writer
+        died is passed over by the next number."""
         v = (self.current_version(name) or 0) + 1
+        while not self._claim(name, v):
+            if v <= (self.current_version(name) or 0):
+                raise RuntimeError(f"table {name} was rewritten meanwhile: read it again")
+            v += 1
         w = df.write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.parquet(self.path(name, v))
+        w.parquet(f"{self.path(name, v)}/b=0")
         return v
 
+    def _claim(self, name: str, v: int) -> bool:
+        fs, p = _fs(self.spark, f"{self.path(name, v)}/_CLAIM")
+        if fs.exists(p):
+            return False
+        try:
+            fs.create(p, False).close()
+        except Exception:  # created by another writer between the two calls
+            return False
+        return True
+
     def append(self, name: str, df: DataFrame) -> int:
-        """All-or-nothing append of new files into the current version
-        (the job commit publishes them together); the cost is the batch, not
-        the table. Columns follow the table's schema."""
+        """All-or-nothing append of a batch to the current version; the cost
+        is the batch, not the table. Columns follow the table's schema."""
         v = self.current_version(name)
         if v is None:
             return self.write(name, df)
         cols = self.read(name).columns
-        df.select(*cols).write.mode("append").parquet(self.path(name, v))
+        df.select(*cols).write.parquet(f"{self.path(name, v)}/b={uuid.uuid4().hex}")
         return v
 
     def upsert(self, name: str, source: DataFrame, keys: list[str], update_cols: list[str] | None = None,
                defaults: dict | None = None) -> int:
-        """S7 on files: merge into a new version (never the path being read)."""
+        """S7 on files: merge into a new version (never the path being read).
+        The first upsert merges into an empty table of the source's columns
+        and the defaults."""
         from cairn.operators.incremental import upsert
-        if not self.exists(name):
-            return self.write(name, source)
-        return self.write(name, upsert(self.read(name), source, keys, update_cols, defaults))
+        if self.exists(name):
+            target = self.read(name)
+        else:
+            extra = {c: (d if isinstance(d, Column) else F.lit(d)) for c, d in (defaults or {}).items() if c not in source.columns}
+            target = source.withColumns(extra).limit(0) if extra else source.limit(0)
+        return self.write(name, upsert(target, source, keys, update_cols, defaults))
 
     def rewrite(self, name: str, fn) -> int:
         """Apply a DataFrame -> DataFrame rewrite (M1, M7, M10) as a new version."""
@@ -129,8 +160,10 @@ def partitioned_write(df: DataFrame, path: str, date_col: str = "processing_date
      .partitionBy(date_col).parquet(path))
 
 
-def table_schema(df: DataFrame) -> DataFrame:
-    """Column name, type and nullability as rows."""
+def table_schema(df: DataFrame, defaults: dict | None = None) -> DataFrame:
+    """Column name, type, nullability and declared default as rows."""
     spark = df.sparkSession
-    rows = [(f.name, f.dataType.simpleString(), f.nullable) for f in df.schema.fields]
-    return spark.createDataFrame(rows, "column_name string, data_type string, is_nullable boolean")
+    known = defaults or {}
+    rows = [(f.name, f.dataType.simpleString(), f.nullable, None if known.get(f.name) is None else str(known[f.name]).lower())
+            for f in df.schema.fields]
+    return spark.createDataFrame(rows, "column_name string, data_type string, is_nullable boolean, column_default string")

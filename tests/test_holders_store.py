@@ -50,7 +50,14 @@ def test_versioned_store(spark):
     assert st.read("t").count() == 4
     partitioned_write(df.withColumn("processing_date", F.lit("2024-01-01")), f"{root}/p")
     assert spark.read.parquet(f"{root}/p").count() == 2
-    assert [r.column_name for r in table_schema(df).collect()] == ["k", "v"]
+    assert [(r.column_name, r.column_default) for r in table_schema(df, {"v": 0}).collect()] == [("k", None), ("v", "0")]
+    # a part-written append is not read; the first upsert merges
+    import os
+    os.makedirs(f"{root}/t/v=2/b=broken")
+    assert st.read("t").count() == 4
+    nan = spark.createDataFrame([("a", float("nan")), ("a", 2.0)], "k string, x double")
+    st.upsert("first", nan, ["k"], ["x"], {"flag": False})
+    assert [tuple(r) for r in st.read("first").collect()] == [("a", 2.0, False)]
 
 
 def test_holder_band_hot_tokens_same(spark):

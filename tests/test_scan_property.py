@@ -45,3 +45,21 @@ def test_range_row_numbers_equal_windows(spark, data):
                            "rg": F.row_number().over(Window.partitionBy("g").orderBy(*order))})
     cols = ["v", "g", "r", "rg"]
     assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, want.select(cols).collect()))
+
+
+def test_range_ranks_on_a_table_that_is_sampled(spark):
+    """100,000 rows with all columns: the range exchange samples its bounds."""
+    from pyspark.sql import functions as F
+
+    from cairn.functions.ranking import row_numbers
+    ev = spark.read.parquet("/root/testdata/sf0.1/events.parquet")
+    n = ev.count()
+    for parts in (4, 16, 200):
+        got = row_numbers(ev.repartition(7), ["ts", "event_id"], {"r": []}, num_partitions=parts)
+        row = got.agg(F.count("*"), F.count_distinct("r"), F.min("r"), F.max("r")).first()
+        assert tuple(row) == (n, n, 1, n)
+    runs = {"s": Run("sum", F.lit(1)), "m": Run("max", F.col("event_id"))}
+    order = [(F.col("ts"), True), (F.col("event_id"), True)]
+    a = window_scan(ev, ["user_id"], order, runs).select("event_id", "s", "m")
+    b = ranged_scan(ev.repartition(5), ["user_id"], order, runs, slices=16).select("event_id", "s", "m")
+    assert b.count() == n and a.exceptAll(b).isEmpty()

@@ -61,5 +61,11 @@ def test_read_json_drop_sets_bad_files_aside(spark):
     for i, body in enumerate(['[{"signature": "a"}]', "{broken", '{"x": 1}', "not json"]):
         with open(os.path.join(d, f"e{i}.json"), "w") as f:
             f.write(body)
-    ok, bad = jp.read_json_drop(spark, d, max_files=3)
-    assert ok.count() == 2 and bad.count() == 1
+    ok, bad = jp.read_json_drop(spark, d)
+    assert (ok.count(), bad.count()) == (2, 2)
+    seen = ok.select("file").unionByName(bad.select("file"))
+    done = spark.createDataFrame(seen.collect(), "file string")
+    with open(os.path.join(d, "late.json"), "w") as f:
+        f.write('{"late": 1}')
+    ok, bad = jp.read_json_drop(spark, d, done)   # only what earlier calls have not seen
+    assert [r.value for r in ok.collect()] == ['{"late": 1}'] and bad.count() == 0

@@ -56,3 +56,49 @@ def test_tasks_end_to_end(spark):
     assert tasks.push_list_task(store).count() == min(100, gold.count())
     runs = store.read(tasks.RUN_LOG)
     assert runs.where("status = 'completed'").count() == 8
+
+
+def test_only_finished_work_is_flagged(spark):
+    """A wallet without a page, with a failed page, with an empty page, and
+    one below the history minimum."""
+    from cairn.operators.reports import processed_without_record
+    from cairn.operators.state import fold_states
+    store = TableStore(spark, tempfile.mkdtemp(prefix="cairn-tasks-"))
+    now = ts_ntz("2024-02-01 00:00:00")
+    whales = spark.createDataFrame([(w, False, False) for w in ("full", "one", "empty", "failed", "none")],
+                                   "wallet_address string, transactions_processed boolean, pnl_processed boolean")
+    store.write("silver_whales", whales)
+
+    def page(wallet, n):
+        side = '{{"symbol":"S","address":"A","type_swap":"{t}","ui_change_amount":"{a}","nearest_price":"200"}}'
+        items = ",".join('{"tx_hash":"%s%d","block_unix_time":"%d","tx_type":"swap","source":"x","owner":"%s","base":%s,"quote":%s}' % (
+            wallet, i, 1700000000 + i * 90000, wallet, side.format(t="to", a=5), side.format(t="from", a=-5)) for i in range(n))
+        return '{"success":true,"data":{"items":[%s]}}' % items
+
+    pages = spark.createDataFrame([("full", page("full", 4)), ("one", page("one", 1)), ("empty", page("empty", 0)),
+                                   ("failed", '{"success":false,"data":{"items":[]}}')], "wallet_address string, value string")
+    tasks.bronze_transactions_task(store, pages, now)
+    got = {r.wallet_address: r.transactions_processed for r in store.read("silver_whales").collect()}
+    assert got == {"full": True, "one": True, "empty": True, "failed": False, "none": False}
+    tasks.silver_wallet_pnl_task(store, now)
+    got = {r.wallet_address: r.pnl_processed for r in store.read("silver_whales").collect()}
+    assert got == {"full": True, "one": False, "empty": False, "failed": False, "none": False}
+    assert processed_without_record(store.read("silver_whales"), store.read("silver_wallet_pnl")).count() == 0
+    assert store.read("position_summary").select("wallet_address").distinct().count() == 1
+    states = {(r.task_name, r.entity_id): r.state for r in fold_states(store.read(tasks.STATE_EVENTS)).collect()}
+    assert states["bronze_transactions", "none"] == states["bronze_transactions", "failed"] == "failed"
+    assert states["bronze_transactions", "empty"] == "completed"
+    assert states["silver_wallet_pnl", "one"] == states["silver_wallet_pnl", "empty"] == "skipped"
+    assert states["silver_wallet_pnl", "full"] == "completed"
+
+
+def test_method_labels():
+    import pytest
+
+    from cairn.config import PnlConfig
+    from cairn.plans.pnl import check_method
+    for m in ("fifo", "fifo_enhanced", "fifo_cost_basis_matched", "fifo_cost_basis_matched_min50"):
+        check_method(PnlConfig(method=m))
+    for m in ("lifo", "fifo_cost_basis"):
+        with pytest.raises(ValueError):
+            check_method(PnlConfig(method=m))
