@@ -130,8 +130,10 @@ def performance_history(snapshots: DataFrame, retention_days: int | None = 90,
 def top_tokens(positions: DataFrame, n: int = 5, hot_threshold: int | None = None) -> DataFrame:
     """A trader's best ``n`` tokens by realized pnl (n = 5: ours): a
     running count per wallet in pnl order; wallets with very many positions
-    take the range-partitioned form."""
-    from cairn.functions.scan import Run, ranged_scan, split_hot, window_scan
+    take the range-partitioned form. The positions are stored first (jobs run
+    while the plan is built): the hot check and the ranking both read them."""
+    from cairn.functions.scan import Run, cut, ranged_scan, split_hot, window_scan
+    positions = cut(positions)
     order = [(F.col("realized_pnl"), False), (F.col("token_address"), True)]
     runs = {"token_rank": Run("sum", F.lit(1), cast="int")}
     cold, hot = split_hot(positions, ["wallet_address"], hot_threshold)

@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cairn.config import RetryPolicy
-from cairn.functions.expr import whole_days
 
 STATE_KEY = ["task_name", "entity_type", "entity_id"]
 STATES = ("pending", "processing", "completed", "failed", "skipped")
@@ -127,7 +126,3 @@ def alert_thresholds(runs: DataFrame, min_success_rate: float = 90.0,
         "low_success_rate": F.col("success_rate") < min_success_rate,
         "too_slow": F.col("max_duration_seconds") > max_minutes * 60,
     })
-
-
-def days_since(c: str, now: Column) -> Column:
-    return whole_days(F.col(c), now)

@@ -15,6 +15,7 @@ from cairn.config import (COVERAGE_BANDS, COVERAGE_OTHER, DEFAULT_WEIGHTS, PENAL
 from cairn.functions.expr import clip, round_half_up, whole_days
 from cairn.functions.ranking import row_number_ordered, row_numbers
 from cairn.functions.scan import cut
+from cairn.operators.clean import push_eligible
 
 TIER_COLS = {  # criteria field -> record column
     "coverage": "coverage_ratio_percent", "roi": "total_roi_percent",
@@ -212,8 +213,7 @@ def tier_priority(t: Column, descending_weights: bool = False) -> Column:
 
 def push_list(gold: DataFrame, limit: int = 100) -> DataFrame:
     """G14 (+F13, L1, L2): addresses to monitor, best tiers first."""
-    g = gold.where(F.col("wallet_address").isNotNull() & (F.col("wallet_address") != ""))
-    return (g.orderBy(tier_priority(F.col("performance_tier")).asc(),
+    return (push_eligible(gold).orderBy(tier_priority(F.col("performance_tier")).asc(),
                       F.col("tier_score").desc_nulls_first(),
                       F.col("total_realized_pnl_usd").desc_nulls_first(),
                       F.col("wallet_address").asc())

@@ -24,6 +24,8 @@ def _clip(e: str) -> str:
     return f"LEAST(GREATEST({e}, 0.0), 1.0)"
 
 
+# Fixed values below: the normalisers (roi 200, sharpe 3, pnl 20000) and activity
+# penalties of the tier score, written out here so that the SQL stands alone.
 COV, ROI, WIN = _or("coverage_ratio_percent", 0), _or("total_roi_percent", 0), _or("win_rate_percent", 0)
 SHARPE, PNL = _or("sharpe_ratio", 0), _or("total_realized_pnl_usd", 0)
 TRADES, FREQ = _or("meaningful_trades", 0), _or("trade_frequency_per_day", 0)
