@@ -41,6 +41,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
+    """A broadcast hint after a count of ``df`` (give it stored rows); beyond ``max_rows`` the join
+    shuffles."""
+    return F.broadcast(df) if df.count() <= max_rows else df
+
+
 def free_name(df: DataFrame, *wanted: str) -> list[str]:
     """Column names that do not clash with ``df``'s own (case-insensitively)."""
     taken = {c.lower() for c in df.columns}

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cairn.llm.common import bounded_batches, components, cut, free_name
+from cairn.llm.common import bounded_batches, broadcast_if_small, components, cut, free_name
 
 BUCKET_CAP = 4096  # larger buckets go through a second level of masks; none is cut short
 _CHUNK = 1 << 16
@@ -141,7 +141,7 @@ def fingerprint_links(fps: DataFrame, radius: int = 4, bucket_cap: int = BUCKET_
     buckets = cut(tables.groupBy("t", "k").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"))
                   .filter("n > 1"))
     pairs = buckets.filter("n = 2").filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius).select("a", "b")
-    many = tables.join(buckets.filter("n > 2").select("t", "k", "n"), ["t", "k"])
+    many = tables.join(broadcast_if_small(buckets.filter("n > 2").select("t", "k", "n")), ["t", "k"])
     small = many.filter(F.col("n") <= bucket_cap).select("t", "k", F.lit(-1).alias("t2"), F.lit(0).cast("long").alias("k2"), "fp")
     again = F.array(*[F.array(*[F.lit(_signed(x)) for x in covering_masks([p for p in every if not m >> p & 1], radius)]) for m in masks])
     large = (many.filter(F.col("n") > bucket_cap)

@@ -17,13 +17,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cairn.llm.common import bounded_batches, components, cut, free_name
+from cairn.llm.common import bounded_batches, broadcast_if_small, components, cut, free_name
 from cairn.llm.covering_simhash import linked
 
-BITMAP_BITS = 1 << 25  # 4 MB: the bound of what is sent to every task
+SLOTS = 1 << 23    # bits, 1 MB: the bound of what is sent to every task
 BUCKET_CAP = 2000      # larger buckets are split by one more block; none is cut short
-_SLICE = 100_000  # words of one line held as hashes at a time
-_MEMO = 400_000   # remembered word hashes per task
+_PIECE = 1 << 20       # bytes of a text whose words are hashed at a time
+_COUNTER = 65_535      # what a 16-bit counter holds
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_DIGITS = bytes.maketrans(b"123456789", b"000000000")
 
 
 def normalise(line: bytes) -> bytes:
@@ -31,9 +33,6 @@ def normalise(line: bytes) -> bytes:
     return b" ".join(line.lower().translate(_DIGITS).split())
 
 
-_DIGITS = bytes.maketrans(b"123456789", b"000000000")
-
-
 def block_masks(radius: int, agree: int) -> list[int]:
     """One mask per choice of ``agree`` out of ``agree + radius`` blocks of the 64 bits."""
     edges = np.linspace(0, 64, agree + radius + 1).round().astype(int).tolist()
@@ -85,41 +84,127 @@ def edit_similarity_at_least(a: str, b: str, least: float) -> bool:
     return score <= allowed
 
 
-def line_prints(raw: bytes, least_bytes: int, memo: dict[bytes, int]) -> list[tuple[int, int, int]]:
-    """(position, hash, SimHash) of the lines of a text whose normalised form has ``least_bytes``."""
-    from xxhash import xxh64_intdigest
-
-    out = []
-    for at, line in enumerate(raw.split(b"\n")):
-        if len(line) < least_bytes:
-            continue
-        norm = normalise(line)
-        if len(norm) < least_bytes:
-            continue
-        words = norm.split(b" ")
-        counts = np.zeros(64, np.int64)
-        for lo in range(0, len(words), _SLICE):
-            part = words[lo:lo + _SLICE]
-            fresh = set(part).difference(memo)
-            if len(memo) + len(fresh) > _MEMO:
-                memo.clear()
-                fresh = set(part)
-            for w in fresh:
-                memo[w] = xxh64_intdigest(w, 3)
-            h = np.fromiter(map(memo.__getitem__, part), "<u8", len(part))
-            counts += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-        sim = int(np.packbits(2 * counts > len(words), bitorder="little").view("<u8")[0])
-        out.append((at, _signed(xxh64_intdigest(norm, 1)), _signed(sim)))
-    return out
+# For each 4-bit value its bits as four 16-bit counters of one integer.
+_LANES = np.array([sum((v >> i & 1) << 16 * i for i in range(4)) for v in range(16)], np.uint64)
+
+
+def set_simhashes(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """SimHash of each run of hashes (runs begin at ``starts``, none is empty): a bit is 1 if more than
+    half of the run's hashes have it. 16 integers of four 16-bit counters a hash."""
+    nibbles = np.empty((len(h), 16), np.uint8)
+    octets = h.view(np.uint8).reshape(-1, 8)
+    nibbles[:, 0::2] = octets & 15
+    nibbles[:, 1::2] = octets >> 4
+    size = np.diff(np.append(starts, len(h)))
+    # longer runs are counted in parts that a counter holds
+    parts = starts if size.max() < _COUNTER else np.concatenate([np.arange(a, a + n, _COUNTER) for a, n in zip(starts, size)])
+    counts = np.add.reduceat(_LANES[nibbles], parts, axis=0).view("<u2").reshape(len(parts), 64).astype(np.int64)
+    if len(parts) > len(starts):
+        counts = np.add.reduceat(counts, np.searchsorted(parts, starts), axis=0)
+    return np.packbits(2 * counts > size[:, None], axis=1, bitorder="little").view("<u8").ravel()
+
+
+def _mix(h: np.ndarray) -> np.ndarray:
+    """A 64-bit finaliser (xor-shift-multiply); wraps around."""
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def _powers(n: int) -> np.ndarray:
+    return np.multiply.accumulate(np.concatenate((np.ones(1, np.uint64), np.full(max(1, n) - 1, 0x9E3779B97F4A7C15, np.uint64))))
+
+
+def _runs(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each run of values: a polynomial in the place within the run, mixed."""
+    size = np.diff(np.append(starts, len(values)))
+    place = np.arange(len(values)) - np.repeat(starts, size)
+    return _mix(np.add.reduceat(values * _powers(int(size.max()))[place], starts) + size.astype(np.uint64))
+
+
+def _word_hashes(b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, lengths, hashes) of the words of a piece of text."""
+    edge = np.flatnonzero(np.diff(np.concatenate(([True], _SPACE[b], [True]))))
+    starts, ends = edge[0::2], edge[1::2]
+    if not len(starts):
+        return starts, ends, np.empty(0, np.uint64)
+    size = ends - starts
+    first = np.cumsum(size) - size
+    letters = b[np.arange(int(size.sum())) + np.repeat(starts - first, size)]
+    return starts, size, _runs(letters.astype(np.uint64) + np.uint64(1), first)
+
+
+def line_prints(raw: bytes, least_bytes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(position, hash of the normalised line, SimHash over its distinct words; signed) of the lines of a
+    text whose normalised form has ``least_bytes``. Words are hashed piece by piece of a bounded size."""
+    none = (np.empty(0, np.int64),) * 3
+    b = np.frombuffer(raw.lower().translate(_DIGITS), np.uint8)
+    starts, sizes, words = [], [], []
+    at = 0
+    while at < len(b):
+        end = min(len(b), at + _PIECE)
+        while end < len(b) and not _SPACE[b[end]]:  # words stay whole
+            end += 1
+        first, size, h = _word_hashes(b[at:end])
+        starts.append(first + at)
+        sizes.append(size)
+        words.append(h)
+        at = end
+    if not words:
+        return none
+    start, size, word = (np.concatenate(x) for x in (starts, sizes, words))
+    if not len(word):
+        return none
+    line = np.searchsorted(np.flatnonzero(b == 10), start)
+    head = np.flatnonzero(np.concatenate(([True], line[1:] != line[:-1])))  # first word of each line
+    count = np.diff(np.append(head, len(word)))
+    keep = np.add.reduceat(size, head) + count - 1 >= least_bytes
+    if not keep.any():
+        return none
+    hashes = _runs(word, head)[keep]
+    at = line[head][keep]
+    chosen = np.repeat(keep, count)
+    line, word = np.repeat(np.arange(len(at)), count[keep]), word[chosen]
+    sims = []
+    for lo in range(0, len(at), 1 << 24):  # line and word share one sort key
+        part = slice(np.searchsorted(line, lo), np.searchsorted(line, lo + (1 << 24)))
+        key = np.sort((line[part] - lo).astype(np.uint64) << np.uint64(40) | word[part] >> np.uint64(24))
+        key = key[np.concatenate(([True], key[1:] != key[:-1]))]
+        first = np.flatnonzero(np.concatenate(([True], np.diff(key >> np.uint64(40)) > 0)))
+        sims.append(set_simhashes(_mix(key & np.uint64((1 << 40) - 1)), first))
+    return at, hashes.view(np.int64), np.concatenate(sims).view(np.int64)
+
+
+def prints_of(texts: list[bytes], least_bytes: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(text number, positions, hashes, SimHashes) of each text with such lines; short texts go through
+    the arithmetic together."""
+    at = 0
+    while at < len(texts):
+        end, size = at, 0
+        while end < len(texts) and (end == at or size + len(texts[end]) < _PIECE):
+            size += len(texts[end])
+            end += 1
+        line, h, sim = line_prints(b"\n".join(texts[at:end]), least_bytes)
+        first = np.cumsum([0] + [t.count(b"\n") + 1 for t in texts[at:end]])
+        owner = np.searchsorted(first, line, "right") - 1
+        cuts = np.flatnonzero(np.diff(owner)) + 1
+        for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(line)]) if len(line) else ():
+            yield at + int(owner[lo]), line[lo:hi] - first[owner[lo]], h[lo:hi], sim[lo:hi]
+        at = end
 
 
 def _prints(least_bytes: int):
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        memo: dict[bytes, int] = {}
-        kind = pa.list_(pa.struct([("at", pa.int32()), ("h", pa.int64()), ("sim", pa.int64())]))
         for texts in batches:
-            yield pa.array([[dict(zip(("at", "h", "sim"), x)) for x in line_prints(t or b"", least_bytes, memo)]
-                            for t in texts.cast(pa.binary()).to_pylist()], kind)
+            raw = [t or b"" for t in texts.cast(pa.binary()).to_pylist()]
+            sizes = np.zeros(len(raw) + 1, np.int32)
+            parts = []
+            for i, *arrays in prints_of(raw, least_bytes):
+                sizes[i + 1] = len(arrays[0])
+                parts.append(arrays)
+            at, h, sim = (np.concatenate(x) for x in zip(*parts)) if parts else (np.empty(0, np.int64),) * 3
+            rows = pa.StructArray.from_arrays([pa.array(at.astype(np.int32)), pa.array(h), pa.array(sim)], ["at", "h", "sim"])
+            yield pa.ListArray.from_arrays(pa.array(np.cumsum(sizes, dtype=np.int32)), rows)
 
     return run
 
@@ -151,43 +236,60 @@ def _sim_links(radius: int):
     return run
 
 
-def _lookup(least_bytes: int, bitmap: bytes):
-    """The normalised texts of the lines whose hash is in the bitmap."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from xxhash import xxh64_intdigest
+def _normalised(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The wanted lines of each text, normalised."""
+    for pdf in batches:
+        rows = []
+        for text, wanted in zip(pdf["text"], pdf["wanted"]):
+            lines = text.encode("utf-8").split(b"\n")
+            rows += [(w["h"], w["sim"], normalise(lines[w["at"]]).decode("utf-8")) for w in wanted]
+        yield pd.DataFrame(rows, columns=["h", "sim", "norm"])
+
 
+def _marked(bitmap: bytes):
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bits = np.frombuffer(bitmap, np.uint8)
-        shift = 64 - (BITMAP_BITS.bit_length() - 1)
-        for pdf in batches:
-            found: dict[int, str] = {}
-            for text in pdf["text"]:
-                for line in (text or "").encode("utf-8").split(b"\n"):
-                    if len(line) < least_bytes:
-                        continue
-                    norm = normalise(line)
-                    if len(norm) < least_bytes:
-                        continue
-                    h = xxh64_intdigest(norm, 1)
-                    s = h >> shift
-                    if bits[s >> 3] >> (s & 7) & 1:
-                        found[_signed(h)] = norm.decode("utf-8")
-            yield pd.DataFrame({"h": list(found.keys()), "norm": list(found.values())})
+        shift = np.uint64(64 - (SLOTS.bit_length() - 1))
+        for th in batches:
+            slot = (th.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) >> shift).astype(np.int64)
+            yield pa.array(bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1 == 1, pa.bool_())
 
     return run
 
 
-def _verified(radius: int, least: float):
+def _texts_of(lines: DataFrame, base: DataFrame) -> DataFrame:
+    """``lines(h, sim, keep)`` with their normalised texts, read where ``keep`` points. Texts without
+    such a line are left out by a bitmap of text hashes before anything is shuffled."""
+    cells = (lines.select(F.shiftrightunsigned("keep.th", 64 - (SLOTS.bit_length() - 1)).alias("slot"))
+             .select(F.shiftright("slot", 6).alias("cell"), F.expr("shiftleft(1L, cast(slot & 63 as int))").alias("bit"))
+             .groupBy("cell").agg(F.bit_or("bit").alias("bits")).collect())  # at most SLOTS / 64 rows
+    board = np.zeros(SLOTS // 64, "<i8")
+    for r in cells:
+        board[r["cell"]] = r["bits"]
+    texts = base.filter(F.arrow_udf(_marked(board.tobytes()), "boolean")("th")).select("th", "text").dropDuplicates(["th"])
+    wanted = (lines.select(F.col("keep.th").alias("th"), F.struct("h", "sim", F.col("keep.at").alias("at")).alias("w"))
+              .groupBy("th").agg(F.collect_list("w").alias("wanted")))
+    return texts.join(wanted, "th").select("text", "wanted").mapInPandas(_normalised, "h long, sim long, norm string")
+
+
+def _verified(radius: int, least: float, masks: list[int]):
     """Links between lines of one bucket (sorted by t, k): within the radius and similar enough. Grows
     one group at a time; a line that has been reached is not compared again, so a dense bucket costs
-    about one comparison a line."""
-    def links(line: list[str], sims: np.ndarray, texts: list[str]) -> list[tuple[str, str]]:
+    about one comparison a line. Two lines that also meet in an earlier table are compared there."""
+    def links(t: int, line: list[str], sims: np.ndarray, texts: list[str]) -> list[tuple[str, str]]:
         out = []
+        earlier = [np.uint64(m) for m in masks[:t]]
         pool = np.arange(len(line))
         while len(pool) > 1:
             todo, pool = [int(pool[0])], pool[1:]
             while todo and len(pool):
                 x = todo.pop()
-                near = pool[np.bitwise_count(sims[pool] ^ sims[x]) <= radius]
+                differ = sims[pool] ^ sims[x]
+                new = np.bitwise_count(differ) <= radius
+                if new.any():
+                    for m in earlier:
+                        new &= (differ & m) != 0
+                near = pool[new]
                 hit = [int(y) for y in near if edit_similarity_at_least(texts[x], texts[int(y)], least)]
                 if hit:
                     out += [(line[x], line[y]) for y in hit]
@@ -196,27 +298,31 @@ def _verified(radius: int, least: float):
         return out
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, held = None, []
+        key = None
+        line: list[str] = []
+        sims: list[int] = []
+        texts: list[str] = []
 
-        def close():
-            if held:
-                pdf = pd.concat(held).drop_duplicates("line")
-                got = links(pdf["line"].tolist(), pdf["sim"].to_numpy(np.int64).view(np.uint64), pdf["norm"].tolist())
-                if got:
-                    yield pd.DataFrame(got, columns=["a", "b"])
+        def close() -> list[tuple[str, str]]:
+            return links(key[0], line, np.array(sims, np.int64).view(np.uint64), texts) if len(line) > 1 else []
 
         for pdf in batches:
             if not len(pdf):
                 continue
             keys = pdf[["t", "k", "t2", "k2"]].to_numpy(np.int64)
+            names, prints, norms = pdf["line"].tolist(), pdf["sim"].tolist(), pdf["norm"].tolist()
             cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+            got = []
             for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)]):
                 now = tuple(keys[lo].tolist())
                 if now != key:
-                    yield from close()
-                    held, key = [], now
-                held.append(pdf.iloc[lo:hi])
-        yield from close()
+                    got += close()
+                    key, line, sims, texts = now, [], [], []
+                line += names[lo:hi]
+                sims += prints[lo:hi]
+                texts += norms[lo:hi]
+            yield pd.DataFrame(got, columns=["a", "b"])
+        yield pd.DataFrame(close(), columns=["a", "b"])
 
     return run
 
@@ -250,22 +356,15 @@ def line_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     tables = in_tables(sims.select("sim"))
     buckets = cut(tables.groupBy("t", "k").agg(F.count(F.lit(1)).alias("n"), F.min("sim").alias("a"), F.max("sim").alias("b")).filter("n > 1"))
     pairs = buckets.filter((F.col("n") == 2) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)).select("a", "b")
-    many = (tables.join(buckets.filter("n > 2").select("t", "k"), ["t", "k"]).select("t", "k", "sim")
+    several = broadcast_if_small(buckets.filter("n > 2").select("t", "k"))
+    many = (tables.join(several, ["t", "k"]).select("t", "k", "sim")
             .repartition("t", "k").sortWithinPartitions("t", "k").mapInPandas(_sim_links(radius), "a long, b long"))
     near = pairs.unionAll(many)
     tied = (near.select(F.col("a").alias("sim")).unionAll(near.select(F.col("b").alias("sim")))
             .unionAll(sims.filter("lines > 1").select("sim")).distinct())
-    suspects = cut(heads.join(tied, "sim", "left_semi").select("h", "sim"))
-    cells = (suspects.select(F.shiftrightunsigned("h", 64 - (BITMAP_BITS.bit_length() - 1)).alias("slot"))
-             .select(F.shiftright("slot", 6).alias("cell"), F.expr("shiftleft(1L, cast(slot & 63 as int))").alias("bit"))
-             .groupBy("cell").agg(F.bit_or("bit").alias("bits")).collect())  # at most BITMAP_BITS / 64 rows
-    board = np.zeros(BITMAP_BITS // 64, "<i8")
-    for r in cells:
-        board[r["cell"]] = r["bits"]
-    texts = (base.select("text").mapInPandas(_lookup(least_bytes, board.tobytes()), "h long, norm string")
-             .groupBy("h").agg(F.min("norm").alias("norm")))
-    name = F.concat(F.hex("h"), F.lit("-"), F.hex("sim"))
-    lines = cut(suspects.join(texts, "h").withColumn("line", name))
+    tied = broadcast_if_small(cut(tied))
+    suspects = cut(heads.join(tied, "sim", "left_semi").select("h", "sim", "keep"))
+    lines = cut(_texts_of(suspects, base).withColumn("line", F.concat(F.hex("h"), F.lit("-"), F.hex("sim"))))
     spread = in_tables(lines)
     sizes = spread.groupBy("t", "k").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     spread = spread.join(sizes, ["t", "k"])
@@ -276,7 +375,7 @@ def line_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              .select("t", "k", "line", "sim", "norm", F.posexplode(F.transform(F.element_at(again, F.col("t") + 1), lambda m: F.col("sim").bitwiseAND(m))).alias("t2", "k2"))
              .select("t", "k", "t2", "k2", "line", "sim", "norm"))
     edges = (small.unionAll(large).repartition("t", "k", "t2", "k2").sortWithinPartitions("t", "k", "t2", "k2")
-             .mapInPandas(_verified(radius, similarity), "a string, b string"))
+             .mapInPandas(_verified(radius, similarity, masks), "a string, b string"))
     roots = components(edges)
     linked_lines = roots.join(lines.select(F.col("line").alias("node"), "h", "sim"), "node").select("root", "h", "sim")
     members = linked_lines.join(heads, ["h", "sim"])

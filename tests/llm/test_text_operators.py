@@ -221,6 +221,33 @@ def test_edit_similarity():
             assert edit_similarity_at_least(a, b, least) == (lev(a, b) <= (1 - least) * longest + 1e-9)
 
 
+def test_line_prints():
+    from cairn.llm import fuzzy_lines as fl
+    rng = random.Random(11)
+    seen = {}
+    for _ in range(500):
+        text = "".join(rng.choice("aB1 \t\né") for _ in range(rng.randint(0, 80)))
+        lines = text.encode().split(b"\n")
+        got = {at: (h, s) for at, h, s in zip(*(x.tolist() for x in fl.line_prints(text.encode(), 3)))}
+        assert set(got) == {at for at, x in enumerate(lines) if len(fl.normalise(x)) >= 3}
+        for at, (h, s) in got.items():
+            norm = fl.normalise(lines[at])
+            assert seen.setdefault(h, norm) == norm and seen.setdefault(norm, (h, s)) == (h, s)
+            words = sorted(set(norm.split(b" ")))
+            w = fl._word_hashes(np.frombuffer(b" ".join(words), np.uint8))[2]
+            w = fl._mix(w >> np.uint64(24)).tolist()
+            assert s & (1 << 64) - 1 == sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in w) > len(w))
+    texts = [b"", b"a b c d\n\nlonger line\n", b"\n\n", b"x", b"another one here"]
+    for i, at, h, s in fl.prints_of(texts, 3):
+        alone = fl.line_prints(texts[i], 3)
+        assert all((a == b).all() for a, b in zip(alone, (at, h, s)))
+    assert [i for i, *_ in fl.prints_of(texts, 3)] == [1, 4]
+    long = b" ".join(b"w%d" % i for i in range(70000)).translate(bytes.maketrans(b"0123456789", b"abcdefghij"))
+    w = fl._mix(fl._word_hashes(np.frombuffer(long, np.uint8))[2] >> np.uint64(24))
+    want = [int(x) for x in np.unpackbits(w.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)]
+    assert int(fl.line_prints(long, 3)[2][0]) & (1 << 64) - 1 == sum(1 << b for b in range(64) if 2 * want[b] > 70000)
+
+
 def test_line_dedup_brute_force(spark):
     from cairn.llm.fuzzy_lines import dedup_lines, edit_similarity_at_least, line_prints, normalise
     rng = random.Random(7)
@@ -235,8 +262,7 @@ def test_line_dedup_brute_force(spark):
                 words[rng.randrange(40)] = rng.choice(vocab)
             lines.append(" ".join(words).upper() if rng.random() < 0.2 else " ".join(words))
         docs.append((i, "\n".join(lines + ["short"])))
-    memo: dict = {}
-    occ = [(i, at, h, sim) for i, t in docs for at, h, sim in line_prints(t.encode(), 20, memo)]
+    occ = [(i, at, h, sim) for i, t in docs for at, h, sim in zip(*(x.tolist() for x in line_prints(t.encode(), 20)))]
     text = {(i, at): normalise(t.split("\n")[at].encode()).decode() for i, t in docs for at in range(6)}
     parent = {(i, at): (i, at) for i, at, _, _ in occ}
 
