@@ -7,7 +7,7 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ARROW_BATCH_BYTES = 8 << 20  # long texts: a Python batch is bounded by bytes, not only by rows
+ARROW_BATCH_BYTES = 2 << 20  # long texts: a Python batch is bounded by bytes, not only by rows
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -22,7 +22,7 @@ from cairn.llm.covering_simhash import linked
 
 SLOTS = 1 << 23    # bits, 1 MB: the bound of what is sent to every task
 BUCKET_CAP = 2000      # larger buckets are split by one more block; none is cut short
-_PIECE = 1 << 20       # bytes of a text whose words are hashed at a time
+_PIECE = 1 << 19       # bytes of a text whose words are hashed at a time
 _COUNTER = 65_535      # what a 16-bit counter holds
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _DIGITS = bytes.maketrans(b"123456789", b"000000000")
