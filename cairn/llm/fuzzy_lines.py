@@ -4,11 +4,15 @@ occurrence kept per connected group.
 Equal normalised lines are one node from the start. Two fingerprints within ``radius`` bits agree in at
 least ``agree`` of ``agree + radius`` blocks, so they meet in the table of those blocks. Tables first see
 fingerprints only; the lines that fingerprints tie together at all are then looked up in the texts,
-and their words decide: links need an edit similarity of at least ``similarity``."""
+and their words decide: links need an edit similarity of at least ``similarity``.
+
+Without a radius (``radius=None``) fingerprints decide nothing: pairs come from min-hash keys of byte
+n-grams (``gram_sketches``) and are linked by their edit similarity alone."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 from itertools import combinations
 
 import numpy as np
@@ -19,10 +23,12 @@ from pyspark.sql import functions as F
 
 from cairn.llm.common import bounded_batches, broadcast_if_small, components, cut, free_name
 from cairn.llm.covering_simhash import linked
+from cairn.llm.gram_sketches import JUDGE, agreeing_pairs, band_keys, is_wide, judges
 
 SLOTS = 1 << 23    # bits, 1 MB: the bound of what is sent to every task
 BUCKET_CAP = 2000      # larger buckets are split by one more block; none is cut short
 _PIECE = 1 << 19       # bytes of a text whose words are hashed at a time
+_SEEN = 200_000        # lines a task remembers, so that a common line sends its keys about once a task
 _COUNTER = 65_535      # what a 16-bit counter holds
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _DIGITS = bytes.maketrans(b"123456789", b"000000000")
@@ -327,6 +333,157 @@ def _verified(radius: int, least: float, masks: list[int]):
     return run
 
 
+def digests(raw: bytes, least_bytes: int) -> tuple[list[int], list[bytes], np.ndarray]:
+    """(positions, normalised lines, their 128-bit hashes as two signed numbers) of a text's lines that
+    take part."""
+    got = [(at, n) for at, n in enumerate(map(normalise, raw.split(b"\n"))) if len(n) >= least_bytes]
+    h = np.frombuffer(b"".join(blake2b(n, digest_size=16).digest() for _, n in got), np.int64).reshape(-1, 2)
+    return [at for at, _ in got], [n for _, n in got], h
+
+
+def _digests(least_bytes: int):
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            sizes, at, h = [0], [], [np.empty((0, 2), np.int64)]
+            for t in texts.cast(pa.binary()).to_pylist():
+                where, _, pair = digests(t or b"", least_bytes)
+                sizes.append(len(where))
+                at += where
+                h.append(pair)
+            h = np.concatenate(h)
+            rows = pa.StructArray.from_arrays([pa.array(at, pa.int32()), pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy())], ["at", "h", "sim"])
+            yield pa.ListArray.from_arrays(pa.array(np.cumsum(sizes, dtype=np.int32)), rows)
+
+    return run
+
+
+def _new_lines(batches: Iterator[pa.RecordBatch], least_bytes: int) -> Iterator[tuple[list[bytes], np.ndarray]]:
+    """(lines, first halves of their hashes) piece by piece, without those the task has just had."""
+    seen: set[int] = set()
+    lines, names, size = [], [], 0
+    for batch in batches:
+        for t in batch.column(0).cast(pa.binary()).to_pylist():
+            _, norms, h = digests(t or b"", least_bytes)
+            for n, x in zip(norms, h[:, 0].tolist()):
+                if x not in seen:
+                    seen.add(x)
+                    lines.append(n)
+                    names.append(x)
+                    size += len(n)
+                    if size >= _PIECE:
+                        yield lines, np.array(names, np.int64)
+                        lines, names, size = [], [], 0
+            if len(seen) > _SEEN:
+                seen.clear()
+    if lines:
+        yield lines, np.array(names, np.int64)
+
+
+def _keyed(least_bytes: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lines, names in _new_lines(batches, least_bytes):
+            owner, key = band_keys(lines)
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(names[owner])], ["k", "h"])
+
+    return run
+
+
+def _judged(least_bytes: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lines, names in _new_lines(batches, least_bytes):
+            owner, wide, sk = judges(lines)
+            rows = pa.FixedSizeBinaryArray.from_buffers(pa.binary(JUDGE), len(sk), [None, pa.py_buffer(sk.tobytes())]).cast(pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(names[owner]), pa.array(wide), rows], ["h", "wide", "sk"])
+
+    return run
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows (sorted by k, h; repeated ones once) of keys that several lines have. A key of more than
+    ``BUCKET_CAP`` lines is dealt in blocks, a bucket for every two blocks: no pair is lost."""
+    def blocks(k: np.ndarray, h: np.ndarray) -> Iterator[pa.RecordBatch]:
+        new = np.concatenate(([True], (k[1:] != k[:-1]) | (h[1:] != h[:-1])))
+        k, h = k[new], h[new]
+        first = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
+        size = np.diff(np.append(first, len(k)))
+        some = np.repeat((size > 1) & (size <= BUCKET_CAP), size)
+        yield rows(k[some], np.zeros(int(some.sum()), np.int64), h[some])
+        for lo, n in zip(first[size > BUCKET_CAP].tolist(), size[size > BUCKET_CAP].tolist()):
+            half = BUCKET_CAP // 2
+            parts = [h[at:min(at + half, lo + n)] for at in range(lo, lo + n, half)]
+            for i, j in combinations(range(len(parts)), 2):
+                both = np.concatenate((parts[i], parts[j]))
+                yield rows(np.full(len(both), k[lo]), np.full(len(both), i << 32 | j), both)
+
+    def rows(k: np.ndarray, part: np.ndarray, h: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(k), pa.array(part), pa.array(is_wide(k)), pa.array(h)], ["k", "part", "wide", "h"])
+
+    held = [np.empty((2, 0), np.int64)]
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        now = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+        cut_at = int(np.searchsorted(now[0], now[0, -1]))  # the last key may go on in the next batch
+        if cut_at or held[-1].shape[1] and held[-1][0, -1] != now[0, 0]:
+            yield from blocks(*np.concatenate((*held, now[:, :cut_at]), axis=1))
+            held = []
+        held.append(now[:, cut_at:])
+    last = np.concatenate(held, axis=1)
+    if last.shape[1]:
+        yield from blocks(*last)
+
+
+def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs of lines (rows sorted by k, part) of one bucket whose judging bytes agree."""
+    def pairs(key: np.ndarray, h: np.ndarray, sk: np.ndarray) -> pa.RecordBatch:
+        first = np.flatnonzero(np.concatenate(([True], (key[:, 1:] != key[:, :-1]).any(axis=0))))
+        a, b = agreeing_pairs(first, np.diff(np.append(first, len(h))), sk)
+        both = np.unique(np.stack((np.minimum(h[a], h[b]), np.maximum(h[a], h[b])), axis=1), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], ["a", "b"])
+
+    held: list[tuple] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        k, part, h = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+        sk = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(-1, JUDGE)
+        key = np.stack((k, part))
+        cut_at = int(np.flatnonzero((key == key[:, -1:]).all(axis=0))[0])  # the last bucket may go on
+        if cut_at or held and (held[-1][0][:, -1] != key[:, 0]).any():
+            whole = [*held, (key[:, :cut_at], h[:cut_at], sk[:cut_at])]
+            yield pairs(np.concatenate([x[0] for x in whole], axis=1), np.concatenate([x[1] for x in whole]), np.concatenate([x[2] for x in whole]))
+            held = []
+        held.append((key[:, cut_at:], h[cut_at:], sk[cut_at:]))
+    if held:
+        yield pairs(np.concatenate([x[0] for x in held], axis=1), np.concatenate([x[1] for x in held]), np.concatenate([x[2] for x in held]))
+
+
+def _similar(least: float):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            ok = [edit_similarity_at_least(x, y, least) for x, y in zip(pdf["one"], pdf["two"])]
+            yield pdf.loc[ok, ["a", "b"]]
+
+    return run
+
+
+def _similar_lines(base: DataFrame, heads: DataFrame, least_bytes: int, similarity: float) -> DataFrame:
+    """Components ``(root, h, sim)`` of the lines linked by their edit similarity. Pairs are named by
+    the first halves of the lines' hashes."""
+    texts = base.select("text")
+    keys = (texts.mapInArrow(_keyed(least_bytes), "k long, h long").repartition("k").sortWithinPartitions("k", "h")
+            .mapInArrow(_shared, "k long, part long, wide boolean, h long"))
+    judged = texts.mapInArrow(_judged(least_bytes), "h long, wide boolean, sk binary").dropDuplicates(["h", "wide"])
+    pairs = cut(keys.join(judged, ["h", "wide"]).select("k", "part", "h", "sk").repartition("k", "part").sortWithinPartitions("k", "part")
+                .mapInArrow(_agreeing, "a long, b long").distinct())
+    tied = pairs.select(F.col("a").alias("h")).unionAll(pairs.select(F.col("b").alias("h"))).distinct()
+    lines = cut(_texts_of(cut(heads.join(tied, "h", "left_semi").select("h", "sim", "keep")), base))
+    said = lines.select("h", "norm")
+    both = (pairs.join(said.withColumnsRenamed({"h": "a", "norm": "one"}), "a").join(said.withColumnsRenamed({"h": "b", "norm": "two"}), "b"))
+    roots = components(both.mapInPandas(_similar(similarity), "a long, b long"))
+    return roots.join(lines.select(F.col("h").alias("node"), "sim"), "node").select("root", F.col("node").alias("h"), "sim")
+
+
 def _without(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     for texts, drops in batches:
         out = []
@@ -338,17 +495,28 @@ def _without(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]
         yield pa.array(out, pa.string())
 
 
-def line_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_bytes: int = 20, radius: int = 3,
+def line_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_bytes: int = 20, radius: int | None = 3,
                 agree: int = 2, similarity: float = 0.8) -> tuple[DataFrame, DataFrame]:
     """(occurrences ``(id, th, at, h, sim)`` of the lines that take part, groups ``(h, sim, keep)`` of the
     lines that occur more than once or are linked; keep = struct of the kept occurrence's place)."""
     bounded_batches(docs.sparkSession)
     base = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("th"), F.col(text_col).alias("text"))
-    occ = cut(base.select("id", "th", F.explode(F.arrow_udf(_prints(least_bytes), "array<struct<at int, h long, sim long>>")("text")).alias("x"))
+    prints = _digests(least_bytes) if radius is None else _prints(least_bytes)
+    occ = cut(base.select("id", "th", F.explode(F.arrow_udf(prints, "array<struct<at int, h long, sim long>>")("text")).alias("x"))
               .select("id", "th", "x.at", "x.h", "x.sim"))
     place = F.struct(F.col("id").isNull().alias("no_id"), "id", "th", "at")
     heads = cut(occ.groupBy("h", "sim").agg(F.min(place).alias("keep"), F.count(F.lit(1)).alias("n")))
+    linked_lines = (_similar_lines(base, heads, least_bytes, similarity) if radius is None
+                    else _printed_lines(base, heads, radius, agree, similarity))
+    members = linked_lines.join(heads, ["h", "sim"])
+    best = members.groupBy("root").agg(F.min("keep").alias("best"))
+    fuzzy = members.join(best, "root").select("h", "sim", F.col("best").alias("keep"))
+    exact = heads.filter("n > 1").join(linked_lines, ["h", "sim"], "left_anti").select("h", "sim", "keep")
+    return occ, fuzzy.unionByName(exact)
 
+
+def _printed_lines(base: DataFrame, heads: DataFrame, radius: int, agree: int, similarity: float) -> DataFrame:
+    """Components ``(root, h, sim)`` of the lines within the radius and of the edit similarity."""
     masks = block_masks(radius, agree)
     masked = F.array(*[F.lit(_signed(m)) for m in masks])
     in_tables = lambda df: df.select("*", F.posexplode(F.transform(masked, lambda m: F.col("sim").bitwiseAND(m))).alias("t", "k"))
@@ -377,12 +545,7 @@ def line_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     edges = (small.unionAll(large).repartition("t", "k", "t2", "k2").sortWithinPartitions("t", "k", "t2", "k2")
              .mapInPandas(_verified(radius, similarity, masks), "a string, b string"))
     roots = components(edges)
-    linked_lines = roots.join(lines.select(F.col("line").alias("node"), "h", "sim"), "node").select("root", "h", "sim")
-    members = linked_lines.join(heads, ["h", "sim"])
-    best = members.groupBy("root").agg(F.min("keep").alias("best"))
-    fuzzy = members.join(best, "root").select("h", "sim", F.col("best").alias("keep"))
-    exact = heads.filter("n > 1").join(linked_lines, ["h", "sim"], "left_anti").select("h", "sim", "keep")
-    return occ, fuzzy.unionByName(exact)
+    return roots.join(lines.select(F.col("line").alias("node"), "h", "sim"), "node").select("root", "h", "sim")
 
 
 def _rest_blocks(mask: int, radius: int) -> list[int]:
@@ -390,7 +553,7 @@ def _rest_blocks(mask: int, radius: int) -> list[int]:
     return [sum(1 << p for p in part) for part in np.array_split(free, radius + 1)]
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_bytes: int = 20, radius: int = 3,
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_bytes: int = 20, radius: int | None = 3,
                 agree: int = 2, similarity: float = 0.8, n_lines: str = "n_lines", n_dropped: str = "n_dropped") -> DataFrame:
     """``docs`` with the repeated lines taken out of the text, and the counts of its lines before and of
     the lines dropped.
@@ -400,6 +563,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     separate; lines whose normalised form is shorter than ``least_bytes`` (headings, marks, list
     points) take no part. A null text stays null with 0 lines, an empty one has one empty line. Null ids
     come after all others. Extra columns pass; clashing count names get a leading underscore.
+    ``radius=None`` links by edit similarity alone: the pairs judged are those that share one of 32
+    min-hash keys of n-grams, which finds nearly all pairs of the similarity (see the tests).
     ``agree``: 2 suits up to some ten million distinct lines, each further block 60 times as many;
     the links found are the same."""
     occ, groups = line_groups(docs, id_col, text_col, least_bytes, radius, agree, similarity)

@@ -164,7 +164,7 @@ def op3_fm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op6_fuzzy_lines")
 def op6_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cairn.llm.fuzzy_lines import dedup_lines
-    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "text", "n_lines", "n_dropped")
+    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), radius=None).select("doc_id", "text", "n_lines", "n_dropped")
 
 
 @register("op10_ipf_mixing")

@@ -30,7 +30,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that occur, equally or nearly so, elsewhere before; documents of which
     nothing but white space is left go."""
-    cleaned = dedup_lines(docs.select(*COLUMNS))
+    cleaned = dedup_lines(docs.select(*COLUMNS), radius=None)
     left = cleaned.filter((F.col("n_dropped") == 0) | F.col("text").rlike(r"\S"))
     return left.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
 

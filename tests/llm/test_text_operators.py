@@ -285,6 +285,51 @@ def test_line_dedup_brute_force(spark):
     assert dedup_lines(odd_docs(spark).limit(0)).count() == 0
 
 
+def test_similar_lines_recall(spark):
+    """Against brute force on the edit similarity alone, at all line lengths, on given lines with random edits."""
+    from cairn.llm.fuzzy_lines import dedup_lines, edit_similarity_at_least, normalise
+    rng = random.Random(12)
+    given = sorted({line for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect() for line in (r[0] or "").split("\n")})
+    found, docs = {}, []
+    for c, (lo, hi) in enumerate(((24, 40), (40, 80), (80, 160), (160, 320), (320, 640), (640, 1500))):
+        lines = [x for x in given if lo <= len(x) < hi]
+        for kind in ("letter", "letters"):
+            for x in rng.sample(lines, min(80, len(lines))):
+                s = list(x)
+                for _ in range(1 if kind == "letter" else rng.randint(1, len(x) // 5)):
+                    i, what = rng.randrange(len(s)), rng.random()
+                    s[i:i + 1] = [rng.choice("abcdefghij ")] if what < 0.6 else [] if what < 0.8 else [s[i], rng.choice("abcdefghij ")]
+                y = "".join(s)
+                a, b = (normalise(t.encode()).decode() for t in (x, y))
+                if a != b and edit_similarity_at_least(a, b, 0.8):
+                    docs += [(2 * len(found), x), (2 * len(found) + 1, y)]
+                    found[2 * len(found) + 1] = (c, kind)
+    got = {r["doc_id"]: r["n_dropped"] for r in dedup_lines(spark.createDataFrame(docs, "doc_id long, text string").repartition(4), radius=None).collect()}
+    for c in range(6):
+        for kind, least in (("letter", 0.98), ("letters", 0.9)):
+            mine = [got[i] for i, k in found.items() if k == (c, kind)]
+            assert sum(mine) >= least * len(mine), (c, kind, sum(mine), len(mine))
+    far = [(i, " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(20))) for i in range(200)]
+    assert not any(r["n_dropped"] for r in dedup_lines(spark.createDataFrame(far, "doc_id long, text string"), radius=None).collect())
+    odd = dedup_lines(odd_docs(spark), radius=None).collect()
+    assert len(odd) == len(ODD) and {r["doc_id"]: r["n_lines"] for r in odd}[1] == 0
+    assert dedup_lines(odd_docs(spark).limit(0), radius=None).count() == 0
+
+
+def test_large_buckets_lose_no_pair():
+    import pyarrow as pa
+    from cairn.llm import fuzzy_lines as fl
+    n = 2 * fl.BUCKET_CAP + 7
+    rows = np.stack((np.full(n, 5), np.arange(n)))
+    together = set()
+    for b in fl._shared(iter([pa.RecordBatch.from_arrays([pa.array(k), pa.array(h)], ["k", "h"]) for k, h in (rows[:, :100], rows[:, 99:])])):
+        for part in set(b.column(1).to_pylist()):
+            h = b.column(3).to_numpy()[b.column(1).to_numpy() == part]
+            together |= {(x // 500, y // 500) for x in h[::250].tolist() for y in h[::250].tolist()}
+            assert len(h) <= fl.BUCKET_CAP
+    assert together == {(x, y) for x in range(n // 500 + 1) for y in range(n // 500 + 1)}
+
+
 # ------------------------------------------------------------------ op8
 def test_token_counts_equal_the_library(spark):
     import public_tokenizers as P
