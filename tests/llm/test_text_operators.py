@@ -451,6 +451,47 @@ def test_raking_meets_targets(spark):
     assert calibrated_sample(odd_docs(spark)).count() <= len(ODD) and calibrated_sample(docs.limit(0)).count() == 0
 
 
+def test_raking_goes_on_past_unreachable_targets(spark, monkeypatch):
+    """A source that cannot meet its target must not end the sweeps for the others."""
+    import warnings
+    from cairn.llm import ipf_mixing as m
+    rng = np.random.default_rng(3)
+    keys = [(i, j, k) for i in range(20) for j in range(4) for k in range(3)]
+    tokens = np.array([max(1, int(30000 / (i + 1) * (0.95 if j == i % 4 else 0.017) * rng.uniform(0.2, 1))) for i, j, _ in keys], float)
+    cells = spark.createDataFrame([(f"s{i:02d}", f"l{j}", f"t{k}", int(n)) for (i, j, k), n in zip(keys, tokens)], "source string, lang string, topic string, tokens long")
+    aims = [np.bincount([x[a] for x in keys], tokens) ** 0.6 for a in range(3)]
+    given = {d: spark.createDataFrame([(f"{d[0]}{v:02d}" if d == "source" else f"{d[0]}{v}", float(x)) for v, x in enumerate(aim)], f"{d} string, target double")
+             for d, aim in zip(m.DIMENSIONS, aims)}
+    want, budget = tokens * 0.7, tokens.sum() * 0.7
+    for _ in range(5000):
+        for a, aim in enumerate(aims):
+            code = np.array([x[a] for x in keys])
+            want = np.minimum(want * (aim / aim.sum() * budget / np.bincount(code, want))[code], tokens)
+    with pytest.warns(UserWarning, match="targets missed"):
+        got = m.rake(cells, given, 0.7).orderBy("source", "lang", "topic").toPandas()["weight"].to_numpy()
+    assert np.abs(got - want).max() <= 1e-3 * tokens.max() and np.allclose(got / tokens, want / tokens, atol=5e-3)
+    with pytest.warns(UserWarning):
+        few = m.rake(cells, given, 0.7, sweeps=3).orderBy("source", "lang", "topic").toPandas()["weight"].to_numpy()
+    assert np.abs(few / tokens - want / tokens).max() > 0.01
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "23"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():  # many partitions, some of them empty
+        spark.conf.set(k, v)
+    with pytest.warns(UserWarning):
+        wide = m.rake(cells.repartition(7, "source"), given, 0.7, sweeps=3).orderBy("source", "lang", "topic").toPandas()["weight"].to_numpy()
+    for k, v in before.items():
+        spark.conf.set(k, v)
+    assert np.allclose(wide, few, rtol=1e-9)
+    monkeypatch.setattr(m, "CELLS_A_TASK", 0)  # the distributed form
+    with pytest.warns(UserWarning, match="stopped after 3 sweeps"):
+        far = m.rake(cells, given, 0.7, sweeps=3).orderBy("source", "lang", "topic").toPandas()["weight"].to_numpy()
+    assert np.allclose(far, few, rtol=1e-9)
+    even = {d: t.withColumn("target", F.lit(None).cast("double")) for d, t in given.items()}
+    with warnings.catch_warnings():
+        warnings.simplefilter("error", UserWarning)
+        assert np.allclose(m.rake(cells, even, 0.7).orderBy("source", "lang", "topic").toPandas()["weight"], tokens * 0.7)
+
+
 # ------------------------------------------------------------------ pipeline
 def test_pipeline_stages(spark):
     import corpus_pipeline
