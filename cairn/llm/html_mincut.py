@@ -34,12 +34,14 @@ _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _SPACE = re.compile(r"\s+")
 _RAW = {t: re.compile(rf"</{t}\s*/?>|</{t}\s[^>]*>", re.I) for t in
-        ("script", "style", "textarea", "title", "noscript", "iframe", "xmp", "noembed", "noframes", "template", "svg", "math", "select", "object", "canvas", "audio", "video")}
+        ("script", "style", "textarea", "title", "iframe", "xmp", "noembed", "noframes")}  # text up to the end tag, or to the page's end
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
                    "footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre search section "
                    "summary table tbody td tfoot th thead tr ul".split())
 _BOILER_TAG = frozenset("nav footer aside form menu button dialog search label fieldset head".split())
+# What they hold is furniture, apart from the text around; without its own end tag one is an ordinary element.
+_APART_TAG = frozenset("select svg template audio video canvas noscript".split())
 _ENDS_P = _BLOCK - {"body", "html", "head"}
 _SELF_CLOSING = {"li": ("li", ("ul", "ol", "menu", "dir")), "dt": ("dd", ("dl",)), "dd": ("dt", ("dl",)), "tr": ("tr", ("table",)),
                  "td": ("th", ("tr", "table")), "th": ("td", ("tr", "table"))}
@@ -50,7 +52,7 @@ _BOILER_NAME = re.compile(
     r"popups?|modal|overlay|newsletter|subscribe|subscription|signup|login|comments?|commentlist|respond|repl(?:y|ies)|disqus|share|sharing|"
     r"social|related|recommend(?:ed|ations)?|widgets?|pagination|pager|tags?-?cloud|toolbar|copyright|disclaimer|skip-?link|complementary|"
     r"contentinfo|search-?form|teasers?)(?=$|[\s_-])", re.I)
-_ARTICLE, _MAIN, _BOILER, _NAMED, _LINK, _HEAD = 1, 2, 4, 8, 16, 32
+_ARTICLE, _MAIN, _BOILER, _NAMED, _LINK, _HEAD, _APART = 1, 2, 4, 8, 16, 32, 64
 
 
 class Block:
@@ -62,12 +64,21 @@ class Block:
 
 def blocks_of(html: str) -> list[Block]:
     """The non-empty text blocks of a page in page order, character references decoded."""
+    out, unclosed = _parsed(html, frozenset())
+    return _parsed(html, unclosed)[0] if unclosed else out
+
+
+def _parsed(html: str, ordinary: frozenset[int]) -> tuple[list[Block], frozenset[int]]:
+    """(blocks, numbers of the elements of ``_APART_TAG`` that miss their end tag); elements ``ordinary``
+    are not set apart."""
     stack: list[tuple[str, int, int]] = [("", 0, 0)]  # tag, flags of itself and its ancestors, element number
     out: list[Block] = []
     buf: list[str] = []
     linked = size = 0
     element = 0
+    unclosed: set[int] = set()
     place = stack[0]
+    apart = 0
     depth = 0
 
     def flush() -> None:
@@ -79,13 +90,16 @@ def blocks_of(html: str) -> list[Block]:
             buf, linked, size = [], 0, 0
 
     def say(raw: str) -> None:
-        nonlocal linked, size, place, depth
+        nonlocal linked, size, place, depth, apart
         text = unescape(raw) if "&" in raw else raw
+        if buf and stack[-1][1] & _APART != apart and not text.isspace():
+            flush()
         if not buf:
             if not text or text.isspace():
                 return
-            at = len(stack) - 1  # a block belongs to the nearest block-level element
-            while at and stack[at][0] not in _BLOCK:
+            apart = stack[-1][1] & _APART
+            at = len(stack) - 1  # a block belongs to the nearest block-level element, or one set apart
+            while at and stack[at][0] not in _BLOCK and not (apart and stack[at][0] in _APART_TAG):
                 at -= 1
             place, depth = stack[at], at
         buf.append(text)
@@ -114,6 +128,7 @@ def blocks_of(html: str) -> list[Block]:
             while at > low and stack[at][0] != tag:
                 at -= 1
             if at > low or at and stack[at][0] == tag:
+                unclosed.discard(stack[at][2])
                 del stack[at:]
             continue
         if tag in _RAW:
@@ -164,9 +179,13 @@ def blocks_of(html: str) -> list[Block]:
         if m[3].endswith("/") and tag not in _BLOCK:
             continue
         element += 1
+        if tag in _APART_TAG:
+            unclosed.add(element)
+            if element not in ordinary:
+                flags |= _BOILER | _APART
         stack.append((tag, flags, element))
     flush()
-    return out
+    return out, frozenset(unclosed)
 
 
 def log_odds(b: Block) -> float:

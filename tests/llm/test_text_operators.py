@@ -53,6 +53,19 @@ def test_html_extraction():
     assert main_text("<p>" + "<" * 3000) is not None and main_text('<a href="' * 2000) is not None
 
 
+def test_html_keeps_text_around_embedded_elements():
+    from cairn.llm.html_mincut import blocks_of, main_text
+    long = "A sentence that is long enough to count as prose, surely."
+    for tag in ("object", "video", "select", "svg", "math", "template", "audio", "canvas", "noscript"):
+        assert main_text(f"<article><p>{long}<{tag}><p>{long}<p>{long}</article>") == f"{long}\n{long}\n{long}", tag
+        assert main_text(f"<article><p>{long}</p><div><{tag}><{tag}></{tag}></div><p>{long}</article>") == f"{long}\n{long}", tag
+    assert main_text(f"<article><p>{long} <math><mi>x</mi><mo>=</mo><mn>1</mn></math> {long}</article>") == f"{long} x=1 {long}"
+    assert main_text(f"<article><object><object><p>{long}</object><p>{long}</object></article>") == f"{long}\n{long}"
+    assert main_text(f"<article><p>{long} <svg><path d='M0'/></svg> {long}</article>") == f"{long} {long}"
+    page = f"<article><p>{long}<svg><svg><text>inner</text></svg><text>{long}</text></svg></p><select><option>One<option>Two</select><video>no video</video><p>{long}</article>"
+    assert main_text(page) == f"{long}\n{long}" and [b.text for b in blocks_of(page)][1] == f"inner{long}"
+
+
 def test_extract_keeps_rows(spark):
     from cairn.llm.html_mincut import extract_main_text
     pages = spark.createDataFrame([(1, None, 9), (1, None, 9), (2, "", 9)], "page_id long, html string, Text int")
