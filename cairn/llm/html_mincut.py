@@ -76,11 +76,24 @@ def _parsed(html: str, ordinary: frozenset[int]) -> tuple[list[Block], frozenset
     buf: list[str] = []
     linked = size = 0
     element = 0
+    places: dict[str, list[int]] = {}  # of the open elements of a name
+    blocks: list[int] = []  # of the open block-level elements
     unclosed: set[int] = set()
     place = stack[0]
     apart = 0
     depth = 0
 
+    def shut(at: int) -> None:
+        for name, *_ in stack[at:]:
+            places[name].pop()
+            if name in _BLOCK:
+                blocks.pop()
+        del stack[at:]
+
+    def innermost(names: tuple[str, ...]) -> int:
+        """The place of the innermost open element of these names, 0 if there is none."""
+        return max((places[n][-1] for n in names if places.get(n)), default=0)
+
     def flush() -> None:
         nonlocal buf, linked, size
         if buf:
@@ -123,13 +136,10 @@ def _parsed(html: str, ordinary: frozenset[int]) -> tuple[list[Block], frozenset
         if m[1]:  # an end tag closes up to its element; without one it is ignored
             if tag in _BLOCK:
                 flush()
-            at = len(stack) - 1
-            low = max(0, at - 200)  # unbalanced markup must not cost the square of its length
-            while at > low and stack[at][0] != tag:
-                at -= 1
-            if at > low or at and stack[at][0] == tag:
+            at = innermost((tag,))
+            if at:
                 unclosed.discard(stack[at][2])
-                del stack[at:]
+                shut(at)
             continue
         if tag in _RAW:
             if tag in _BLOCK:
@@ -141,20 +151,13 @@ def _parsed(html: str, ordinary: frozenset[int]) -> tuple[list[Block], frozenset
         if tag in _BLOCK:
             flush()
             if tag in _ENDS_P:
-                for at in range(len(stack) - 1, max(0, len(stack) - 12), -1):
-                    if stack[at][0] == "p":
-                        del stack[at:]
-                        break
-                    if stack[at][0] in _BLOCK:
-                        break
+                if blocks and stack[blocks[-1]][0] == "p":
+                    shut(blocks[-1])
             if tag in _SELF_CLOSING:
                 twin, within = _SELF_CLOSING[tag]
-                for at in range(len(stack) - 1, max(0, len(stack) - 30), -1):
-                    if stack[at][0] in (tag, twin):
-                        del stack[at:]
-                        break
-                    if stack[at][0] in within:
-                        break
+                at = innermost((tag, twin))
+                if at > innermost(within):
+                    shut(at)
         elif tag == "br":
             if buf:
                 buf.append(" ")
@@ -183,6 +186,9 @@ def _parsed(html: str, ordinary: frozenset[int]) -> tuple[list[Block], frozenset
             unclosed.add(element)
             if element not in ordinary:
                 flags |= _BOILER | _APART
+        places.setdefault(tag, []).append(len(stack))
+        if tag in _BLOCK:
+            blocks.append(len(stack))
         stack.append((tag, flags, element))
     flush()
     return out, frozenset(unclosed)

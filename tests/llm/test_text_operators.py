@@ -66,6 +66,15 @@ def test_html_keeps_text_around_embedded_elements():
     assert main_text(page) == f"{long}\n{long}" and [b.text for b in blocks_of(page)][1] == f"inner{long}"
 
 
+def test_html_end_tags_reach_any_depth():
+    from cairn.llm.html_mincut import main_text
+    long = "A sentence that is long enough to count as prose, surely."
+    assert main_text("<body><nav>" + "<a href=x>go<font>" * 400 + f"</nav><article><p>{long}</p></article>") == long
+    assert main_text("<article><p>" + "<b>" * 40 + f"{long}<p>{long}</article>") == f"{long}\n{long}"
+    assert main_text("<article><ul><li class=ad>" + "<b>" * 60 + f"x<li>{long}</ul></article>") == long
+    assert main_text("<a>" * 100000 + "</nav></b>" * 100000 + long) is not None
+
+
 def test_extract_keeps_rows(spark):
     from cairn.llm.html_mincut import extract_main_text
     pages = spark.createDataFrame([(1, None, 9), (1, None, 9), (2, "", 9)], "page_id long, html string, Text int")
