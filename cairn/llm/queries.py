@@ -174,6 +174,20 @@ def op10_ipf_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return calibrated_sample(docs).select("doc_id", "source", "lang", "p_keep")
 
 
+OP13_SQL = """
+WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256
+FROM d WINDOW same AS (PARTITION BY t)
+"""
+
+
+@register("op13_block_naming", OP13_SQL)
+def op13_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cairn.llm.block_naming import exact_groups
+    return exact_groups(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
 @register("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
