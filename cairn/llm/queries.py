@@ -174,6 +174,28 @@ def op10_ipf_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return calibrated_sample(docs).select("doc_id", "source", "lang", "p_keep")
 
 
+_TERMS = (r"list_filter(string_split(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          r"'[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+', ' ', 'g'), ' '), lambda x: x <> '')")
+OP12_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents),
+total AS (SELECT CAST(count(*) FILTER (len(w) > 0) AS BIGINT) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM d),
+tf AS (SELECT r, t, CAST(count(*) AS BIGINT) AS tf FROM (SELECT r, unnest(w) AS t FROM d) GROUP BY r, t),
+wt AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS wt FROM (SELECT t, count(*) AS df FROM tf GROUP BY t), total),
+m AS (SELECT r, doc_id, 100 - 75 + (75 * len(w) * n_docs) // n_terms AS m FROM d, total WHERE len(w) > 0),
+q AS (SELECT item_id, t, count(*) AS c FROM (SELECT item_id, unnest({_TERMS}) AS t FROM benchmark) GROUP BY item_id, t),
+s AS (SELECT item_id, r, doc_id, CAST(sum(c * wt * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+      FROM q JOIN wt USING (t) JOIN tf USING (t) JOIN m USING (r) GROUP BY item_id, r, doc_id),
+k AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM k WHERE rank <= 10
+"""
+
+
+@register("op12_bag_search", OP12_SQL)
+def op12_bag_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cairn.llm.bag_search import ranked
+    return ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10).select("item_id", "rank", "doc_id", "score")
+
+
 OP13_SQL = """
 WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
