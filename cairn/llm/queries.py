@@ -174,6 +174,33 @@ def op10_ipf_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return calibrated_sample(docs).select("doc_id", "source", "lang", "p_keep")
 
 
+def planted_period(doc_id, words: list) -> list:
+    """The contract's rule: in one document of ten the words from a on repeat their first p."""
+    from zlib import crc32
+    h = crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if h % 10 or not words:
+        return words
+    n, g = len(words), h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a:a + p] * -(-(n - a) // p))[:n - a]
+
+
+@register("op11_period_runs")
+def op11_period_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cairn.llm.period_runs import periodic_runs
+    r = periodic_runs(table(spark, sf_dir, "documents"), rewrite=planted_period)
+    longest = F.array_sort("runs", lambda a, b: F.when(a["length"] != b["length"], (b["length"] - a["length"]).cast("int"))
+                           .when(a["start"] != b["start"], F.when(a["start"] < b["start"], -1).otherwise(1))
+                           .otherwise((a["period"] - b["period"]).cast("int")))
+    top = F.try_element_at(longest, F.lit(1))
+    lines = F.array_join(F.transform("runs", lambda x: F.format_string("%d,%d,%d\n", x["start"], x["length"], x["period"])), "")
+    return r.withColumn("top", top).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("top.start").alias("start"), F.col("top.length").alias("length"),
+        F.col("top.period").alias("period"), F.expr("1000 * top.length div top.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.coalesce(F.sha2("collapsed", 256), "words_sha256").alias("collapsed_sha256"))
+
+
 _TERMS = (r"list_filter(string_split(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
           r"'[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+', ' ', 'g'), ' '), lambda x: x <> '')")
 OP12_SQL = f"""
