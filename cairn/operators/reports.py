@@ -3,6 +3,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,32 +13,26 @@ from cairn.functions.expr import round_half_up
 
 def percentiles(df: DataFrame, columns: dict[str, str], qs=(0.95, 0.80, 0.60), digits: int = 4) -> DataFrame:
     """Exact linear-interpolated quantiles, one row with columns
-    <label>_p<q*100>. Distributed: the values are ranked with a range
-    partitioning (no single task holds them all, unlike ``percentile``),
-    n is a scalar subquery, and only the ranks floor/ceil((n-1)q)+1 are read."""
-    from cairn.functions.ranking import row_numbers
+    <label>_p<q*100>. The ranks floor/ceil((n-1)q) are selected by bucket
+    refinement (``functions.selection``): a few jobs run while the plan is
+    built, each moving bucket counts only; nothing is sorted and no task holds
+    a column. Nulls do not count; NaN is above all numbers."""
     from cairn.functions.scan import cut
-    # several jobs read the input (counts, range sampling, ranks)
-    df = cut(df.select(*columns.values()))
-    parts = []
-    for label, c in columns.items():
-        v = df.select(F.col(c).cast("double").alias("v")).where(F.col("v").isNotNull())
-        n = v.select(F.count(F.lit(1))).scalar()
-        ranked = row_numbers(v, [F.col("v")], {"_r": []})
-        aggs = []
-        for q in qs:
-            h = (n - 1) * F.lit(q)
-            lo, hi = F.floor(h) + 1, F.ceil(h) + 1
-            vlo = F.max(F.when(F.col("_r") == lo, F.col("v")))
-            vhi = F.max(F.when(F.col("_r") == hi, F.col("v")))
-            aggs.append(round_half_up(vlo + (vhi - vlo) * (h - F.floor(h)), digits)
-                        .alias(f"{label}_p{int(round(q * 100))}"))
-        parts.append(ranked.agg(*aggs))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
-    # one row per column label -> one row (max ignores the nulls of the others)
-    return out.agg(*[F.max(c).alias(c) for c in out.columns])
+    from cairn.functions.selection import order_statistics
+    df = cut(df.select(*[F.col(c).cast("double").alias(f"_{i}") for i, c in enumerate(columns.values())]))  # a round reads it once
+    counts = df.agg(*[F.count(c).alias(c) for c in df.columns]).first()
+    places = {c: [(counts[c] - 1) * q for q in qs] for c in df.columns}
+    ranks = {c: sorted({f(h) for h in hs for f in (math.floor, math.ceil)}) for c, hs in places.items() if counts[c]}
+    at = order_statistics(df, ranks) if ranks else {}
+    out = []
+    for (label, _), (c, hs) in zip(columns.items(), places.items()):
+        for q, h in zip(qs, hs):
+            value = F.lit(None).cast("double")
+            if counts[c]:
+                lo, hi = at[c, math.floor(h)], at[c, math.ceil(h)]
+                value = F.lit(lo) if lo == hi else F.lit(lo + (hi - lo) * (h - math.floor(h)))
+            out.append(round_half_up(value, digits).alias(f"{label}_p{int(round(q * 100))}"))
+    return df.sparkSession.range(1).select(*out)
 
 
 def status_counts(df: DataFrame, key: list[str] | str, flags: list[str] = (),
@@ -122,6 +118,15 @@ def top_activity(ev: DataFrame, key: str, partner: str, n: int = 20) -> DataFram
     return g.orderBy(F.col("webhook_count").desc(), F.col(key)).limit(n)
 
 
+def top_activity_of_candidates(ev: DataFrame, key: str, partner: str, n: int = 20) -> DataFrame:
+    """A10 for keys of high cardinality: the n busiest keys are found by
+    bounded candidates (``functions.selection.top_counts``), and only their
+    rows are shuffled for the distinct counts and times."""
+    from cairn.functions.selection import top_counts
+    busiest = top_counts(ev, key, n).select(key)  # n rows
+    return top_activity(ev.join(F.broadcast(busiest), key, "left_semi"), key, partner, n)
+
+
 def daily_activity(ev: DataFrame, days: int = 14) -> DataFrame:
     """Per calendar date, latest ``days`` dates."""
     g = ev.where(F.col("webhook_timestamp").isNotNull()).groupBy(

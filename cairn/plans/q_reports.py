@@ -7,7 +7,7 @@ from cairn.functions.expr import sql_round as R
 from cairn.functions.expr import ts_ntz
 from cairn.operators import reports as rp
 from cairn.plans import fixtures as fx
-from cairn.plans.registry import QUERIES, register
+from cairn.plans.registry import ORACLE, QUERIES, register
 from cairn.plans.sql_pnl import WALLET_PNL_SQL
 
 W = fx.with_ctes
@@ -262,6 +262,27 @@ def q_value_counts_top(spark, sf_dir):
     return rp.value_counts_top(fx.webhooks_fx(spark, sf_dir), "token_address", 20)
 
 
+@register("value_counts_top_candidates", ORACLE["value_counts_top"])
+def q_value_counts_top_candidates(spark, sf_dir):
+    from cairn.functions.selection import top_counts
+    return top_counts(fx.webhooks_fx(spark, sf_dir), "token_address", 20)
+
+
+@register("top_accounts_candidates", ORACLE["top_accounts"])
+def q_top_accounts_candidates(spark, sf_dir):
+    return rp.top_activity_of_candidates(fx.webhooks_fx(spark, sf_dir), "account_address", "token_address")
+
+
+@register("table_stats")
+def q_table_stats(spark, sf_dir):
+    """Rows, files and bytes of every given table (sizes are not SQL; tests hold them against a file
+    listing)."""
+    from cairn.sources.table_files import table_stats
+    tables = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages",
+              "benchmark", "labels", "conversations")
+    return table_stats(spark, {t: f"{sf_dir}/{t}.parquet" for t in tables})
+
+
 @register("histogram", W(fx.TOKENS_FX_SQL) + """,
 v AS (SELECT CAST(liquidity AS DOUBLE) AS x FROM tokens_fx WHERE liquidity IS NOT NULL),
 s AS (SELECT MIN(x) AS lo, MAX(x) AS hi FROM v),

@@ -112,4 +112,4 @@ def q_score_percentiles(spark, sf_dir):
 
 def _load_all() -> None:
     """Import the modules that register the remaining query families."""
-    from cairn.plans import q_clean, q_hot, q_lots, q_options, q_quarantine, q_reports, q_sources, q_store, q_stream  # noqa: F401
+    from cairn.plans import q_clean, q_hot, q_lots, q_options, q_quarantine, q_reports, q_sources, q_store, q_stream, q_stream_state  # noqa: F401
