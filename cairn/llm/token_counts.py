@@ -1,7 +1,7 @@
 """Token counts: batch encoding inside Arrow functions that return lengths only.
 
-A text is cut at boundaries no token can cross, equal pieces of a task are encoded once, and the
-pieces still unknown go to the library in batches of bounded bytes. So one very long text costs no
+A text is cut at boundaries no token can cross, equal pieces are encoded once as long as a
+process remembers them, and the pieces still unknown go to the library in batches of bounded bytes. So one very long text costs no
 more memory than many short ones, and only integers leave the workers."""
 
 from __future__ import annotations
@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from cairn.llm.common import bounded_batches, free_name
 
 BATCH_BYTES = 1 << 16   # bytes of text handed to the library at once
-MEMO_ENTRIES = 400_000  # remembered pieces per task; beyond it the memory starts anew
+MEMO_TOTAL = 24 << 20   # bytes of each of a process's two memories; beyond it the memory starts anew
+ENTRY = 120             # bytes of a remembered piece beside its own
 MEMO_BYTES = 48         # longer pieces are encoded but not remembered
 SLICE_WORDS = 200_000   # words of one text held as objects at a time
 
@@ -28,8 +29,10 @@ def piece_counter(tokenizer_path: str):
     the word stands, and it lower-cases, so such words count as the sum of their pattern pieces.
     Every other word, and every text that may hold a special token's string (``<|``), goes to the
     library whole, so composition, case and special strings are its own."""
+    import os
     import re
 
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; the library's threads only add memory
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(tokenizer_path)
@@ -39,6 +42,7 @@ def piece_counter(tokenizer_path: str):
     pattern = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
     words: dict[bytes, int] = {}
     pieces: dict[bytes, int] = {}
+    held = {"words": 0, "pieces": 0}  # their bytes
 
     def encode(new: list[bytes], memo: dict[bytes, int]) -> None:
         """Put the counts of ``new`` into ``memo``, in batches balanced by bytes."""
@@ -59,12 +63,15 @@ def piece_counter(tokenizer_path: str):
 
     def learn(new: list[bytes]) -> None:
         """Counts of new words, from the counts of their pieces."""
-        if len(words) > MEMO_ENTRIES:
-            words.clear()
-        if len(pieces) > MEMO_ENTRIES:
-            pieces.clear()
+        for name, memo in (("words", words), ("pieces", pieces)):
+            if held[name] > MEMO_TOTAL:
+                memo.clear()
+                held[name] = 0
         parts = [split(w) for w in new]
-        encode(list({p for ps in parts for p in ps}.difference(pieces)), pieces)
+        unknown = list({p for ps in parts for p in ps}.difference(pieces))
+        encode(unknown, pieces)
+        for name, added in (("words", new), ("pieces", unknown)):
+            held[name] += sum(ENTRY + len(x) for x in added if len(x) <= MEMO_BYTES)
         for w, ps in zip(new, parts):
             words[w] = sum(map(pieces.__getitem__, ps))
         for long in [p for ps in parts for p in ps if len(p) > MEMO_BYTES]:
@@ -88,10 +95,10 @@ def piece_counter(tokenizer_path: str):
         # one set of unknown words per batch of texts: the library sees large batches
         out = [0] * len(texts)
         pending: list[tuple[int, list[bytes]]] = []
-        held = 0
+        waiting = 0
 
         def settle() -> None:
-            nonlocal held
+            nonlocal waiting
             fresh = list({w for _, ws in pending for w in ws}.difference(words))
             if fresh:
                 before = len(words)
@@ -106,14 +113,14 @@ def piece_counter(tokenizer_path: str):
                 if len(w) > MEMO_BYTES:
                     words.pop(w, None)
             pending.clear()
-            held = 0
+            waiting = 0
 
         for at, raw in enumerate(texts):
             # lower-casing ASCII first merges pieces; not where it could make a special string
             for ws in slices(raw if b"<|" in raw else raw.lower()):
                 pending.append((at, ws))
-                held += len(ws)
-                if held >= SLICE_WORDS:
+                waiting += len(ws)
+                if waiting >= SLICE_WORDS:
                     settle()
         settle()
         return out
@@ -121,12 +128,25 @@ def piece_counter(tokenizer_path: str):
     return count
 
 
+def process_counter(tokenizer_path: str):
+    """The process's counter of a vocabulary. Workers live on between tasks, and every further tokenizer
+    a process loads costs memory that does not come back, so it keeps one, in a module of its own name
+    (this one travels by value and is new in every task)."""
+    import sys
+    import types
+
+    kept = sys.modules.setdefault("cairn_worker_counters", types.ModuleType("cairn_worker_counters")).__dict__
+    if kept.get("path") != tokenizer_path:
+        kept.update(path=tokenizer_path, counter=piece_counter(tokenizer_path))
+    return kept["counter"]
+
+
 def token_lengths(tokenizer_path: str):
     """An Arrow function: text column -> token counts (null counts as the empty text)."""
 
     @F.arrow_udf("long")
     def lengths(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        count = piece_counter(tokenizer_path)
+        count = process_counter(tokenizer_path)
         for texts in batches:
             raw = texts.cast(pa.binary())
             yield pa.array(count([x or b"" for x in raw.to_pylist()]), pa.int64())
