@@ -263,6 +263,9 @@ def q_state_by_task(spark, sf_dir):
 
 
 # ------------------------------------------------------------- table store
+LINES_A_FILE = 1000
+
+
 def _store(spark):
     """A store under the session's checkpoint folder (these entries write)."""
     import uuid
@@ -315,31 +318,39 @@ def q_store_partitioned_write(spark, sf_dir):
 
 
 @register("table_schema", W(fx.TOKENS_FX_SQL) + """
-SELECT column_name, data_type, column_default FROM (VALUES ('token_address', 'string', NULL), ('price', 'double', NULL),
-  ('silver_processed', 'boolean', 'false')) AS c(column_name, data_type, column_default)
-WHERE EXISTS (SELECT 1 FROM tokens_fx)""")
+SELECT column_name, data_type, column_default, (SELECT COUNT(*) FROM tokens_fx) AS row_count, value_count,
+       value_count < (SELECT COUNT(*) FROM tokens_fx) AS has_nulls
+FROM (SELECT 'token_address' AS column_name, 'string' AS data_type, NULL AS column_default, COUNT(token_address) AS value_count FROM tokens_fx
+      UNION ALL SELECT 'price', 'double', NULL, COUNT(price) FROM tokens_fx
+      UNION ALL SELECT 'liquidity', 'double', NULL, COUNT(liquidity) FROM tokens_fx
+      UNION ALL SELECT 'silver_processed', 'boolean', 'false', COUNT(silver_processed) FROM tokens_fx) c""")
 def q_table_schema(spark, sf_dir):
-    """Columns, types and defaults."""
+    """Columns, types and defaults of a stored table, and how far each is filled."""
     from cairn.sources.store import table_schema
-    t = fx.tokens_fx(spark, sf_dir).select("token_address", F.col("price").cast("double").alias("price"), "silver_processed")
-    return table_schema(t, DEFAULTS).drop("is_nullable")
+    s = _store(spark)
+    s.write("tokens", fx.tokens_fx(spark, sf_dir).select("token_address", F.col("price").cast("double").alias("price"), "liquidity", "silver_processed"))
+    return table_schema(s.read("tokens"), DEFAULTS)
 
 
 @register("read_json_drop", W(fx.WEBHOOKS_FX_SQL) + """
-SELECT DISTINCT 'doc' || CAST(webhook_id % 40 AS VARCHAR) AS doc, CASE WHEN webhook_id % 40 < 20 THEN 1 ELSE 2 END AS call
+SELECT webhook_id % 2 + 1 AS call, CASE WHEN webhook_id % 23 = 0 THEN 'rejected' ELSE 'read' END AS outcome,
+       CASE WHEN webhook_id % 23 <> 0 THEN webhook_id END AS doc
 FROM webhooks_fx""")
 def q_read_json_drop(spark, sf_dir):
-    """Files dropped before and between two calls; the second call sees
-    only what the first did not."""
+    """Every pushed event lands as a line of a JSON file, so many lines a file, half of them between
+    two calls; the second call sees only the files the first did not. Lines that do not parse are set aside."""
     from cairn.functions.scan import cut
     from cairn.sources.json_pages import read_json_drop
     path = _store(spark).path("drop")
-    docs = fx.webhooks_fx(spark, sf_dir).select((F.col("webhook_id") % 40).alias("i")).distinct()
-    land = lambda d: (d.select(F.concat(F.lit("doc"), F.col("i").cast("string")).alias("id"))
-                      .write.mode("append").option("maxRecordsPerFile", 1).json(path))
-    doc = F.get_json_object("value", "$.id").alias("doc")
-    land(docs.where("i < 20"))
-    first = cut(read_json_drop(spark, path)[0])
-    land(docs.where("i >= 20"))
-    second = read_json_drop(spark, path, first.select("file"))[0]
-    return first.select(doc, F.lit(1).alias("call")).unionByName(second.select(doc, F.lit(2).alias("call")))
+    docs = fx.webhooks_fx(spark, sf_dir).select((F.col("webhook_id") % 2).alias("half"), F.when(
+        F.col("webhook_id") % 23 == 0, F.lit("{cut short")).otherwise(F.to_json(F.struct(F.col("webhook_id").alias("id")))).alias("value"))
+    out, done = None, None
+    for half in (0, 1):
+        docs.where(F.col("half") == half).select("value").write.mode("append").option("maxRecordsPerFile", LINES_A_FILE).text(f"{path}/part={half}")
+        ok, bad = read_json_drop(spark, f"{path}/part=*", done, documents="lines")
+        got = cut(ok.select("file", F.lit("read").alias("outcome"), F.get_json_object("value", "$.id").cast("long").alias("doc"))
+                  .unionByName(bad.select("file", F.lit("rejected").alias("outcome"), F.lit(None).cast("long").alias("doc"))))
+        done = got.select("file").distinct()
+        part = got.select(F.lit(half + 1).cast("long").alias("call"), "outcome", "doc")
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -13,6 +13,7 @@ from cairn.plans.registry import register
 from cairn.streaming import ingest
 
 W = fx.with_ctes
+LINES_A_FILE = 5000
 
 
 @register("event_status_counts", W(fx.WEBHOOKS_FX_SQL) + """
@@ -49,19 +50,16 @@ FROM (SELECT *, webhook_id % 13 = 0 OR webhook_id % 17 = 0 OR webhook_id % 19 =
       FROM webhooks_fx) x""")
 def q_ingest_stream(spark, sf_dir):
     """T1/T2/T7 end to end (runs a stream): payload lines of every pushed
-    event land as files under the session's checkpoint folder, a file stream
-    writes them micro-batch by micro-batch, the epochs are compacted into a
-    table and returned: one row per push, equal payloads included."""
+    event land as files under the session's checkpoint folder (so many lines a
+    file: their number grows with the events), a file stream writes them
+    micro-batch by micro-batch, and the event table is returned: one row per
+    push, equal payloads included."""
     from cairn.plans.q_sources import event_payloads
     from cairn.session import ensure_checkpoint_dir
-    from cairn.sources.store import TableStore
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cairn-stream-{uuid.uuid4().hex}"
     lines = event_payloads(spark, sf_dir).select(F.col("raw_payload").alias("value"))
-    lines.repartition(16).write.text(f"{base}/landing")
-    q = ingest.start_ingest(spark, f"{base}/landing", f"{base}/events", f"{base}/checkpoint",
-                            trigger={"availableNow": True}, max_files=4)
+    lines.write.option("maxRecordsPerFile", LINES_A_FILE).text(f"{base}/landing")
+    q = ingest.start_ingest(spark, f"{base}/landing", f"{base}/events", f"{base}/checkpoint", trigger={"availableNow": True})
     q.awaitTermination()
-    store = TableStore(spark, f"{base}/tables")
-    ingest.compact(spark, f"{base}/events", store)
-    return store.read(ingest.EVENT_TABLE).select(
+    return ingest.read_events(spark, f"{base}/events").select(
         "transaction_signature", "webhook_type", "account_address", "token_address", "processing_status")

@@ -1,12 +1,11 @@
 """The reference's scheduled tasks as incremental Spark jobs over a
-``TableStore`` (SURVEY §3): each reads the current versions of its input
+``TableStore`` (SURVEY §3): each reads its input
 tables (and landed JSON pages), computes with the operators, upserts its
 output, and only then marks its inputs processed. Each task also appends
 start/end rows to the run log and state events per processed entity.
 
 Every task is idempotent at the batch level: rerunning it after a failure
-rewrites the same keys (upserts) and flags; a failed task leaves the
-previous table versions current.
+rewrites the same keys (upserts) and flags, and inputs are flagged last.
 """
 
 from __future__ import annotations

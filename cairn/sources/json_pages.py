@@ -162,17 +162,18 @@ def event_id(payload: Column, delivery: Column | None = None) -> Column:
     return F.sha2(payload if delivery is None else F.concat_ws("\n", payload, delivery), 256)
 
 
-def read_json_drop(spark, path: str, done: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """S10 (batch form): the pending JSON files of a folder, one document per
-    file -> (valid documents, rejects with the file name). ``done`` (column
+def read_json_drop(spark, path: str, done: DataFrame | None = None, documents: str = "files") -> tuple[DataFrame, DataFrame]:
+    """S10 (batch form): the pending files of a folder, one JSON document per
+    file (``documents="files"``, names ending in .json) or per line (``"lines"``)
+    -> (valid documents, rejects with the file name). ``done`` (column
     ``file``) holds the files of earlier calls, which are left out before
     their text is read into any result; append the returned ``file`` columns
-    to it. A file that does not parse is set aside, not fatal. Spark lists and
+    to it. A document that does not parse is set aside, not fatal. Spark lists and
     reads the folder; the micro-batch form (at most so many files at a time)
     is ``streaming.ingest``."""
-    docs = (spark.read.option("wholetext", "true").option("pathGlobFilter", "*.json").text(path)
-            .withColumn("file", F.input_file_name()))
+    reader = spark.read if documents == "lines" else spark.read.option("wholetext", "true").option("pathGlobFilter", "*.json")
+    docs = reader.text(path).select("value", F.col("_metadata.file_path").alias("file"))
     if done is not None:
         docs = docs.join(done.select("file").distinct(), "file", "left_anti").select("value", "file")
-    ok = F.try_parse_json("value").isNotNull()
+    ok = F.try_parse_json("value").isNotNull() & (F.trim("value") != "")
     return docs.where(ok), docs.where(~ok)

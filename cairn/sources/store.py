@@ -1,155 +1,75 @@
-"""Versioned Parquet tables on a shared filesystem.
-
-A table is a directory of versions ``<root>/<name>/v=<n>``, a version a
-directory of batches; each batch is written by one Spark job and counts once
-its ``_SUCCESS`` marker exists, a version once its first batch (``b=0``) does.
-Readers take the committed batches of the highest committed version, so a
-rewrite (upsert, mark-processed, reset) never overwrites the files it reads, a
-part-written append is not seen, a failed job leaves the previous state
-current. A version number is claimed by creating a file exclusively: of two
-writers of the same version one fails. The Hadoop FileSystem API is used for listing, so the root may be
-any shared store Spark can write (HDFS, object store, local in tests)."""
+"""Named Parquet tables in one folder, by plain Spark reads and writes.
 
-from __future__ import annotations
+A table is a folder of Parquet files. Appends are Spark appends. A rewrite (upsert, marks, reset) is a
+join-based merge whose result is written beside the table and then over it, because Spark does not
+overwrite what a job reads; if the second write is lost, the result still lies in ``<name>__next``.
+There are no versions and no own commit protocol: at a size or with writers that need them, keep the
+tables in a table format with MERGE, for which ``operators.incremental.upsert`` is the DataFrame form."""
 
-import uuid
+from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def _versions(spark: SparkSession, table_dir: str) -> list[int]:
-    fs, p = _fs(spark, table_dir)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(st.getPath().suffix("/b=0/_SUCCESS")):
-            out.append(int(name[2:]))
-    return sorted(out)
-
-
-def _batches(spark: SparkSession, version_dir: str) -> list[str]:
-    fs, p = _fs(spark, version_dir)
-    return sorted(st.getPath().toString() for st in fs.listStatus(p)
-                  if st.getPath().getName().startswith("b=") and fs.exists(st.getPath().suffix("/_SUCCESS")))
-
-
 class TableStore:
     """Named tables under one root directory."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def path(self, name: str, version: int | None = None) -> str:
-        base = f"{self.root}/{name}"
-        return base if version is None else f"{base}/v={version}"
-
-    def current_version(self, name: str) -> int | None:
-        v = _versions(self.spark, self.path(name))
-        return v[-1] if v else None
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name}"
 
     def exists(self, name: str) -> bool:
-        return self.current_version(name) is not None
+        try:
+            self.spark.read.parquet(self.path(name))
+        except AnalysisException:  # no such folder, or nothing written into it
+            return False
+        return True
 
     def read(self, name: str, columns: list[str] | None = None, schema: StructType | None = None) -> DataFrame:
-        """Full or projected scan of the current version (column pruning
-        and filters reach the Parquet reader)."""
-        v = self.current_version(name)
-        if v is None:
-            if schema is None:
-                raise FileNotFoundError(f"table {name} has no committed version under {self.root}")
+        """Full or projected scan (column pruning and filters reach the
+        Parquet reader); with ``schema`` a table that is not there is empty."""
+        if schema is not None and not self.exists(name):
             df = self.spark.createDataFrame([], schema)
         else:
-            df = self.spark.read.parquet(*_batches(self.spark, self.path(name, v)))
+            df = self.spark.read.parquet(self.path(name))
         return df.select(*columns) if columns else df
 
-    def write(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> int:
-        """Write ``df`` as the next version and return its number. Raises if
-        another writer has claimed that version within this attempt's base: the
-        caller then reads the new state and tries again. A claim whose writer
-        died is passed over by the next number."""
-        v = (self.current_version(name) or 0) + 1
-        while not self._claim(name, v):
-            if v <= (self.current_version(name) or 0):
-                raise RuntimeError(f"table {name} was rewritten meanwhile: read it again")
-            v += 1
-        w = df.write.mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(f"{self.path(name, v)}/b=0")
-        return v
-
-    def _claim(self, name: str, v: int) -> bool:
-        fs, p = _fs(self.spark, f"{self.path(name, v)}/_CLAIM")
-        if fs.exists(p):
-            return False
-        try:
-            fs.create(p, False).close()
-        except Exception:  # created by another writer between the two calls
-            return False
-        return True
+    def write(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> None:
+        """The whole table anew; ``df`` may read the table itself."""
+        df.write.mode("overwrite").parquet(self.path(f"{name}__next"))
+        self.spark.read.parquet(self.path(f"{name}__next")).write.mode("overwrite").partitionBy(*(partition_by or [])).parquet(self.path(name))
 
-    def append(self, name: str, df: DataFrame) -> int:
-        """All-or-nothing append of a batch to the current version; the cost
-        is the batch, not the table. Columns follow the table's schema."""
-        v = self.current_version(name)
-        if v is None:
-            return self.write(name, df)
-        cols = self.read(name).columns
-        df.select(*cols).write.parquet(f"{self.path(name, v)}/b={uuid.uuid4().hex}")
-        return v
+    def append(self, name: str, df: DataFrame) -> None:
+        """The cost is the batch, not the table. Columns follow the
+        table's schema."""
+        cols = self.read(name).columns if self.exists(name) else df.columns
+        df.select(*cols).write.mode("append").parquet(self.path(name))
 
     def upsert(self, name: str, source: DataFrame, keys: list[str], update_cols: list[str] | None = None,
-               defaults: dict | None = None) -> int:
-        """S7 on files: merge into a new version (never the path being read).
-        The first upsert merges into an empty table of the source's columns
-        and the defaults."""
+               defaults: dict | None = None) -> None:
+        """The first upsert merges into an empty table of the source's
+        columns and the defaults."""
         from cairn.operators.incremental import upsert
         if self.exists(name):
             target = self.read(name)
         else:
             extra = {c: (d if isinstance(d, Column) else F.lit(d)) for c, d in (defaults or {}).items() if c not in source.columns}
             target = source.withColumns(extra).limit(0) if extra else source.limit(0)
-        return self.write(name, upsert(target, source, keys, update_cols, defaults))
-
-    def rewrite(self, name: str, fn) -> int:
-        """Apply a DataFrame -> DataFrame rewrite (M1, M7, M10) as a new version."""
-        return self.write(name, fn(self.read(name)))
+        self.write(name, upsert(target, source, keys, update_cols, defaults))
 
-    def vacuum(self, name: str, keep: int = 2) -> list[int]:
-        """Delete all but the newest ``keep`` committed versions."""
-        fs, _ = _fs(self.spark, self.path(name))
-        vs = _versions(self.spark, self.path(name))
-        gone = vs[:-keep] if keep else vs
-        for v in gone:
-            fs.delete(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path(name, v)), True)
-        return gone
+    def rewrite(self, name: str, fn) -> None:
+        """Apply a DataFrame -> DataFrame rewrite."""
+        self.write(name, fn(self.read(name)))
 
     def stats(self, names: list[str]) -> DataFrame:
-        """Row count and bytes of the current version per table."""
-        rows = []
-        for n in names:
-            v = self.current_version(n)
-            if v is None:
-                continue
-            fs, p = _fs(self.spark, self.path(n, v))
-            size = fs.getContentSummary(p).getLength()
-            rows.append(self.read(n).agg(F.count(F.lit(1)).alias("row_count"))
-                        .select(F.lit(n).alias("table_name"), "row_count",
-                                F.lit(size).cast("long").alias("size_bytes")))
-        out = rows[0]
-        for r in rows[1:]:
-            out = out.unionByName(r)
-        return out
+        """Rows, files and bytes per table."""
+        from cairn.sources.table_files import table_stats
+        return table_stats(self.spark, {n: self.path(n) for n in names})
 
 
 def partitioned_write(df: DataFrame, path: str, date_col: str = "processing_date") -> None:
@@ -161,9 +81,13 @@ def partitioned_write(df: DataFrame, path: str, date_col: str = "processing_date
 
 
 def table_schema(df: DataFrame, defaults: dict | None = None) -> DataFrame:
-    """Column name, type, nullability and declared default as rows."""
-    spark = df.sparkSession
+    """Column name, type and declared default with what the table holds:
+    rows, rows with a value, and whether a null was found. One partial
+    aggregation over all columns, turned into rows."""
     known = defaults or {}
-    rows = [(f.name, f.dataType.simpleString(), f.nullable, None if known.get(f.name) is None else str(known[f.name]).lower())
-            for f in df.schema.fields]
-    return spark.createDataFrame(rows, "column_name string, data_type string, is_nullable boolean, column_default string")
+    counts = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(F.col(f"`{f.name}`")).alias(f"_{i}") for i, f in enumerate(df.schema.fields)])
+    rows = [F.struct(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"),
+                     F.lit(None if known.get(f.name) is None else str(known[f.name]).lower()).cast("string").alias("column_default"),
+                     F.col("_rows").alias("row_count"), F.col(f"_{i}").alias("value_count"), (F.col(f"_{i}") < F.col("_rows")).alias("has_nulls"))
+            for i, f in enumerate(df.schema.fields)]
+    return counts.select(F.explode(F.array(*rows)).alias("c")).select("c.*")

@@ -2,13 +2,11 @@
 
 Pushed payloads land as JSON-lines files; a file stream (at most 500 files
 per micro-batch) extracts the event fields (S5) and keys each push by its
-payload and delivery. Each micro-batch is written to its own directory named by the
-epoch id, so the cost per batch is the batch, never the table, and a replayed
-epoch (``foreachBatch`` is at-least-once) overwrites exactly what it wrote.
-Readers see the merged table: last ingest wins per id (T2), a partial
-aggregation; ``compact`` folds the new epochs into a versioned table (S8) as
-periodic maintenance. The checkpointed source keeps a backlog instead of
-expiring files (T3)."""
+payload and delivery. Each micro-batch is one partition of the event table, so
+the cost per batch is the batch, never the table, and a replayed epoch
+(``foreachBatch`` is at-least-once) replaces exactly what it wrote. Readers see
+the merged table: last ingest wins per id (T2), a partial aggregation. The
+checkpointed source keeps a backlog instead of expiring files (T3)."""
 
 from __future__ import annotations
 
@@ -16,9 +14,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cairn.sources.json_pages import event_id, extract_event
-from cairn.sources.store import TableStore
-
-EVENT_TABLE = "bronze_webhook_transactions"
 
 
 def parse_events(lines: DataFrame, ingested_at: Column | None = None) -> DataFrame:
@@ -61,61 +56,21 @@ def with_delivery_ids(batch: DataFrame) -> DataFrame:
 
 
 def write_epoch(events_root: str):
-    """foreachBatch sink: idempotent per epoch (the directory name is the
-    epoch id; a replay overwrites it)."""
+    """foreachBatch sink: one partition per epoch, replaced as a whole when
+    the epoch is replayed (dynamic partition overwrite; Spark's commit moves a
+    finished partition into place, so a part-written one is never read)."""
     def run(batch: DataFrame, epoch_id: int) -> None:
         with_delivery_ids(batch).withColumn("epoch", F.lit(epoch_id).cast("long")).write.mode("overwrite") \
-            .parquet(f"{events_root.rstrip('/')}/epoch={epoch_id}")
+            .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(events_root)
     return run
 
 
-def _epochs(spark: SparkSession, events_root: str, after: int) -> list[str]:
-    """Committed epoch folders with a number above ``after``."""
-    from cairn.sources.store import _fs
-    fs, p = _fs(spark, events_root)
-    if not fs.exists(p):
-        return []
-    found = [(int(st.getPath().getName()[6:]), st.getPath().toString()) for st in fs.listStatus(p)
-             if st.getPath().getName().startswith("epoch=") and fs.exists(st.getPath().suffix("/_SUCCESS"))]
-    return [path for n, path in sorted(found) if n > after]
-
-
-def _compacted(store: TableStore, table: str) -> int:
-    """The last epoch the table holds (-1: none)."""
-    if not store.exists(table):
-        return -1
-    last = store.read(table, ["epoch"]).agg(F.max("epoch")).first()[0]
-    return -1 if last is None else last
-
-
-def read_events(spark: SparkSession, events_root: str, store: TableStore | None = None, table: str = EVENT_TABLE) -> DataFrame | None:
-    """The merged event table: one row per webhook_id, the last ingest wins
-    (ties: the later epoch). With ``store``, the compacted table and only the
-    epochs it does not hold yet. ``max_by`` pre-aggregates per task, so a
-    repeated id never becomes a large group. None if nothing has arrived."""
-    from cairn.operators.incremental import dedupe_source
-    after = -1 if store is None else _compacted(store, table)
-    paths = _epochs(spark, events_root, after)
-    parts = [spark.read.parquet(*paths)] if paths else []
-    if store is not None and store.exists(table):
-        parts.append(store.read(table))
-    if not parts:
-        return None
-    raw = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return dedupe_source(raw, ["webhook_id"], ["ingested_at", "epoch"])
-
-
-def compact(spark: SparkSession, events_root: str, store: TableStore, table: str = EVENT_TABLE) -> int:
-    """Fold the epochs the table does not hold yet into it: the new epochs are
-    read, reduced to one row per id and appended; ids include the delivery, so
-    rows of different epochs never meet. Returns the table's version. Epoch
-    folders up to the table's last epoch can then be deleted."""
+def read_events(spark: SparkSession, events_root: str) -> DataFrame:
+    """The event table: one row per webhook_id, the last ingest wins (ties:
+    the later epoch). ``max_by`` pre-aggregates per task, so a repeated id
+    never becomes a large group."""
     from cairn.operators.incremental import dedupe_source
-    paths = _epochs(spark, events_root, _compacted(store, table))
-    if paths:
-        new = dedupe_source(spark.read.parquet(*paths), ["webhook_id"], ["ingested_at", "epoch"])
-        return store.append(table, new)
-    return store.current_version(table) or 0
+    return dedupe_source(spark.read.parquet(events_root), ["webhook_id"], ["ingested_at", "epoch"])
 
 
 def start_ingest(spark: SparkSession, landing_dir: str, events_root: str, checkpoint: str,

@@ -44,16 +44,15 @@ def test_tasks_end_to_end(spark):
     tasks.bronze_transactions_task(store, tx_pages_for(spark), now)
     assert store.read("bronze_transactions").count() > 0
     tasks.silver_wallet_pnl_task(store, now)
-    pnl = store.read("silver_wallet_pnl")
-    assert pnl.count() > 0
+    assert store.read("silver_wallet_pnl").count() > 0
     assert store.read("silver_whales").where("pnl_processed").count() > 0
     tasks.smart_traders_task(store, now)
-    gold = store.read("smart_traders")
-    assert gold.count() == pnl.where("smart_trader_eligible").count()
+    gold = store.read("smart_traders").count()   # tables are read again after a rewrite
+    assert gold == store.read("silver_wallet_pnl").where("smart_trader_eligible").count()
     # a second run finds nothing new to rank: gold unchanged, nothing re-flagged
     tasks.smart_traders_task(store, now)
-    assert store.read("smart_traders").count() == gold.count()
-    assert tasks.push_list_task(store).count() == min(100, gold.count())
+    assert store.read("smart_traders").count() == gold
+    assert tasks.push_list_task(store).count() == min(100, gold)
     runs = store.read(tasks.RUN_LOG)
     assert runs.where("status = 'completed'").count() == 8
 
