@@ -75,15 +75,23 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str],
     return merged.select(*[F.col(c) if c in keys else pick(c).alias(c) for c in target.columns])
 
 
+def _keys_of_batch(batch: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
+    """The batch's keys that exist. ``existing`` is the large side: semi-joined
+    with the batch first, it is not shuffled whole - Spark broadcasts a small
+    batch, and for one too large for that filters the scan by a Bloom filter of
+    the batch's keys (``spark.sql.optimizer.runtime.bloomFilter.*``)."""
+    return existing.select(*keys).join(batch.select(*keys).distinct(), keys, "left_semi").distinct()
+
+
 def split_new_existing(batch: DataFrame, existing: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     """(new keys, existing keys) of a batch: anti and semi joins."""
-    k = existing.select(*keys).distinct()
+    k = _keys_of_batch(batch, existing, keys)
     return batch.join(k, keys, "left_anti"), batch.join(k, keys, "left_semi")
 
 
 def new_vs_updated(batch: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
     """M9: counts of inserted and updated keys of a batch (one row)."""
-    k = existing.select(*keys).distinct().withColumn("_exists", F.lit(True))
+    k = _keys_of_batch(batch, existing, keys).withColumn("_exists", F.lit(True))
     j = batch.select(*keys).distinct().join(k, keys, "left")
     return j.agg(F.count_if(F.col("_exists").isNull()).alias("new_records"),
                  F.count_if(F.col("_exists")).alias("updated_records"))
