@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cairn.llm.common import bounded_batches, free_name
@@ -202,15 +202,24 @@ def _windows(length: int, per_doc: int, seed: int):
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_docs: int = 2400,
         windows_per_doc: int = 6, window: int = 64, hidden: int = 10, width: int = 6, updates: int = 400, lanes: int = 256,
         rate: float = 0.02, seed: int = 11) -> Network | None:
-    """A network trained on the texts of at most ``sample_docs`` distinct ids with a label (those of
-    the smallest id hashes, so the sample does not depend on the layout), ``windows_per_doc`` windows
-    of ``window`` bytes each; the languages are balanced. None if nothing labelled holds a letter."""
+    """A network trained on the texts of at most ``sample_docs`` documents with a label and a letter, the
+    same share of them for every language (those of the smallest id hashes, so the sample does not
+    depend on the layout), ``windows_per_doc`` windows of ``window`` bytes each; the languages are
+    balanced. Every label is learned as long as there are not more labels than ``sample_docs``; of more,
+    the most frequent. Ids that repeat with other texts take part with each. None if nothing labelled
+    holds a letter."""
     bounded_batches(docs.sparkSession)
     docs = docs.select(F.xxhash64(id_col, F.lit(seed)).alias("key"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter("lang IS NOT NULL")
-    last = docs.select("key").distinct().orderBy("key").limit(sample_docs).agg(F.max("key")).first()[0]
-    if last is None:
+    docs = docs.filter(F.col("text").rlike(r"\p{L}"))
+    common = docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(sample_docs).collect()
+    if not common:
         return None
-    sample = docs.filter((F.col("key") <= last) & (F.length("text") > 0)).dropDuplicates(["key"])
+    # the window keeps each task's smallest keys only, before anything is shuffled; texts are fetched for the chosen
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("key", "th"))
+    chosen = (docs.filter(F.col("lang").isin([r["lang"] for r in common])).select("lang", "key", F.xxhash64("text").alias("th"))
+              .withColumn("nth", nth).filter(F.col("nth") <= max(1, sample_docs // len(common))).select("lang", "key", "th"))
+    sample = (docs.withColumn("th", F.xxhash64("text")).join(F.broadcast(chosen.distinct()), ["lang", "key", "th"], "left_semi")
+              .dropDuplicates(["lang", "key", "th"]))
     rows = sample.mapInPandas(_windows(window, windows_per_doc, seed), "window binary, lang string").collect()
     rows = sorted((bytes(r["window"]), r["lang"]) for r in rows)
     rows = [r for r in rows if _LETTER[np.frombuffer(r[0], np.uint8)].any()]

@@ -5,7 +5,8 @@ smallest of every ``window - k + 1`` consecutive ones is kept (the last of equal
 two texts share a run of ``window`` words, both keep the same hash at the same place inside it.
 Documents keep only runs of words around fingerprints that pass a fixed-size bitmap of the
 benchmark's fingerprints; the fingerprints of these spans are joined with the benchmark's, and each
-match is extended word by word to the full shared run, which compares the words themselves.
+hit, a span and an item, is extended window by window to the full shared runs, which compares the
+words themselves and takes time linear in the span however often a fingerprint repeats.
 
 Items shorter than ``window`` are one window of their own length: their only k-gram (k = their
 length) plays the fingerprint's part, with nothing to extend."""
@@ -17,12 +18,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cairn.llm.common import bounded_batches, cut
 
 BITMAP_BITS = 1 << 23  # 1 MB: the bound of what is sent to every task
+ITEM_WORDS = 1 << 20   # words of items whose windows a task keeps; beyond it the memory starts anew
 _WORD = re.compile(rb"[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")  # bytes of non-ASCII letters are all above 0x7f
 _P = 0x9E3779B97F4A7C15
 
@@ -144,69 +146,62 @@ def _document_rows(window: int, k: int, short: tuple[int, ...], bitmap: bytes):
 
 
 def _core_grams(k: int):
-    """Every k-gram of the distinct spans: the test side of the fingerprint join."""
+    """The distinct k-grams of each distinct span: the training side of the fingerprint join."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         memo: dict[bytes, int] = {}
         for pdf in batches:
             for core in pdf["core"]:
-                g = gram_hashes(word_hashes(core.encode("utf-8").split(b" "), memo), k)
-                yield pd.DataFrame({"core": core, "g": g.view(np.int64), "j": np.arange(len(g))})
+                g = np.unique(gram_hashes(word_hashes(core.encode("utf-8").split(b" "), memo), k))
+                yield pd.DataFrame({"core": core, "g": g.view(np.int64)})
 
     return run
 
 
-def _extend(window: int, reach: int):
-    """Word by word, the runs that a span's core shares with an item in one alignment; runs that
-    reach an end of the core also carry the item's next words on that side."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for core, cls, shift, text in zip(pdf["core"], pdf["cls"], pdf["shift"], pdf["words"]):
-                doc, item = core.split(" "), text.split(" ")
-                lo, hi = max(0, -shift), min(len(doc), len(item) - shift)
-                j = lo
-                while j < hi:
-                    if doc[j] != item[j + shift]:
-                        j += 1
-                        continue
-                    e = j
-                    while e < hi and doc[e] == item[e + shift]:
-                        e += 1
-                    left, right = j == 0, e == len(doc)
-                    if left or right or e - j >= window:
-                        out.append((core, cls, j, e, " ".join(item[max(0, shift - reach):shift]) if left and shift > 0 else "",
-                                    " ".join(item[e + shift:e + shift + reach]) if right else ""))
-                    j = e
-            yield pd.DataFrame(out, columns=["core", "cls", "lo", "hi", "item_before", "item_after"])
-
-    return run
+def shared_runs(text: list[bytes], h: np.ndarray, item: list[bytes], windows: dict[int, list[int]], window: int) -> list[tuple[int, int]]:
+    """The runs [lo, hi) of words that consecutive windows of the text share with the item; linear in the
+    text. Hashes choose the windows, the words themselves decide."""
+    runs: list[tuple[int, int]] = []
+    for i, g in enumerate(gram_hashes(h, window).tolist()):
+        places = windows.get(g)
+        if places and any(text[i:i + window] == item[p:p + window] for p in places):
+            if runs and runs[-1][1] >= i:
+                runs[-1] = (runs[-1][0], i + window)
+            else:
+                runs.append((i, i + window))
+    return runs
 
 
-def _intervals(window: int):
-    """Of every document's span the stretches of words inside occurring windows, with the item."""
+def _extend(window: int):
+    """Extends each hit, a span and an item with a common fingerprint, over the span and the words
+    around it."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        memo: dict[bytes, int] = {}
+        items: dict[str, tuple[list[bytes], dict[int, list[int]]]] = {}
+        held = 0
+
+        def windows_of(cls: str, words: str) -> tuple[list[bytes], dict[int, list[int]]]:
+            nonlocal held
+            if cls not in items:
+                if held > ITEM_WORDS:
+                    items.clear()
+                    held = 0
+                item = words.encode("utf-8").split(b" ")
+                places: dict[int, list[int]] = {}
+                for at, g in enumerate(gram_hashes(word_hashes(item, memo), window).tolist()):
+                    known = places.setdefault(g, [])
+                    if not any(item[p:p + window] == item[at:at + window] for p in known):  # equal windows once
+                        known.append(at)
+                items[cls] = item, places
+                held += len(item)
+            return items[cls]
+
         for pdf in batches:
             hits = []
-            for start, core, before, after, runs in zip(pdf["start"], pdf["core"], pdf["before"], pdf["after"], pdf["runs"]):
-                size = core.count(" ") + 1
-                left, right = before.split(), after.split()
-                found = []
-                for r in runs:
-                    lo, hi = int(r["lo"]), int(r["hi"])
-                    touches_left, touches_right = lo == 0, hi == size
-                    if touches_left:
-                        for a, b in zip(reversed(left), reversed(r["item_before"].split())):
-                            if a != b:
-                                break
-                            lo -= 1
-                    if touches_right:
-                        for a, b in zip(right, r["item_after"].split()):
-                            if a != b:
-                                break
-                            hi += 1
-                    if hi - lo >= window:
-                        found.append({"lo": int(start) + lo, "hi": int(start) + hi, "cls": r["cls"]})
-                hits.append(found)
+            for start, core, before, after, cls, words in zip(pdf["start"], pdf["core"], pdf["before"], pdf["after"], pdf["cls"], pdf["words"]):
+                lead = before.encode("utf-8").split()
+                text = lead + core.encode("utf-8").split(b" ") + after.encode("utf-8").split()
+                found = shared_runs(text, word_hashes(text, memo), *windows_of(cls, words), window)
+                hits.append([{"lo": int(start) - len(lead) + lo, "hi": int(start) - len(lead) + hi, "cls": cls} for lo, hi in found])
             yield pd.DataFrame({"id": pdf["id"], "th": pdf["th"], "hits": hits})
 
     return run
@@ -223,8 +218,8 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
     Other columns are not read. Nothing is broadcast but a bitmap of ``BITMAP_BITS`` bits: a larger
     benchmark only lets more spans through to the exact join.
 
-    A passage that many documents share is compared with the benchmark once (spans are grouped by
-    their words first); the documents' spans then meet one row per distinct span."""
+    The fingerprints of a passage that many documents share meet the benchmark's once (spans are grouped
+    by their words first); each document's span is then extended by itself."""
     if not 1 < k < window:
         raise ValueError("k must lie between 1 and the window")
     spark = docs.sparkSession
@@ -255,34 +250,28 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
     spans = base.select("id", "th", F.explode("spans").alias("s")).select("id", "th", "s.*")
     cores = spans.select("core").distinct()
     long_items = classes.filter(F.col("n") >= window)
-    seeds = cores.mapInPandas(_core_grams(k), "core string, g long, j int").join(
-        prints.join(long_items.select("cls"), "cls", "left_semi"), "g")
-    aligned = seeds.select("core", "cls", (F.col("at") - F.col("j")).alias("shift")).distinct()
-    runs = (aligned.join(long_items.select("cls", "words"), "cls")
-            .mapInPandas(_extend(window, reach), "core string, cls string, lo int, hi int, item_before string, item_after string")
-            .groupBy("core").agg(F.collect_set(F.struct("cls", "lo", "hi", "item_before", "item_after")).alias("runs")))
+    # a fingerprint that a text repeats counts once on either side
+    met = cores.mapInPandas(_core_grams(k), "core string, g long").join(
+        prints.join(long_items.select("cls"), "cls", "left_semi").select("cls", "g").distinct(), "g").select("core", "cls").distinct()
     hit = "array<struct<lo int, hi int, cls string>>"
-    found = spans.join(runs, "core").mapInPandas(_intervals(window), f"id {id_type}, th long, hits {hit}")
+    found = (spans.join(met, "core").join(long_items.select("cls", "words"), "cls")
+             .select("id", "th", "start", "core", "before", "after", "cls", "words").mapInPandas(_extend(window), f"id {id_type}, th long, hits {hit}"))
     if short:
         grams = base.select("id", "th", F.explode("short").alias("s")).select("id", "th", "s.*")
         whole = grams.join(classes.filter(F.col("n") < window).select(F.col("words").alias("gram"), "cls", "n"), "gram")
         found = found.unionByName(whole.select("id", "th", F.transform("places", lambda p: F.struct(
             p.alias("lo"), (p + F.col("n")).alias("hi"), F.col("cls").alias("cls"))).cast(hit).alias("hits")))
-    found = found.filter(F.size("hits") > 0)
-    one = F.array_sort(F.array_distinct(F.flatten(F.collect_list("hits"))))
-    per_doc = cut(found.groupBy("id", "th").agg(one.alias("hits")))
-    item_ids = (per_doc.select("id", "th", F.explode(F.array_distinct(F.transform("hits", lambda x: x["cls"]))).alias("cls"))
-                .join(classes.select("cls", "ids"), "cls")
+    rows = cut(found.select("id", "th", F.explode("hits").alias("h")).select("id", "th", "h.*").distinct())
+    item_ids = (rows.select("id", "th", "cls").distinct().join(classes.select("cls", "ids"), "cls")
                 .groupBy("id", "th").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))).alias("items")))
     nothing = F.array().cast("array<struct<lo int, hi int>>")
-    merged = F.aggregate("hits", nothing, lambda acc, x: F.when(
-        (F.size(acc) > 0) & (F.get(acc, F.size(acc) - 1)["hi"] >= x["lo"]),
-        F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(F.struct(
-            F.get(acc, F.size(acc) - 1)["lo"].alias("lo"),
-            F.greatest(F.get(acc, F.size(acc) - 1)["hi"], x["hi"]).alias("hi")))))
-        .otherwise(F.concat(acc, F.array(F.struct(x["lo"].alias("lo"), x["hi"].alias("hi"))))))
-    marked = (per_doc.select("id", "th", merged.alias("hits")).join(item_ids, ["id", "th"], "left")
-              .withColumnsRenamed({"id": "hit_id", "th": "hit_th"}))
+    w = Window.partitionBy("id", "th").orderBy("lo", "hi")
+    opens = F.coalesce((F.col("lo") > F.max("hi").over(w.rowsBetween(Window.unboundedPreceding, -1))).cast("int"), F.lit(1))
+    merged = (rows.select("id", "th", "lo", "hi", opens.alias("opens")).withColumn("nth", F.sum("opens").over(w))
+              .groupBy("id", "th", "nth").agg(F.struct(F.min("lo").alias("lo"), F.max("hi").alias("hi")).alias("x"))
+              .groupBy("id", "th").agg(F.array_sort(F.collect_list("x")).alias("hits")))
+    marked = (merged.withColumnsRenamed({"id": "i", "th": "t"}).join(item_ids, F.col("i").eqNullSafe(F.col("id")) & F.col("t").eqNullSafe(F.col("th")))
+              .select(F.col("i").alias("hit_id"), F.col("t").alias("hit_th"), "hits", "items"))
     return (base.select("id", "th", "n_words")
             .join(marked, base["id"].eqNullSafe(marked["hit_id"]) & (base["th"] == marked["hit_th"]), "left")
             .select("id", "th", "n_words", F.coalesce("hits", nothing).alias("hits"),
