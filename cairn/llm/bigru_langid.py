@@ -214,10 +214,13 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     common = docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(sample_docs).collect()
     if not common:
         return None
-    # the window keeps each task's smallest keys only, before anything is shuffled; texts are fetched for the chosen
+    quota = max(1, sample_docs // len(common))
+    # keys are spread evenly, so a language's smallest lie below this bound; only those rows meet in its task
+    bounds = docs.sparkSession.createDataFrame(
+        [(r["lang"], min((1 << 63) - 1, -(1 << 63) + ((2 * quota + 200) * (1 << 64)) // r["n"])) for r in common], "lang string, bound long")
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("key", "th"))
-    chosen = (docs.filter(F.col("lang").isin([r["lang"] for r in common])).select("lang", "key", F.xxhash64("text").alias("th"))
-              .withColumn("nth", nth).filter(F.col("nth") <= max(1, sample_docs // len(common))).select("lang", "key", "th"))
+    chosen = (docs.join(F.broadcast(bounds), "lang").filter(F.col("key") <= F.col("bound")).select("lang", "key", F.xxhash64("text").alias("th"))
+              .withColumn("nth", nth).filter(F.col("nth") <= quota).select("lang", "key", "th"))
     sample = (docs.withColumn("th", F.xxhash64("text")).join(F.broadcast(chosen.distinct()), ["lang", "key", "th"], "left_semi")
               .dropDuplicates(["lang", "key", "th"]))
     rows = sample.mapInPandas(_windows(window, windows_per_doc, seed), "window binary, lang string").collect()
