@@ -211,13 +211,13 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     bounded_batches(docs.sparkSession)
     docs = docs.select(F.xxhash64(id_col, F.lit(seed)).alias("key"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter("lang IS NOT NULL")
     docs = docs.filter(F.col("text").rlike(r"\p{L}"))
-    common = docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(sample_docs).collect()
+    common = docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("key").alias("ids")).orderBy(F.desc("n"), "lang").limit(sample_docs).collect()
     if not common:
         return None
     quota = max(1, sample_docs // len(common))
     # keys are spread evenly, so a language's smallest lie below this bound; only those rows meet in its task
     bounds = docs.sparkSession.createDataFrame(
-        [(r["lang"], min((1 << 63) - 1, -(1 << 63) + ((2 * quota + 200) * (1 << 64)) // r["n"])) for r in common], "lang string, bound long")
+        [(r["lang"], min((1 << 63) - 1, -(1 << 63) + ((2 * quota + 200) * (1 << 64)) // max(1, r["ids"]))) for r in common], "lang string, bound long")
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("key", "th"))
     chosen = (docs.join(F.broadcast(bounds), "lang").filter(F.col("key") <= F.col("bound")).select("lang", "key", F.xxhash64("text").alias("th"))
               .withColumn("nth", nth).filter(F.col("nth") <= quota).select("lang", "key", "th"))

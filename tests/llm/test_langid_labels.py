@@ -14,3 +14,8 @@ def test_rare_language_is_learned(spark):
     got = identify(spark.createDataFrame([(1, "дед и баба"), (2, "the dog and the cat")], "doc_id long, text string"), net).orderBy("doc_id").collect()
     assert [r["lang_pred"] for r in got] == ["ru", "en"]
     assert fit(rare.filter("doc_id = 5001")) is None
+
+
+def test_label_whose_rows_share_one_id_is_learned(spark):
+    docs = spark.range(3000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("und so weiter "), (F.col("id") % 3).cast("string")).alias("text"), F.lit("de").alias("lang"))
+    assert fit(docs, sample_docs=20, updates=1).labels == ["de"]
