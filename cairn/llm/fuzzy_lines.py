@@ -2,17 +2,15 @@
 occurrence kept per connected group.
 
 Equal normalised lines are one node from the start. Two fingerprints within ``radius`` bits agree in at
-least ``agree`` of ``agree + radius`` blocks, so they meet in the table of those blocks. Tables first see
-fingerprints only; the lines that fingerprints tie together at all are then looked up in the texts,
-and their words decide: links need an edit similarity of at least ``similarity``.
-
-Without a radius (``radius=None``) fingerprints decide nothing: pairs come from min-hash keys of byte
-n-grams (``gram_sketches``) and are linked by their edit similarity alone."""
+least ``agree`` of ``agree + radius`` blocks, so they meet in the table of those blocks. Tables see
+fingerprints only and give the groups of prints that the radius connects. Only the lines of such groups
+are looked up in the texts, each once, and compared inside their group: a link needs both the radius and
+an edit similarity of at least ``similarity``. Groups too large for a task go through the tables again
+with their lines, by the same rule."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from hashlib import blake2b
 from itertools import combinations
 
 import numpy as np
@@ -23,13 +21,17 @@ from pyspark.sql import functions as F
 
 from cairn.llm.common import bounded_batches, broadcast_if_small, components, cut, free_name
 from cairn.llm.covering_simhash import linked
-from cairn.llm.gram_sketches import JUDGE, agreeing_pairs, band_keys, is_wide, judges
 
 SLOTS = 1 << 23    # bits, 1 MB: the bound of what is sent to every task
 BUCKET_CAP = 2000      # larger buckets are split by one more block; none is cut short
-_PIECE = 1 << 19       # bytes of a text whose words are hashed at a time
-_SEEN = 200_000        # lines a task remembers, so that a common line sends its keys about once a task
-_COUNTER = 65_535      # what a 16-bit counter holds
+GRAM = 4               # bytes of a window of a line
+RADIUS = 4             # bits in which linked lines may differ
+GROUP_BYTES = 16 << 20  # groups of more text go through the tables, too
+_SEEN = 200_000        # texts a task remembers
+_PIECE = 1 << 19       # bytes of short texts that go through the arithmetic together
+_WINDOWS = 1 << 16     # windows whose bits are counted at a time
+_COUNTER = 255         # what a counter of one byte holds
+_FACTOR = 0x9E3779B97F4A7C15
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _DIGITS = bytes.maketrans(b"123456789", b"000000000")
 
@@ -90,24 +92,59 @@ def edit_similarity_at_least(a: str, b: str, least: float) -> bool:
     return score <= allowed
 
 
-# For each 4-bit value its bits as four 16-bit counters of one integer.
-_LANES = np.array([sum((v >> i & 1) << 16 * i for i in range(4)) for v in range(16)], np.uint64)
-
-
-def set_simhashes(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """SimHash of each run of hashes (runs begin at ``starts``, none is empty): a bit is 1 if more than
-    half of the run's hashes have it. 16 integers of four 16-bit counters a hash."""
-    nibbles = np.empty((len(h), 16), np.uint8)
-    octets = h.view(np.uint8).reshape(-1, 8)
-    nibbles[:, 0::2] = octets & 15
-    nibbles[:, 1::2] = octets >> 4
-    size = np.diff(np.append(starts, len(h)))
-    # longer runs are counted in parts that a counter holds
-    parts = starts if size.max() < _COUNTER else np.concatenate([np.arange(a, a + n, _COUNTER) for a, n in zip(starts, size)])
-    counts = np.add.reduceat(_LANES[nibbles], parts, axis=0).view("<u2").reshape(len(parts), 64).astype(np.int64)
-    if len(parts) > len(starts):
-        counts = np.add.reduceat(counts, np.searchsorted(parts, starts), axis=0)
-    return np.packbits(2 * counts > size[:, None], axis=1, bitorder="little").view("<u8").ravel()
+def _full_add(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sum and carry of three words, bit by bit."""
+    odd = a ^ b
+    return odd ^ c, a & b | odd & c
+
+
+def _bit_counts(words: np.ndarray) -> np.ndarray:
+    """How many of the 15 words of each column have each bit: (columns, 8) integers of
+    eight 8-bit counters."""
+    planes, level = [], list(words)
+    while level:  # words of one weight become one word and carries of the next weight
+        carries = []
+        while len(level) > 1:
+            one, carry = _full_add(*level[:3])
+            level = [*level[3:], one]
+            carries.append(carry)
+        planes.append(np.unpackbits(level[0].view(np.uint8), bitorder="little"))
+        level = carries
+    return sum(p << np.uint8(i) for i, p in enumerate(planes)).view(np.uint64).reshape(-1, 8)
+
+
+def gram_simhashes(b: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """SimHash over the ``GRAM``-byte windows, repeats included, of each line ``b[start:start + size]``
+    (none is shorter than a window): a bit is 1 if more than half of the windows' hashes have it. Bits are
+    counted for 15 windows at once by full adders, in parts of at most 255 windows, and then summed; a
+    bounded number of windows is in hand at a time."""
+    counts = sizes - GRAM + 1
+    n_parts = -(-counts // _COUNTER)
+    head = np.cumsum(n_parts) - n_parts
+    line = np.repeat(np.arange(len(starts)), n_parts)
+    done = (np.arange(len(line)) - head[line]) * _COUNTER
+    size, at = np.minimum(_COUNTER, counts[line] - done), starts[line] + done
+    ends = np.cumsum(size)
+    ones = np.empty((len(line), 64), np.uint8)
+    fill = np.zeros(15, np.uint64)
+    lo = 0
+    while lo < len(line):
+        hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + _WINDOWS)))
+        piece = b[at[lo]:at[hi - 1] + size[hi - 1] + GRAM - 1].astype(np.uint64)
+        gram = piece[:len(piece) - GRAM + 1].copy()
+        for i in range(1, GRAM):
+            gram |= piece[i:len(piece) - GRAM + 1 + i] << np.uint64(8 * i)
+        h = np.concatenate((_mix(gram * np.uint64(_FACTOR)), fill))
+        groups = -(-size[lo:hi] // 15)
+        group = np.cumsum(groups) - groups
+        place = np.repeat(at[lo:hi] - at[lo] - 15 * group, groups) + 15 * np.arange(int(groups.sum()))
+        words = h[place + np.arange(15)[:, None]]
+        last = group + groups - 1  # what lies behind a part's end does not count
+        words[:, last] *= np.arange(15)[:, None] < size[lo:hi] - 15 * (groups - 1)
+        ones[lo:hi] = np.add.reduceat(_bit_counts(words), group, axis=0).view(np.uint8).reshape(hi - lo, 64)
+        lo = hi
+    total = np.add.reduceat(ones, head, axis=0, dtype=np.int64)
+    return np.packbits(2 * total > counts[:, None], axis=1, bitorder="little").view("<u8").ravel()
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -117,68 +154,38 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def _powers(n: int) -> np.ndarray:
-    return np.multiply.accumulate(np.concatenate((np.ones(1, np.uint64), np.full(max(1, n) - 1, 0x9E3779B97F4A7C15, np.uint64))))
-
-
-def _runs(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each run of values: a polynomial in the place within the run, mixed."""
-    size = np.diff(np.append(starts, len(values)))
-    place = np.arange(len(values)) - np.repeat(starts, size)
-    return _mix(np.add.reduceat(values * _powers(int(size.max()))[place], starts) + size.astype(np.uint64))
-
-
-def _word_hashes(b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(starts, lengths, hashes) of the words of a piece of text."""
-    edge = np.flatnonzero(np.diff(np.concatenate(([True], _SPACE[b], [True]))))
-    starts, ends = edge[0::2], edge[1::2]
-    if not len(starts):
-        return starts, ends, np.empty(0, np.uint64)
-    size = ends - starts
-    first = np.cumsum(size) - size
-    letters = b[np.arange(int(size.sum())) + np.repeat(starts - first, size)]
-    return starts, size, _runs(letters.astype(np.uint64) + np.uint64(1), first)
+def _runs(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each run of bytes: a polynomial in the place within the run, mixed."""
+    powers = np.multiply.accumulate(np.concatenate((np.ones(1, np.uint64), np.full(int(sizes.max()) - 1, _FACTOR, np.uint64))))
+    first = np.cumsum(sizes) - sizes
+    place = np.arange(int(sizes.sum())) - np.repeat(first, sizes)
+    letters = values[place + np.repeat(starts, sizes)].astype(np.uint64) + np.uint64(1)
+    return _mix(np.add.reduceat(letters * powers[place], first) + sizes.astype(np.uint64))
 
 
 def line_prints(raw: bytes, least_bytes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(position, hash of the normalised line, SimHash over its distinct words; signed) of the lines of a
-    text whose normalised form has ``least_bytes``. Words are hashed piece by piece of a bounded size."""
+    """(position, hash of the normalised line, its SimHash; signed) of the lines of a text that are not
+    empty. A line whose normalised form has less than ``least_bytes`` has its hash for a SimHash, too: it
+    takes part by equality only."""
     none = (np.empty(0, np.int64),) * 3
-    b = np.frombuffer(raw.lower().translate(_DIGITS), np.uint8)
-    starts, sizes, words = [], [], []
-    at = 0
-    while at < len(b):
-        end = min(len(b), at + _PIECE)
-        while end < len(b) and not _SPACE[b[end]]:  # words stay whole
-            end += 1
-        first, size, h = _word_hashes(b[at:end])
-        starts.append(first + at)
-        sizes.append(size)
-        words.append(h)
-        at = end
-    if not words:
-        return none
-    start, size, word = (np.concatenate(x) for x in (starts, sizes, words))
-    if not len(word):
+    b = np.frombuffer(raw.lower().translate(_DIGITS) + b"\n", np.uint8)
+    edge = np.flatnonzero(np.diff(np.concatenate(([True], _SPACE[b]))))
+    starts, ends = edge[0::2], edge[1::2]
+    if not len(starts):
         return none
-    line = np.searchsorted(np.flatnonzero(b == 10), start)
+    size = ends - starts + 1  # a word and what separates it from the next one
+    first = np.cumsum(size) - size
+    norm = b[np.arange(int(size.sum())) + np.repeat(starts - first, size)]
+    norm[first + size - 1] = 32
+    line = np.searchsorted(np.flatnonzero(b == 10), starts)
     head = np.flatnonzero(np.concatenate(([True], line[1:] != line[:-1])))  # first word of each line
-    count = np.diff(np.append(head, len(word)))
-    keep = np.add.reduceat(size, head) + count - 1 >= least_bytes
-    if not keep.any():
-        return none
-    hashes = _runs(word, head)[keep]
-    at = line[head][keep]
-    chosen = np.repeat(keep, count)
-    line, word = np.repeat(np.arange(len(at)), count[keep]), word[chosen]
-    sims = []
-    for lo in range(0, len(at), 1 << 24):  # line and word share one sort key
-        part = slice(np.searchsorted(line, lo), np.searchsorted(line, lo + (1 << 24)))
-        key = np.sort((line[part] - lo).astype(np.uint64) << np.uint64(40) | word[part] >> np.uint64(24))
-        key = key[np.concatenate(([True], key[1:] != key[:-1]))]
-        first = np.flatnonzero(np.concatenate(([True], np.diff(key >> np.uint64(40)) > 0)))
-        sims.append(set_simhashes(_mix(key & np.uint64((1 << 40) - 1)), first))
-    return at, hashes.view(np.int64), np.concatenate(sims).view(np.int64)
+    at, sizes = first[head], np.add.reduceat(size, head) - 1
+    h = _runs(norm, at, sizes)
+    sim = h.copy()
+    long = sizes >= max(least_bytes, GRAM)
+    if long.any():
+        sim[long] = gram_simhashes(norm, at[long], sizes[long])
+    return line[head], h.view(np.int64), sim.view(np.int64)
 
 
 def prints_of(texts: list[bytes], least_bytes: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -242,40 +249,101 @@ def _sim_links(radius: int):
     return run
 
 
-def _normalised(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The wanted lines of each text, normalised."""
-    for pdf in batches:
-        rows = []
-        for text, wanted in zip(pdf["text"], pdf["wanted"]):
-            lines = text.encode("utf-8").split(b"\n")
-            rows += [(w["h"], w["sim"], normalise(lines[w["at"]]).decode("utf-8")) for w in wanted]
-        yield pd.DataFrame(rows, columns=["h", "sim", "norm"])
+def _slot(th, at):
+    """Place of a line in the bitmap of wanted lines, from its text's hash and its position."""
+    return F.shiftrightunsigned(th, 64 - (SLOTS.bit_length() - 1)).bitwiseXOR(at.cast("long").bitwiseAND(SLOTS - 1))
 
 
-def _marked(bitmap: bytes):
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        bits = np.frombuffer(bitmap, np.uint8)
+def _looked_up(bitmap: bytes):
+    """Normalised lines at the places that the bitmap marks; a text that a task has just had is passed over."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks = np.frombuffer(bitmap, np.uint8)
         shift = np.uint64(64 - (SLOTS.bit_length() - 1))
-        for th in batches:
-            slot = (th.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) >> shift).astype(np.int64)
-            yield pa.array(bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1 == 1, pa.bool_())
+        seen: set[int] = set()
+        for batch in batches:
+            th = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            rows: list[tuple] = []
+            for name, first, raw in zip(th.tolist(), (th.view(np.uint64) >> shift).astype(np.int64).tolist(), batch.column(1).cast(pa.binary()).to_pylist()):
+                if raw is None or name in seen:
+                    continue
+                if len(seen) >= _SEEN:
+                    seen.clear()
+                seen.add(name)
+                slot = first ^ np.arange(raw.count(b"\n") + 1) & SLOTS - 1
+                wanted = np.flatnonzero(marks[slot >> 3] >> (slot & 7).astype(np.uint8) & 1)
+                if len(wanted):
+                    lines = raw.split(b"\n")
+                    rows += [(name, i, normalise(lines[i]).decode("utf-8")) for i in wanted.tolist()]
+            ths, ats, norms = zip(*rows) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(ths, pa.int64()), pa.array(ats, pa.int32()), pa.array(norms, pa.string())], ["th", "at", "norm"])
 
     return run
 
 
 def _texts_of(lines: DataFrame, base: DataFrame) -> DataFrame:
-    """``lines(h, sim, keep)`` with their normalised texts, read where ``keep`` points. Texts without
-    such a line are left out by a bitmap of text hashes before anything is shuffled."""
-    cells = (lines.select(F.shiftrightunsigned("keep.th", 64 - (SLOTS.bit_length() - 1)).alias("slot"))
+    """``lines(h, sim, root, keep)`` with their normalised texts, read where ``keep`` points. A bitmap of a
+    fixed size lets a line pass before anything is shuffled; the join then decides."""
+    cells = (lines.select(_slot(F.col("keep.th"), F.col("keep.at")).alias("slot"))
              .select(F.shiftright("slot", 6).alias("cell"), F.expr("shiftleft(1L, cast(slot & 63 as int))").alias("bit"))
              .groupBy("cell").agg(F.bit_or("bit").alias("bits")).collect())  # at most SLOTS / 64 rows
     board = np.zeros(SLOTS // 64, "<i8")
     for r in cells:
         board[r["cell"]] = r["bits"]
-    texts = base.filter(F.arrow_udf(_marked(board.tobytes()), "boolean")("th")).select("th", "text").dropDuplicates(["th"])
-    wanted = (lines.select(F.col("keep.th").alias("th"), F.struct("h", "sim", F.col("keep.at").alias("at")).alias("w"))
-              .groupBy("th").agg(F.collect_list("w").alias("wanted")))
-    return texts.join(wanted, "th").select("text", "wanted").mapInPandas(_normalised, "h long, sim long, norm string")
+    texts = base.select("th", "text").mapInArrow(_looked_up(board.tobytes()), "th long, at int, norm string")
+    places = lines.select("h", "sim", "root", F.col("keep.th").alias("th"), F.col("keep.at").alias("at"))
+    return texts.join(places, ["th", "at"]).dropDuplicates(["h", "sim"]).select("h", "sim", "root", "norm")
+
+
+def _grouped(radius: int, least: float):
+    """Components (first line's h and sim, line's h and sim) of the links inside each group (sorted by
+    root). A line that has been reached is not compared again, so a dense group costs about one
+    comparison a line."""
+    def close(h: np.ndarray, sims: np.ndarray, texts: list[str]) -> list[tuple]:
+        out = []
+        pool = np.arange(len(h))
+        while len(pool) > 1:
+            todo, head, pool = [int(pool[0])], int(pool[0]), pool[1:]
+            found = [head]
+            while todo and len(pool):
+                x = todo.pop()
+                near = pool[np.bitwise_count(sims[pool] ^ sims[x]) <= radius]
+                hit = [int(y) for y in near if edit_similarity_at_least(texts[x], texts[int(y)], least)]
+                if hit:
+                    found += hit
+                    todo += hit
+                    pool = np.setdiff1d(pool, hit, assume_unique=True)
+            if len(found) > 1:
+                out += [(f"{h[head]}:{sims[head]}", int(h[y]), int(sims[y].view(np.int64))) for y in found]
+        return out
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+
+        def closed() -> pd.DataFrame:
+            got: list[tuple] = []
+            if held:
+                pdf = pd.concat(held, ignore_index=True)
+                root = pdf["root"].to_numpy(np.int64)
+                h, sims, texts = pdf["h"].to_numpy(np.int64), pdf["sim"].to_numpy(np.int64).view(np.uint64), pdf["norm"].tolist()
+                edges = [0, *(np.flatnonzero(root[1:] != root[:-1]) + 1).tolist(), len(root)]
+                for lo, hi in zip(edges, edges[1:]):
+                    got += close(h[lo:hi], sims[lo:hi], texts[lo:hi])
+            return pd.DataFrame(got, columns=["root", "h", "sim"])
+
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            root = pdf["root"].to_numpy(np.int64)
+            last = int(np.searchsorted(root, root[-1]))  # the last group may go on in the next batch
+            if last:
+                held.append(pdf.iloc[:last])
+            if last or held and held[-1]["root"].iloc[-1] != root[0]:
+                yield closed()
+                held = []
+            held.append(pdf.iloc[last:])
+        yield closed()
+
+    return run
 
 
 def _verified(radius: int, least: float, masks: list[int]):
@@ -333,157 +401,6 @@ def _verified(radius: int, least: float, masks: list[int]):
     return run
 
 
-def digests(raw: bytes, least_bytes: int) -> tuple[list[int], list[bytes], np.ndarray]:
-    """(positions, normalised lines, their 128-bit hashes as two signed numbers) of a text's lines that
-    take part."""
-    got = [(at, n) for at, n in enumerate(map(normalise, raw.split(b"\n"))) if len(n) >= least_bytes]
-    h = np.frombuffer(b"".join(blake2b(n, digest_size=16).digest() for _, n in got), np.int64).reshape(-1, 2)
-    return [at for at, _ in got], [n for _, n in got], h
-
-
-def _digests(least_bytes: int):
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
-            sizes, at, h = [0], [], [np.empty((0, 2), np.int64)]
-            for t in texts.cast(pa.binary()).to_pylist():
-                where, _, pair = digests(t or b"", least_bytes)
-                sizes.append(len(where))
-                at += where
-                h.append(pair)
-            h = np.concatenate(h)
-            rows = pa.StructArray.from_arrays([pa.array(at, pa.int32()), pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy())], ["at", "h", "sim"])
-            yield pa.ListArray.from_arrays(pa.array(np.cumsum(sizes, dtype=np.int32)), rows)
-
-    return run
-
-
-def _new_lines(batches: Iterator[pa.RecordBatch], least_bytes: int) -> Iterator[tuple[list[bytes], np.ndarray]]:
-    """(lines, first halves of their hashes) piece by piece, without those the task has just had."""
-    seen: set[int] = set()
-    lines, names, size = [], [], 0
-    for batch in batches:
-        for t in batch.column(0).cast(pa.binary()).to_pylist():
-            _, norms, h = digests(t or b"", least_bytes)
-            for n, x in zip(norms, h[:, 0].tolist()):
-                if x not in seen:
-                    seen.add(x)
-                    lines.append(n)
-                    names.append(x)
-                    size += len(n)
-                    if size >= _PIECE:
-                        yield lines, np.array(names, np.int64)
-                        lines, names, size = [], [], 0
-            if len(seen) > _SEEN:
-                seen.clear()
-    if lines:
-        yield lines, np.array(names, np.int64)
-
-
-def _keyed(least_bytes: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lines, names in _new_lines(batches, least_bytes):
-            owner, key = band_keys(lines)
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(names[owner])], ["k", "h"])
-
-    return run
-
-
-def _judged(least_bytes: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lines, names in _new_lines(batches, least_bytes):
-            owner, wide, sk = judges(lines)
-            rows = pa.FixedSizeBinaryArray.from_buffers(pa.binary(JUDGE), len(sk), [None, pa.py_buffer(sk.tobytes())]).cast(pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(names[owner]), pa.array(wide), rows], ["h", "wide", "sk"])
-
-    return run
-
-
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows (sorted by k, h; repeated ones once) of keys that several lines have. A key of more than
-    ``BUCKET_CAP`` lines is dealt in blocks, a bucket for every two blocks: no pair is lost."""
-    def blocks(k: np.ndarray, h: np.ndarray) -> Iterator[pa.RecordBatch]:
-        new = np.concatenate(([True], (k[1:] != k[:-1]) | (h[1:] != h[:-1])))
-        k, h = k[new], h[new]
-        first = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
-        size = np.diff(np.append(first, len(k)))
-        some = np.repeat((size > 1) & (size <= BUCKET_CAP), size)
-        yield rows(k[some], np.zeros(int(some.sum()), np.int64), h[some])
-        for lo, n in zip(first[size > BUCKET_CAP].tolist(), size[size > BUCKET_CAP].tolist()):
-            half = BUCKET_CAP // 2
-            parts = [h[at:min(at + half, lo + n)] for at in range(lo, lo + n, half)]
-            for i, j in combinations(range(len(parts)), 2):
-                both = np.concatenate((parts[i], parts[j]))
-                yield rows(np.full(len(both), k[lo]), np.full(len(both), i << 32 | j), both)
-
-    def rows(k: np.ndarray, part: np.ndarray, h: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(k), pa.array(part), pa.array(is_wide(k)), pa.array(h)], ["k", "part", "wide", "h"])
-
-    held = [np.empty((2, 0), np.int64)]
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        now = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
-        cut_at = int(np.searchsorted(now[0], now[0, -1]))  # the last key may go on in the next batch
-        if cut_at or held[-1].shape[1] and held[-1][0, -1] != now[0, 0]:
-            yield from blocks(*np.concatenate((*held, now[:, :cut_at]), axis=1))
-            held = []
-        held.append(now[:, cut_at:])
-    last = np.concatenate(held, axis=1)
-    if last.shape[1]:
-        yield from blocks(*last)
-
-
-def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The pairs of lines (rows sorted by k, part) of one bucket whose judging bytes agree."""
-    def pairs(key: np.ndarray, h: np.ndarray, sk: np.ndarray) -> pa.RecordBatch:
-        first = np.flatnonzero(np.concatenate(([True], (key[:, 1:] != key[:, :-1]).any(axis=0))))
-        a, b = agreeing_pairs(first, np.diff(np.append(first, len(h))), sk)
-        both = np.unique(np.stack((np.minimum(h[a], h[b]), np.maximum(h[a], h[b])), axis=1), axis=0)
-        return pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], ["a", "b"])
-
-    held: list[tuple] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        k, part, h = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-        sk = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(-1, JUDGE)
-        key = np.stack((k, part))
-        cut_at = int(np.flatnonzero((key == key[:, -1:]).all(axis=0))[0])  # the last bucket may go on
-        if cut_at or held and (held[-1][0][:, -1] != key[:, 0]).any():
-            whole = [*held, (key[:, :cut_at], h[:cut_at], sk[:cut_at])]
-            yield pairs(np.concatenate([x[0] for x in whole], axis=1), np.concatenate([x[1] for x in whole]), np.concatenate([x[2] for x in whole]))
-            held = []
-        held.append((key[:, cut_at:], h[cut_at:], sk[cut_at:]))
-    if held:
-        yield pairs(np.concatenate([x[0] for x in held], axis=1), np.concatenate([x[1] for x in held]), np.concatenate([x[2] for x in held]))
-
-
-def _similar(least: float):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            ok = [edit_similarity_at_least(x, y, least) for x, y in zip(pdf["one"], pdf["two"])]
-            yield pdf.loc[ok, ["a", "b"]]
-
-    return run
-
-
-def _similar_lines(base: DataFrame, heads: DataFrame, least_bytes: int, similarity: float) -> DataFrame:
-    """Components ``(root, h, sim)`` of the lines linked by their edit similarity. Pairs are named by
-    the first halves of the lines' hashes."""
-    texts = base.select("text")
-    keys = (texts.mapInArrow(_keyed(least_bytes), "k long, h long").repartition("k").sortWithinPartitions("k", "h")
-            .mapInArrow(_shared, "k long, part long, wide boolean, h long"))
-    judged = texts.mapInArrow(_judged(least_bytes), "h long, wide boolean, sk binary").dropDuplicates(["h", "wide"])
-    pairs = cut(keys.join(judged, ["h", "wide"]).select("k", "part", "h", "sk").repartition("k", "part").sortWithinPartitions("k", "part")
-                .mapInArrow(_agreeing, "a long, b long").distinct())
-    tied = pairs.select(F.col("a").alias("h")).unionAll(pairs.select(F.col("b").alias("h"))).distinct()
-    lines = cut(_texts_of(cut(heads.join(tied, "h", "left_semi").select("h", "sim", "keep")), base))
-    said = lines.select("h", "norm")
-    both = (pairs.join(said.withColumnsRenamed({"h": "a", "norm": "one"}), "a").join(said.withColumnsRenamed({"h": "b", "norm": "two"}), "b"))
-    roots = components(both.mapInPandas(_similar(similarity), "a long, b long"))
-    return roots.join(lines.select(F.col("h").alias("node"), "sim"), "node").select("root", F.col("node").alias("h"), "sim")
-
-
 def _without(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     for texts, drops in batches:
         out = []
@@ -495,19 +412,17 @@ def _without(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]
         yield pa.array(out, pa.string())
 
 
-def line_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_bytes: int = 20, radius: int | None = 3,
+def line_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_bytes: int = 20, radius: int = RADIUS,
                 agree: int = 2, similarity: float = 0.8) -> tuple[DataFrame, DataFrame]:
     """(occurrences ``(id, th, at, h, sim)`` of the lines that take part, groups ``(h, sim, keep)`` of the
     lines that occur more than once or are linked; keep = struct of the kept occurrence's place)."""
     bounded_batches(docs.sparkSession)
     base = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("th"), F.col(text_col).alias("text"))
-    prints = _digests(least_bytes) if radius is None else _prints(least_bytes)
-    occ = cut(base.select("id", "th", F.explode(F.arrow_udf(prints, "array<struct<at int, h long, sim long>>")("text")).alias("x"))
+    occ = cut(base.select("id", "th", F.explode(F.arrow_udf(_prints(least_bytes), "array<struct<at int, h long, sim long>>")("text")).alias("x"))
               .select("id", "th", "x.at", "x.h", "x.sim"))
     place = F.struct(F.col("id").isNull().alias("no_id"), "id", "th", "at")
     heads = cut(occ.groupBy("h", "sim").agg(F.min(place).alias("keep"), F.count(F.lit(1)).alias("n")))
-    linked_lines = (_similar_lines(base, heads, least_bytes, similarity) if radius is None
-                    else _printed_lines(base, heads, radius, agree, similarity))
+    linked_lines = cut(_linked_lines(base, heads.filter("sim <> h"), radius, agree, similarity))
     members = linked_lines.join(heads, ["h", "sim"])
     best = members.groupBy("root").agg(F.min("keep").alias("best"))
     fuzzy = members.join(best, "root").select("h", "sim", F.col("best").alias("keep"))
@@ -515,24 +430,34 @@ def line_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return occ, fuzzy.unionByName(exact)
 
 
-def _printed_lines(base: DataFrame, heads: DataFrame, radius: int, agree: int, similarity: float) -> DataFrame:
+def _linked_lines(base: DataFrame, heads: DataFrame, radius: int, agree: int, similarity: float) -> DataFrame:
     """Components ``(root, h, sim)`` of the lines within the radius and of the edit similarity."""
     masks = block_masks(radius, agree)
     masked = F.array(*[F.lit(_signed(m)) for m in masks])
     in_tables = lambda df: df.select("*", F.posexplode(F.transform(masked, lambda m: F.col("sim").bitwiseAND(m))).alias("t", "k"))
-    sims = heads.groupBy("sim").agg(F.count(F.lit(1)).alias("lines"))
+    sims = cut(heads.groupBy("sim").agg(F.count(F.lit(1)).alias("lines")))
     tables = in_tables(sims.select("sim"))
     buckets = cut(tables.groupBy("t", "k").agg(F.count(F.lit(1)).alias("n"), F.min("sim").alias("a"), F.max("sim").alias("b")).filter("n > 1"))
     pairs = buckets.filter((F.col("n") == 2) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)).select("a", "b")
     several = broadcast_if_small(buckets.filter("n > 2").select("t", "k"))
     many = (tables.join(several, ["t", "k"]).select("t", "k", "sim")
             .repartition("t", "k").sortWithinPartitions("t", "k").mapInPandas(_sim_links(radius), "a long, b long"))
-    near = pairs.unionAll(many)
-    tied = (near.select(F.col("a").alias("sim")).unionAll(near.select(F.col("b").alias("sim")))
-            .unionAll(sims.filter("lines > 1").select("sim")).distinct())
-    tied = broadcast_if_small(cut(tied))
-    suspects = cut(heads.join(tied, "sim", "left_semi").select("h", "sim", "keep"))
-    lines = cut(_texts_of(suspects, base).withColumn("line", F.concat(F.hex("h"), F.lit("-"), F.hex("sim"))))
+    near = components(pairs.unionAll(many))
+    alone = sims.filter("lines > 1").select("sim").join(near, F.col("sim") == F.col("node"), "left_anti")
+    tied = cut(near.select(F.col("node").alias("sim"), "root").unionAll(alone.select("sim", F.col("sim").alias("root"))))
+    suspects = cut(heads.select("h", "sim", "keep").join(broadcast_if_small(tied), "sim"))
+    lines = cut(_texts_of(suspects, base))
+    sizes = lines.groupBy("root").agg(F.count(F.lit(1)).alias("size"), F.sum(F.octet_length("norm")).alias("bytes"))
+    too_large = (F.col("size") > BUCKET_CAP) | (F.col("bytes") > GROUP_BYTES)
+    large = broadcast_if_small(cut(sizes.filter(too_large).select("root")))
+    small = (lines.join(large, "root", "left_anti").repartition("root").sortWithinPartitions("root")
+             .mapInPandas(_grouped(radius, similarity), "root string, h long, sim long"))
+    return small.unionByName(_linked_by_tables(lines.join(large, "root").drop("root"), in_tables, masks, radius, similarity))
+
+
+def _linked_by_tables(lines: DataFrame, in_tables, masks: list[int], radius: int, similarity: float) -> DataFrame:
+    """The same for lines of groups too large for a task: bucket by bucket, then connected."""
+    lines = lines.withColumn("line", F.concat(F.hex("h"), F.lit("-"), F.hex("sim")))
     spread = in_tables(lines)
     sizes = spread.groupBy("t", "k").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     spread = spread.join(sizes, ["t", "k"])
@@ -550,23 +475,22 @@ def _printed_lines(base: DataFrame, heads: DataFrame, radius: int, agree: int, s
 
 def _rest_blocks(mask: int, radius: int) -> list[int]:
     free = [p for p in range(64) if not mask >> p & 1]
-    return [sum(1 << p for p in part) for part in np.array_split(free, radius + 1)]
+    return [sum(1 << p for p in part.tolist()) for part in np.array_split(free, radius + 1)]
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_bytes: int = 20, radius: int | None = 3,
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_bytes: int = 20, radius: int = RADIUS,
                 agree: int = 2, similarity: float = 0.8, n_lines: str = "n_lines", n_dropped: str = "n_dropped") -> DataFrame:
     """``docs`` with the repeated lines taken out of the text, and the counts of its lines before and of
     the lines dropped.
 
     Of every group of equal or linked lines the occurrence of the smallest (id, text hash, position)
     stays; rows equal in id and text are one occurrence and stay equal. Lines are what line feeds
-    separate; lines whose normalised form is shorter than ``least_bytes`` (headings, marks, list
-    points) take no part. A null text stays null with 0 lines, an empty one has one empty line. Null ids
-    come after all others. Extra columns pass; clashing count names get a leading underscore.
-    ``radius=None`` links by edit similarity alone: the pairs judged are those that share one of 32
-    min-hash keys of n-grams, which finds nearly all pairs of the similarity (see the tests).
-    ``agree``: 2 suits up to some ten million distinct lines, each further block 60 times as many;
-    the links found are the same."""
+    separate. Two lines are linked if their SimHashes over 4-byte windows differ in at most ``radius`` bits
+    and their edit similarity is ``similarity`` or more; lines whose normalised form is shorter than
+    ``least_bytes`` go by equality only, lines of white space take no part. A null text stays null with 0
+    lines, an empty one has one empty line. Null ids come after all others. Extra columns pass; clashing
+    count names get a leading underscore. ``agree``: 2 suits up to some ten million distinct lines, each
+    further block 60 times as many; the links found are the same."""
     occ, groups = line_groups(docs, id_col, text_col, least_bytes, radius, agree, similarity)
     gone = (occ.join(groups, ["h", "sim"])
             .filter(~(F.struct(F.col("id").isNull().alias("no_id"), "id", "th", "at").eqNullSafe(F.col("keep"))))
