@@ -25,7 +25,7 @@ from cairn.llm.covering_simhash import linked
 SLOTS = 1 << 23    # bits, 1 MB: the bound of what is sent to every task
 BUCKET_CAP = 2000      # larger buckets are split by one more block; none is cut short
 GRAM = 4               # bytes of a window of a line
-RADIUS = 4             # bits in which linked lines may differ
+RADIUS = 3             # bits in which linked lines may differ
 GROUP_BYTES = 16 << 20  # groups of more text go through the tables, too
 _SEEN = 200_000        # texts a task remembers
 _PIECE = 1 << 19       # bytes of short texts that go through the arithmetic together
@@ -458,9 +458,9 @@ def _linked_lines(base: DataFrame, heads: DataFrame, radius: int, agree: int, si
 def _linked_by_tables(lines: DataFrame, in_tables, masks: list[int], radius: int, similarity: float) -> DataFrame:
     """The same for lines of groups too large for a task: bucket by bucket, then connected."""
     lines = lines.withColumn("line", F.concat(F.hex("h"), F.lit("-"), F.hex("sim")))
-    spread = in_tables(lines)
-    sizes = spread.groupBy("t", "k").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    spread = spread.join(sizes, ["t", "k"])
+    places = in_tables(lines.select("line", "sim"))
+    sizes = places.groupBy("t", "k").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    spread = places.join(sizes, ["t", "k"]).drop("sim").join(lines.select("line", "sim", "norm"), "line")
     small = spread.filter(F.col("size") <= BUCKET_CAP).select("t", "k", F.lit(-1).alias("t2"), F.lit(0).cast("long").alias("k2"), "line", "sim", "norm")
     # the other bits once more in radius + 1 blocks, one of which must agree
     again = F.array(*[F.array(*[F.lit(_signed(x)) for x in _rest_blocks(m, radius)]) for m in masks])

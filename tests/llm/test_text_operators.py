@@ -277,7 +277,7 @@ def test_line_prints():
         assert int(fl.line_prints(long, 3)[2][0]) & (1 << 64) - 1 == _simhash(long)
 
 
-def _deduped(docs, least_bytes=20, radius=4):
+def _deduped(docs, least_bytes=20, radius=3):
     """Brute force over all pairs of lines: the texts left, and how many lines are linked but not equal."""
     from cairn.llm.fuzzy_lines import edit_similarity_at_least, normalise
     first, fuzzy = {}, 0  # normalised line -> the smallest place; docs come by ascending id
@@ -330,7 +330,7 @@ def test_line_dedup_brute_force(spark):
     docs = _line_fixture(random.Random(7))
     want, fuzzy = _deduped(docs)
     got = dedup_lines(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()
-    assert {r["doc_id"]: r["text"] for r in got} == want and len(got) == 60 and fuzzy > 30
+    assert {r["doc_id"]: r["text"] for r in got} == want and len(got) == 60 and fuzzy > 20
     assert all(r["n_lines"] == 9 for r in got)
     odd = dedup_lines(odd_docs(spark)).collect()
     assert len(odd) == len(ODD) and {r["doc_id"]: r["n_lines"] for r in odd}[1] == 0
@@ -348,12 +348,11 @@ def test_line_groups_of_any_size(spark, monkeypatch):
         s[rng.randrange(len(s))] = rng.choice("abcdefgh")
         docs.append((100 + i, "".join(s)))
     want, fuzzy = _deduped(docs)
-    assert fuzzy > 500
+    assert fuzzy > 200
     frame = spark.createDataFrame(docs, "doc_id long, text string")
-    for cap in (2000, 40, 4):
+    for cap, parts in ((2000, 1), (40, 7), (4, 1)):
         monkeypatch.setattr(fl, "BUCKET_CAP", cap)
-        for parts in (1, 7):
-            assert {r["doc_id"]: r["text"] for r in fl.dedup_lines(frame.repartition(parts)).collect()} == want, (cap, parts)
+        assert {r["doc_id"]: r["text"] for r in fl.dedup_lines(frame.repartition(parts)).collect()} == want, (cap, parts)
 
 
 def test_line_link_guarantee():
