@@ -26,7 +26,8 @@ SLOTS = 1 << 23    # bits, 1 MB: the bound of what is sent to every task
 BUCKET_CAP = 2000      # larger buckets are split by one more block; none is cut short
 GRAM = 4               # bytes of a window of a line
 RADIUS = 3             # bits in which linked lines may differ
-GROUP_BYTES = 16 << 20  # groups of more text go through the tables, too
+GROUP_CAP, GROUP_BYTES = 20_000, 16 << 20  # groups of more lines or more text go through the tables
+PAIRED = 32            # prints of a bucket up to which all its pairs are compared at once
 _SEEN = 200_000        # texts a task remembers
 _PIECE = 1 << 19       # bytes of short texts that go through the arithmetic together
 _WINDOWS = 1 << 16     # windows whose bits are counted at a time
@@ -222,29 +223,47 @@ def _prints(least_bytes: int):
     return run
 
 
-def _sim_links(radius: int):
-    """Spanning forests of the buckets (sorted by t, k) of fingerprints."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, held = None, []
+def _near_prints(radius: int):
+    """Links of prints (rows sorted by t, k): all pairs within the radius of small buckets, spanning
+    forests of the others."""
+    def close(t: np.ndarray, k: np.ndarray, sim: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        first = np.flatnonzero(np.concatenate(([True], (t[1:] != t[:-1]) | (k[1:] != k[:-1]))))
+        size = np.diff(np.append(first, len(t)))
+        several = (size > 1) & (size <= PAIRED)
+        bucket = np.repeat(np.arange(int(several.sum())), size[several])
+        prints = sim[np.repeat(several, size)]
+        a, b = [], []
+        for off in range(1, PAIRED):
+            one, two = prints[:-off], prints[off:]
+            near = (bucket[:-off] == bucket[off:]) & (np.bitwise_count(one ^ two) <= radius)
+            a.append(one[near])
+            b.append(two[near])
+        for lo, n in zip(first[size > PAIRED].tolist(), size[size > PAIRED].tolist()):
+            x, y = linked(np.unique(sim[lo:lo + n]), radius)
+            a.append(np.asarray(x, np.uint64))
+            b.append(np.asarray(y, np.uint64))
+        return np.concatenate(a), np.concatenate(b)
 
-        def close():
-            a, b = linked(np.unique(np.concatenate(held)), radius) if held else ((), ())
-            if len(a):
-                yield pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
 
-        for pdf in batches:
-            if not len(pdf):
+        def closed() -> pa.RecordBatch:
+            a, b = close(*(np.concatenate(x) for x in zip(*held))) if held else (np.empty(0, np.uint64),) * 2
+            return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
+
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            keys = pdf[["t", "k"]].to_numpy(np.int64)
-            sims = pdf["sim"].to_numpy(np.int64).view(np.uint64)
-            cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
-            for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)]):
-                now = tuple(keys[lo].tolist())
-                if now != key:
-                    yield from close()
-                    held, key = [], now
-                held.append(sims[lo:hi])
-        yield from close()
+            t, k, sim = (c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns)
+            sim = sim.view(np.uint64)
+            last = int(np.flatnonzero((t != t[-1]) | (k != k[-1]))[-1]) + 1 if t[0] != t[-1] or k[0] != k[-1] else 0
+            if last:
+                held.append((t[:last], k[:last], sim[:last]))
+            if last or held and (held[-1][0][-1], held[-1][1][-1]) != (t[0], k[0]):
+                yield closed()
+                held = []
+            held.append((t[last:], k[last:], sim[last:]))
+        yield closed()
 
     return run
 
@@ -436,19 +455,16 @@ def _linked_lines(base: DataFrame, heads: DataFrame, radius: int, agree: int, si
     masked = F.array(*[F.lit(_signed(m)) for m in masks])
     in_tables = lambda df: df.select("*", F.posexplode(F.transform(masked, lambda m: F.col("sim").bitwiseAND(m))).alias("t", "k"))
     sims = cut(heads.groupBy("sim").agg(F.count(F.lit(1)).alias("lines")))
-    tables = in_tables(sims.select("sim"))
-    buckets = cut(tables.groupBy("t", "k").agg(F.count(F.lit(1)).alias("n"), F.min("sim").alias("a"), F.max("sim").alias("b")).filter("n > 1"))
-    pairs = buckets.filter((F.col("n") == 2) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)).select("a", "b")
-    several = broadcast_if_small(buckets.filter("n > 2").select("t", "k"))
-    many = (tables.join(several, ["t", "k"]).select("t", "k", "sim")
-            .repartition("t", "k").sortWithinPartitions("t", "k").mapInPandas(_sim_links(radius), "a long, b long"))
-    near = components(pairs.unionAll(many))
+    key = F.col("sim").bitwiseAND(F.element_at(masked, F.col("t") + 1))  # reckoned again behind the shuffle
+    near = components(sims.select(F.explode(F.lit(list(range(len(masks))))).alias("t"), "sim").repartition("t", key)
+                      .select("t", key.alias("k"), "sim").sortWithinPartitions("t", "k")
+                      .mapInArrow(_near_prints(radius), "a long, b long"))
     alone = sims.filter("lines > 1").select("sim").join(near, F.col("sim") == F.col("node"), "left_anti")
     tied = cut(near.select(F.col("node").alias("sim"), "root").unionAll(alone.select("sim", F.col("sim").alias("root"))))
     suspects = cut(heads.select("h", "sim", "keep").join(broadcast_if_small(tied), "sim"))
     lines = cut(_texts_of(suspects, base))
     sizes = lines.groupBy("root").agg(F.count(F.lit(1)).alias("size"), F.sum(F.octet_length("norm")).alias("bytes"))
-    too_large = (F.col("size") > BUCKET_CAP) | (F.col("bytes") > GROUP_BYTES)
+    too_large = (F.col("size") > GROUP_CAP) | (F.col("bytes") > GROUP_BYTES)
     large = broadcast_if_small(cut(sizes.filter(too_large).select("root")))
     small = (lines.join(large, "root", "left_anti").repartition("root").sortWithinPartitions("root")
              .mapInPandas(_grouped(radius, similarity), "root string, h long, sim long"))

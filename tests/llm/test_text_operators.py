@@ -352,6 +352,7 @@ def test_line_groups_of_any_size(spark, monkeypatch):
     frame = spark.createDataFrame(docs, "doc_id long, text string")
     for cap, parts in ((2000, 1), (40, 7), (4, 1)):
         monkeypatch.setattr(fl, "BUCKET_CAP", cap)
+        monkeypatch.setattr(fl, "GROUP_CAP", cap)
         assert {r["doc_id"]: r["text"] for r in fl.dedup_lines(frame.repartition(parts)).collect()} == want, (cap, parts)
 
 
