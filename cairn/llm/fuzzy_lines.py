@@ -26,7 +26,7 @@ SLOTS = 1 << 23    # bits, 1 MB: the bound of what is sent to every task
 BUCKET_CAP = 2000      # larger buckets are split by one more block; none is cut short
 GRAM = 4               # bytes of a window of a line
 RADIUS = 3             # bits in which linked lines may differ
-GROUP_CAP, GROUP_BYTES = 20_000, 16 << 20  # groups of more lines or more text go through the tables
+GROUP_CAP, GROUP_BYTES = BUCKET_CAP, 16 << 20  # groups of more lines or more text go through the tables
 PAIRED = 32            # prints of a bucket up to which all its pairs are compared at once
 _SEEN = 200_000        # texts a task remembers
 _PIECE = 1 << 19       # bytes of short texts that go through the arithmetic together
@@ -67,7 +67,7 @@ def edit_similarity_at_least(a: str, b: str, least: float) -> bool:
     while end < top - lo and a[-1 - end] == b[-1 - end]:
         end += 1
     a, b = a[lo:len(a) - end], b[lo:len(b) - end]
-    if not a or not b:
+    if not a or not b or max(len(a), len(b)) <= allowed:
         return max(len(a), len(b)) <= allowed
     where: dict[str, int] = {}
     for i, ch in enumerate(a):
