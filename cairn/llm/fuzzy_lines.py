@@ -29,6 +29,9 @@ RADIUS = 3             # bits in which linked lines may differ
 GROUP_CAP, GROUP_BYTES = BUCKET_CAP, 16 << 20  # groups of more lines or more text go through the tables
 PAIRED = 32            # prints of a bucket up to which all its pairs are compared at once
 _SEEN = 200_000        # texts a task remembers
+_COUNTED = 2000        # texts whose letter pairs are kept counted, 4 KB each
+_CHECKED = 16          # allowed edits from which the first columns are judged alone
+_RUN, _SKIPS = 12, (0, 1, 2, 4, 8, 16, 32)  # equal letters at which an edit script goes on, and how far it looks for them
 _PIECE = 1 << 19       # bytes of short texts that go through the arithmetic together
 _WINDOWS = 1 << 16     # windows whose bits are counted at a time
 _COUNTER = 255         # what a counter of one byte holds
@@ -69,6 +72,10 @@ def edit_similarity_at_least(a: str, b: str, least: float) -> bool:
     a, b = a[lo:len(a) - end], b[lo:len(b) - end]
     if not a or not b or max(len(a), len(b)) <= allowed:
         return max(len(a), len(b)) <= allowed
+    if _script_cost(a, b, allowed) <= allowed:
+        return True
+    if allowed >= _CHECKED and _apart(a, b, allowed):
+        return False
     where: dict[str, int] = {}
     for i, ch in enumerate(a):
         where[ch] = where.get(ch, 0) | 1 << i
@@ -93,6 +100,86 @@ def edit_similarity_at_least(a: str, b: str, least: float) -> bool:
     return score <= allowed
 
 
+def _apart(a: str, b: str, allowed: int) -> bool:
+    """Whether the first columns of the edit table alone show that the distance is over ``allowed``: every
+    way through it passes the last of them, at a value (given by the bits of their differences) to which the
+    difference of the lengths that are left is added. Rows farther than ``allowed`` from it are left out."""
+    done = allowed + allowed // 2
+    rows = done + allowed
+    if rows >= min(len(a), len(b)):
+        return False
+    where: dict[str, int] = {}
+    for i, ch in enumerate(a[:rows]):
+        where[ch] = where.get(ch, 0) | 1 << i
+    full = (1 << rows) - 1
+    plus, minus = full, 0
+    for ch in b[:done]:
+        eq = where.get(ch, 0)
+        xv = eq | minus
+        xh = (((eq & plus) + plus) ^ plus) | eq
+        ph = (minus | ~(xh | plus) & full) << 1 & full | 1
+        plus, minus = (plus & xh) << 1 & full | ~(xv | ph) & full, ph & xv
+    up, down = (np.unpackbits(np.frombuffer(x.to_bytes(rows + 7 >> 3, "little"), np.uint8), count=rows, bitorder="little").view(np.int8) for x in (plus, minus))
+    column = np.concatenate((np.zeros(1, np.int64), np.cumsum(up - down, dtype=np.int64))) + done
+    return int((column + np.abs(len(a) - np.arange(rows + 1) - (len(b) - done))).min()) > allowed
+
+
+def _script_cost(a: str, b: str, allowed: int) -> int:
+    """The cost of one edit script found by skipping to the next common run, ``allowed + 1`` if there is
+    none as cheap: the distance is at most this."""
+    i = j = cost = 0
+    while i < len(a) and j < len(b):
+        step = 64
+        while step:  # equal as far as it goes
+            if i + step <= len(a) and a[i:i + step] == b[j:j + step]:
+                i, j = i + step, j + step
+            else:
+                step >>= 1
+        if i == len(a) or j == len(b):
+            break
+        for skip in _SKIPS:
+            run = a[i + skip:i + skip + _RUN]
+            at = b.find(run, j, j + 2 * skip + 2 * _RUN) - j if len(run) == _RUN else -1
+            if at >= 0:
+                break
+        else:
+            break
+        while skip and at and a[i + skip - 1] == b[j + at - 1]:
+            skip, at = skip - 1, at - 1
+        cost += max(skip, at)
+        if cost > allowed:
+            return allowed + 1
+        i, j = i + skip, j + at
+    return min(allowed + 1, cost + max(len(a) - i, len(b) - j))
+
+
+class _Grams:
+    """Counts of the letter pairs of a group's texts, in hashed bins: an edit takes at most two of them away,
+    so texts with too few in common are not compared (no text that is similar enough is lost)."""
+
+    def __init__(self, texts: list[str], least: float):
+        self.texts, self.least, self.counts = texts, least, {}
+
+    def of(self, x: int) -> np.ndarray:
+        if x not in self.counts:
+            if len(self.counts) >= _COUNTED:
+                self.counts.clear()
+            letters = np.frombuffer(self.texts[x].encode("utf-32-le", "surrogatepass"), np.uint32)
+            pairs = (letters[:-1] * np.uint32(0x9E3779B1) + letters[1:]) * np.uint32(0x85EBCA6B)
+            pairs = (pairs ^ pairs >> np.uint32(15)) * np.uint32(0x9E3779B1) >> np.uint32(22)
+            self.counts[x] = np.bincount(pairs, minlength=1024).astype(np.int32)
+        return self.counts[x]
+
+    def possible(self, x: int, others: np.ndarray) -> list[int]:
+        mine, n, out = self.of(x), len(self.texts[x]), []
+        for y in others.tolist():
+            longest = max(n, len(self.texts[y]))
+            allowed = int((1.0 - self.least) * longest + 1e-9)
+            if abs(n - len(self.texts[y])) <= allowed and int(np.minimum(mine, self.of(y)).sum()) >= longest - 1 - 2 * allowed:
+                out.append(y)
+        return out
+
+
 def _full_add(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sum and carry of three words, bit by bit."""
     odd = a ^ b
@@ -319,6 +406,7 @@ def _grouped(radius: int, least: float):
     comparison a line."""
     def close(h: np.ndarray, sims: np.ndarray, texts: list[str]) -> list[tuple]:
         out = []
+        grams = _Grams(texts, least)
         pool = np.arange(len(h))
         while len(pool) > 1:
             todo, head, pool = [int(pool[0])], int(pool[0]), pool[1:]
@@ -326,7 +414,7 @@ def _grouped(radius: int, least: float):
             while todo and len(pool):
                 x = todo.pop()
                 near = pool[np.bitwise_count(sims[pool] ^ sims[x]) <= radius]
-                hit = [int(y) for y in near if edit_similarity_at_least(texts[x], texts[int(y)], least)]
+                hit = [y for y in grams.possible(x, near) if edit_similarity_at_least(texts[x], texts[y], least)]
                 if hit:
                     found += hit
                     todo += hit
@@ -372,6 +460,7 @@ def _verified(radius: int, least: float, masks: list[int]):
     def links(t: int, line: list[str], sims: np.ndarray, texts: list[str]) -> list[tuple[str, str]]:
         out = []
         earlier = [np.uint64(m) for m in masks[:t]]
+        grams = _Grams(texts, least)
         pool = np.arange(len(line))
         while len(pool) > 1:
             todo, pool = [int(pool[0])], pool[1:]
@@ -383,7 +472,7 @@ def _verified(radius: int, least: float, masks: list[int]):
                     for m in earlier:
                         new &= (differ & m) != 0
                 near = pool[new]
-                hit = [int(y) for y in near if edit_similarity_at_least(texts[x], texts[int(y)], least)]
+                hit = [y for y in grams.possible(x, near) if edit_similarity_at_least(texts[x], texts[y], least)]
                 if hit:
                     out += [(line[x], line[y]) for y in hit]
                     todo += hit
