@@ -87,9 +87,29 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
-def ranged_scan(df: DataFrame, key: list[str], order: Order, runs: dict[str, Run],
+def ranged_scan(df: DataFrame, key: list[str], order: Order, *rounds: dict[str, Run],
                 slices: int | None = None) -> DataFrame:
+    """The scans of one key and order, one after the other (a round may read the columns of those before it),
+    over slices that are cut and stored once."""
     r = range_slices(df, [*[F.col(k) for k in key], *_sort(order)], slices)
+    for runs in rounds:
+        r = _sliced_scan(r, key, order, runs)
+    return r.drop("_slice")
+
+
+def scans(ranged: bool, slices: int | None = None):
+    """``scan(df, key, order, *rounds)`` in one of the two forms."""
+    def windows(df: DataFrame, key: list[str], order: Order, *rounds: dict[str, Run]) -> DataFrame:
+        for runs in rounds:
+            df = window_scan(df, key, order, runs)
+        return df
+
+    return (lambda df, key, order, *rounds: ranged_scan(df, key, order, *rounds, slices=slices)) if ranged else windows
+
+
+def _sliced_scan(r: DataFrame, key: list[str], order: Order, runs: dict[str, Run]) -> DataFrame:
+    """One round over stored slices. Rows keep their slice, partitioning and order, so that the next round
+    sorts and shuffles nothing again; the few carried values are stored before they are counted and joined."""
     lkey = ["_slice", *key]
     local = window_scan(r, lkey, order, {f"_loc_{k}": Run(v.fn, v.expr, v.inclusive)
                                          for k, v in runs.items() if v.fn != "total"})
@@ -117,12 +137,11 @@ def ranged_scan(df: DataFrame, key: list[str], order: Order, runs: dict[str, Run
         else:
             c = _window_fn(Run(run.fn, t)).over(before)
         carry_cols.append(c.alias(f"_car_{name}"))
-    carry = summary.select(*lkey, *carry_cols)
-    on = local["_slice"] == carry["_slice"]
+    carry = broadcast_if_small(cut(summary.select(*[F.col(k).alias(f"_car_{k}") for k in lkey], *carry_cols)))
+    on = F.col("_slice") == F.col("_car__slice")
     for k in key:
-        on = on & local[k].eqNullSafe(carry[k])
-    carry = broadcast_if_small(carry)
-    j = local.join(carry, on).drop(*[carry[k] for k in lkey])
+        on = on & F.col(k).eqNullSafe(F.col(f"_car_{k}"))
+    j = local.join(carry, on).drop(*[f"_car_{k}" for k in lkey])
     out = {}
     for name, run in runs.items():
         car, loc = F.col(f"_car_{name}"), F.col(f"_loc_{name}")
@@ -139,7 +158,7 @@ def ranged_scan(df: DataFrame, key: list[str], order: Order, runs: dict[str, Run
             out[name] = car
         if run.cast is not None:
             out[name] = out[name].cast(run.cast)
-    drop = [c for c in j.columns if c.startswith(("_loc_", "_car_"))] + ["_slice"]
+    drop = [f"_{kind}_{name}" for name in runs for kind in ("loc", "car")]
     return j.withColumns(out).drop(*drop)
 
 
@@ -170,6 +189,11 @@ def split_hot_by_counts(df: DataFrame, counts: DataFrame, key: list[str], count_
     return _route(df, counts.where(F.col(count_col) * rows_per_count > t).select(*key), key)
 
 
+def total(counts: DataFrame, count_col: str) -> int:
+    """Sum of per-key counts (give it stored rows)."""
+    return counts.agg(F.sum(count_col)).first()[0] or 0
+
+
 def _route(df: DataFrame, keys: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame | None]:
     """Rows of the other keys and rows of the hot ones; the key list is stored
     and joined back null-safely, broadcast only after a count."""

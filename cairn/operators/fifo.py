@@ -22,13 +22,14 @@ from pyspark.sql import functions as F
 
 from cairn.config import MEANINGFUL_PNL_USD
 from cairn.functions.expr import MONEY, PRICE, QTY
-from cairn.functions.scan import Run, ranged_scan, split_hot, window_scan
+from cairn.functions.scan import Run, cut, scans, split_hot_by_counts, total
 
 KEY = ["wallet_address", "token_address"]
 # largest leg in USD whose sums stay inside DECIMAL(38,10); what lies beyond is
 # returned by trade_leg_rejects, never dropped silently
 MAX_NOTIONAL_USD = 1e20
 EVENT_ORDER = ["timestamp", "transaction_hash", "leg"]
+LEGS_PER_TASK = 250_000  # the sorts and windows of a task hold its legs several times over
 BUY, SELL = "to", "from"
 
 
@@ -84,7 +85,7 @@ def trade_leg_rejects(transactions: DataFrame) -> DataFrame:
 
 
 def fifo_match(legs: DataFrame, partitioned: bool = False, ranged: bool = False,
-               slices: int | None = None) -> DataFrame:
+               slices: int | None = None, rows: int | None = None) -> DataFrame:
     """P2 (+P3, P4): annotate every buy/sell leg with its FIFO outcome.
 
     Input: legs with KEY, EVENT_ORDER, side ('to' buy, 'from' sell, other
@@ -96,16 +97,20 @@ def fifo_match(legs: DataFrame, partitioned: bool = False, ranged: bool = False,
     window and aggregation keyed by wallet or (wallet, token) reuses that
     partitioning, so the whole PnL job has a single shuffle. ``ranged=True``
     runs the same scans range-partitioned (for hot wallets, see
-    ``cairn.functions.scan``); both forms give identical rows.
+    ``cairn.functions.scan``); both forms give identical rows. ``rows``, the
+    number of legs where it is known, sets the number of partitions, so that
+    a task's share does not grow with the table.
     """
-    scan = (lambda d, k, o, r: ranged_scan(d, k, o, r, slices)) if ranged else window_scan
+    scan = scans(ranged, slices)
     df = legs.where(F.col("side").isin(BUY, SELL)).select(
         *KEY, "token_symbol", *EVENT_ORDER, "side",
         F.col("quantity").cast(QTY).alias("quantity"),
         F.col("price").cast(PRICE).alias("price"),
     )
     if not partitioned and not ranged:
-        df = df.repartition("wallet_address")
+        many = rows is not None and rows > LEGS_PER_TASK
+        least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        df = df.repartition(*[max(least, -(-rows // LEGS_PER_TASK))] if many else [], "wallet_address")
 
     is_buy = F.col("side") == BUY
     zero_q = F.lit(0).cast(QTY)
@@ -115,11 +120,10 @@ def fifo_match(legs: DataFrame, partitioned: bool = False, ranged: bool = False,
     sell_q = F.when(~is_buy, F.col("quantity")).otherwise(zero_q)
     lot_cost = (F.col("quantity") * F.col("price")).cast(MONEY)
     buy_cost = F.when(is_buy, lot_cost)
-    df = scan(df, KEY, order, {"B": Run("sum", buy_q, cast=QTY), "S": Run("sum", sell_q, cast=QTY),
-                               "CB": Run("sum", buy_cost, cast=MONEY), "_pos": Run("sum", F.lit(1))})
-
     d = (F.col("B") - F.col("S"))
-    df = scan(df, KEY, order, {"_min_d": Run("min", d), "_min_d_prev": Run("min", d, inclusive=False)})
+    df = scan(df, KEY, order, {"B": Run("sum", buy_q, cast=QTY), "S": Run("sum", sell_q, cast=QTY),
+                               "CB": Run("sum", buy_cost, cast=MONEY), "_pos": Run("sum", F.lit(1))},
+              {"_min_d": Run("min", d), "_min_d_prev": Run("min", d, inclusive=False)})
     u = F.greatest(F.lit(0).cast(QTY), -F.col("_min_d"))
     u_prev = F.greatest(F.lit(0).cast(QTY), -F.coalesce(F.col("_min_d_prev"), F.lit(0).cast(QTY)))
     m = (F.col("S") - u).cast(QTY)
@@ -135,15 +139,14 @@ def fifo_match(legs: DataFrame, partitioned: bool = False, ranged: bool = False,
         "_kind": F.when(is_buy, 1).otherwise(0),
     })
     x_order = [(F.col("_x"), True), (F.col("_kind"), True)] + order
+    f_at_m = F.coalesce(
+        (F.col("_lot_cb") + ((F.col("M") - F.col("_lot_start")).cast(QTY) * F.col("_lot_px")).cast(MONEY))
+        .cast(MONEY), F.lit(0).cast(MONEY))
     df = scan(df, KEY, x_order, {
         "_lot_start": Run("last", F.when(is_buy, F.col("_x"))),
         "_lot_cb": Run("last", F.when(is_buy, (F.col("CB") - lot_cost).cast(MONEY))),
         "_lot_px": Run("last", F.when(is_buy, F.col("price"))),
-    })
-    f_at_m = F.coalesce(
-        (F.col("_lot_cb") + ((F.col("M") - F.col("_lot_start")).cast(QTY) * F.col("_lot_px")).cast(MONEY))
-        .cast(MONEY), F.lit(0).cast(MONEY))
-    df = scan(df, KEY, x_order, {"_prev_f": Run("last", F.when(~is_buy, f_at_m), inclusive=False)})
+    }, {"_prev_f": Run("last", F.when(~is_buy, f_at_m), inclusive=False)})
     prev_f = F.coalesce(F.col("_prev_f"), F.lit(0).cast(MONEY))
     matched = F.when(is_buy, zero_q).otherwise((F.col("M") - F.col("M_prev")).cast(QTY))
     unmatched = F.when(is_buy, zero_q).otherwise((F.col("quantity") - matched).cast(QTY))
@@ -161,6 +164,7 @@ def fifo_match(legs: DataFrame, partitioned: bool = False, ranged: bool = False,
         unmatched.alias("unmatched_quantity"),
         cost.alias("cost_basis"),
         F.when(is_buy, F.col("B")).cast(QTY).alias("lot_end"),
+        F.when(~is_buy, F.col("M")).alias("matched_end"),
         (F.col("_pos") == 1).alias("first_in_position"),
         proceeds.alias("matched_proceeds"),
         (unmatched * F.col("price")).cast(MONEY).alias("unmatched_proceeds"),
@@ -175,12 +179,19 @@ def fifo_match(legs: DataFrame, partitioned: bool = False, ranged: bool = False,
     )
 
 
+def split_legs(legs: DataFrame, hot_threshold: int | None = None) -> tuple[DataFrame, DataFrame | None, int]:
+    """Legs of ordinary wallets, those of hot ones or None, and the number of all legs, from one
+    aggregation that is run and stored while the plan is built."""
+    counts = cut(legs.groupBy("wallet_address").agg(F.count(F.lit(1)).alias("_n")))
+    return *split_hot_by_counts(legs, counts, ["wallet_address"], "_n", hot_threshold), total(counts, "_n")
+
+
 def fifo_split(legs: DataFrame, hot_threshold: int | None = None) -> DataFrame:
     """``fifo_match`` with the wallets of more legs than the threshold
     (``cairn.skew.hotKeyRows``) in the range-sliced form. Finding them is one
     partial aggregation of the legs, run while the plan is built."""
-    cold, hot = split_hot(legs, ["wallet_address"], hot_threshold)
-    out = fifo_match(cold)
+    cold, hot, rows = split_legs(legs, hot_threshold)
+    out = fifo_match(cold, rows=rows)
     return out if hot is None else out.unionByName(fifo_match(hot, ranged=True))
 
 

@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cairn.functions.expr import MONEY, QTY
-from cairn.functions.scan import Run, ranged_scan, split_hot, window_scan
-from cairn.operators.fifo import BUY, EVENT_ORDER, KEY, fifo_match
+from cairn.functions.scan import Run, scans
+from cairn.operators.fifo import BUY, EVENT_ORDER, KEY, fifo_match, split_legs
 
 
 def fifo_lots(fifo: DataFrame, ranged: bool = False, slices: int | None = None) -> DataFrame:
@@ -24,17 +24,16 @@ def fifo_lots(fifo: DataFrame, ranged: bool = False, slices: int | None = None)
     ``matched_proceeds`` to the last digit; quantities add up to ``matched_quantity``. A sell that found
     nothing to consume has no row. The windows reuse the partitioning by wallet of ``fifo_match``;
     ``ranged=True`` runs the same scans in slices, for hot wallets."""
-    scan = (lambda d, k, o, r: ranged_scan(d, k, o, r, slices)) if ranged else window_scan
+    scan = scans(ranged, slices)
     is_buy = F.col("side") == BUY
     event = [(F.col(c), True) for c in EVENT_ORDER]
     rows = fifo.where(is_buy | (F.col("matched_quantity") > 0)).select(
-        *KEY, *EVENT_ORDER, "side", "quantity", "price", "lot_end", "matched_quantity")
-    rows = scan(rows, KEY, event, {"_m": Run("sum", F.col("matched_quantity"), cast=QTY)})
+        *KEY, *EVENT_ORDER, "side", "quantity", "price", "lot_end", "matched_quantity", "matched_end")
     rows = rows.select(
         *KEY, *EVENT_ORDER, is_buy.cast("int").alias("_kind"),
-        F.when(is_buy, (F.col("lot_end") - F.col("quantity")).cast(QTY)).otherwise((F.col("_m") - F.col("matched_quantity")).cast(QTY)).alias("_start"),
-        F.struct(*EVENT_ORDER, F.when(is_buy, F.col("lot_end")).otherwise(F.col("_m")).cast(QTY).alias("end"),
-                 F.when(is_buy, (F.col("lot_end") - F.col("quantity")).cast(QTY)).otherwise((F.col("_m") - F.col("matched_quantity")).cast(QTY)).alias("start"),
+        F.when(is_buy, (F.col("lot_end") - F.col("quantity")).cast(QTY)).otherwise((F.col("matched_end") - F.col("matched_quantity")).cast(QTY)).alias("_start"),
+        F.struct(*EVENT_ORDER, F.when(is_buy, F.col("lot_end")).otherwise(F.col("matched_end")).cast(QTY).alias("end"),
+                 F.when(is_buy, (F.col("lot_end") - F.col("quantity")).cast(QTY)).otherwise((F.col("matched_end") - F.col("matched_quantity")).cast(QTY)).alias("start"),
                  "price").alias("_range"))
     buys = F.col("_kind") == 1
     rows = scan(rows, KEY, [(F.col("_start"), True), (F.col("_kind"), True)] + event,
@@ -56,8 +55,8 @@ def fifo_lots(fifo: DataFrame, ranged: bool = False, slices: int | None = None)
 def fifo_lots_split(legs: DataFrame, hot_threshold: int | None = None) -> DataFrame:
     """``fifo_lots`` of trade legs, with the wallets of more legs than the threshold
     (``cairn.skew.hotKeyRows``) in the range-sliced form."""
-    cold, hot = split_hot(legs, ["wallet_address"], hot_threshold)
-    out = fifo_lots(fifo_match(cold))
+    cold, hot, rows = split_legs(legs, hot_threshold)
+    out = fifo_lots(fifo_match(cold, rows=rows))
     return out if hot is None else out.unionByName(fifo_lots(fifo_match(hot, ranged=True), ranged=True))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql.types import DecimalType
 from cairn.config import (SCORE_FREQUENCY, SCORE_PNL, SCORE_ROI, SCORE_SHARPE, SCORE_VOLUME, SCORE_WIN_RATE,
                           PnlConfig)
 from cairn.functions.expr import MONEY, clip, money_out, round_half_up, safe_div, whole_days
-from cairn.functions.scan import Run, ranged_scan, window_scan
+from cairn.functions.scan import Run, scans
 from cairn.operators.fifo import EVENT_ORDER, KEY
 
 METHOD_LABEL = "fifo_cost_basis_matched_min50"
@@ -60,13 +60,12 @@ def wallet_trade_stats(fifo: DataFrame, ranged: bool = False, slices: int | None
     default form the whole record is one aggregation without another shuffle
     and no group is ever held in memory (sorts and windows spill).
     ``ranged=True`` computes the same scans range-partitioned for hot wallets."""
-    scan = (lambda d, k, o, r: ranged_scan(d, k, o, r, slices)) if ranged else window_scan
+    scan = scans(ranged, slices)
     dec = DecimalType(38, 10)
     wkey = ["wallet_address"]
     order = [(F.col(c), True) for c in EVENT_ORDER]
     matched_pnl = F.when(F.col("is_matched"), F.col("pnl")).otherwise(F.lit(0).cast(MONEY))
-    t = scan(fifo, wkey, order, {"_cum": Run("sum", matched_pnl, cast=dec)})
-    t = scan(t, wkey, order, {"_runmax": Run("max", F.col("_cum"))})
+    t = scan(fifo, wkey, order, {"_cum": Run("sum", matched_pnl, cast=dec)}, {"_runmax": Run("max", F.col("_cum"))})
     peak = F.greatest(F.lit(0).cast(dec), F.col("_runmax"))
     # Drawdown at each matched sell once a positive peak exists
     dd = F.when(F.col("is_matched") & (peak > 0),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cairn.config import FIFO_METHODS, PnlConfig
 from cairn.operators.fifo import fifo_match, trade_legs
-from cairn.functions.scan import split_hot_by_counts
+from cairn.functions.scan import cut, split_hot_by_counts, total
 from cairn.operators.metrics import transaction_span, wallet_metrics, wallet_trade_stats
 
 
@@ -34,7 +34,7 @@ def wallet_pnl_from_legs(legs: DataFrame, transactions: DataFrame,
     wallet set and the first/last trade times (wallet_address, timestamp)."""
     cfg = cfg or PnlConfig()
     check_method(cfg)
-    ready, _ = min_history(transactions, cfg.min_transactions)
+    ready = cut(min_history(transactions, cfg.min_transactions)[0])  # a row a wallet, read four times
     legs = legs.join(ready.select("wallet_address"), "wallet_address", "left_semi")
     # hot wallets (more legs than one task should scan) take the range-
     # partitioned form of the same scans; everything else keeps the single
@@ -42,7 +42,7 @@ def wallet_pnl_from_legs(legs: DataFrame, transactions: DataFrame,
     # counts the job needs anyway (a transaction has at most two legs).
     cold, hot = split_hot_by_counts(legs, ready, ["wallet_address"], "transaction_count",
                                     hot_threshold, rows_per_count=2)
-    stats = wallet_trade_stats(fifo_match(cold))
+    stats = wallet_trade_stats(fifo_match(cold, rows=2 * total(ready, "transaction_count")))
     if hot is not None:
         stats = stats.unionByName(wallet_trade_stats(fifo_match(hot, ranged=True), ranged=True))
     return wallet_metrics(None, ready.drop("transaction_count"), cfg, stats=stats)
