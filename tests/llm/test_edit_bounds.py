@@ -52,3 +52,53 @@ def test_far_lines_of_a_group_are_not_compared(monkeypatch):
     got = pd.concat(fl._grouped(3, 0.8)(iter([pdf])))
     assert sorted(got["h"]) == [0, 36]
     assert len(calls) == 1
+
+
+def test_pairs_judged_together_agree_with_the_table():
+    from cairn.llm import fuzzy_lines as fl
+    rng = random.Random(5)
+    pairs = []
+    for size in (90, 100, 260, 700):
+        for _ in range(30):
+            a = "".join(rng.choice("abcdefgh é") for _ in range(size))
+            b = _edited(rng, a, rng.randrange(size // 2)) if rng.random() < 0.6 else "".join(rng.choice("abcdefgh é") for _ in range(size + rng.randrange(size // 8)))
+            allowed = int(0.2 * max(len(a), len(b)) + 1e-9)
+            if abs(len(a) - len(b)) <= allowed:
+                pairs.append((a, b, allowed))
+    pairs += [("x" * 120, "x" * 130, 26), ("", "", 0), ("ab", "ba", 1)]
+    far = fl.far_pairs([p[:2] for p in pairs], np.array([p[2] for p in pairs]))
+    assert far.sum() > 20
+    for (a, b, allowed), gone in zip(pairs, far.tolist()):
+        if gone:
+            assert _distance(a, b) > allowed
+
+
+def test_lines_of_like_letter_pairs_skip_the_whole_table(monkeypatch):
+    """Lines of one vocabulary share their letter pairs: their first columns are judged together, and few
+    whole tables are filled; copies with many edits are still linked, in a group and across its flushes."""
+    import pandas as pd
+
+    from cairn.llm import fuzzy_lines as fl
+    rng = random.Random(7)
+    words = ["ción", "que", "mente", "osa", "ll", "ie", "ado", "rr", "ez", "de", "la"]
+    texts = ["".join(rng.choice(words) for _ in range(80)) for _ in range(60)]
+    copies = []
+    for text in texts[:6]:
+        out = list(text)
+        for at in range(0, len(out), 8):
+            out[at] = "#"
+        copies.append("".join(out))
+    texts += copies
+    tables, scalars = [], []
+    table, apart = fl._in_table, fl._apart
+    monkeypatch.setattr(fl, "_in_table", lambda *a: tables.append(a) or table(*a))
+    monkeypatch.setattr(fl, "_apart", lambda *a: scalars.append(a) or apart(*a))
+    pdf = pd.DataFrame({"h": range(len(texts)), "sim": 0, "root": 1, "norm": texts})
+    want = {frozenset((i, 60 + i)) for i in range(6)}
+    parts = []
+    for pending in (fl._PENDING, 50):
+        monkeypatch.setattr(fl, "_PENDING", pending)
+        got = pd.concat(fl._grouped(3, 0.8)(iter([pdf])))
+        parts.append({frozenset(x) for x in got.groupby("root")["h"].agg(list)})
+    assert parts == [want, want]
+    assert len(scalars) < 400 and len(tables) < 60  # of some 4,000 pairs
