@@ -643,7 +643,8 @@ def _grouped(radius: int, least: float):
             first = components_of(pairs.links(), len(root))
             size = np.bincount(first, minlength=len(root))
             found = np.flatnonzero(size[first] > 1)
-            return pd.DataFrame({"root": [f"{h[x]}:{sims[x]}" for x in first[found].tolist()], "h": h[found], "sim": sims[found]})
+            names = pd.Series([f"{h[x]}:{sims[x]}" for x in first[found].tolist()], dtype=object)  # a text column where nothing is linked, too
+            return pd.DataFrame({"root": names, "h": h[found], "sim": sims[found]})
 
         for pdf in batches:
             if not len(pdf):

@@ -102,3 +102,20 @@ def test_lines_of_like_letter_pairs_skip_the_whole_table(monkeypatch):
         parts.append({frozenset(x) for x in got.groupby("root")["h"].agg(list)})
     assert parts == [want, want]
     assert len(scalars) < 400 and len(tables) < 60  # of some 4,000 pairs
+
+
+def test_a_task_without_any_link_ends(spark):
+    """Halves that change places leave nearly the same windows and so near prints, but unlike lines: the
+    group is judged, nothing is linked, and its task gives no row."""
+    from cairn.llm import fuzzy_lines as fl
+    rng = random.Random(3)
+    one, two = (" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(150)) for _ in range(2))
+    swapped = [f"{one} {two}", f"{two} {one}"]
+    near = [int(sim[0]) for _, _, _, sim in fl.prints_of([x.encode() for x in swapped], 20)]
+    assert (near[0] ^ near[1]).bit_count() <= fl.RADIUS and not fl.edit_similarity_at_least(*swapped, 0.8)
+    got = fl.dedup_lines(spark.createDataFrame(list(enumerate(swapped)), "doc_id long, text string"))
+    assert {tuple(r) for r in got.select("doc_id", "text", "n_dropped").collect()} == {(i, x, 0) for i, x in enumerate(swapped)}
+    # beside a group that has a link
+    docs = [*enumerate(swapped), (2, one), (3, one[:-1] + "#")]
+    got = fl.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string").repartition(3))
+    assert {r["doc_id"]: (r["text"], r["n_dropped"]) for r in got.collect()} == {0: (swapped[0], 0), 1: (swapped[1], 0), 2: (one, 0), 3: ("", 1)}
