@@ -756,7 +756,11 @@ def _linked_by_tables(lines: DataFrame, in_tables, masks: list[int], radius: int
     """The same for lines of groups too large for a task: bucket by bucket, then connected."""
     lines = lines.withColumn("line", F.concat(F.hex("h"), F.lit("-"), F.hex("sim")))
     places = in_tables(lines.select("line", "sim"))
-    sizes = places.groupBy("t", "k").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    masked = F.array(*[F.lit(_signed(m)) for m in masks])
+    differ = F.bit_or("sim").bitwiseXOR(F.bit_and("sim")).alias("differ")
+    # where all lines of a bucket also meet in one earlier table, all its pairs are compared there
+    sizes = (places.groupBy("t", "k").agg(F.count(F.lit(1)).alias("size"), differ).filter("size > 1")
+             .filter(~F.exists(F.slice(masked, 1, F.col("t")), lambda m: F.col("differ").bitwiseAND(m) == 0)).drop("differ"))
     spread = places.join(sizes, ["t", "k"]).drop("sim").join(lines.select("line", "sim", "norm"), "line")
     small = spread.filter(F.col("size") <= BUCKET_CAP).select("t", "k", F.lit(-1).alias("t2"), F.lit(0).cast("long").alias("k2"), "line", "sim", "norm")
     # the other bits once more in radius + 1 blocks, one of which must agree

@@ -223,6 +223,47 @@ def test_components_long_path_and_hub(spark):
     assert all(got[i] == 0 for i in range(101)) and all(got[1000 + i] == 1000 for i in range(60)) and 5000 not in got
 
 
+def test_components_by_one_task_and_by_rounds(spark, monkeypatch):
+    """Few edges are connected by one task, with the roots that the rounds give and fewer stages."""
+    from cairn.llm import common
+    rng = random.Random(11)
+    edges = [(rng.randrange(-300, 300), rng.randrange(-300, 300)) for _ in range(260)] + [(i, i + 1) for i in range(1000, 1200)]
+    edges += [(5, None), (None, 7), (7000, 7000), edges[0], edges[0][::-1]]
+    texts = [tuple(None if x is None else f"{'é' if x % 2 else 'z'}{x}" for x in e) for e in edges]
+    for kind, rows in (("long", edges), ("string", texts)):
+        df = spark.createDataFrame(rows, f"a {kind}, b {kind}").repartition(3)
+        got = []
+        for most in (common.TASK_EDGES, 0):
+            monkeypatch.setattr(common, "TASK_EDGES", most)
+            cuts = []
+            monkeypatch.setattr(common, "cut", lambda x, cut=common.cut: cuts.append(x) or cut(x))
+            got.append((sorted(map(tuple, common.components(df).collect())), len(cuts)))
+            monkeypatch.undo()
+        assert got[0][0] == got[1][0] and len(got[0][0]) > 500
+        assert got[0][1] == 2 < got[1][1]  # the edges and their components; else a table a round
+
+
+def test_cut_leaves_no_shuffle_files(spark):
+    """The shuffle files of a stored table go with the run that wrote it, also while the plan is still held."""
+    import os
+    import time
+
+    from cairn.llm import common
+    folders = [f.getPath() for f in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+
+    def shuffles():
+        return {name for top in folders for _, _, names in os.walk(top) for name in names if name.startswith("shuffle_") and name.endswith(".data")}
+
+    df = spark.range(20000).groupBy((F.col("id") % 700).alias("k")).count()
+    old, setting, until = shuffles(), spark.conf.get(common.SHUFFLE_CLEANUP), time.time() + 20
+    got = common.cut(df)
+    while shuffles() - old and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffles() - old
+    assert spark.conf.get(common.SHUFFLE_CLEANUP) == setting
+    assert got.count() == df.count() == 700 and got.exceptAll(df).count() == 0
+
+
 def test_edit_similarity():
     from cairn.llm.fuzzy_lines import edit_similarity_at_least
     rng = random.Random(6)
